@@ -1,4 +1,6 @@
 """All registered queries of the story engine and their SQL."""
 
-QUERIES: dict = {}
-SQL: dict = {}
+from . import scalar_queries, story_queries
+
+QUERIES = scalar_queries.QUERIES | story_queries.QUERIES
+SQL = scalar_queries.SQL | story_queries.SQL
