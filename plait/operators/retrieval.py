@@ -27,31 +27,51 @@ def _matrix(frame: pd.DataFrame, column: str) -> np.ndarray:
     return np.stack([np.asarray(v, float) for v in frame[column]]) if len(frame) else np.zeros((0, 1))
 
 
-def top_stories(articles: DataFrame, stories: DataFrame, k: int = 10, window_hours: int = 96, block: int = BLOCK) -> DataFrame:
+def _best(a_id: np.ndarray, a_at: np.ndarray, a_v: np.ndarray, b_id: np.ndarray, b_at: np.ndarray, b_v: np.ndarray, k: int, window: int) -> pd.DataFrame:
+    """The k best rows of b for each row of a: one matrix product, then a partial sort."""
+    sims = a_v @ b_v.T
+    sims[a_at[:, None] - window > b_at[None, :]] = -np.inf
+    order = np.lexsort((np.broadcast_to(b_id, sims.shape), -sims), axis=1)[:, :k]
+    rows = np.repeat(np.arange(len(a_id)), order.shape[1])
+    cols = order.ravel()
+    out = pd.DataFrame({"article_id": a_id[rows], "story_id": b_id[cols], "similarity": sims[rows, cols]})
+    return out[np.isfinite(out["similarity"])]
+
+
+def top_stories(articles: DataFrame, stories: DataFrame, k: int = 10, window_hours: int = 96, block: int = BLOCK, shipped_rows: int = 4 * BLOCK) -> DataFrame:
     """(article_id, story_id, similarity, rank) of each article's ``k`` most similar stories seen within the window before it.
 
-    articles: id, published_at, vector; stories: id, last_seen, vector; unit vectors, no nulls among them.
+    articles: id, published_at, vector; stories: id, last_seen, vector; unit vectors, no nulls among them.  Up to
+    ``shipped_rows`` stories travel with the function and articles are not moved at all; more are dealt into blocks, and every pair of blocks
+    of articles and stories meets in a task.  Either way the same rows come out.
     """
     left = articles.select(F.col("id").cast("long").alias("id"), micros(F.col("published_at")).alias("at"), F.col("vector").cast("array<double>").alias("v")).where("v is not null")
     right = stories.select(F.col("id").cast("long").alias("id"), micros(F.col("last_seen")).alias("at"), F.col("vector").cast("array<double>").alias("v")).where("v is not null")
+    window, schema = window_hours * 3_600_000_000, "article_id long, story_id long, similarity double"
+    head = right.limit(shipped_rows + 1).toPandas()
+    if len(head) <= shipped_rows:
+        ids, at, matrix = head["id"].to_numpy(), head["at"].to_numpy(), _matrix(head, "v")
+
+        def scan(batches):
+            for part in batches:
+                for row in range(0, len(part), 1024):
+                    a = part.iloc[row : row + 1024]
+                    if len(ids):
+                        yield _best(a["id"].to_numpy(), a["at"].to_numpy(), _matrix(a, "v"), ids, at, matrix, k, window)
+
+        met = left.mapInPandas(scan, schema)
+        return met.withColumn("rank", F.row_number().over(Window.partitionBy("article_id").orderBy(F.desc("similarity"), "story_id")))
     n_left, n_right = left.count(), right.count()
     lefts, rights = max(1, math.ceil(n_left / block)), max(1, math.ceil(n_right / block))
     left, _ = _blocked(left, n_left, "lb", "rb", rights, block)
     right, _ = _blocked(right, n_right, "rb", "lb", lefts, block)
-    window = window_hours * 3_600_000_000
 
     def best(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         if not len(a) or not len(b):
             return pd.DataFrame({"article_id": [], "story_id": [], "similarity": []}).astype({"article_id": "int64", "story_id": "int64", "similarity": "float64"})
-        sims = _matrix(a, "v") @ _matrix(b, "v").T
-        sims[a["at"].to_numpy()[:, None] - window > b["at"].to_numpy()[None, :]] = -np.inf
-        order = np.lexsort((np.broadcast_to(b["id"].to_numpy(), sims.shape), -sims), axis=1)[:, :k]
-        rows = np.repeat(np.arange(len(a)), order.shape[1])
-        cols = order.ravel()
-        out = pd.DataFrame({"article_id": a["id"].to_numpy()[rows], "story_id": b["id"].to_numpy()[cols], "similarity": sims[rows, cols]})
-        return out[np.isfinite(out["similarity"])]
-
-    met = left.groupBy("lb", "rb").cogroup(right.groupBy("lb", "rb")).applyInPandas(best, "article_id long, story_id long, similarity double")
+        return _best(a["id"].to_numpy(), a["at"].to_numpy(), _matrix(a, "v"), b["id"].to_numpy(), b["at"].to_numpy(), _matrix(b, "v"), k, window)
+
+    met = left.groupBy("lb", "rb").cogroup(right.groupBy("lb", "rb")).applyInPandas(best, schema)
     ranked = met.withColumn("rank", F.row_number().over(Window.partitionBy("article_id").orderBy(F.desc("similarity"), "story_id")))
     return ranked.where(F.col("rank") <= k)
 

@@ -255,7 +255,7 @@ def framing_merge(spark, d):
 
 
 @query(
-    "SELECT doc_id, replace(source, 'src', '&') AS source, lang FROM (SELECT doc_id, source, CASE WHEN doc_id % 3 = 0 THEN NULL END AS lang FROM documents WHERE doc_id % 2 = 0)"
+    "SELECT doc_id, replace(source, 'src', '&') AS source, lang FROM (SELECT doc_id, source, CAST(NULL AS VARCHAR) AS lang FROM documents WHERE doc_id % 2 = 0)"
 )
 def fix_text_changed(spark, d):
     coded = F.when(F.col("doc_id") % 2 == 0, F.replace("source", F.lit("src"), F.lit("&amp;"))).otherwise(F.col("source"))

@@ -52,7 +52,7 @@ def _asked(spark, d):
     return articles(spark, d).withColumn("split_from", F.lit(None).cast("long"))
 
 
-@query(sql("SELECT article_id, story_id, rank, round(similarity, 6) AS similarity FROM top", True, TOP_SQL))
+@query(sql("SELECT article_id, story_id, rank::INT AS rank, round(similarity, 6) AS similarity FROM top", True, TOP_SQL))
 def cosine_topk(spark, d):
     return _rounded(retrieval.top_stories(articles(spark, d), _known(spark, d)), "similarity").select("article_id", "story_id", "rank", "similarity")
 

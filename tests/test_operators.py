@@ -107,3 +107,19 @@ def test_models_report_errors(spark):
     assert all(r["error"] == "down" and r["answer"] is None for r in models.ask(rows, "id", "p", lambda: Failing().enrich).collect())
     assert all(r["error"] == "down" for r in models.embed(rows, "id", "p", Failing).collect())
     assert all(len(r["vector"]) == 64 for r in models.embed(rows, "id", "p", models.OfflineModel).collect())
+
+
+def test_retrieval_by_blocks_equals_shipping(spark):
+    import numpy as np
+
+    from plait.operators.retrieval import similar_pairs, top_stories
+
+    rng = np.random.default_rng(2)
+    unit = lambda n: [(v / np.sqrt((v * v).sum())).tolist() for v in rng.standard_normal((n, 8))]
+    a = spark.createDataFrame([(i, T0 + timedelta(hours=i), v) for i, v in enumerate(unit(50))], "id long, published_at timestamp, vector array<double>")
+    s = spark.createDataFrame([(i, T0 + timedelta(hours=5 * i - 100), v) for i, v in enumerate(unit(30))], "id long, last_seen timestamp, vector array<double>")
+    rows = lambda df: sorted((r["article_id"], r["rank"], r["story_id"], round(r["similarity"], 9)) for r in df.collect())
+    one, two = top_stories(a, s, k=4), top_stories(a, s, k=4, block=7, shipped_rows=5)
+    assert rows(one) == rows(two) and len(rows(one)) > 100
+    pairs_of = lambda df: sorted((r["a_id"], r["b_id"], round(r["similarity"], 9)) for r in df.collect())
+    assert pairs_of(similar_pairs(s, 0.2)) == pairs_of(similar_pairs(s, 0.2, block=4))
