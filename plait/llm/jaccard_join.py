@@ -8,7 +8,8 @@
    the shared prefix shingles, pass the size and position filters, and are expanded to member pairs, whose exact
    similarity is computed from the whole texts.
 4. So that a group of thousands of near copies is not compared with itself pair by pair, a first round links each node
-   to the least node of its minimum-hash neighbourhoods; the inverted index then only pairs groups of different
+   to one node of each of its minimum-hash neighbourhoods, the one whose shingles are the most frequent, as those of the
+   text are from which the others were copied; the inverted index then only pairs groups of different
    components, which is all that components can still depend on.  No link between components is lost.
 
 Defined results: null or empty texts, or texts without words, have an empty set and link with nothing; fewer words
@@ -39,6 +40,9 @@ class Settings:
     least_parts: int = 64
     key_bytes: int = 3
     neighbourhoods: int = 4
+    hot: int = 64
+    block: int = 1024
+    bitmap_words: int = 16
 
 
 def shingle_sets(texts: pa.Array, k: int) -> list[np.ndarray]:
@@ -55,6 +59,12 @@ def shingle_sets(texts: pa.Array, k: int) -> list[np.ndarray]:
     return out
 
 
+def parity_bitmap(shingles: np.ndarray, words: int) -> bytes:
+    """Each bit is the parity of the shingles that hash to it: sets that differ in d shingles differ in at most d bits."""
+    bits = np.bincount((mix(shingles + np.uint64(99)) % np.uint64(64 * words)).astype(np.int64), minlength=64 * words) & 1
+    return np.packbits(bits.astype(np.uint8)).tobytes()
+
+
 def least_overlap(n, percent: int):
     """The smallest intersection with which a set of n can reach the similarity."""
     return -(-n * percent // 100)
@@ -70,7 +80,7 @@ def _identity(s: np.ndarray) -> bytes:
     return np.array([one.sum(dtype=np.uint64), two.sum(dtype=np.uint64) + np.uint64(len(s))], np.uint64).tobytes()
 
 
-NODES = "id long, n_shingles long, node binary, text string, n int, grp binary, tokens array<long>, places array<int>, near array<long>"
+NODES = "id long, n_shingles long, node binary, text string, n int, grp binary, tokens array<long>, places array<int>, near array<long>, bits binary, known double"
 
 
 def _surveyed(docs: DataFrame, s: Settings) -> DataFrame:
@@ -92,7 +102,7 @@ def _surveyed(docs: DataFrame, s: Settings) -> DataFrame:
         rows, seen = [], set()
         for i, got in enumerate(sets):
             n, node = len(got), _identity(got) if len(got) else None
-            blank = (n, node, None, None, None, None, None, None)
+            blank = (n, node, None, None, None, None, None, None, None, None)
             if not n or node in seen:
                 rows.append(blank)
                 continue
@@ -107,19 +117,15 @@ def _surveyed(docs: DataFrame, s: Settings) -> DataFrame:
             group = _identity(np.append(prefix, np.uint64(n)))
             common = got[held > 0]
             near = [int(signed(common[mix(common + np.uint64(7919 * j + 1)).argmin()][None])[0]) for j in range(s.neighbourhoods)]
-            rows.append((n, node, texts[i].as_py(), n, group, signed(prefix[shared]).tolist(), np.flatnonzero(shared).tolist(), near))
+            rows.append((n, node, texts[i].as_py(), n, group, signed(prefix[shared]).tolist(), np.flatnonzero(shared).tolist(), near, parity_bitmap(got, s.bitmap_words), float(held.mean())))
         cols = list(zip(*rows))
-        kinds = (pa.int64(), pa.binary(), pa.string(), pa.int32(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int64()))
-        names = ("n_shingles", "node", "text", "n", "grp", "tokens", "places", "near")
+        kinds = (pa.int64(), pa.binary(), pa.string(), pa.int32(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.binary(), pa.float64())
+        names = ("n_shingles", "node", "text", "n", "grp", "tokens", "places", "near", "bits", "known")
         return pa.table({"id": table.column("id")} | {name: pa.array(c, kind) for name, c, kind in zip(names, cols, kinds)})
 
     told = census.verdicts(dealt.groupBy("bucket").applyInArrow(first, census.BLOBS), keys)
 
-    def both(left: pa.Table, right: pa.Table) -> pa.Table:
-        return second(left, right) if left.num_rows else pa.table({f.name: [] for f in schema}, schema=schema)
-
-    schema = pa.schema([("id", pa.int64()), ("n_shingles", pa.int64()), ("node", pa.binary()), ("text", pa.string()), ("n", pa.int32()), ("grp", pa.binary()), ("tokens", pa.list_(pa.int64())), ("places", pa.list_(pa.int32())), ("near", pa.list_(pa.int64()))])
-    return dealt.groupBy("bucket").cogroup(told.groupBy("bucket")).applyInArrow(both, NODES)
+    return dealt.groupBy("bucket").cogroup(told.groupBy("bucket")).applyInArrow(second, NODES)
 
 
 def _linked(pairs: DataFrame, nodes: DataFrame, s: Settings) -> DataFrame:
@@ -142,12 +148,20 @@ def _linked(pairs: DataFrame, nodes: DataFrame, s: Settings) -> DataFrame:
 
 
 def _rest(nodes: DataFrame, comp: DataFrame, s: Settings) -> DataFrame:
-    """Member pairs of different components whose groups meet in the inverted index and pass the filters."""
-    labelled = nodes.select("node", "n", "grp", "tokens", "places").join(comp, "node", "left").withColumn("comp", F.coalesce("root", "node"))
+    """Pairs of nodes in different components that share a prefix shingle and pass the filters."""
+    labelled = nodes.select("node", "n", "grp", "tokens", "places", "bits").join(comp, "node", "left").withColumn("comp", F.coalesce("root", "node"))
+    labelled = materialize(labelled.drop("root"), "labelled")
+    entries = lambda df, *c: df.select(*c, F.explode(F.arrays_zip("tokens", "places")).alias("e")).select(*c, F.col("e.tokens").alias("token"), F.col("e.places").alias("place"))
+    counts = entries(labelled, "comp").groupBy("token", "comp").agg(F.count(F.lit(1)).alias("c"))
+    sizes = counts.groupBy("token").agg(F.count(F.lit(1)).alias("comps"), F.sum("c").alias("held"), F.max_by("comp", F.struct("c", "comp")).alias("main")).where("comps > 1")
+    sizes = materialize(sizes.select("token", "held", "main"), "meeting")
+    return _cold(labelled, entries, sizes.where(F.col("held") <= s.hot), s).unionByName(_hot(labelled, entries, sizes.where(F.col("held") > s.hot), s)).distinct()
+
+
+def _cold(labelled: DataFrame, entries, sizes: DataFrame, s: Settings) -> DataFrame:
+    """Group pairs from the inverted index, expanded to members; a shingle has at most ``hot`` nodes, so a row meets at most that many."""
     groups = labelled.groupBy("grp", "comp").agg(F.first("n").alias("n"), F.first("tokens").alias("tokens"), F.first("places").alias("places"))
-    index = groups.select("grp", "comp", "n", F.explode(F.arrays_zip("tokens", "places")).alias("e")).select("grp", "comp", "n", F.col("e.tokens").alias("token"), F.col("e.places").alias("place"))
-    sizes = index.groupBy("token", "comp").count().groupBy("token").agg(F.count(F.lit(1)).alias("comps"), F.max_by("comp", F.struct("count", "comp")).alias("main"))
-    meeting = index.join(sizes.where("comps > 1").select("token", "main"), "token")
+    meeting = entries(groups, "grp", "comp", "n").join(sizes.select("token", "main"), "token")
     left = meeting.where("comp <> main").select("token", *[F.col(c).alias(f"l_{c}") for c in ("grp", "comp", "n", "place")])
     room = F.least(F.col("n") - F.col("place"), F.col("l_n") - F.col("l_place"))  # shingles that both still can share
     enough = room * F.lit(100 + s.percent) >= F.lit(s.percent) * (F.col("n") + F.col("l_n"))
@@ -159,19 +173,52 @@ def _rest(nodes: DataFrame, comp: DataFrame, s: Settings) -> DataFrame:
     )
     members = labelled.select("grp", "comp", "node")
     pairs = met.join(members.toDF("l_grp", "l_comp", "a0"), ["l_grp", "l_comp"]).join(members.toDF("grp", "comp", "b0"), ["grp", "comp"])
-    return pairs.select(F.least("a0", "b0").alias("a"), F.greatest("a0", "b0").alias("b")).distinct()
+    return pairs.select(F.least("a0", "b0").alias("a"), F.greatest("a0", "b0").alias("b"))
+
+
+def _hot(labelled: DataFrame, entries, sizes: DataFrame, s: Settings) -> DataFrame:
+    """The nodes of a frequent shingle in blocks: every two blocks meet in a task, which returns the pairs that the sizes, the
+    places and the bitmaps leave."""
+    rows = entries(labelled, "node", "comp", "n", "bits").join(sizes.withColumn("blocks", F.ceil(F.col("held") / s.block).cast("int")).select("token", "blocks"), "token")
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = rows.select("token", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "own", "node", "comp", "n", "place", "bits")
+
+    def meet(table: pa.Table) -> pa.Table:
+        x, y = table.column("x")[0].as_py(), table.column("y")[0].as_py()
+        own = table.column("own").to_numpy()
+        one, two = np.flatnonzero(own == x), np.flatnonzero(own == y)
+        n, place = table.column("n").to_numpy().astype(np.int64), table.column("place").to_numpy().astype(np.int64)
+        node = table.column("node").combine_chunks()
+        comp = table.column("comp").combine_chunks().dictionary_encode().indices.to_numpy()
+        bits = np.frombuffer(b"".join(table.column("bits").to_pylist()), np.uint64).reshape(len(n), -1)
+        found_a, found_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for at in range(0, len(one), 64):
+            i = one[at : at + 64, None]
+            j = two[None, :]
+            room = np.minimum(n[i] - place[i], n[j] - place[j])
+            ok = (comp[i] != comp[j]) & (100 * np.minimum(n[i], n[j]) >= s.percent * np.maximum(n[i], n[j])) & (room * (100 + s.percent) >= s.percent * (n[i] + n[j]))
+            a, b = np.nonzero(ok & (i < j) if x == y else ok)
+            a, b = i[a, 0], j[0, b]
+            apart = np.bitwise_count(bits[a] ^ bits[b]).sum(axis=1, dtype=np.int64)
+            most = (n[a] + n[b] - apart) // 2  # shared shingles at best
+            left = most * (100 + s.percent) >= s.percent * (n[a] + n[b])
+            found_a.append(a[left])
+            found_b.append(b[left])
+        return pa.table({"p": node.take(pa.array(np.concatenate(found_a))), "q": node.take(pa.array(np.concatenate(found_b)))})
+
+    return rows.groupBy("token", "x", "y").applyInArrow(meet, "p binary, q binary").select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b"))
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", settings: Settings = Settings()) -> DataFrame:
     """Per document n_shingles and component_id, the least id reachable by links (itself included)."""
     s = settings
     rows = materialize(_surveyed(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")), s), "survey")
-    held = F.struct("text", "n", "grp", "tokens", "places", "near")
+    held = F.struct("text", "n", "grp", "tokens", "places", "near", "bits", "known")
     nodes = rows.where("n is not null").groupBy("node").agg(F.min_by(held, F.struct(F.length("text"), F.xxhash64("text"))).alias("h")).select("node", "h.*")
     nodes = materialize(nodes, "nodes")
-    near = nodes.select("node", F.explode(F.array_distinct("near")).alias("key"))
-    heads = near.groupBy("key").agg(F.min("node").alias("head"))
-    pairs = near.join(heads, "key").where("node <> head").select(F.col("head").alias("a"), F.col("node").alias("b")).distinct()
+    near = nodes.select("node", "known", F.explode(F.array_distinct("near")).alias("key"))
+    heads = near.groupBy("key").agg(F.max_by("node", F.struct("known", "node")).alias("head"))
+    pairs = near.join(heads, "key").where("node <> head").select(F.least("head", "node").alias("a"), F.greatest("head", "node").alias("b")).distinct()
     links = materialize(_linked(pairs, nodes, s), "links")
     comp = components(links, "first")
     more = materialize(_linked(materialize(_rest(nodes, comp, s), "pairs"), nodes, s), "more")
