@@ -6,8 +6,7 @@ the fullest is topped up with a cut of the document and emitted.  At the end of
 over; leftovers of ``merged_parts`` partitions are then packed together, and the last tokens of such a merge form sequences whose
 lengths are powers of two, which need no padding.
 
-Text is tokenised word by word with a bounded cache, which gives the ids of the whole text because the tokenizer drops
-white space between words; pieces are written once to the shared folder, with ids only for the leftovers.
+Pieces are written once to the shared folder, with ids only for the leftovers.
 
 Defined results: a null or empty text is the end id alone; repeated rows are packed each; order within a document
 is kept by ``start``; an empty table gives an empty table.
@@ -16,17 +15,18 @@ is kept by ``start``; an empty table gives an empty table.
 from __future__ import annotations
 
 import bisect
-import re
+import os
+import string
 import zlib
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from .common import materialize, schema_of
-
-_WORD = re.compile(r"[^\x20\x09-\x0D]+")
+from .words import Words, slices
 
 
 @dataclass(frozen=True)
@@ -35,36 +35,106 @@ class Settings:
     end_id: int = 2
     open_windows: int = 16
     merged_parts: int = 16
-    cached_words: int = 200_000
-    cached_length: int = 40
+    cached_words: int = 300_000
 
 
 class Encoder:
-    """Little-endian 32-bit ids of a text by a tokenizer that drops white space, with a cache of words."""
+    """Ids of whole texts by a tokenizer, as little-endian 32-bit numbers.
 
-    def __init__(self, path: str, s: Settings):
-        from tokenizers import Tokenizer
+    If the tokenizer drops white space and splits letters from punctuation (found out by encoding probes both ways), the ids of a text are
+    those of its words: every distinct word of a block of texts is encoded once, letters without regard to case and the
+    punctuation after them apart, and kept in a bounded cache.  Other tokenizers encode each text as it is.
+    """
 
-        self.tokenizer, self.cache, self.s = Tokenizer.from_file(path), {}, s
+    PROBES = ("Ab, cd!  ab.\nÉcole ÉCOLE*** the.%%% it's 12 x_y", "a\tb c-d e/f (g) h; öß Öß.", "don't stop? \"no\" f**k ñandú,")
+    TAIL = "".join(c for c in string.punctuation if c not in "'<>|")
 
-    def _ids(self, words: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
-        return [pa.array(e.ids, pa.uint32()).buffers()[1].to_pybytes()[: 4 * len(e.ids)] if e.ids else b"" for e in found]
+    def __init__(self, path: str, s: Settings):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        from tokenizers import Tokenizer
 
-    def __call__(self, text: str | None) -> bytes:
-        words = _WORD.findall(text or "")
-        cache = self.cache
-        new = [w for w in dict.fromkeys(words) if w not in cache]
-        if new:
-            if len(cache) + len(new) > self.s.cached_words:
-                cache.clear()
-                new = list(dict.fromkeys(words))
-            cache.update(zip(new, self._ids(new)))
-        out = b"".join([cache[w] for w in words])
-        for w in new:
-            if len(w) > self.s.cached_length or len(cache) > self.s.cached_words:
-                cache.pop(w, None)
-        return out
+        self.tokenizer, self.s = Tokenizer.from_file(path), s
+        self.words: dict[bytes, bytes] = {}
+        self.parts: dict[str, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.last = np.zeros(max(vocabulary.values()) + 1, bool)  # ids that end a word
+        self.last[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+        self.by_word = False
+        try:
+            self.by_word = all(self._by_word(pa.array([p], pa.large_string()))[0] == self._whole(p) for p in self.PROBES)
+        except ValueError:
+            pass
+        self.words.clear()
+        self.parts.clear()
+
+    def _whole(self, text: str | None) -> bytes:
+        return np.array(self.tokenizer.encode(text or "", add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _apart(self, words: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode(words, is_pretokenized=True, add_special_tokens=False)
+        cut = np.searchsorted(np.array(found.word_ids, np.int64), np.arange(len(words) + 1)) * 4
+        ids = np.array(found.ids, "<u4").tobytes()
+        return [ids[i:j] for i, j in zip(cut[:-1].tolist(), cut[1:].tolist())]
+
+    def _letters(self, words: list[str]) -> list[bytes]:
+        """Words of letters only: one call, in which each ends with an id that ends a word."""
+        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, "<u4")
+        cut = np.r_[0, 4 * np.flatnonzero(self.last[ids]) + 4]
+        if len(cut) != len(words) + 1:
+            return self._apart(words)
+        raw = ids.tobytes()
+        return [raw[i:j] for i, j in zip(cut[:-1].tolist(), cut[1:].tolist())]
+
+    def _learn(self, words: list[bytes]) -> None:
+        new = [w for w in words if w not in self.words]
+        if len(self.words) + len(new) > self.s.cached_words:
+            self.words.clear()
+            new = words
+        if len(self.parts) > self.s.cached_words:
+            self.parts.clear()
+        split, letters, others = [], {}, {}
+        for raw in new:
+            word = raw.decode()
+            core = word.rstrip(self.TAIL)
+            key, tail = core.lower(), word[len(core) :]
+            if core.isalpha() and key.isalpha() and max(core) < "\u0180":
+                if key not in self.parts:
+                    letters[key] = None
+                if tail and tail not in self.parts:
+                    others[tail] = None
+            else:
+                key, tail = word, ""
+                if key not in self.parts:
+                    others[key] = None
+            split.append((raw, key, tail))
+        if letters:
+            self.parts.update(zip(letters, self._letters(list(letters))))
+        if others:
+            self.parts.update(zip(others, self._apart(list(others))))
+        parts = self.parts
+        self.words.update((raw, parts[key] + parts[tail] if tail else parts[key]) for raw, key, tail in split)
+
+    def _by_word(self, texts: pa.Array) -> list[bytes]:
+        found = Words(texts)
+        if not len(found):
+            return [b""] * len(texts)
+        _, first, which = np.unique(found.hashes(), return_index=True, return_inverse=True)
+        raw = found.raw.tobytes()
+        words = [raw[a:b] for a, b in zip(found.start[first].tolist(), found.end[first].tolist())]
+        self._learn(words)
+        ids = [self.words[w] for w in words]
+        flat = np.frombuffer(b"".join(ids), "<u4")
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        each = size[which]
+        total = np.r_[0, np.cumsum(each)]
+        out = flat[np.repeat((np.cumsum(size) - size)[which] - total[:-1], each) + np.arange(total[-1])].tobytes()
+        cut = (4 * total[found.first]).tolist()
+        return [out[i:j] for i, j in zip(cut[:-1], cut[1:])]
+
+    def __call__(self, texts: pa.Array) -> list[bytes]:
+        if not self.by_word:
+            return [self._whole(t) for t in texts.to_pylist()]
+        return self._by_word(texts)
 
 
 class Windows:
@@ -156,10 +226,9 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
         rows, count, kind = [], 0, None
         for b in batches:
             kind = b.column(0).type
-            for at in range(0, b.num_rows, 256):
-                piece = b.slice(at, 256)
-                for key, text in zip(piece.column(0).to_pylist(), piece.column(1).to_pylist()):
-                    for full in windows.add(key, encode(text) + end):
+            for at, piece in slices(b.column(1)):
+                for key, ids in zip(b.column(0).slice(at, len(piece)).to_pylist(), encode(piece)):
+                    for full in windows.add(key, ids + end):
                         rows += _rows(full, part << 32 | count, None, with_ids)
                         count += 1
                 if len(rows) > 2000:
