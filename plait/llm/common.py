@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import math
 import tempfile
 import uuid
@@ -41,6 +42,21 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bounded_batches(spark: SparkSession, rows: int = 2000) -> None:
+    """Arrow batches of at most ``rows`` rows where the session has Spark's default of 10,000: rows here hold whole texts."""
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+
+
+def release() -> None:
+    """Gives a worker process's free memory back to the system: workers stay for later tasks, and their memory counts meanwhile."""
+    pa.set_memory_pool(pa.system_memory_pool())
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # no glibc
+        pass
+
+
 def fold(id_col: str, k: int) -> Column:
     """crc32 of the id as text, modulo k; null ids take part as the empty text."""
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % k
@@ -55,24 +71,28 @@ def schema_of(df: DataFrame, carried: Iterable[str], fields: str) -> T.StructTyp
     return T.StructType([T.StructField(c, kept_type(df, c)) for c in carried] + T._parse_datatype_string(fields).fields)
 
 
-def scan_texts(df: DataFrame, carried: list[str], text_col: str, fields: str, make: Callable[[], Callable[[pa.Array], list]], limit: int = 4 << 20) -> DataFrame:
+def scan_texts(df: DataFrame, carried: list[str], text_col: str, fields: str, make: Callable[[], Callable[[pa.Array], list]], limit: int = 1 << 20) -> DataFrame:
     """One output row per input row: the carried columns and what ``make()(texts)`` returns as one array a field.
 
-    ``make`` runs once in each task.  Texts come in pieces of about ``limit`` bytes, always whole.
+    ``make`` runs once in each task.  Texts come in pieces of about ``limit`` bytes, always whole.  A text column that is carried
+    travels once.
     """
     out = schema_of(df, carried, fields)
     names = out.fieldNames()
+    at = carried.index(text_col) if text_col in carried else len(carried)
 
     def run(batches):
+        release()
         work = make()
         for batch in batches:
-            texts = batch.column(batch.num_columns - 1)
+            texts = batch.column(at)
             for row, piece in slices(texts, limit):
                 kept = [batch.column(i).slice(row, len(piece)) for i in range(len(carried))]
                 yield pa.RecordBatch.from_arrays(kept + [x if isinstance(x, pa.Array) else pa.array(x) for x in work(piece)], names=names)
+        release()
 
-    source = df.select(*[F.col(c) for c in carried], F.col(text_col).cast("string").alias("__text"))
-    return source.mapInArrow(run, out)
+    extra = [] if text_col in carried else [F.col(text_col).cast("string").alias("__text")]
+    return df.select(*[F.col(c) for c in carried], *extra).mapInArrow(run, out)
 
 
 def text_volume(df: DataFrame, text_col: str) -> int:

@@ -25,8 +25,8 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from .common import materialize, schema_of
-from .words import Words, slices
+from .common import materialize, release, schema_of
+from .words import Words, slices, span_hashes
 
 
 @dataclass(frozen=True)
@@ -35,106 +35,136 @@ class Settings:
     end_id: int = 2
     open_windows: int = 16
     merged_parts: int = 16
-    cached_words: int = 300_000
+    cached_pieces: int = 300_000
+    block_bytes: int = 2 << 20
+
+
+#: Byte kinds: white space, letters, punctuation, digits, others.
+_SPACE, _LETTER, _MARK, _DIGIT, _OTHER = range(5)
+_KIND = np.full(256, _OTHER, np.uint8)
+_KIND[[0x20, 9, 10, 11, 12, 13]] = _SPACE
+_KIND[[ord(c) for c in string.ascii_letters]] = _LETTER
+_KIND[[ord(c) for c in string.punctuation if c not in "'<>|"]] = _MARK
+_KIND[[ord(c) for c in string.digits]] = _DIGIT
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+
+
+def _pieces(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(bytes, starts, ends, kinds, first piece of each text) of the pieces that a tokenizer encodes on their own.
+
+    In a word of ASCII and Latin-1 letters, digits and punctuation without apostrophes these are the runs of letters, lower-cased, each
+    digit and the runs of punctuation; any other word is one piece, as it stands.
+    """
+    words = Words(texts)
+    raw = words.raw
+    kind = _KIND[raw]
+    low = _LOWER[raw]
+    lead = np.flatnonzero(raw[:-1] == 0xC3) if len(raw) else np.zeros(0, np.int64)
+    after = raw[lead + 1]
+    good = (after >= 0x80) & (after < 0xC0) & (after != 0x97) & (after != 0xB7)
+    lead, after = lead[good], after[good]
+    kind[lead] = kind[lead + 1] = _LETTER
+    low[lead + 1] = np.where(after < 0x9F, after + 0x20, after)
+    odd = np.concatenate(([0], np.cumsum(kind == _OTHER)))
+    odd = np.flatnonzero(odd[words.end] > odd[words.start])
+    step = np.zeros(len(raw) + 1, np.int8)
+    step[words.start[odd]] += 1
+    step[words.end[odd]] -= 1
+    whole = np.cumsum(step[:-1], dtype=np.int8).astype(bool)
+    low[whole] = raw[whole]
+    kind[whole] = _OTHER
+    begins = np.zeros(len(raw) + 1, bool)
+    begins[1:-1] = (kind[1:] != kind[:-1]) | (kind[1:] == _DIGIT)
+    begins[words.start] = True
+    inside = kind != _SPACE
+    begins[:-1] &= inside
+    start = np.flatnonzero(begins[:-1])
+    begins[-1] = True
+    begins[:-1] |= ~inside
+    end = np.flatnonzero(inside & begins[1:]) + 1
+    return low, start, end, kind[start], np.searchsorted(start, words.at)
 
 
 class Encoder:
     """Ids of whole texts by a tokenizer, as little-endian 32-bit numbers.
 
-    If the tokenizer drops white space and splits letters from punctuation (found out by encoding probes both ways), the ids of a text are
-    those of its words: every distinct word of a block of texts is encoded once, letters without regard to case and the
-    punctuation after them apart, and kept in a bounded cache.  Other tokenizers encode each text as it is.
+    If the tokenizer drops white space, ignores case and splits letters, digits and punctuation (found out by encoding probes both ways), the
+    ids of a text are those of its pieces: every distinct piece of a block of texts is encoded once and kept in a bounded cache.
+    Other tokenizers encode each text as it is.
     """
 
-    PROBES = ("Ab, cd!  ab.\nÉcole ÉCOLE*** the.%%% it's 12 x_y", "a\tb c-d e/f (g) h; öß Öß.", "don't stop? \"no\" f**k ñandú,")
-    TAIL = "".join(c for c in string.punctuation if c not in "'<>|")
+    PROBES = ("Ab, cd!  ab.\nÉcole ÉCOLE*** the.%%% it's 12 x_y", "a\tb c-d e/f (g) h; öß Öß. 3.5x", "don't stop? \"no\" f**k ñandú, x1y2z")
 
     def __init__(self, path: str, s: Settings):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer, self.s = Tokenizer.from_file(path), s
-        self.words: dict[bytes, bytes] = {}
-        self.parts: dict[str, bytes] = {}
+        self.known: dict[bytes, bytes] = {}
         vocabulary = self.tokenizer.get_vocab()
-        self.last = np.zeros(max(vocabulary.values()) + 1, bool)  # ids that end a word
+        self.last = np.zeros(max(vocabulary.values()) + 1, bool)  # ids that end a piece
         self.last[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
-        self.by_word = False
-        try:
-            self.by_word = all(self._by_word(pa.array([p], pa.large_string()))[0] == self._whole(p) for p in self.PROBES)
-        except ValueError:
-            pass
-        self.words.clear()
-        self.parts.clear()
+        self.by_piece = all(self._by_piece(pa.array([p], pa.large_string()))[0] == self._whole(p) for p in self.PROBES)
+        self.known.clear()
 
     def _whole(self, text: str | None) -> bytes:
         return np.array(self.tokenizer.encode(text or "", add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _apart(self, words: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode(words, is_pretokenized=True, add_special_tokens=False)
-        cut = np.searchsorted(np.array(found.word_ids, np.int64), np.arange(len(words) + 1)) * 4
+    def _apart(self, words: list[bytes]) -> list[bytes]:
+        found = self.tokenizer.encode([w.decode() for w in words], is_pretokenized=True, add_special_tokens=False)
+        cut = np.searchsorted(np.array([-1 if w is None else w for w in found.word_ids], np.int64), np.arange(len(words) + 1)) * 4
         ids = np.array(found.ids, "<u4").tobytes()
         return [ids[i:j] for i, j in zip(cut[:-1].tolist(), cut[1:].tolist())]
 
-    def _letters(self, words: list[str]) -> list[bytes]:
-        """Words of letters only: one call, in which each ends with an id that ends a word."""
-        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, "<u4")
+    def _letters(self, words: list[bytes]) -> list[bytes]:
+        """Runs of letters: one call, in which each ends with an id that ends a piece."""
+        ids = np.array(self.tokenizer.encode_batch_fast([b" ".join(words).decode()], add_special_tokens=False)[0].ids, "<u4")
         cut = np.r_[0, 4 * np.flatnonzero(self.last[ids]) + 4]
         if len(cut) != len(words) + 1:
             return self._apart(words)
         raw = ids.tobytes()
         return [raw[i:j] for i, j in zip(cut[:-1].tolist(), cut[1:].tolist())]
 
-    def _learn(self, words: list[bytes]) -> None:
-        new = [w for w in words if w not in self.words]
-        if len(self.words) + len(new) > self.s.cached_words:
-            self.words.clear()
-            new = words
-        if len(self.parts) > self.s.cached_words:
-            self.parts.clear()
-        split, letters, others = [], {}, {}
-        for raw in new:
-            word = raw.decode()
-            core = word.rstrip(self.TAIL)
-            key, tail = core.lower(), word[len(core) :]
-            if core.isalpha() and key.isalpha() and max(core) < "\u0180":
-                if key not in self.parts:
-                    letters[key] = None
-                if tail and tail not in self.parts:
-                    others[tail] = None
-            else:
-                key, tail = word, ""
-                if key not in self.parts:
-                    others[key] = None
-            split.append((raw, key, tail))
-        if letters:
-            self.parts.update(zip(letters, self._letters(list(letters))))
-        if others:
-            self.parts.update(zip(others, self._apart(list(others))))
-        parts = self.parts
-        self.words.update((raw, parts[key] + parts[tail] if tail else parts[key]) for raw, key, tail in split)
-
-    def _by_word(self, texts: pa.Array) -> list[bytes]:
-        found = Words(texts)
-        if not len(found):
+    def _by_piece(self, texts: pa.Array) -> list[bytes]:
+        raw, start, end, kind, first_of = _pieces(texts)
+        if not len(start):
             return [b""] * len(texts)
-        _, first, which = np.unique(found.hashes(), return_index=True, return_inverse=True)
-        raw = found.raw.tobytes()
-        words = [raw[a:b] for a, b in zip(found.start[first].tolist(), found.end[first].tolist())]
-        self._learn(words)
-        ids = [self.words[w] for w in words]
+        _, first, which = np.unique(span_hashes(raw, start, end), return_index=True, return_inverse=True)
+        data = raw.tobytes()
+        pieces = [data[a:b] for a, b in zip(start[first].tolist(), end[first].tolist())]
+        letters = (kind[first] == _LETTER).tolist()
+        known = self.known
+        new = [(p, is_run) for p, is_run in zip(pieces, letters) if p not in known]
+        if len(known) + len(new) > self.s.cached_pieces:
+            known.clear()
+            new = list(zip(pieces, letters))
+        for is_run, encode in ((True, self._letters), (False, self._apart)):
+            some = [p for p, x in new if x is is_run]
+            if some:
+                known.update(zip(some, encode(some)))
+        ids = [known[p] for p in pieces]
         flat = np.frombuffer(b"".join(ids), "<u4")
         size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
         each = size[which]
-        total = np.r_[0, np.cumsum(each)]
+        total = np.concatenate(([0], np.cumsum(each)))
         out = flat[np.repeat((np.cumsum(size) - size)[which] - total[:-1], each) + np.arange(total[-1])].tobytes()
-        cut = (4 * total[found.first]).tolist()
+        cut = (4 * total[first_of]).tolist()
         return [out[i:j] for i, j in zip(cut[:-1], cut[1:])]
 
     def __call__(self, texts: pa.Array) -> list[bytes]:
-        if not self.by_word:
-            return [self._whole(t) for t in texts.to_pylist()]
-        return self._by_word(texts)
+        return self._by_piece(texts) if self.by_piece else [self._whole(t) for t in texts.to_pylist()]
+
+
+_ENCODERS: dict[tuple, Encoder] = {}
+
+
+def encoder(path: str, s: Settings) -> Encoder:
+    """The worker process's encoder: the tokenizer is read once and its cache serves all tasks that the process runs."""
+    if (path, s) not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[path, s] = Encoder(path, s)
+    return _ENCODERS[path, s]
 
 
 class Windows:
@@ -221,12 +251,13 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
     end = s.end_id.to_bytes(4, "little")
 
     def scatter(batches):
-        encode, windows = Encoder(tokenizer_path, s), Windows(s.window, s.open_windows)
+        release()
+        encode, windows = encoder(tokenizer_path, s), Windows(s.window, s.open_windows)
         part = TaskContext.get().partitionId()
         rows, count, kind = [], 0, None
         for b in batches:
             kind = b.column(0).type
-            for at, piece in slices(b.column(1)):
+            for at, piece in slices(b.column(1), s.block_bytes):
                 for key, ids in zip(b.column(0).slice(at, len(piece)).to_pylist(), encode(piece)):
                     for full in windows.add(key, ids + end):
                         rows += _rows(full, part << 32 | count, None, with_ids)
@@ -239,6 +270,7 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
             count += 1
         if kind is not None:
             yield batch(rows, kind)
+        release()
 
     pieces = materialize(docs.select(F.col(id_col), F.col(text_col).cast("string").alias("__text")).mapInArrow(scatter, schema), "pieces")
 

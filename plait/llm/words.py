@@ -98,20 +98,8 @@ class Words:
         return np.diff(self.first)
 
     def hashes(self) -> np.ndarray:
-        """One 64-bit hash per word, by a polynomial over its bytes, worked off in blocks."""
-        out, i, n = np.empty(len(self), np.uint64), 0, len(self)
-        while i < n:
-            low = self.start[i]
-            j = max(i + 1, int(np.searchsorted(self.end, low + BLOCK, side="right")))
-            high = int(self.end[j - 1])
-            power, inverse = _tables(max(BLOCK, high - low) + 1)
-            total = np.empty(high - low + 1, np.uint64)
-            total[0] = 0
-            np.cumsum((self.raw[low:high].astype(np.uint64) + np.uint64(1)) * power[: high - low], out=total[1:])
-            s, e = self.start[i:j] - low, self.end[i:j] - low
-            out[i:j] = mix((total[e] - total[s]) * inverse[s] + (e - s).astype(np.uint64))
-            i = j
-        return out
+        """One 64-bit hash per word."""
+        return span_hashes(self.raw, self.start, self.end)
 
     def windows(self, hashes: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """(hash of each k-word window within one text, index of its first word)."""
@@ -130,6 +118,23 @@ class Words:
         return self.raw[self.start[i] : self.end[j - 1]].tobytes()
 
 
+def span_hashes(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """One 64-bit hash for each of the ascending, non-overlapping byte spans, by a polynomial over the bytes, worked off in blocks."""
+    out, i, n = np.empty(len(start), np.uint64), 0, len(start)
+    while i < n:
+        low = start[i]
+        j = max(i + 1, int(np.searchsorted(end, low + BLOCK, side="right")))
+        high = int(end[j - 1])
+        power, inverse = _tables(max(BLOCK, high - low) + 1)
+        total = np.empty(high - low + 1, np.uint64)
+        total[0] = 0
+        np.cumsum((raw[low:high].astype(np.uint64) + np.uint64(1)) * power[: high - low], out=total[1:])
+        s, e = start[i:j] - low, end[i:j] - low
+        out[i:j] = mix((total[e] - total[s]) * inverse[s] + (e - s).astype(np.uint64))
+        i = j
+    return out
+
+
 def rolled(hashes: np.ndarray, k: int) -> np.ndarray:
     """Hash of every run of k hashes, each bound to its place in the run; log2(k) vector passes."""
     n = len(hashes) - k + 1
