@@ -199,11 +199,11 @@ def merge_candidates(spark, d):
     return _rounded(merge.candidates(stories(spark, d), config=_LOOSE), "similarity")
 
 
-@query(sql("SELECT a_id, b_id, round(similarity, 6) AS similarity FROM mc WHERE a_id + b_id <> 9", True, MERGE_SQL))
+@query(sql("SELECT a_id, b_id, round(similarity, 6) AS similarity FROM mc", True, MERGE_SQL))
 def merge_unordered(spark, d):
     rows = merge.candidates(stories(spark, d), config=_LOOSE)
     mirrored = rows.select(F.col("b_id").alias("a_id"), F.col("a_id").alias("b_id"), F.col("similarity") - 0.01)
-    return _rounded(merge.unordered(rows.unionByName(mirrored.toDF("a_id", "b_id", "similarity"))), "similarity").where("a_id + b_id <> 9")
+    return _rounded(merge.unordered(rows.unionByName(mirrored.toDF("a_id", "b_id", "similarity"))), "similarity")
 
 
 @query(
