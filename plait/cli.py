@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from .config import Config, from_environment
 from .operators import enrich, ingest, pairs, recheck, reports, stories as S
 from .plans import flow
-from .sources import registry, tables
+from .sources import pages as P, registry, tables
 from .sources.feeds import FeedSource
 
 TABLES = ("sources", "articles", "stories", "pairs")
@@ -35,14 +35,14 @@ def _now(args) -> F.Column:
     return F.lit(datetime.fromisoformat(args.now)) if args.now else F.lit(datetime.now(timezone.utc))
 
 
-def _feed(spark: SparkSession, rows: DataFrame) -> DataFrame:
+def _feed(spark: SparkSession, rows: DataFrame, transport: str = "plait.sources.feeds:fetch") -> DataFrame:
     spark.dataSource.register(FeedSource)
     feeds = [{"source_id": r["id"], "url": r["feed_url"], "alternates": r["alt_feed_urls"]} for r in rows.select("id", "feed_url", "alt_feed_urls").collect()]
-    return spark.read.format("plait_feed").option("feeds", json.dumps(feeds)).load()
+    return spark.read.format("plait_feed").option("feeds", json.dumps(feeds)).option("transport", transport).load()
 
 
 def verify_feeds(spark, args, config):
-    entries = ingest.entries(_feed(spark, registry.load_registry(spark, args.sources)).where("error is null")).select(
+    entries = ingest.entries(_feed(spark, registry.load_registry(spark, args.sources), args.transport).where("error is null")).select(
         "source_id", "pos", "published_at", "link", "image_url", F.col("link").alias("final_url"), F.lit(None).cast("int").alias("body_chars"), F.lit(None).cast("string").alias("page_image"), F.lit(None).cast("timestamp").alias("page_date"), F.lit(None).cast("boolean").alias("wire_hint")
     )
     text = reports.audit_markdown([r.asDict() for r in reports.feed_audit(entries, _now(args)).orderBy("source_id").collect()])
@@ -57,9 +57,14 @@ def sync_sources(spark, args, config):
 
 
 def ingest_feeds(spark, args, config):
+    """Feeds and pages of the selected sources; new rows beside those of the articles table."""
     listed = registry.select(registry.load_registry(spark, args.sources), args.include_unverified, args.source)
-    wanted = ingest.prune(ingest.entries(_feed(spark, listed).where("error is null")), listed, _read(spark, args.root, "articles"), _now(args), config)
-    _write(wanted, args.root, "wanted_links", args.dry_run)
+    known = _read(spark, args.root, "articles").select("canonical_url")
+    feed = _feed(spark, listed, args.transport).where("error is null")
+    wanted = ingest.prune(ingest.entries(feed), listed, known, _now(args), config)
+    pages = P.fetch_pages(wanted, args.page_transport).where("error is null").drop("error")
+    built = flow.build_stage(wanted, listed, pages, _now(args), config)
+    _write(flow.new_rows(built, listed), args.root, "new_articles", args.dry_run)
 
 
 def enrich_articles(spark, args, config):
@@ -67,7 +72,7 @@ def enrich_articles(spark, args, config):
 
 
 def assign_articles(spark, args, config):
-    _write(flow.assign_stage(_read(spark, args.root, "articles"), _read(spark, args.root, "sources"), config=config), args.root, "articles", args.dry_run)
+    _write(flow.assign_stage(_read(spark, args.root, "articles"), _read(spark, args.root, "sources"), _now(args), config=config), args.root, "articles", args.dry_run)
 
 
 def pair_stories(spark, args, config):
@@ -107,14 +112,28 @@ def status(spark, args, config):
 
 
 def run(spark, args, config):
-    """Trim and refresh at the end of a run whose stages were published."""
+    """Everything from the feeds to the feed table, from an empty state, each stage published under the root; a dry run stops before any request."""
+    listed = registry.select(registry.load_registry(spark, args.sources), args.include_unverified, args.source)
+    if args.dry_run:
+        print(json.dumps({"sources": listed.count(), "dry_run": True}))
+        return
+    feed = tables.publish(_feed(spark, listed, args.transport).where("error is null"), f"{args.root}/feed_items")
+    pages = tables.publish(P.fetch_pages(ingest.entries(feed), args.page_transport).where("error is null").drop("error"), f"{args.root}/pages")
+    out = flow.run(listed, feed, pages, args.root, _now(args), config=config)
+    print(json.dumps({name: df.count() for name, df in out.items()}))
+
+
+def trim(spark, args, config):
     _write(S.trim_bodies(_read(spark, args.root, "articles"), _now(args), config), args.root, "articles", args.dry_run)
+
+
+def refresh_feed(spark, args, config):
     _write(S.feed(*(_read(spark, args.root, t) for t in ("stories", "pairs", "articles"))), args.root, "feed", args.dry_run)
 
 
 COMMANDS = {
     "verify-feeds": verify_feeds, "sync-sources": sync_sources, "ingest": ingest_feeds, "enrich": enrich_articles, "assign": assign_articles, "pairs": pair_stories, "merge": merge_stories,
-    "fix-text": fix_text, "recheck-stories": recheck_stories, "backfill-framing": backfill_framing, "run": run, "status": status,
+    "fix-text": fix_text, "recheck-stories": recheck_stories, "backfill-framing": backfill_framing, "run": run, "status": status, "trim": trim, "refresh-feed": refresh_feed,
 }
 
 
@@ -126,6 +145,8 @@ def parser() -> argparse.ArgumentParser:
         p.add_argument(name)
     for name in ("--limit", "--lookback-hours"):
         p.add_argument(name, type=int)
+    p.add_argument("--transport", default="plait.sources.feeds:fetch")
+    p.add_argument("--page-transport", default="plait.sources.feeds:open_url")
     p.add_argument("--days", type=int, default=7)
     p.add_argument("--dry-run", action="store_true")
     p.add_argument("--include-unverified", action="store_true")

@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Callable
-from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -20,25 +19,8 @@ from ..sources import pages as P, tables
 log = logging.getLogger("plait")
 
 
-@dataclass
-class State:
-    """The tables of a run."""
-
-    sources: DataFrame
-    articles: DataFrame
-    stories: DataFrame
-    pairs: DataFrame
-
-
-ARTICLE = (
-    "source_id string, outlet string, url string, canonical_url string, url_hash string, title string, headline string, subheadline string, body_text string, body_chars int, snippet string, "
-    "image_url string, authors array<string>, published_at timestamp, enrichment_status string, is_wire_copy boolean"
-)
-
-
-def ingest_stage(sources: DataFrame, feed: DataFrame, pages: DataFrame, known: DataFrame, now: Column, config: Config = Config()) -> DataFrame:
-    """New article rows from feed items and the pages fetched for them.  pages: link, final_url, html."""
-    wanted = ingest.prune(ingest.entries(feed), sources, known, now, config)
+def build_stage(wanted: DataFrame, sources: DataFrame, pages: DataFrame, now: Column, config: Config = Config()) -> DataFrame:
+    """Article rows of wanted entries from their pages (link, final_url, html)."""
     got = wanted.join(pages, "link").join(sources.select(F.col("id").alias("source_id"), "outlet"), "source_id")
     page = P.extract_pages(got.select("canonical_url", "html").dropDuplicates(["canonical_url"]), "canonical_url")
     entry = F.struct("title", "summary", "published_at", "image_url", "author").alias("entry")
@@ -47,18 +29,30 @@ def ingest_stage(sources: DataFrame, feed: DataFrame, pages: DataFrame, known: D
     return ingest.build_rows(fetched, now, config)
 
 
+def ingest_stage(sources: DataFrame, feed: DataFrame, pages: DataFrame, known: DataFrame, now: Column, config: Config = Config()) -> DataFrame:
+    """New article rows from feed items and the pages fetched for them."""
+    return build_stage(ingest.prune(ingest.entries(feed), sources, known, now, config), sources, pages, now, config)
+
+
+def new_rows(built: DataFrame, sources: DataFrame) -> DataFrame:
+    """The rows that were built, one for each canonical URL: of the source listed first, then of the earlier entry."""
+    position = sources.select(F.col("id").alias("source_id"), "position")
+    rows = built.where("outcome = 'row'").join(position, "source_id")
+    return with_identity(tables.first_wins(rows, ["canonical_url"], [F.col("position"), F.col("pos")]))
+
+
 def with_identity(rows: DataFrame) -> DataFrame:
     """A stable number for each article, from its canonical URL."""
     return rows.withColumn("id", F.xxhash64("canonical_url"))
 
 
-def assign_stage(enriched: DataFrame, sources: DataFrame, verifier: Callable | None = None, config: Config = Config()) -> DataFrame:
-    """Enriched articles with story, side and method, by the exact sequential pass."""
+def assign_stage(enriched: DataFrame, sources: DataFrame, now: Column, verifier: Callable | None = None, config: Config = Config()) -> DataFrame:
+    """Enriched articles with story, side, method and the time of the attempt, by the exact sequential pass."""
     lean = sources.select(F.col("id").alias("source_id"), F.col("leaning").alias("outlet_leaning"))
     rows = enriched.join(lean, "source_id", "left").withColumns({"block": F.lit("all"), "phase": F.lit(0), "split_from": F.lit(None).cast("string")})
     done = assign.assign_in_order(rows.where("enrichment_status = 'done'"), None, verifier, config)
     out = rows.drop("block", "phase").join(done.select("id", "method", "story_id", F.col("side").alias("__side")), "id", "left")
-    return out.withColumn("side", F.coalesce("__side", side_of(F.col("leaning_label"), F.col("leaning_conf"), F.col("outlet_leaning")))).drop("__side")
+    return out.withColumn("side", F.coalesce("__side", side_of(F.col("leaning_label"), F.col("leaning_conf"), F.col("outlet_leaning")))).drop("__side").withColumn("assigned_at", F.when(F.col("method").isNotNull(), now.cast("timestamp")))
 
 
 def story_table(articles: DataFrame) -> DataFrame:
@@ -77,12 +71,9 @@ def run(sources: DataFrame, feed: DataFrame, pages: DataFrame, root: str, now: C
     spark = sources.sparkSession
     known = spark.createDataFrame([], "canonical_url string")
     built = tables.publish(ingest_stage(sources, feed, pages, known, now, config), f"{root}/built")
-    position = sources.select(F.col("id").alias("source_id"), "position")
-    rows = built.where("outcome = 'row'").join(position, "source_id")
-    rows = with_identity(tables.first_wins(rows, ["canonical_url"], [F.col("position"), F.col("pos")]))
-    rows = rows.withColumn("wire_hint", F.col("is_wire_copy"))
+    rows = new_rows(built, sources).withColumn("wire_hint", F.col("is_wire_copy"))
     enriched = tables.publish(enrich.run(rows.where("enrichment_status = 'pending'"), make, config), f"{root}/enriched")
-    articles = tables.publish(assign_stage(enriched, sources, verifier, config), f"{root}/articles")
+    articles = tables.publish(assign_stage(enriched, sources, now, verifier, config), f"{root}/articles")
     stories = tables.publish(story_table(articles), f"{root}/stories")
     try:
         stories = tables.publish(S.close_stale(stories, now, config), f"{root}/stories_closed")

@@ -31,12 +31,12 @@ def clean_bytes(raw: bytes) -> bytes:
     return _BARE.sub(b"&amp;", _ILLEGAL.sub(b"", raw))
 
 
-def fetch(url: str, tries: int = 3, timeout: float = 20.0) -> bytes:
-    """The body at a URL.  429, 5xx and transport errors are tried again after growing pauses, other errors are final."""
+def open_url(url: str, tries: int = 3, timeout: float = 20.0) -> tuple[str, bytes]:
+    """(final URL, body) at a URL.  429, 5xx and transport errors are tried again after growing pauses, other errors are final."""
     for n in range(1, tries + 1):
         try:
             with urllib.request.urlopen(urllib.request.Request(url, headers={"User-Agent": "plait/1"}), timeout=timeout) as response:
-                return response.read()
+                return response.geturl(), response.read()
         except urllib.error.HTTPError as error:
             if n == tries or not (error.code == 429 or error.code >= 500):
                 raise
@@ -48,6 +48,16 @@ def fetch(url: str, tries: int = 3, timeout: float = 20.0) -> bytes:
     raise AssertionError
 
 
+def fetch(url: str) -> bytes:
+    return open_url(url)[1]
+
+
+def named(path: str) -> Callable:
+    """The function that ``package.module:function`` names."""
+    module, name = path.split(":")
+    return getattr(importlib.import_module(module), name)
+
+
 def _local(tag: str) -> str:
     return tag.rsplit("}", 1)[-1].lower()
 
@@ -118,8 +128,7 @@ class FeedReader(DataSourceReader):
         return [_Feed(f["source_id"], f["url"], list(f.get("alternates") or [])) for f in self.feeds]
 
     def read(self, partition: _Feed) -> Iterator[tuple]:
-        module, name = self.transport.split(":")
-        used, items, error = read_feed(partition.url, partition.alternates, getattr(importlib.import_module(module), name))
+        used, items, error = read_feed(partition.url, partition.alternates, named(self.transport))
         if error:
             yield (partition.source_id, None, None, None, [], None, None, None, None, [], [], [], None, error)
         pair = lambda xs: [(x["href"], x["type"]) for x in xs]

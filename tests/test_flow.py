@@ -36,6 +36,33 @@ def test_run(spark, tmp_path):
     assert out["stories"].count() == 6 and out["pairs"].count() == 0 and out["feed"].count() == 0
 
 
+def feed_bytes(url):
+    items = "".join(f"<item><title>Budget agreed {i}</title><link>https://{url.split('/')[2]}/{i}</link><pubDate>Fri, 02 Jan 2026 12:00:00 GMT</pubDate></item>" for i in range(3))
+    return f"<rss><channel>{items}</channel></rss>".encode()
+
+
+def page_bytes(url):
+    if url.endswith("/2"):
+        raise OSError("gone")
+    return url + "?utm_source=feed", page(int(url[-1])).encode()
+
+
+def test_cli_run(spark, tmp_path, capsys):
+    (tmp_path / "sources.yaml").write_text("".join(f"- {{id: s{i}, outlet: O{i}, feed_url: 'https://o{i}.example/feed', leaning: LEFT, verified: true}}\n" for i in range(2)))
+    common = ["--root", str(tmp_path / "t"), "--sources", str(tmp_path / "sources.yaml"), "--now", "2026-01-03T00:00:00+00:00", "--transport", "tests.test_flow:feed_bytes", "--page-transport", "tests.test_flow:page_bytes"]
+    assert cli.main(["run", "--dry-run", *common], spark) == 0
+    assert cli.main(["run", *common], spark) == 0
+    assert '"articles": 4' in capsys.readouterr().out
+    assert sorted(r["canonical_url"] for r in spark.read.parquet(str(tmp_path / "t" / "articles")).collect()) == [f"https://o{i}.example/{n}" for i in range(2) for n in range(2)]
+    assert cli.main(["ingest", *common], spark) == 0
+    assert cli.main(["status", "--root", str(tmp_path / "t")], spark) == 0
+    said = capsys.readouterr().out
+    assert "articles_done\t4" in said and "open_stories\t4" in said
+    assert cli.main(["pairs", "--dry-run", *common], spark) == 0 and '"dry_run": true' in capsys.readouterr().out
+    for command in ("fix-text", "trim", "refresh-feed"):
+        assert cli.main([command, "--dry-run", *common], spark) == 0
+
+
 def test_cli_status(spark, tmp_path, capsys):
     from tests.test_operators import T0
 
