@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from plait.llm import decontamination, jaccard_join, packing, rule_ensemble, secrets
-from plait.llm.common import fold, materialize
+from plait.llm.common import bounded_batches, fold, materialize
 from plait.llm.queries import table, tokenizer_path
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -21,16 +21,15 @@ def _numbered(docs: DataFrame) -> DataFrame:
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops what the classifier rejects.  The score is a column expression on the scanned row, so nothing is joined."""
+    """Drops what the classifier rejects.  The rows pass through the scan with all their columns, so nothing is joined."""
     model = rule_ensemble.fit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), where=fold("doc_id", 5) != 0)
-    rows = docs.select(F.struct(*COLUMNS).alias("__doc"), F.col("text"))
-    scored = rule_ensemble.score(rows, model, id_col="__doc")
-    return scored.where("predicted = 1").select("__doc.*")
+    return rule_ensemble.score(docs, model, tuple(COLUMNS)).where("predicted = 1").select(*COLUMNS)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each component, that of the least id, and one of fully equal rows.  A null id stands for a
     number of its own, above all ids, made of the row's values."""
+    bounded_batches(spark)
     own = F.xxhash64(*COLUMNS).bitwiseAND(F.lit((1 << 62) - 1)).bitwiseOR(F.lit(1 << 62))
     rows = docs.select(*COLUMNS).withColumn("__id", F.coalesce(F.col("doc_id").cast("long"), own))
     gone = jaccard_join.jaccard_components(rows, id_col="__id").where("n_shingles > 0 and component_id <> __id").select("__id").distinct()
@@ -46,6 +45,7 @@ def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def secret_spans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replaces every reported span by a mark of its kind; n_chars follows the text."""
+    bounded_batches(spark)
     spans = secrets.scan_secrets(docs).where(F.size("spans") > 0).select("row", "spans").dropDuplicates(["row"])
     joined = docs.select(*COLUMNS).withColumn("row", secrets.row_key("doc_id", "doc_id", "source", "text")).join(spans, "row", "left")
     out = secrets.redact_column(joined, "spans")
@@ -54,6 +54,7 @@ def secret_spans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packs what is left into sequences of at most 4096 tokens."""
+    bounded_batches(spark)
     return packing.pack(docs, tokenizer_path())
 
 

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from . import census
-from .common import materialize, parts_for, text_volume
+from .common import materialize, parts_for, release, text_volume
 from .components import components
 from .words import Words, mix, rolled, signed
 
@@ -92,7 +92,9 @@ def _surveyed(docs: DataFrame, s: Settings) -> DataFrame:
 
     def first(table: pa.Table) -> pa.Table:
         codes, counts = _distinct(shingle_sets(table.column("text"), s.shingle), keys)
-        return census.blobs(table.column("bucket")[0].as_py(), codes, counts, keys)
+        out = census.blobs(table.column("bucket")[0].as_py(), codes, counts, keys)
+        release()
+        return out
 
     def second(table: pa.Table, verdict: pa.Table) -> pa.Table:
         sets = shingle_sets(table.column("text"), s.shingle)
@@ -121,6 +123,7 @@ def _surveyed(docs: DataFrame, s: Settings) -> DataFrame:
         cols = list(zip(*rows))
         kinds = (pa.int64(), pa.binary(), pa.string(), pa.int32(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.binary(), pa.float64())
         names = ("n_shingles", "node", "text", "n", "grp", "tokens", "places", "near", "bits", "known")
+        release()
         return pa.table({"id": table.column("id")} | {name: pa.array(c, kind) for name, c, kind in zip(names, cols, kinds)})
 
     told = census.verdicts(dealt.groupBy("bucket").applyInArrow(first, census.BLOBS), keys)

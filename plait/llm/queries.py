@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import compression_bands as bands, decontamination, jaccard_join, language_id, packing, repeated_phrases, rule_ensemble, secrets, sharding, text_density
-from .common import fold, materialize
+from .common import bounded_batches, fold
 
 
 def tokenizer_path() -> str:
@@ -22,6 +22,7 @@ def tokenizer_path() -> str:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -108,9 +108,9 @@ def statistics(texts: pa.Array) -> list[np.ndarray]:
     ]
 
 
-def with_statistics(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def with_statistics(docs: DataFrame, carried: list[str], text_col: str) -> DataFrame:
     fields = ", ".join(f"{name} double" for name in STATISTICS)
-    return scan_texts(docs, [id_col], text_col, fields, lambda: lambda texts: [pa.array(x, pa.float64()) for x in statistics(texts)])
+    return scan_texts(docs, carried, text_col, fields, lambda: lambda texts: [pa.array(x, pa.float64()) for x in statistics(texts)])
 
 
 def _tree(x: np.ndarray, grad: np.ndarray, hess: np.ndarray, rows: np.ndarray, cuts: list[np.ndarray], depth: int, path: tuple, out: list, step: np.ndarray, s: Settings) -> None:
@@ -202,7 +202,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     rows = rows.withColumn("__h", F.xxhash64(F.lit(settings.seed), F.col("__id").cast("string")))
     picked = rows.where(F.pmod(F.shiftright("__h", 11), F.lit(1 << 50)) < F.lit(int(rate * (1 << 50)))).orderBy("__h", "__id").limit(settings.max_rows)
     texts = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text")).join(F.broadcast(picked.select("__id", "__y")), "__id")
-    found = with_statistics(texts.select(F.struct("__id", "__y").alias("__key"), "__text"), "__key", "__text")
+    found = with_statistics(texts.select(F.struct("__id", "__y").alias("__key"), "__text"), ["__key"], "__text")
     table = found.select(F.col("__key.__id").alias("__id"), F.col("__key.__y").alias("__y"), *STATISTICS).dropDuplicates(["__id"]).orderBy("__id").toArrow()
     if not table.num_rows:
         return fit_rules(np.zeros((0, len(STATISTICS))), np.zeros(0), settings)
@@ -210,7 +210,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     return fit_rules(values, table.column("__y").to_numpy(), settings)
 
 
-def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", settings: Settings = Settings()) -> DataFrame:
-    """Per document score and predicted (1 if score >= threshold); one pass without shuffle."""
-    out = with_statistics(docs, id_col, text_col).select(id_col, model.score().alias("score"))
+def score(docs: DataFrame, model: Model, carried: tuple[str, ...] = ("doc_id",), text_col: str = "text", settings: Settings = Settings()) -> DataFrame:
+    """Per document the carried columns, score and predicted (1 if score >= threshold); one pass without shuffle."""
+    out = with_statistics(docs, list(carried), text_col).select(*carried, model.score().alias("score"))
     return out.withColumn("predicted", (F.col("score") >= settings.threshold).cast("int"))
