@@ -36,11 +36,13 @@ def candidates(articles: DataFrame, current: DataFrame | None = None, near: str
 def best(articles: DataFrame, current: DataFrame | None = None, near: str = "ratio", config: Config = Config()) -> DataFrame:
     """Per story the pair of the highest score; ties go to the least ids.
 
-    With ``ratio`` the members meet in blocks (pair_blocks.py), so that headlines are compared only from the top down.  With ``title`` it is
-    a join and one partial aggregate, all native.
+    The members meet in blocks (pair_blocks.py): pairs are no rows, and headlines are compared only from the top down.
     """
-    if near == "ratio":
-        return pair_blocks.best(articles, current, near, config)
+    return pair_blocks.best(articles, current, near, config)
+
+
+def best_by_join(articles: DataFrame, current: DataFrame | None = None, near: str = "ratio", config: Config = Config()) -> DataFrame:
+    """The same by a join and one partial aggregate: the plain definition, for small tables and for tests."""
     scored = candidates(articles, current, near, config)
     top = scored.groupBy("story_id").agg(F.min(F.struct((-F.col("score")).alias("s"), F.col("l.id").alias("l"), F.col("r.id").alias("r"), "kind", F.greatest("l.published_at", "r.published_at").alias("at"))).alias("b"))
     return top.select("story_id", F.col("b.l").alias("left_article_id"), F.col("b.r").alias("right_article_id"), F.col("b.kind").alias("pair_kind"), (-F.col("b.s")).alias("divergence_score"), F.col("b.at").alias("featured_at"))
