@@ -1,10 +1,9 @@
-"""Vectors as arrays of doubles: norm, cosine, text form, and the centroid that follows articles in order."""
+"""Vectors as arrays of doubles: norm, product, text form, and the centroid that follows articles in order."""
 
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import Column, functions as F, types as T
+from pyspark.sql import Column, functions as F
 
 
 def doubles(v: Column) -> Column:
@@ -34,24 +33,9 @@ def from_text(text: Column) -> Column:
     return F.from_json(text, "array<double>")
 
 
-@F.pandas_udf(T.ArrayType(T.DoubleType()))
-def folded_centroid(vectors: pd.Series) -> pd.Series:
-    """The centroid after all vectors of an ordered array: each step weighs the unit centroid by the number so far, adds
-    the vector and brings the sum to length 1 again.  Not the mean: the order matters."""
-
-    def fold(held) -> np.ndarray | None:
-        if held is None or not len(held):
-            return None
-        c = np.zeros(0)
-        for n, v in enumerate(held):
-            v = np.asarray(v, float)
-            c = v if n == 0 else (c * n + v) / (n + 1)
-            c = c / (np.sqrt((c * c).sum()) or 1.0)
-        return c
-
-    return vectors.map(fold)
-
-
-def mean_centroid(vectors: Column, dims: int) -> list[Column]:
-    """Per-dimension averages, for grouped aggregation."""
-    return [F.avg(F.element_at(vectors, i + 1)).alias(f"m{i}") for i in range(dims)]
+def follow(centroid: np.ndarray | None, n: int, vector) -> np.ndarray:
+    """The unit centroid of ``n`` vectors after one more: weighed by n, added, brought to length 1 again.  Not the mean: the order
+    matters.  A zero vector stays zero."""
+    v = np.asarray(vector, float)
+    c = v if centroid is None or n <= 0 else (centroid * n + v) / (n + 1)
+    return c / (np.sqrt((c * c).sum()) or 1.0)

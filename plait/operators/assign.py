@@ -8,6 +8,7 @@ independent blocks (say, categories) proceed in parallel.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -17,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..config import Config
 from ..functions.scoring import SIDES, CREATING_TYPES, can_create, candidate_score, date_compatible, entity_jaccard, verify_reason, zone
 from ..functions.text import first_sentence_title
+from ..functions.vectors import follow
 from . import retrieval
 
 RULE = "plait-1"
@@ -74,17 +76,38 @@ class Story:
     article_count: int = 0
     sides: dict = field(default_factory=lambda: {"left": 0, "right": 0, "center": 0})
     status: str = "open"
-
-
-def _round(x: float, places: int) -> float:
-    return round(float(x), places)
+    slot: int = -1
 
 
 class Sequence:
-    """The sequential pass over one block: open stories in, assignments and stories out."""
+    """The sequential pass over one block: open stories in, assignments and stories out.
 
-    def __init__(self, config: Config, verifier=None):
-        self.config, self.verifier, self.stories = config, verifier, {}
+    Centroids are the rows of one matrix, so that retrieval is a matrix product however many stories are open.
+    """
+
+    def __init__(self, config: Config, verifier=None, stories: list[Story] = ()):
+        self.config, self.verifier = config, verifier
+        self.stories: dict[str, Story] = {}
+        self.list: list[Story] = []
+        self.matrix, self.seen = np.zeros((0, 0)), np.zeros(0, np.int64)
+        for s in stories:
+            self.add(s)
+
+    def add(self, story: Story) -> None:
+        n = len(self.list)
+        if n == len(self.seen):
+            grown, seen = np.zeros((max(64, 2 * n), len(story.centroid))), np.zeros(max(64, 2 * n), np.int64)
+            if n:
+                grown[:n], seen[:n] = self.matrix, self.seen
+            self.matrix, self.seen = grown, seen
+        story.slot = n
+        self.list.append(story)
+        self.stories[story.id] = story
+        self.refresh(story)
+
+    def refresh(self, story: Story) -> None:
+        self.matrix[story.slot] = story.centroid
+        self.seen[story.slot] = story.last_seen.value if story.status == "open" else np.iinfo(np.int64).min
 
     @staticmethod
     def side(article) -> str | None:
@@ -92,23 +115,32 @@ class Sequence:
             return article.leaning_label.lower()
         return SIDES.get(article.outlet_leaning or "")
 
+    def nearest(self, vector: np.ndarray, since: pd.Timestamp) -> list[tuple[float, Story]]:
+        """The k most similar stories seen since then; ties go to the least id."""
+        n, k = len(self.list), self.config.candidates
+        rows = np.flatnonzero(self.seen[:n] >= since.value)
+        if not len(rows):
+            return []
+        sims = self.matrix[rows] @ vector
+        if len(rows) > k:
+            kept = sims >= np.partition(sims, -k)[-k]
+            rows, sims = rows[kept], sims[kept]
+        found = sorted(zip((-sims).tolist(), [self.list[i].id for i in rows.tolist()]))[:k]
+        return [(-s, self.stories[i]) for s, i in found]
+
     def candidates(self, article, vector: np.ndarray, parent) -> list[tuple[float, float, Story]]:
+        """(score, similarity, story) of the retrieved stories that fit the event date, best first; the split-off parent is out."""
         c = self.config
-        since = article.published_at - pd.Timedelta(hours=c.candidate_window_hours)
-        seen = [s for s in self.stories.values() if s.status == "open" and s.last_seen >= since]
-        sims = sorted(((-float(s.centroid @ vector), s.id, s) for s in seen), key=lambda x: x[:2])[: c.candidates]
         names = {e.lower() for e in article.key_entities}
         out = []
-        for minus, _, s in sims:
-            if s.id == parent:
-                continue
-            known = article.event_date is not None and s.event_date is not None
-            if known and abs((article.event_date - s.event_date).days) > c.event_date_max_gap_days:
+        for sim, s in self.nearest(vector, article.published_at - pd.Timedelta(hours=c.candidate_window_hours)):
+            dated = article.event_date is not None and s.event_date is not None
+            if s.id == parent or (dated and abs((article.event_date - s.event_date).days) > c.event_date_max_gap_days):
                 continue
             theirs = {e.lower() for e in s.entities}
             shared = len(names & theirs) / len(names | theirs) if names and theirs else 0.0
             days = abs((article.published_at - s.last_seen).total_seconds()) / 86400
-            out.append((_round(-minus + 0.05 * shared - 0.02 * days, 4), -minus, s))
+            out.append((round(sim + 0.05 * shared - 0.02 * days, 4), sim, s))
         return sorted(out, key=lambda x: -x[0])
 
     def reason(self, article, s: Story) -> str | None:
@@ -148,16 +180,16 @@ class Sequence:
             chosen, method = self.verify(article, found, False), "verifier"
         if chosen is not None:
             n = chosen.article_count
-            merged = (chosen.centroid * n + vector) / (n + 1)
-            chosen.centroid = merged / (np.sqrt((merged * merged).sum()) or 1.0)
+            chosen.centroid = follow(chosen.centroid, n, vector)
             chosen.entities = list(dict.fromkeys([*chosen.entities, *article.key_entities]))[:24]
             chosen.first_seen, chosen.last_seen = min(chosen.first_seen, article.published_at), max(chosen.last_seen, article.published_at)
             chosen.event_date = chosen.event_date if chosen.event_date is not None else article.event_date
+            self.refresh(chosen)
         elif article.article_type in CREATING_TYPES and not article.is_wire_copy:
             summary = article.event_summary or article.title
             name = "s" + hashlib.sha1(str(article.id).encode()).hexdigest()[:16]
-            chosen, method = Story(name, summary, first_sentence_title(summary), article.category, article.event_date, article.published_at, article.published_at, vector / (np.sqrt((vector * vector).sum()) or 1.0), list(article.key_entities)[:24]), "create"
-            self.stories[name] = chosen
+            chosen, method = Story(name, summary, first_sentence_title(summary), article.category, article.event_date, article.published_at, article.published_at, follow(None, 0, vector), list(article.key_entities)[:24]), "create"
+            self.add(chosen)
         else:
             return "orphan", None, side, best
         chosen.article_count += 1
@@ -177,23 +209,46 @@ def assign_in_order(articles: DataFrame, stories: DataFrame | None = None, verif
     verifier: a picklable function of (article, stories shown), or None: strong matches attach, weak ones do not.
     """
 
-    def fold(part: pd.DataFrame, known: pd.DataFrame | None = None) -> pd.DataFrame:
-        run, rows = Sequence(config, verifier), []
-        for s in known.itertuples(index=False) if known is not None else ():
-            run.stories[s.id] = Story(s.id, s.summary, s.title, s.category, _none(s.event_date), s.first_seen, s.last_seen, np.asarray(s.centroid, float), list(s.key_entities), int(s.article_count), {"left": int(s.left_count), "right": int(s.right_count), "center": int(s.center_count)}, s.status)
-        part = part.sort_values(["phase", "published_at", "id"])
+    columns = ["id", "block", "phase", "published_at", "event_date", "key_entities", "article_type", "is_wire_copy", "leaning_label", "leaning_conf", "outlet_leaning", "split_from", "category", "title", "event_summary", "vector"]
+    rows = articles.select(*columns)
+
+    def steps(run: Sequence, part: pd.DataFrame) -> Iterator[tuple]:
         for a in part.itertuples(index=False):
-            a = a._replace(event_date=_none(a.event_date), key_entities=list(a.key_entities) if a.key_entities is not None else [], split_from=_none(a.split_from), leaning_conf=_none(a.leaning_conf))
+            a = cleaned(a)
             method, story, side, score = run.step(a)
-            rows.append((a.id, a.block, method, story, side, score, run.stories[story].article_count if story else None))
-        out = pd.DataFrame(rows, columns=["id", "block", "method", "story_id", "side", "score", "story_size"])
-        return out.astype({"story_size": "Int32"})
+            yield a.id, a.block, method, story, side, score, run.stories[story].article_count if story else None
+
+    def frame(found: list[tuple]) -> pd.DataFrame:
+        return pd.DataFrame(found, columns=["id", "block", "method", "story_id", "side", "score", "story_size"]).astype({"story_size": "Int32"})
 
-    columns = ["id", "block", "phase", "published_at", "event_date", "key_entities", "article_type", "is_wire_copy", "leaning_label", "leaning_conf", "outlet_leaning", "split_from", "category", "title", "event_summary", "vector"]
-    rows = articles.select(*columns)
     if stories is None:
-        return rows.groupBy("block").applyInPandas(lambda part: fold(part), ASSIGNED)
-    return rows.groupBy("block").cogroup(stories.groupBy("block")).applyInPandas(lambda part, known: fold(part, known), ASSIGNED)
+        # a block's articles stream through one task in order; only its stories are held
+
+        def stream(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            block, run = None, None
+            for part in batches:
+                out = []
+                for own, some in part.groupby("block", sort=False, dropna=False):
+                    if run is None or own != block:
+                        block, run = own, Sequence(config, verifier)
+                    out += steps(run, some)
+                yield frame(out)
+
+        return rows.repartition("block").sortWithinPartitions("block", "phase", "published_at", "id").mapInPandas(stream, ASSIGNED)
+
+    def fold(part: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
+        held = [
+            Story(s.id, s.summary, s.title, s.category, _none(s.event_date), s.first_seen, s.last_seen, np.asarray(s.centroid, float), list(s.key_entities), int(s.article_count), {"left": int(s.left_count), "right": int(s.right_count), "center": int(s.center_count)}, s.status)
+            for s in known.itertuples(index=False)
+        ]
+        return frame(list(steps(Sequence(config, verifier, held), part.sort_values(["phase", "published_at", "id"]))))
+
+    return rows.groupBy("block").cogroup(stories.groupBy("block")).applyInPandas(fold, ASSIGNED)
+
+
+def cleaned(a):
+    """A row of a frame with nulls as None and lists as lists."""
+    return a._replace(event_date=_none(a.event_date), key_entities=list(a.key_entities) if a.key_entities is not None else [], split_from=_none(a.split_from), leaning_conf=_none(a.leaning_conf))
 
 
 def _none(x):

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..config import Config
 from ..functions.scoring import CREATING_TYPES, ordered_union
-from ..functions.vectors import folded_centroid
+from ..functions.vectors import follow
 
 
 def counters(side: Column) -> list[Column]:
@@ -30,7 +33,8 @@ def rollup(articles: DataFrame) -> DataFrame:
     )
     names = articles.select("story_id", "published_at", "id", F.posexplode("key_entities").alias("pos", "name"))
     first = names.groupBy("story_id", "name").agg(F.min(F.struct("published_at", "id", "pos")).alias("at"))
-    listed = first.groupBy("story_id").agg(F.slice(F.transform(F.array_sort(F.collect_list(F.struct("at", "name"))), lambda x: x["name"]), 1, 24).alias("key_entities"))
+    kept = first.withColumn("n", F.row_number().over(Window.partitionBy("story_id").orderBy("at", "name"))).where("n <= 24")
+    listed = kept.groupBy("story_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("n", "name"))), lambda x: x["name"]).alias("key_entities"))
     return base.join(listed, "story_id", "left")
 
 
@@ -49,11 +53,29 @@ def founders(articles: DataFrame) -> DataFrame:
 def centroids(articles: DataFrame) -> DataFrame:
     """Per story the centroid that follows its articles in order of publication.
 
-    The fold is not associative, so a story's vectors meet in one task; a story is one development and closes after some days, which
-    bounds it.  For unbounded groups use mean_centroids.
+    The fold is not associative, so a story's articles pass one task in order; they stream through it, sorted by Spark (which spills), and
+    only the centroid so far is held.
     """
-    held = F.array_sort(F.collect_list(F.struct("published_at", "id", "vector")))
-    return articles.groupBy("story_id").agg(F.transform(held, lambda x: x["vector"]).alias("vs")).select("story_id", folded_centroid("vs").alias("centroid"))
+    rows = articles.select("story_id", "published_at", "id", F.col("vector").cast("array<double>").alias("vector")).where("story_id is not null and vector is not null")
+    kind = rows.schema["story_id"].dataType.simpleString()
+
+    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        story, centroid, n = None, None, 0
+        for part in batches:
+            done = []
+            for own, vector in zip(part["story_id"], part["vector"]):
+                if own != story:
+                    if n:
+                        done.append((story, centroid))
+                    story, centroid, n = own, None, 0
+                centroid = follow(centroid, n, vector)
+                n += 1
+            yield pd.DataFrame(done, columns=["story_id", "centroid"])
+        if n:
+            yield pd.DataFrame([(story, centroid)], columns=["story_id", "centroid"])
+
+    dealt = rows.repartition("story_id").sortWithinPartitions("story_id", "published_at", "id").drop("published_at", "id")
+    return dealt.mapInPandas(fold, f"story_id {kind}, centroid array<double>")
 
 
 def mean_centroids(articles: DataFrame, dims: int) -> DataFrame:

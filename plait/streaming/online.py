@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..config import Config
-from ..operators.assign import Sequence, Story, _none
+from ..operators.assign import Sequence, Story, cleaned
 
 OUTPUT = "id long, block string, method string, story_id string, side string, score double"
 
@@ -30,11 +30,11 @@ def _dump(stories: dict[str, Story]) -> str:
     return json.dumps(rows)
 
 
-def _load(text: str) -> dict[str, Story]:
-    out = {}
+def _load(text: str) -> list[Story]:
+    out = []
     for r in json.loads(text):
         day = None if r["event_date"] is None else pd.Timestamp(r["event_date"]).date()
-        out[r["id"]] = Story(r["id"], r["summary"], r["title"], r["category"], day, pd.Timestamp(r["first_seen"]), pd.Timestamp(r["last_seen"]), np.array(r["centroid"]), r["entities"], r["article_count"], r["sides"])
+        out.append(Story(r["id"], r["summary"], r["title"], r["category"], day, pd.Timestamp(r["first_seen"]), pd.Timestamp(r["last_seen"]), np.array(r["centroid"]), r["entities"], r["article_count"], r["sides"]))
     return out
 
 
@@ -42,13 +42,11 @@ def assign_stream(articles: DataFrame, config: Config = Config(), verifier=None,
     """A streaming frame of assignments from a streaming frame of articles (columns as of assign_in_order, published_at a timestamp)."""
 
     def fold(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        run = Sequence(config, verifier)
-        if state.exists:
-            run.stories = _load(state.get[0])
+        run = Sequence(config, verifier, _load(state.get[0]) if state.exists else [])
         part = pd.concat(list(batches)).sort_values(["phase", "published_at", "id"])
         rows = []
         for a in part.itertuples(index=False):
-            a = a._replace(event_date=_none(a.event_date), key_entities=list(a.key_entities) if a.key_entities is not None else [], split_from=_none(a.split_from), leaning_conf=_none(a.leaning_conf))
+            a = cleaned(a)
             method, story, side, score = run.step(a)
             rows.append((a.id, key[0], method, story, side, score))
         newest = part["published_at"].max()
