@@ -136,3 +136,39 @@ def test_pairs_by_blocks_equal_the_join(spark):
         want = listed(pairs.best_by_join(rows, now, near="title"))
         assert want and listed(pair_blocks.best(rows, now, near="title")) == want and listed(pair_blocks.best(rows, now, near="title", block=3, buckets=2)) == want
     assert listed(pairs.best(rows)) == listed(pairs.best_by_join(rows))
+
+
+def test_nearest_equals_a_plain_search():
+    import numpy as np
+    import pandas as pd
+
+    rng = np.random.default_rng(4)
+    run = assign.Sequence(Config(candidates=5))
+    for n in range(150):
+        v = rng.integers(-2, 3, 4).astype(float)  # many ties
+        run.add(assign.Story(f"s{rng.integers(0, 10**9)}", "", "", None, None, None, pd.Timestamp(T0) + pd.Timedelta(hours=int(rng.integers(0, 100))), v, [], status="open" if n % 7 else "closed"))
+        q, since = rng.integers(-2, 3, 4).astype(float), pd.Timestamp(T0) + pd.Timedelta(hours=int(rng.integers(0, 100)))
+        plain = sorted((-float(s.centroid @ q), s.id) for s in run.list if s.status == "open" and s.last_seen >= since)[:5]
+        assert [(-sim, s.id) for sim, s in run.nearest(q, since)] == plain
+
+
+def test_sequential_pass_from_given_stories(spark):
+    given = spark.createDataFrame([("s1", "all", "Sum", "T", "politics", date(2026, 1, 1), T0, T0 + timedelta(hours=1), [1.0, 0.0], ["Ann Lee"], 3, 2, 1, 0, "open"), ("s2", "all", "Sum", "T", "politics", None, T0, T0, [0.0, 1.0], [], 1, 0, 1, 0, "closed")], "id string, block string, summary string, title string, category string, event_date date, first_seen timestamp, last_seen timestamp, centroid array<double>, key_entities array<string>, article_count int, left_count int, right_count int, center_count int, status string")
+    rows = [article(1, [1.0, 0.0]), article(2, [0.0, 1.0])]
+    df = spark.createDataFrame([tuple(r[c.split()[0]] for c in SCHEMA.split(", ")) for r in rows], SCHEMA)
+    got = {r["id"]: r for r in assign.assign_in_order(df, given).collect()}
+    assert got[1]["story_id"] == "s1" and got[1]["story_size"] == 4 and got[2]["method"] == "create"
+
+
+def test_order_of_input_does_not_matter(spark):
+    import random
+
+    rows = [article(n, [1.0, 0.03 * n, 0.0] if n % 3 else [0.0, 0.1 * n, 1.0], hours=n, block=f"b{n % 2}", kind="opinion" if n % 5 == 0 else "news") for n in range(1, 40)]
+    base = {k: tuple(v) for k, v in assigned(spark, rows).items()}
+    random.Random(1).shuffle(rows)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        assert {k: tuple(v) for k, v in assigned(spark, rows).items()} == base
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert len({v[3] for v in base.values()}) > 2
