@@ -12,11 +12,19 @@ from pyspark.sql import DataFrame, functions as F
 from .common import materialize
 
 
+def _settled(edges: DataFrame) -> bool:
+    """True if every node points at one root and no root points anywhere: two aggregates, no further step."""
+    roots = edges.select(F.col("v").alias("u")).distinct()
+    return edges.join(roots, "u", "left_semi").isEmpty() and edges.groupBy("u").count().where("count > 1").isEmpty()
+
+
 def components(edges: DataFrame, name: str = "components", rounds: int = 60) -> DataFrame:
     """(node, root) for every node with an edge; root is the smallest node of its component."""
     now = materialize(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), name)
-    state = None
     for _ in range(rounds):
+        if _settled(now):
+            roots = now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
+            return now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots)
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m"))
         low = low.withColumn("m", F.least("m", "u"))
@@ -25,11 +33,4 @@ def components(edges: DataFrame, name: str = "components", rounds: int = 60) ->
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.explode(F.array(F.struct(F.col("u").alias("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
         now = materialize(small.select("e.u", "e.v").where("u <> v").distinct(), name)
-        seen = now.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("s")).first()
-        if tuple(seen) == state:
-            break
-        state = tuple(seen)
-    else:
-        raise RuntimeError("components did not settle")
-    roots = now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
-    return now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots)
+    raise RuntimeError("components did not settle")

@@ -224,10 +224,12 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     pairs = near.join(heads, "key").where("node <> head").select(F.least("head", "node").alias("a"), F.greatest("head", "node").alias("b")).distinct()
     links = materialize(_linked(pairs, nodes, s), "links")
     comp = components(links, "first")
-    more = materialize(_linked(materialize(_rest(nodes, comp, s), "pairs"), nodes, s), "more")
-    final = components(links.unionByName(more), "final")
+    more = _linked(materialize(_rest(nodes, comp, s), "pairs"), nodes, s)
+    at = lambda c: comp.select(F.col("node").alias(c), F.col("root").alias(f"r{c}"))
+    bridges = more.join(at("a"), "a", "left").join(at("b"), "b", "left").select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b"))
+    above = components(bridges, "final").toDF("root", "top")  # of the components' roots
     named = rows.where("node is not null").groupBy("node").agg(F.min("id").alias("least"))
-    roots = named.join(final, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    roots = named.join(comp, "node", "left").withColumn("root", F.coalesce("root", "node")).join(above, "root", "left").withColumn("root", F.coalesce("top", "root")).drop("top")
     names = roots.groupBy("root").agg(F.min("least").alias("component_id"))
     by_node = materialize(roots.select("node", "root").join(names, "root").select("node", "component_id"), "names")
     out = rows.select("id", "n_shingles", "node").join(by_node, "node", "left")
