@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..config import Config
 from ..functions import scoring as S, text as X, times as M, vectors as V
+from ..functions.predicates import scan
 from ..functions.urls import TRACKING_NAMES, TRACKING_PREFIXES, canonical_url, url_hash
 from ..operators import enrich, ingest
 from ..sources import pages as P, registry as R, tables as T
@@ -105,6 +106,12 @@ def head_limit_then_dedup(spark, d):
     return T.first_wins(T.head_limit(rows, ["source"], [F.col("doc_id")], 40), ["source", "key"], [F.col("doc_id")])
 
 
+@query("SELECT event_id, ts, value FROM events WHERE event_type IN ('view', 'click') AND value >= 20 AND user_id > 5 AND json_extract_string(props, '$.k') = '26' AND ts IS NOT NULL ORDER BY ts DESC, event_id LIMIT 200 OFFSET 3")
+def table_scan(spark, d):
+    filters = {"event_type": "in.(view,click)", "value": "gte.20", "user_id": "gt.5", "props->>k": "eq.26", "ts": "not.is.null"}
+    return scan(table(spark, d, "events"), "event_id, ts, value", "ts.desc,event_id.asc", 200, 3, **filters)
+
+
 _STAMPS = "SELECT event_id, CASE WHEN event_id % 13 <> 0 THEN ts END AS page, CASE WHEN event_id % 7 <> 0 THEN ts + to_minutes(CAST(floor(value * 60) AS BIGINT)) END AS feed FROM events"
 
 

@@ -98,5 +98,11 @@ def write_tsv(df: DataFrame, path: str, order: list[str]) -> None:
     df.orderBy(*order).coalesce(1).write.mode("overwrite").option("sep", "\t").option("header", True).csv(path)
 
 
+def register_views(spark: SparkSession, root: str, names: list[str]) -> None:
+    """Published tables as temporary views, for queries in SQL."""
+    for name in names:
+        spark.read.parquet(f"{root}/{name}").createOrReplaceTempView(name)
+
+
 def read_parquet(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{root}/{name}.parquet")

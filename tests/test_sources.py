@@ -84,3 +84,20 @@ def test_scrub(spark):
     rows = spark.range(1).select(F.array(F.struct(F.concat(F.lit("a"), F.lit("\0")).alias("s"), F.lit(1).alias("n"))).alias("x"), F.create_map(F.concat(F.lit("k"), F.lit("\0")), F.lit("v")).alias("m"), F.lit(None).cast("string").alias("z"))
     got = tables.scrub_nul(rows).first()
     assert got["x"][0]["s"] == "a" and got["m"] == {"k": "v"} and got["z"] is None
+
+
+def test_scan_filters(spark):
+    from plait.functions.predicates import predicate, scan
+
+    df = spark.range(1).select(F.explode(F.array(*[F.struct(F.lit(i).alias("n"), F.lit(s).cast("string").alias("s"), F.struct(F.lit(m).alias("method")).alias("a"), F.lit(i % 2 == 0).alias("b")) for i, s, m in ((1, "x", "orphan"), (2, None, "create"), (3, "y,z", "orphan"))])).alias("r")).select("r.*")
+    ids = lambda **f: [r["n"] for r in scan(df, order="n.asc", **f).collect()]
+    assert ids(s="is.null") == [2] and ids(s="not.is.null") == [1, 3] and ids(n="gte.2") == [2, 3] and ids(n="lt.2") == [1] and ids(s='in.(x,"y,z")') == [1, 3]
+    assert ids(**{"a->>method": "eq.orphan"}, n="neq.1") == [3] and ids(b="is.true") == [2] and [r["n"] for r in scan(df, "n", "n.desc", 1, 1).collect()] == [2]
+    with pytest.raises(ValueError):
+        predicate(df, "n", "like.x")
+
+
+def test_views(spark, tmp_path):
+    spark.createDataFrame([(1,), (2,)], "k int").write.parquet(str(tmp_path / "t"))
+    tables.register_views(spark, str(tmp_path), ["t"])
+    assert spark.sql("SELECT sum(k) AS s FROM t GROUP BY ROLLUP(k) ORDER BY s DESC LIMIT 1").first()["s"] == 3
