@@ -4,7 +4,7 @@ Texts are lower-cased first.  A learned prior (the language's share of the train
 naive Bayes classifier whose likelihood is exp(-bytes / temperature).
 
 ``fit`` reads a bounded sample: at most ``max_texts`` texts a language, chosen by a seeded hash of the id, of which
-up to ``piece`` bytes each go into a dictionary of at most ``dict_bytes``.  ``predict`` encodes every whole text, in
+a piece of up to ``piece`` characters each, at a place that the hash draws, goes into a dictionary of at most ``dict_bytes``.  ``predict`` encodes every whole text, in
 chunks of ``chunk`` bytes so that long texts keep depending on the dictionary, once with each dictionary, and sums the
 sizes.  A narrow margin between the two smallest sizes marks a prediction as rejected.
 
@@ -54,7 +54,8 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     picked = (
         rows.select(F.col(lang_col).cast("string").alias("lang"), key.alias("key"), F.col(text_col).cast("string").alias("text"))
         .where((F.pmod(F.shiftright("key", 11), F.lit(1 << 50)) / float(1 << 50) < rates[F.col("lang")]) & F.col("text").rlike(r"\p{L}"))
-        .withColumn("text", F.substring("text", 1, settings.piece))  # of training texts only
+        .withColumn("at", F.pmod("key", F.greatest(F.length("text") - settings.piece, F.lit(0)) + 1).cast("int") + 1)
+        .withColumn("text", F.substring("text", F.col("at"), F.lit(settings.piece)))
         .withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("key", "text")))
         .where(F.col("rank") <= settings.max_texts)
         .select("lang", "rank", "text")
