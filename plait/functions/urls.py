@@ -42,7 +42,7 @@ def canonical_url(url: Column) -> Column:
     path = F.when((F.length(path) > 1) & path.endswith("/"), F.substring(path, 1, F.length(path) - 1)).otherwise(path)
     path = F.when(path.startswith("/"), path).otherwise(F.concat(F.lit("/"), path))
     pairs = F.transform(
-        F.filter(F.split(F.regexp_extract(text, _PARTS, 3), "&"), lambda p: p.contains("=") & ~p.endswith("=") | p.rlike("=.*[^=]|==")),
+        F.filter(F.split(F.regexp_extract(text, _PARTS, 3), "&"), lambda p: p.rlike("(?s)=.")),
         lambda p: F.struct(_decoded(F.substring_index(p, "=", 1)).alias("k"), _decoded(F.substring(p, F.instr(p, "=") + 1, F.length(p))).alias("v")),
     )
 

@@ -22,6 +22,7 @@ def one(spark, column, **values):
     ("https://site.example:8080/x/?q=", "https://site.example:8080/x"),
     ("https://user@site.example/x?A=b+c&z=%7E*", "https://user@site.example/x?A=b+c&z=~%2A"),
     ("  https://site.example/x?ref=home&fbclid=1  ", "https://site.example/x"),
+    ("https://site.example/x?a&b=&c==&=d", "https://site.example/x?=d&c=%3D"),
 ])
 def test_canonical_url(spark, url, want):
     assert one(spark, canonical_url(F.col("u")), u=url) == want
