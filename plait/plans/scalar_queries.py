@@ -178,12 +178,34 @@ def nul_scrub(spark, d):
     return T.scrub_nul(rows)
 
 
-@query()
+_FLAT = "f AS (SELECT doc_id, trim(regexp_replace(text, '\\s+', ' ', 'g')) AS flat FROM documents)"
+
+
+@query(
+    f"""WITH {_FLAT},
+s AS (
+  SELECT doc_id, list_filter(list_transform(regexp_extract_all(flat, '.+?(?:[.!?]+(?:\\s|$)|$)'), lambda x: trim(x)), lambda x: x <> '') AS p FROM f WHERE length(flat) >= 40),
+e AS (SELECT *, list_transform(range(1, len(p) + 1), lambda i: list_sum(list_transform(p[1:i], lambda x: length(x) + 1))) AS ends FROM s),
+j AS (
+  SELECT doc_id, array_to_string(p[1:greatest(1, least(len(list_filter(ends, lambda x: x < 400)) + 1, len(list_filter(ends, lambda x: x <= 520))))], ' ') AS t FROM e)
+SELECT doc_id, CASE WHEN length(t) <= 520 THEN t ELSE rtrim(left(t, 517)) || '...' END AS snippet FROM j UNION ALL SELECT doc_id, NULL FROM f WHERE length(flat) < 40"""
+)
 def snippets(spark, d):
     return table(spark, d, "documents").select("doc_id", X.snippet("text").alias("snippet"))
 
 
-@query()
+_ABBREVIATED = ", ".join(f"'{w}'" for w in X.ABBREVIATIONS)
+
+
+@query(
+    f"""WITH {_FLAT},
+p AS (SELECT doc_id, flat, string_split(flat, '. ') AS p FROM f),
+n AS (SELECT *, list_transform(p, lambda x: length(x)) AS n, list_transform(p, lambda x: lower(regexp_extract(x, '[^ ]*$'))) AS w FROM p),
+k AS (
+  SELECT doc_id, flat, p, list_filter(range(1, len(p)), lambda i: list_sum(n[1:i]) + 2 * (i - 1) >= 20 AND regexp_matches(p[i + 1], '^[A-Z0-9]') AND length(w[i]) <> 1 AND w[i] NOT IN ({_ABBREVIATED})) AS stops FROM n),
+t AS (SELECT doc_id, CASE WHEN len(stops) > 0 THEN array_to_string(p[1:stops[1]], '. ') ELSE flat END AS t FROM k)
+SELECT doc_id, CASE WHEN length(t) <= 120 THEN t ELSE rtrim(regexp_replace(left(t, 120), ' [^ ]*$', ''), ',;:') || '…' END AS title FROM t"""
+)
 def placeholder_titles(spark, d):
     return table(spark, d, "documents").select("doc_id", X.placeholder_title("text").alias("title"))
 
