@@ -136,6 +136,7 @@ def test_pairs_by_blocks_equal_the_join(spark):
         want = listed(pairs.best_by_join(rows, now, near="title"))
         assert want and listed(pair_blocks.best(rows, now, near="title")) == want and listed(pair_blocks.best(rows, now, near="title", block=3, buckets=2)) == want
     assert listed(pairs.best(rows)) == listed(pairs.best_by_join(rows))
+    rows.unpersist()
 
 
 def test_nearest_equals_a_plain_search():
