@@ -2,8 +2,10 @@
 
 Every element gets a density: its characters per tag, weighed down by its share of link characters and link tags.  The
 sum of the children's densities picks the content subtree: the container with the largest sum.  The least density on the
-path from it to the body is the threshold that further subtrees beside the path must reach, together with half of the
-largest sum, to belong to the content as well.  Elements that by their tag, role, class or id are menus, headers, footers, sidebars,
+path from it to the body is the threshold that any element beside the path must reach to belong to the content as well.
+An article around the subtree (the outermost one) belongs to it whole, with headings and other short blocks; so does a
+main without article, but for blocks beside the subtree that miss the threshold and are links for more than half.
+Elements that by their tag, role, class or id are menus, headers, footers, sidebars,
 notices, adverts, forms or comments never count.
 
 Unclosed and misnested tags are repaired as browsers do for the common cases; nothing recurses, so depth is no limit.
@@ -181,12 +183,22 @@ def main_text(html: str | None) -> str:
         path.append(i)
         i = tree.parent[i]
     threshold, on_path = min(density[i] for i in path), set(path)
+    home = next((i for i in reversed(path) if tree.tag[i] == "article"), next((i for i in path if tree.tag[i] == "main"), best))
+    within = set(path[: path.index(home) + 1])
     chosen = [False] * n
-    chosen[best] = True
+    chosen[home] = True
     for i in range(1, n):  # parents come first
         p = tree.parent[i]
-        beside = p in on_path and p != best and i not in on_path and tree.tag[i] in CONTAINERS
-        chosen[i] = not tree.off[i] and (chosen[p] and i not in on_path or i == best or (beside and density[i] >= threshold and total[i] >= 0.5 * total[best] > 0))
+        if tree.off[i]:
+            continue
+        if i in on_path:
+            chosen[i] = i in within
+        elif p in within and p != best and tree.tag[home] == "main":
+            chosen[i] = density[i] >= threshold or 2 * link_chars[i] <= chars[i]
+        elif p in on_path and p not in within:
+            chosen[i] = density[i] >= threshold > 0
+        else:
+            chosen[i] = chosen[p]
     blocks, now, last = [], [], -1
     for i, text in tree.texts:
         if not chosen[i]:

@@ -168,6 +168,19 @@ def test_op4(spark):
     assert sorted(len(r["text"]) for r in H4.extract_main_text(df).collect()) == [0] + 2 * [len(H4.main_text(HTML))]
 
 
+def test_op4_keeps_what_lies_beside_the_densest_section():
+    para = lambda k, n=300: f"<p>{('w%d ' % k) + 'x' * (n - len(str(k)) - 1)}</p>"
+    texts = lambda html: H4.main_text(html).split("\n\n")
+    ten, four = "".join(map(para, range(10))), "".join(map(para, range(20, 24)))
+    for tag in ("article", "main"):
+        got = texts(f"<body><nav>menu</nav><{tag}><h1>T</h1>{para(99)}<section>{ten}</section><ul><li>a point</li></ul></{tag}></body>")
+        assert got[0] == "T" and got[1].startswith("w99 ") and len(got) == 13 and got[-1] == "a point"
+        assert len(texts(f"<body><{tag}><section>{ten}</section><section>{four}</section></{tag}></body>")) == 14
+    assert len(texts(f"<body><div><div>{ten}</div>{para(99)}<div>{four}</div></div></body>")) == 15
+    links = "<div><ul>" + "<li><a href=x>another page</a></li>" * 9 + "</ul></div>"
+    assert "another page" not in H4.main_text(f"<body><main><h1>T</h1><div>{ten}</div>{links}</main>{links}</body>")
+
+
 TOKEN = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff"
 
 
