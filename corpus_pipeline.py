@@ -26,15 +26,29 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return rule_ensemble.score(docs, model, tuple(COLUMNS)).where("predicted = 1").select(*COLUMNS)
 
 
+def _own_numbers(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The columns of documents with a number ``__id`` of the row's values, and the table of (__id, doc_id).  Equal rows share a
+    number, different ones never do: hashes are drawn with another seed until none agree."""
+    flags = F.concat(*[F.col(c).isNull().cast("int").cast("string") for c in COLUMNS])
+    exact = F.concat(flags, *[F.concat(F.length(c := F.coalesce(F.col(name).cast("string"), F.lit(""))), F.lit(":"), c) for name in COLUMNS])
+    for seed in range(9):
+        rows = docs.select(*COLUMNS, F.xxhash64(F.lit(seed), flags, *COLUMNS).alias("__id"))
+        known = materialize(rows.select("__id", "doc_id", F.md5(exact).alias("__key")).distinct(), "numbers")
+        if known.groupBy("__id").count().where("count > 1").isEmpty():
+            return rows, known.select("__id", "doc_id")
+    raise RuntimeError("rows could not be told apart")
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each component, that of the least id, and one of fully equal rows.  A null id stands for a
-    number of its own, above all ids, made of the row's values."""
+    """Keeps one row of each component, one of the least id (null ids come last), and one of fully equal rows.  Rows are
+    compared and dropped by numbers of their own, so rows with one id and different texts are documents of their own."""
     bounded_batches(spark)
-    own = F.xxhash64(*COLUMNS).bitwiseAND(F.lit((1 << 62) - 1)).bitwiseOR(F.lit(1 << 62))
-    rows = docs.select(*COLUMNS).withColumn("__id", F.coalesce(F.col("doc_id").cast("long"), own))
-    gone = jaccard_join.jaccard_components(rows, id_col="__id").where("n_shingles > 0 and component_id <> __id").select("__id").distinct()
-    left = rows.join(gone, "__id", "left_anti")
-    return left.groupBy("__id", F.xxhash64(*COLUMNS).alias("__same")).agg(F.first(F.struct(*COLUMNS)).alias("d")).select("d.*")
+    rows, known = _own_numbers(docs)
+    linked = jaccard_join.jaccard_components(rows, id_col="__id").where("n_shingles > 0").select("__id", "component_id").distinct()
+    linked = materialize(linked.join(known, "__id"), "linked")
+    kept = linked.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "__id"))["__id"].alias("__id"))
+    gone = linked.join(kept, "__id", "left_anti").select("__id")
+    return rows.join(gone, "__id", "left_anti").groupBy("__id").agg(F.first(F.struct(*COLUMNS)).alias("d")).select("d.*")
 
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

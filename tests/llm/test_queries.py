@@ -86,3 +86,14 @@ def test_pipeline_takes_odd_rows(spark):
             out = stage(spark, frame, SMALL).collect()
             assert len({(r["doc_id"], r["doc_tokens"]) for r in out} if name == "packing" else out) <= len(rows)
     assert corpus_pipeline.near_duplicates(spark, docs, SMALL).count() == 4
+
+
+def test_pipeline_near_duplicates_go_by_row(spark):
+    say = lambda x: " ".join(f"{x}{i}" for i in range(40))
+    rows = [(3, "A"), (7, "A"), (7, "B"), (9, "B"), (7, "C"), (5, "D"), (5, "D2"), (5, "D"), (None, "E"), (None, "E"), (2, "F"), (None, "F"), (1, None), (1, "")]
+    texts = {x: say(x) for x in "ABCDEF"} | {"D2": say("D") + " more", None: None, "": ""}
+    odd = [(1, None, None, "s", 1), (1, None, "s", None, 1)]  # the same but for the place of the null
+    docs = spark.createDataFrame([(i, texts[x], "en", "s", 1) for i, x in rows] + odd, "doc_id long, text string, lang string, source string, n_chars long")
+    got = corpus_pipeline.near_duplicates(spark, docs, SMALL).collect()
+    assert sorted((r["doc_id"], r["text"][:1]) for r in got if r["text"] and r["doc_id"] is not None) == [(2, "F"), (3, "A"), (5, "D"), (7, "B"), (7, "C")]
+    assert [r["text"][:1] for r in got if r["doc_id"] is None] == ["E"] and sum(not r["text"] for r in got) == 4
