@@ -6,7 +6,7 @@ path from it to the body is the threshold that any element beside the path must
 An article around the subtree (the outermost one) belongs to it whole, with headings and other short blocks; so does a
 main without article, but for blocks beside the subtree that miss the threshold and are links for more than half.
 Elements that by their tag, role, class or id are menus, headers, footers, sidebars,
-notices, adverts, forms or comments never count.
+notices, adverts, forms or comments never count, but a class, role or id alone never switches off the page's article.
 
 Unclosed and misnested tags are repaired as browsers do for the common cases; nothing recurses, so depth is no limit.
 
@@ -27,7 +27,9 @@ from .common import scan_texts
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements whose content is never text of an article.
-DROPPED = frozenset("script style noscript template iframe svg canvas head nav aside form button select textarea menu dialog object audio video map math footer".split())
+DROPPED = frozenset("script style noscript template iframe svg canvas head nav aside form button select textarea menu dialog object audio video map math footer title".split())
+#: What may stand in a head; anything else ends one that is still open.
+HEAD = frozenset("base basefont bgsound link meta title noscript noframes style script template head".split())
 CONTAINERS = frozenset("body html main article section div td th center fieldset details blockquote".split())
 BLOCKS = CONTAINERS | frozenset("p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tfoot tr caption pre figure figcaption header address hr hgroup summary".split()) | DROPPED
 #: A start tag on the left closes an open element on the right, if no element of the third set lies between.
@@ -42,35 +44,55 @@ MARKS = frozenset(
     "signup login search comment comments disqus respond replies reply share sharing social related recommended recommendations more "
     "pagination pager widget toolbar complementary contentinfo dialog tracking".split()
 )
+#: Words that stand beside such a word in a name without changing what it says; any other word does.
+PLAIN = frozenset("site main primary secondary left right top bottom area container wrapper box bar block section list links link item items inner posts buttons icons".split())
 _TOKEN = re.compile(r"[a-z]+")
 
 
+def _marks(value: str) -> set:
+    """The marks among whole names: of a name like ``site-footer`` each word must be a mark or plain."""
+    found = set()
+    for name in value.lower().split():
+        words = set(_TOKEN.findall(name))
+        if words <= MARKS | PLAIN:
+            found |= words & MARKS
+    return found
+
+
 class _Tree(HTMLParser):
     """Elements in document order as parallel lists; a text belongs to the block that is open."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.tag, self.parent, self.off = ["body"], [-1], [False]
+        self.tag, self.parent, self.off, self.marked = ["body"], [-1], [False], [False]
         self.tags, self.chars, self.link_tags, self.link_chars = [0], [0], [0], [0]
         self.texts: list[tuple[int, str]] = []
         self.stack, self.link = [0], False
 
-    def _bad(self, tag: str, attrs: list) -> bool:
+    def _bad(self, tag: str, attrs: list) -> str | None:
+        """``off`` for what never is content, ``marked`` for what its names call so."""
         if tag in DROPPED:
-            return True
+            return "off"
         inside = any(self.tag[i] in ("article", "main") for i in self.stack)
         if tag == "header":
-            return not inside
+            return None if inside else "marked"
         if tag in ("article", "main", "body", "html"):
-            return False
+            return None
+        marked = None
         for name, value in attrs:
             if name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "style" and value and "display:none" in value.replace(" ", "")):
-                return True
+                return "off"
             if name in ("class", "id", "role") and value:
-                found = MARKS.intersection(_TOKEN.findall(value.lower()))
+                found = _marks(value)
                 if found - {"header"} or (found and not inside):  # an article may have a header with its title
-                    return True
-        return False
+                    marked = "marked"
+        return marked
+
+    def _end_head(self) -> None:
+        for k in range(len(self.stack) - 1, 0, -1):
+            if self.tag[self.stack[k]] == "head":
+                del self.stack[k:]
+                return
 
     def _close_within(self, tags: set, fence: set) -> None:
         for k in range(len(self.stack) - 1, 0, -1):
@@ -82,6 +104,8 @@ class _Tree(HTMLParser):
                 return
 
     def handle_starttag(self, tag, attrs):
+        if tag == "body" or (self.tag[self.stack[-1]] == "head" and tag not in HEAD):
+            self._end_head()
         here = self.stack[-1]
         if tag in ("html", "body"):
             return
@@ -109,7 +133,9 @@ class _Tree(HTMLParser):
         here = self.stack[-1]
         self.tag.append(tag)
         self.parent.append(here)
-        self.off.append(self.off[here] or self._bad(tag, attrs))
+        bad = self._bad(tag, attrs)
+        self.off.append(self.off[here] or bad == "off")
+        self.marked.append(bad == "marked")
         for column in (self.tags, self.chars, self.link_tags, self.link_chars):
             column.append(0)
         if tag not in VOID:
@@ -133,6 +159,8 @@ class _Tree(HTMLParser):
                 return  # the end of an inline element never closes a block
 
     def handle_data(self, data):
+        if self.tag[self.stack[-1]] == "head" and not data.isspace():
+            self._end_head()
         here = self.stack[-1]
         if self.off[here]:
             return
@@ -143,6 +171,31 @@ class _Tree(HTMLParser):
             self.link_chars[here] += n
 
 
+def _switch_off(tree: _Tree) -> None:
+    """Marked elements go off with all they hold, but for those that hold the page's article: one with more text than any article
+    or main outside marks or, where no such has text, more than half of the page's text."""
+    n = len(tree.tag)
+    if any(tree.marked):
+        under = [False] * n
+        for i in range(1, n):
+            under[i] = tree.marked[i] or under[tree.parent[i]]
+        whole, net, largest = list(tree.chars), list(tree.chars), [0] * n  # all text; without marked parts; of the largest article in it
+        outside = 0
+        for i in range(n - 1, 0, -1):
+            p = tree.parent[i]
+            if tree.tag[i] in ("article", "main") and not tree.off[i]:
+                largest[i] = max(largest[i], net[i])
+                outside = outside if under[i] else max(outside, net[i])
+            whole[p] += whole[i]
+            net[p] += 0 if tree.marked[i] else net[i]
+            largest[p] = max(largest[p], largest[i])
+        for i in range(1, n):
+            if tree.marked[i] and (largest[i] > outside or (not outside and 2 * whole[i] > whole[0])):
+                tree.marked[i] = False
+    for i in range(1, n):
+        tree.off[i] = tree.off[i] or tree.marked[i] or tree.off[tree.parent[i]]
+
+
 def _density(c: int, t: int, lc: int, lt: int, ratio: float) -> float:
     """Characters per tag, its logarithm's base growing with the share of links (composite text density)."""
     if not c:
@@ -160,6 +213,7 @@ def main_text(html: str | None) -> str:
     tree = _Tree()
     tree.feed(html)
     tree.close()
+    _switch_off(tree)
     n = len(tree.tag)
     chars, tags, link_chars, link_tags = list(tree.chars), list(tree.tags), list(tree.link_chars), list(tree.link_tags)
     for i in range(n - 1, 0, -1):  # children come after their parents

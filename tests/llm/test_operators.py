@@ -181,6 +181,22 @@ def test_op4_keeps_what_lies_beside_the_densest_section():
     assert "another page" not in H4.main_text(f"<body><main><h1>T</h1><div>{ten}</div>{links}</main>{links}</body>")
 
 
+def test_op4_marks_and_heads_lose_no_article():
+    body = "<p>" + "the article's words " * 20 + "</p>"
+    words = H4.main_text(body)
+    assert len(words) > 300
+    for attribute in ('class="layout has-sidebar"', 'class="no-comments"', 'id="search-page"', 'class="side"', 'class="sidebar left" role="complementary"'):
+        for inner in (f"<article>{body}</article>", f"<main>{body}</main>", body):
+            assert H4.main_text(f"<body><nav>menu</nav><div {attribute}><div>{inner}</div></div><footer>end</footer></body>") == words
+    assert H4.main_text(f'<main><h1>T</h1><div class="more"><article>{body}</article></div></main>').endswith(words)
+    assert "tail" in H4.main_text(f'<article>{body}<div class="read-more"><p>tail</p></div></article>')
+    for start in ("<html><head><title>T</title><body>", "<html><head><meta charset=utf-8><title>T</title>", "<head><title>T</title><style>p{}</style><div>"):
+        assert H4.main_text(f"{start}{body}") == words
+    for junk in ("sidebar", "site-footer", "cookie-notice", "comments-area", "related-posts"):
+        other = f"<article><p>{'other words ' * 9}</p></article>"
+        assert H4.main_text(f'<body><article>{body}</article><div class="{junk}">{other}</div></body>') == words
+
+
 TOKEN = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff"
 
 
