@@ -1,7 +1,7 @@
 """Secret scans with corpus-wide ownership frequency.
 
 Base kinds (``assign``, ``access``, ``hex``) are always reported.  Further candidates (provider tokens, JSON web tokens, credentials
-in URLs, private key blocks, long mixed strings) are only reported if the corpus speaks for it: their values are hashed,
+in URLs, private key blocks, mixed strings of 32 characters or more) are only reported if the corpus speaks for it: their values are hashed,
 and the hash is aggregated by distinct repositories and distinct owners.  A value that ``max_owners`` owners or more share,
 or that is a placeholder, is a widely copied example; one of few owners that looks random is live-looking and is added.
 
@@ -37,10 +37,10 @@ BASE = (
 #: Further kinds with a text that every match holds (any of several), by which most documents are passed over.
 MORE = (
     ("pem", re.compile(r"-----BEGIN [A-Z ]*PRIVATE KEY-----[A-Za-z0-9+/=\s]+-----END [A-Z ]*PRIVATE KEY-----"), ("PRIVATE KEY-----",)),
-    ("url", re.compile(r"\b[a-z][a-z0-9+.-]{1,20}://[^\s:/@]{1,200}:([^\s:/@]{6,200})@[A-Za-z0-9.-]+"), ("://",)),
+    ("url", re.compile(r"\b[a-z][a-z0-9+.-]{1,20}://[^\s:/@]+:([^\s:/@]{6,})@[A-Za-z0-9.-]+"), ("://",)),
     ("jwt", re.compile(r"\beyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}"), ("eyJ",)),
     ("provider", re.compile(r"\b(?:gh[pousr]_[A-Za-z0-9]{30,}|xox[abprs]-[A-Za-z0-9-]{20,}|sk_live_[A-Za-z0-9]{16,}|AIza[A-Za-z0-9_-]{30,}|glpat-[A-Za-z0-9_-]{18,})"), ("gh", "xox", "sk_live_", "AIza", "glpat-")),
-    ("mixed", re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{32,200}(?![A-Za-z0-9+/_=-])"), ("",)),
+    ("mixed", re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{32,}(?![A-Za-z0-9+/_=-])"), ("",)),
 )
 KINDS = {kind: n for n, kind in enumerate([k[0] for k in BASE] + [k[0] for k in MORE])}
 _PLACEHOLDER = re.compile(r"(?i)example|sample|dummy|placeholder|changeme|your[_-]|xxxx|test|0123456789|abcdefgh")

@@ -212,6 +212,15 @@ def test_op5(spark, docs, empty):
     assert S.scan_secrets(docs).count() == len(ROWS) and S.scan_secrets(empty).count() == 0
 
 
+def test_op5_long_values(spark):
+    chars = "aB3dE5gH7jK9mN1pQ2rS4tU6vW8xY0z"
+    run = lambda n: (chars * (n // len(chars) + 1))[:n]
+    texts = [f"x {run(n)} y" for n in (31, 32, 200, 201, 20000)] + [f"go db://{'u' * n}:{run(n)}@host.example now" for n in (20, 200, 201, 900)]
+    df = spark.createDataFrame([(i, t, f"o{i}") for i, t in enumerate(texts)], "doc_id long, text string, source string")
+    got = {r["doc_id"]: [(s["kind"], s["start"], s["end"]) for s in r["spans"]] for r in S.scan_secrets(df).collect()}
+    assert got == {0: []} | {i: [("mixed", 2, len(texts[i]) - 2)] for i in range(1, 5)} | {i: [("url", 3, len(texts[i]) - 4)] for i in range(5, 9)}
+
+
 def brute_tiles(doc, item, k):
     used_d, used_i, tiles = [False] * len(doc), [False] * len(item), []
     while True:
