@@ -53,7 +53,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops every document that holds a benchmark item."""
-    found = decontamination.contaminated(_numbered(docs), table(spark, sf_dir, "benchmark"), id_col="__row").select("__row").distinct()
+    found = decontamination.contaminated(_numbered(docs), table(spark, sf_dir, "benchmark"), id_col="__row", unnamed=True).select("__row").distinct()
     return _numbered(docs).join(found, "__row", "left_anti").select(*COLUMNS)
 
 

@@ -11,7 +11,8 @@ The benchmark is the stated query set.  It travels with the function in blocks o
 block as a rule; a larger benchmark takes more passes over the documents, never more memory.
 
 Defined results: null texts and texts without words have no seeds and match nothing; an item with fewer words than
-``least`` must stand whole and in order; items with a null id or no words are left out; equal items are reported each; repeated rows give
+``least`` must stand whole and in order; items with no words are left out, and those with a null id unless ``unnamed`` asks for them, as the query and the
+pipeline do: they are reported with a null item; equal items are reported each; repeated rows give
 repeated results; an empty table on either side gives an empty result.
 """
 
@@ -120,21 +121,21 @@ class _Block:
         return out
 
 
-def _blocks(benchmark: DataFrame, item_col: str, text_col: str, s: Settings):
+def _blocks(benchmark: DataFrame, item_col: str, text_col: str, s: Settings, unnamed: bool):
     """The benchmark in blocks of about ``block_words`` words, one at a time on the driver."""
-    items = benchmark.select(F.col(item_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).where(F.col("id").isNotNull() & F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    items = benchmark.select(F.col(item_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).where((F.col("id").isNotNull() | F.lit(unnamed)) & F.col("text").rlike(r"[^\x20\x09-\x0D]"))
     total = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first()["n"]
     count = max(1, math.ceil(total / (6 * s.block_words)))
     for k in range(count):
         yield items.where(F.pmod(F.xxhash64("id", "text"), F.lit(count)) == k).orderBy("id", "text").toArrow()
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", settings: Settings = Settings()) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", settings: Settings = Settings(), unnamed: bool = False) -> DataFrame:
     """One row for each document and benchmark item that it contains: coverage, tiles and the longest tile's words."""
     out = schema_of(docs, [id_col], "item_id long, coverage double, n_tiles long, longest_tile long")
     source = docs.select(F.col(id_col), F.col(text_col).cast("string").alias("__text"))
     found = None
-    for table in _blocks(benchmark, item_col, item_text_col, settings):
+    for table in _blocks(benchmark, item_col, item_text_col, settings, unnamed):
         ids, texts = table.column("id").to_pylist(), table.column("text").to_pylist()
 
         def run(batches, ids=ids, texts=texts):

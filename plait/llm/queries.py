@@ -57,7 +57,7 @@ def op5_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), unnamed=True)
 
 
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

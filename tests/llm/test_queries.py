@@ -97,3 +97,14 @@ def test_pipeline_near_duplicates_go_by_row(spark):
     got = corpus_pipeline.near_duplicates(spark, docs, SMALL).collect()
     assert sorted((r["doc_id"], r["text"][:1]) for r in got if r["text"] and r["doc_id"] is not None) == [(2, "F"), (3, "A"), (5, "D"), (7, "B"), (7, "C")]
     assert [r["text"][:1] for r in got if r["doc_id"] is None] == ["E"] and sum(not r["text"] for r in got) == 4
+
+
+def test_benchmark_items_without_id(spark, tmp_path):
+    say = lambda x, n=30: " ".join(f"{x}{i}" for i in range(n))
+    rows = [(1, say("a", 60), "en", "s", 1), (2, "so " + say("b") + " then", "en", "s", 1), (3, "so " + say("c") + " then", "en", "s", 1)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(5, say("b")), (None, say("c")), (None, None)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = queries.op6_benchmark_decontamination(spark, str(tmp_path)).collect()
+    assert sorted((r["doc_id"], r["item_id"], r["coverage"]) for r in got) == [(2, 5, 1.0), (3, None, 1.0)]
+    left = corpus_pipeline.benchmark_leaks(spark, spark.read.parquet(f"{tmp_path}/documents.parquet"), str(tmp_path)).collect()
+    assert [r["doc_id"] for r in left] == [1]
