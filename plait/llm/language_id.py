@@ -3,10 +3,10 @@
 Texts are lower-cased first.  A learned prior (the language's share of the training rows) decides near ties, as in a
 naive Bayes classifier whose likelihood is exp(-bytes / temperature).
 
-``fit`` reads a bounded sample: at most ``max_texts`` texts a language, chosen by a seeded hash of the id, of which
+Every language of the training rows is learned.  ``fit`` reads a bounded sample: at most ``max_texts`` texts a language, chosen by a seeded hash of the id, of which
 a piece of up to ``piece`` characters each, at a place that the hash draws, goes into a dictionary of at most ``dict_bytes``.  ``predict`` encodes every whole text, in
 chunks of ``chunk`` bytes so that long texts keep depending on the dictionary, once with each dictionary, and sums the
-sizes.  A narrow margin between the two smallest sizes marks a prediction as rejected.
+sizes.  Of more than ``max_langs`` languages each has a share of that many languages' texts and bytes.  A narrow margin between the two smallest sizes marks a prediction as rejected.
 
 Defined results: a null text, or one without any letter, is ``und`` with score 0; without any training text every
 text is ``und``; full ties go to the language first in alphabetical order; repeated rows give repeated rows.
@@ -44,12 +44,14 @@ class Settings:
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", where: Column | None = None, settings: Settings = Settings()) -> dict[str, tuple[bytes, float]]:
     """Dictionary and prior by language, from the rows of ``where`` with a language.  Two passes: counts of the languages (no
     text is read), then the texts whose hash lies under a rate that leaves about twice ``max_texts`` a language.
-    The driver gets at most max_langs * max_texts * piece bytes."""
+    The driver gets at most max_langs * max_texts * piece bytes, or one piece a language if that is more."""
     rows = docs.where(F.col(lang_col).isNotNull() & (where if where is not None else F.lit(True)))
-    counts = rows.groupBy(F.col(lang_col).cast("string").alias("lang")).count().orderBy(F.desc("count"), "lang").limit(settings.max_langs).collect()
+    counts = rows.groupBy(F.col(lang_col).cast("string").alias("lang")).count().orderBy(F.desc("count"), "lang").collect()
     if not counts:
         return {}
-    rates = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], min(1.0, 2.0 * settings.max_texts / r["count"] + 20.0 / r["count"]))])
+    over = max(1.0, len(counts) / settings.max_langs)
+    max_texts, dict_bytes = max(1, int(settings.max_texts / over)), max(64, int(settings.dict_bytes / over))
+    rates = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], min(1.0, 2.0 * max_texts / r["count"] + 20.0 / r["count"]))])
     key = F.xxhash64(F.lit(settings.seed), F.col(id_col).cast("string"))
     picked = (
         rows.select(F.col(lang_col).cast("string").alias("lang"), key.alias("key"), F.col(text_col).cast("string").alias("text"))
@@ -57,26 +59,27 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
         .withColumn("at", F.pmod("key", F.greatest(F.length("text") - settings.piece, F.lit(0)) + 1).cast("int") + 1)
         .withColumn("text", F.substring("text", F.col("at"), F.lit(settings.piece)))
         .withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("key", "text")))
-        .where(F.col("rank") <= settings.max_texts)
+        .where(F.col("rank") <= max_texts)
         .select("lang", "rank", "text")
     )
     found: dict[str, bytearray] = {}
     for r in sorted(picked.collect(), key=lambda r: (r["lang"], r["rank"])):
         held = found.setdefault(r["lang"], bytearray())
-        if len(held) < settings.dict_bytes:
+        if len(held) < dict_bytes:
             held += r["text"].lower().encode()[: settings.piece] + b"\n"
     total = sum(r["count"] for r in counts if r["lang"] in found)
     shares = {r["lang"]: r["count"] / total for r in counts if r["lang"] in found}
-    return {lang: (bytes(held[: settings.dict_bytes]), shares[lang]) for lang, held in sorted(found.items())}
+    return {lang: (bytes(held[:dict_bytes]), shares[lang]) for lang, held in sorted(found.items())}
 
 
 def _classifier(model: dict[str, tuple[bytes, float]], settings: Settings):
     import zstandard
 
     packs, offsets = [], []
+    table_log = 17 - min(9, max(0, math.ceil(math.log2(max(1, len(model)) / settings.max_langs))))  # the more languages, the smaller their tables
     for content, prior in model.values():
         how = zstandard.ZstdCompressionParameters.from_level(
-            3, window_log=18, hash_log=17, chain_log=17, strategy=zstandard.STRATEGY_LAZY2, min_match=settings.min_match,
+            3, window_log=18, hash_log=table_log, chain_log=table_log, strategy=zstandard.STRATEGY_LAZY2, min_match=settings.min_match,
             search_log=settings.search_log, write_checksum=False, write_content_size=False, write_dict_id=False,
         )
         held = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
@@ -106,5 +109,5 @@ def _classifier(model: dict[str, tuple[bytes, float]], settings: Settings):
 
 def predict(docs: DataFrame, model: dict[str, tuple[bytes, float]], id_col: str = "doc_id", text_col: str = "text", settings: Settings = Settings()) -> DataFrame:
     """Per document lang_pred, score (0 to 1), margin and rejected; one pass without shuffle.  The dictionaries go to
-    the tasks with the function: at most max_langs * dict_bytes, whatever the input's size."""
+    the tasks with the function: at most max_langs * dict_bytes, or 64 bytes a language if that is more, whatever the input's size."""
     return scan_texts(docs, [id_col], text_col, "lang_pred string, score double, margin double, rejected boolean", lambda: _classifier(model, settings))

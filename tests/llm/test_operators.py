@@ -154,6 +154,19 @@ def test_op2(spark, docs, empty):
     assert len(L.predict(docs, model).collect()) == len(ROWS)
 
 
+def test_op2_learns_every_language(spark):
+    alphabet = "abcdefghijklmnopqrstuvwxyz"
+    say = lambda n: " ".join(c * 2 + c.upper() + alphabet[(i + n) % 26] for i, c in enumerate(alphabet[n % 26] + chr(0x4E00 + n)) for _ in range(3)) + f" {chr(0x4E00 + n) * 12}"
+    rows = [(n * 10 + k, say(n), f"l{n:03d}") for n in range(300) for k in range(1 + (n < 200))]
+    model = L.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert len(model) == 300 and sum(len(held) for held, _ in model.values()) <= 256 * L.Settings().dict_bytes
+    rare = spark.createDataFrame([r for r in rows if r[2] >= "l250"], "doc_id long, text string, lang string").coalesce(1)
+    want = {r[0]: r[2] for r in rows}
+    assert all(r["lang_pred"] == want[r["doc_id"]] for r in L.predict(rare, model).collect())
+    small = L.fit(spark.createDataFrame(rows[:12], "doc_id long, text string, lang string"), settings=L.Settings(max_langs=2, dict_bytes=600))
+    assert len(small) == 6 and all(len(held) <= 200 for held, _ in small.values())
+
+
 HTML = """<!DOCTYPE html><html><head><title>T &amp; x</title><style>p{}</style><script>var a="</p>";</script></head><body><nav><ul><li><a href=a>Menu one</a></li></ul></nav>
 <div class="cookie-notice">We use cookies, a lot of them, and this text is long.</div><div id=main><article><h1>Title&nbsp;here</h1><p><b>First  para<br>goes on.<p>Second &lt;b&gt; para.</p>
 <div class="ad">Buy now</div><ul><li>Point one<li>Point two</ul><form><p>Sign up</p></form></article></div><aside><p>Side text that is rather long as well.</p></aside>
