@@ -5,16 +5,23 @@ document or another.  Every word under a recurring window goes, first occurrence
 
 1. Candidate search.  Of each window the ``anchor``-word phrase with the least hash is its anchor: equal windows have
    equal anchors.  A census over all documents (census.py) finds the anchors that stand at two places or more.
-2. Confirmation.  Only windows around such anchors are counted, by their full 64-bit hash, in a second census.
-3. Location.  In each bucket of documents the confirmed windows join to passages, maximal runs of words.  They are
-   compiled into Aho-Corasick automata, in shards of at most ``automaton_chars`` characters, through which all documents of
-   the bucket stream; the words of every occurrence go.
+2. Confirmation.  Only windows around such anchors are counted, by 96 bits of hash, in a second census.  One bucket that
+   holds a recurring window becomes its owner and is told which buckets hold it; no other bucket learns anything.
+3. Passages.  An owner cuts its text into the runs of recurring windows that a bucket holds and sends that bucket the words.
+4. Location.  Each bucket compiles the passages that it was sent into Aho-Corasick automata, in shards of at most
+   ``automaton_words`` words, and streams all its documents through them.  A passage's patterns are its successive phrases
+   of ``window + 1 over 2`` words: every window of the passage holds a whole one.  Around each place that an automaton finds,
+   the windows' words are compared with those of the shard's passages; equal ones go.
 
-Documents are dealt into buckets of bounded size by a hash, and only those hold whole texts in memory, one bucket at a
-time.  The three steps are one plan: the text is shuffled once and that exchange is used again.
+Words are letters of the automata, written as a few digits each, so neither long words nor long passages make them deep.
+
+Documents are dealt into buckets by a hash, and only those hold whole texts in memory, one bucket at a time.  The text is
+shuffled once, and all steps read that exchange again.  A window that more than ``spread`` buckets hold gets its owner by a hash of its anchor, so that
+what very many documents share is sent by many tasks.
 
 Defined results: a null text has no words; a text with fewer words than a window stays whole; of repeated rows every
-long enough one loses all its words; an empty table gives an empty table.
+long enough one loses all its words (fully equal rows share a bucket); an empty table gives an empty table.  Two different windows of n candidates
+are taken for equal with a probability of about n**2 / 2**97.
 """
 
 from __future__ import annotations
@@ -27,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from . import census
-from .common import kept_type, parts_for, text_volume
+from .common import kept_type, release, text_volume
 from .words import Words, mix, rolled
 
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -41,7 +48,9 @@ class Settings:
     shard_keys: int = 500_000
     least_parts: int = 64
     anchor_bytes: int = 4
-    automaton_chars: int = 1 << 20
+    automaton_words: int = 150_000
+    spread: int = 64
+    targets: int = 256
 
 
 def _extreme(values: np.ndarray, width: int, pick) -> np.ndarray:
@@ -60,7 +69,7 @@ class _Bucket:
     def __init__(self, texts: pa.ChunkedArray, s: Settings):
         self.words = Words(texts)
         self.hashes = self.words.hashes()
-        self.spans = [(i, a, b) for i, (a, b) in enumerate(zip(self.words.first[:-1].tolist(), self.words.first[1:].tolist())) if b - a >= s.window]
+        self.spans = [(a, b) for a, b in zip(self.words.first[:-1].tolist(), self.words.first[1:].tolist()) if b - a >= s.window]
         self.width = s.window - s.anchor + 1
         self.phrases = mix(rolled(self.hashes, s.anchor)) if len(self.hashes) >= s.anchor else self.hashes[:0]
         self.windows = rolled(self.hashes, s.window) if len(self.hashes) >= s.window else self.hashes[:0]
@@ -72,58 +81,116 @@ class _Bucket:
     def anchors(self) -> np.ndarray:
         """Hashes of all places that are the anchor of some window."""
         out = [self.hashes[:0]]
-        for _, a, b in self.spans:
+        for a, b in self.spans:
             low, own = self.least(a, b), self.phrases[a : b - self.s.anchor + 1]
             padded = np.concatenate((np.zeros(self.width - 1, np.uint64), low, np.zeros(self.width - 1, np.uint64)))
             out.append(own[_extreme(padded, self.width, np.maximum) == own])
         return np.concatenate(out)
 
-    def candidates(self, codes: np.ndarray, classes: np.ndarray, keys: census.Keys) -> np.ndarray:
-        """Places of the windows whose anchor recurs."""
-        out = [np.zeros(0, np.int64)]
-        for _, a, b in self.spans:
-            found = classes[np.searchsorted(codes, keys.codes(self.least(a, b)))] > 0
-            out.append(a + np.flatnonzero(found))
-        return np.concatenate(out)
-
-
-def passages(places: np.ndarray, spans: list[tuple[int, int, int]], window: int) -> list[tuple[int, int]]:
-    """Maximal runs of words, within one text, under the windows that start at the sorted places."""
-    out: list[list[int]] = []
-    ends = np.array([b for _, _, b in spans], np.int64)
-    of = np.searchsorted(ends, places, side="right")
-    for p, text in zip(places.tolist(), of.tolist()):
-        if out and out[-1][2] == text and p <= out[-1][3] + 1:
-            out[-1][1], out[-1][3] = p + window, p
-        else:
-            out.append([p, p + window, text, p])
-    return [(a, b) for a, b, _, _ in out]
-
-
-def locate(texts: list[bytes], phrases: set[bytes], automaton_chars: int) -> list[list[tuple[int, int]]]:
-    """For each text (words joined by single spaces) the word spans [first, last + 1) of all occurrences of the phrases."""
+    def candidates(self, codes: np.ndarray, classes: np.ndarray, keys: census.Keys) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the windows whose anchor recurs, and their anchors' hashes."""
+        places, anchors = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+        for a, b in self.spans:
+            low = self.least(a, b)
+            found = np.flatnonzero(classes[np.searchsorted(codes, keys.codes(low))] > 0)
+            places.append(a + found)
+            anchors.append(low[found])
+        return np.concatenate(places), np.concatenate(anchors)
+
+    def checks(self, places: np.ndarray, anchors: np.ndarray) -> np.ndarray:
+        """32 more bits of the windows at the places: 16 of the anchor, which windows side by side share, 16 of all words."""
+        if not len(places):
+            return np.zeros(0, np.uint32)
+        again = rolled(self.hashes * np.uint64(0x9FB21C651E98DF25) + np.uint64(1), self.s.window)[places]
+        return ((mix(anchors) >> np.uint64(48) << np.uint64(16)) | (again >> np.uint64(48))).astype(np.uint32)
+
+
+def runs(places: np.ndarray, to: np.ndarray, window: int) -> list[tuple[int, int, np.ndarray]]:
+    """(first word, word after the last, targets) of the maximal runs of consecutive places that go to the same target."""
+    order = np.lexsort((places, to))
+    places, to = places[order], to[order]
+    cut = np.flatnonzero(np.r_[True, (np.diff(places) != 1) | (np.diff(to) != 0)])
+    first, last, target = places[cut], places[np.r_[cut[1:], len(places)] - 1], to[cut]
+    order = np.lexsort((target, last, first))
+    first, last, target = first[order], last[order], target[order]
+    cut = np.flatnonzero(np.r_[True, (np.diff(first) != 0) | (np.diff(last) != 0)])
+    return [(int(first[i]), int(last[i]) + window, target[i:j]) for i, j in zip(cut.tolist(), [*cut[1:].tolist(), len(first)])]
+
+
+class Vocabulary:
+    """Words as numbers, and numbers as fixed-width strings of digits that tell their place, so that no match is shifted."""
+
+    BASE = 64
+
+    def __init__(self):
+        self.ids: dict[bytes, int] = {}
+
+    def learn(self, words: list[bytes]) -> np.ndarray:
+        ids = self.ids
+        return np.array([ids.setdefault(w, len(ids)) for w in words], np.int32)
+
+    def read(self, words: list[bytes]) -> np.ndarray:
+        """Numbers of known words, -1 for others."""
+        return np.array([*map(self.ids.get, words, [-1] * len(words))], np.int32)
+
+    def digits(self) -> int:
+        n, width = len(self.ids), 1
+        while self.BASE**width < n:
+            width += 1
+        return width
+
+    def letters(self, numbers: np.ndarray, width: int) -> str:
+        out = np.ones((len(numbers), width), np.uint32)  # 1 is the letter of unknown words
+        known = numbers >= 0
+        rest = numbers[known].astype(np.int64)
+        for d in range(width):
+            out[known, d] = 2 + d * self.BASE + rest % self.BASE
+            rest //= self.BASE
+        return out.astype("<u4").tobytes().decode("utf-32-le")
+
+
+def locate(texts: list[list[bytes]], passages: list[list[bytes]], s: Settings) -> list[np.ndarray]:
+    """For each text, as its words, which of them lie under a window of a passage, by one automaton for each shard of passages."""
     import ahocorasick
 
-    shards, room = [], 0
-    for phrase in sorted(phrases):
-        if room < len(phrase) or not shards:
-            shards.append(ahocorasick.Automaton())
-            room = max(automaton_chars, len(phrase))
-        word = f" {phrase.decode()} "
-        shards[-1].add_word(word, phrase.count(b" ") + 1)
-        room -= len(phrase)
-    found: list[list[tuple[int, int]]] = [[] for _ in texts]
-    while shards:
-        automaton = shards.pop()
+    gone = [np.zeros(len(t), bool) for t in texts]
+    size, seed, at = s.window, (s.window + 1) // 2, 0
+    most = max(s.automaton_words, size)
+    passages = [p[i : i + most] for p in passages for i in range(0, len(p) - size + 1, most - size + 1)]
+    while at < len(passages):
+        vocabulary, part, room = Vocabulary(), [], s.automaton_words
+        while at < len(passages) and (not part or len(passages[at]) <= room):
+            part.append(vocabulary.learn(passages[at]))
+            room -= len(passages[at])
+            at += 1
+        width = vocabulary.digits()
+        automaton, windows = ahocorasick.Automaton(ahocorasick.STORE_LENGTH), set()
+        for numbers in part:
+            letters, data = vocabulary.letters(numbers, width), numbers.tobytes()
+            for i in range(0, len(numbers) - seed + 1, seed):
+                automaton.add_word(letters[i * width : (i + seed) * width])
+            windows.update([data[4 * i : 4 * (i + size)] for i in range(len(numbers) - size + 1)])
         automaton.make_automaton()
-        for i, raw in enumerate(texts):
-            text = f" {raw.decode()} "
-            hits = list(automaton.iter(text))
-            if hits:
-                blanks = np.flatnonzero(np.frombuffer(text.encode("utf-32-le"), np.uint32) == 32)
-                last = np.searchsorted(blanks, [end for end, _ in hits])
-                found[i] += [(e - n, e) for e, (_, n) in zip(last.tolist(), hits)]
-    return found
+        for words, out in zip(texts, gone):
+            if len(words) < size:
+                continue
+            numbers = vocabulary.read(words)
+            ends = [end for end, _ in automaton.iter(vocabulary.letters(numbers, width))]
+            if not ends:
+                continue
+            first = (np.array(ends, np.int64) + 1) // width - seed
+            near = np.zeros(len(words) + 1, np.int32)  # the windows that hold a found phrase
+            np.add.at(near, np.maximum(first - (size - seed), 0), 1)
+            np.add.at(near, first + 1, -1)
+            data = numbers.tobytes()
+            starts = np.flatnonzero(np.cumsum(near[: len(words) - size + 1]) > 0).tolist()
+            found = np.array([i for i in starts if data[4 * i : 4 * (i + size)] in windows], np.int64)
+            if len(found):
+                cover = np.zeros(len(words) + 1, np.int32)
+                cover[found] += 1
+                cover[found + size] -= 1
+                out |= np.cumsum(cover[:-1]) > 0
+    return gone
 
 
 def dedup_phrases(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", settings: Settings = Settings()) -> DataFrame:
@@ -131,9 +198,10 @@ def dedup_phrases(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     s = settings
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     volume = text_volume(source, "text")
-    buckets, words = parts_for(volume, s.bucket_bytes, s.least_parts), volume // 6
-    coarse = census.Keys(parts_for(words // 12, s.shard_keys, s.least_parts), s.anchor_bytes)
-    exact = census.Keys(parts_for(words // 2, s.shard_keys, s.least_parts), 8)
+    buckets, parts = census.sizes(volume, s.bucket_bytes, s.shard_keys, s.least_parts)
+    words = volume // 6
+    coarse = census.Keys(parts(words // 12), s.anchor_bytes)
+    exact = census.Keys(parts(words // 2), 8)
     dealt = source.withColumn("bucket", census.bucket_of(buckets, "id", "text"))
     span = T.ArrayType(T.StructType([T.StructField("first", T.LongType()), T.StructField("end", T.LongType())]))
     out = T.StructType([T.StructField(id_col, kept_type(docs, id_col)), T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept", T.StringType()), T.StructField("removed", span)])
@@ -142,49 +210,49 @@ def dedup_phrases(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         codes, counts = np.unique(coarse.codes(_Bucket(table.column("text"), s).anchors()), return_counts=True)
         return census.blobs(table.column("bucket")[0].as_py(), codes, counts, coarse)
 
-    def candidates(held: _Bucket, verdict: pa.Table) -> np.ndarray:
-        codes = np.unique(coarse.codes(held.anchors()))
-        return held.candidates(codes, census.classes(verdict, codes, coarse), coarse)
-
     def windows(table: pa.Table, verdict: pa.Table) -> pa.Table:
         held = _Bucket(table.column("text"), s)
-        codes, counts = np.unique(held.windows[candidates(held, verdict)], return_counts=True)
+        codes = np.unique(coarse.codes(held.anchors()))
+        places, low = held.candidates(codes, census.classes(verdict, codes, coarse), coarse)
         bucket = (table if table.num_rows else verdict).column("bucket")[0].as_py()
-        return census.blobs(bucket, codes, counts, exact)
-
-    def remove(table: pa.Table, verdict: pa.Table) -> pa.Table:
-        held = _Bucket(table.column("text"), s)
-        # the bucket's windows that the second census had confirmed, in the order in which they had been sent
-        told = verdict.sort_by("shard")
-        recurring = _confirmed(told, exact)
+        return census.marked_blobs(bucket, held.windows[places], held.checks(places, low), exact)
+
+    def passages(table: pa.Table, owned: pa.Table) -> pa.Table:
+        rows = []
+        if owned.num_rows:
+            held = _Bucket(table.column("text"), s)
+            codes, checks, counts, to = census.owned_keys(owned)
+            places = np.concatenate([np.arange(a, b - s.window + 1) for a, b in held.spans])
+            low = np.concatenate([held.least(a, b) for a, b in held.spans])
+            at = np.minimum(np.searchsorted(codes, held.windows[places]), len(codes) - 1)
+            hit = np.flatnonzero(codes[at] == held.windows[places])
+            hit = hit[held.checks(places[hit], low[hit]) == checks[at[hit]]]
+            key, first = np.unique(at[hit], return_index=True)
+            begin = np.cumsum(counts) - counts
+            n = counts[key]
+            pick = np.repeat(begin[key] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            for a, b, targets in runs(np.repeat(places[hit[first]], n), to[pick], s.window):
+                text = held.words.text(a, b)
+                rows += [(text, targets[i : i + s.targets].tolist()) for i in range(0, len(targets), s.targets)]
+        release()
+        return pa.table({"words": pa.array([r[0] for r in rows], pa.binary()), "to": pa.array([r[1] for r in rows], pa.list_(pa.int32()))})
+
+    def remove(table: pa.Table, sent: pa.Table) -> pa.Table:
         texts = [_WORD.findall((t or "").encode()) for t in table.column("text").to_pylist()]
-        joined = [b" ".join(t) for t in texts]
-        gone = [np.zeros(len(t), bool) for t in texts]
-        if len(recurring):
-            all_places = np.concatenate([np.zeros(0, np.int64), *[np.arange(a, b - s.window + 1) for _, a, b in held.spans]])
-            places = all_places[np.isin(held.windows[all_places], recurring)]
-            flat = held.words.first
-            phrases = set()
-            for a, b in passages(places, held.spans, s.window):
-                i = int(np.searchsorted(flat, a, side="right")) - 1
-                phrases.add(b" ".join(texts[i][a - flat[i] : b - flat[i]]))
-            for i, spans in enumerate(locate(joined, phrases, s.automaton_chars)):
-                for a, b in spans:
-                    gone[i][a:b] = True
-        kept = [j if not g.any() else b" ".join([w for w, x in zip(t, g.tolist()) if not x]) for j, t, g in zip(joined, texts, gone)]
+        gone = locate(texts, [_WORD.findall(w) for w in sorted(set(sent.column("words").to_pylist()))], s)
+        kept = [b" ".join(t) if not g.any() else b" ".join([w for w, x in zip(t, g.tolist()) if not x]) for t, g in zip(texts, gone)]
         edges = [np.flatnonzero(np.diff(np.r_[0, g.view(np.int8), 0])).reshape(-1, 2).tolist() for g in gone]
-        return pa.table({
+        result = pa.table({
             id_col: table.column("id"), "n_words": pa.array([len(t) for t in texts], pa.int64()), "n_removed": pa.array([int(g.sum()) for g in gone], pa.int64()),
             "kept": pa.array([k.decode() for k in kept], pa.string()),
             "removed": pa.array([[{"first": a, "end": b} for a, b in e] for e in edges], pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())]))),
         })
+        release()
+        return result
 
     first = census.verdicts(dealt.groupBy("bucket").applyInArrow(anchors, census.BLOBS), coarse)
-    sent = dealt.groupBy("bucket").cogroup(first.groupBy("bucket")).applyInArrow(windows, census.BLOBS)
-    second = census.confirmed(sent, exact)
-    return dealt.groupBy("bucket").cogroup(second.groupBy("bucket")).applyInArrow(remove, out)
-
-
-def _confirmed(table: pa.Table, keys: census.Keys) -> np.ndarray:
-    parts = [keys.unpack(x) for x in table.column("keys").to_pylist()]
-    return np.concatenate([np.zeros(0, np.uint64), *parts])
+    counted = dealt.groupBy("bucket").cogroup(first.groupBy("bucket")).applyInArrow(windows, census.MARKED)
+    owned = census.owners(counted, s.spread)
+    found = dealt.groupBy("bucket").cogroup(owned.groupBy("bucket")).applyInArrow(passages, "words binary, to array<int>")
+    sent = found.repartition(F.xxhash64("words", F.col("to")[0])).select(F.explode("to").alias("bucket"), "words")
+    return dealt.groupBy("bucket").cogroup(sent.groupBy("bucket")).applyInArrow(remove, out)

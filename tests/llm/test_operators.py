@@ -138,10 +138,47 @@ def test_op3(docs, empty):
 
 
 def test_op3_shards_of_automata(docs):
-    got = R.dedup_phrases(docs, settings=R.Settings(automaton_chars=300)).collect()
+    got = R.dedup_phrases(docs, settings=R.Settings(automaton_words=50, spread=1, targets=1)).collect()
     assert sorted(((r["doc_id"], r["n_words"], r["n_removed"], r["kept"]) for r in got), key=repr) == brute_op3(ROWS)
 
 
+def test_op3_takes_what_the_automata_find():
+    """Places come from the automata alone: a passage found is found in every text, whoever sent it, and no other words go."""
+    texts = [words_of(t) for _, t in ROWS]
+    raw = [[w.encode() for w in t] for t in texts]
+    whole = R.locate(raw, [raw[1]], R.Settings())
+    assert [int(g.sum()) for g in whole] == [n if texts[i] == texts[1] else 0 for i, n in enumerate(map(len, texts))]
+    part = R.locate(raw, [raw[1][5:45]], R.Settings())
+    assert [int(g.sum()) for g in part[:4]] == [40, 40, 40, 0] and part[0][5:45].all()
+    assert not any(g.any() for g in R.locate(raw, [], R.Settings()))
+
+
+def test_op3_overlapping_passages_of_different_holders(spark):
+    """Windows of one text that recur in different other texts, in part side by side, and periodic texts."""
+    rng = np.random.default_rng(8)
+    for seed in range(4):
+        base = [f"b{seed}x{i}" for i in range(260)]
+        rows = [(0, " ".join(base))]
+        for i in range(1, 14):
+            a = int(rng.integers(0, 200))
+            rows.append((i, " ".join([f"p{i}", *base[a : a + int(rng.integers(30, 120))], f"q{i}"] + (["u v"] * int(rng.integers(0, 40))))))
+        df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+        for settings in (R.Settings(), R.Settings(spread=2, targets=2, automaton_words=70)):
+            got = R.dedup_phrases(df, settings=settings).collect()
+            assert sorted(((r["doc_id"], r["n_words"], r["n_removed"], r["kept"]) for r in got), key=repr) == brute_op3(rows)
+
+
+def test_op3_long_texts(spark):
+    rng = np.random.default_rng(2)
+    long = " ".join(f"v{i}" for i in rng.integers(0, 10**6, 700_000))
+    words = prose(100_000, 6)
+    rows = [(1, long), (2, long + " end"), (3, words), (4, "begin " + words), (5, "na " * 200_000), (6, ("y" * 90_000 + " ") * 40), (7, "start " + ("y" * 90_000 + " ") * 36)]
+    assert len(long) > 5_000_000 > len(words) > 800_000
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: (r["n_words"], r["n_removed"], r["kept"]) for r in R.dedup_phrases(df).collect()}
+    assert got == {1: (700_000, 700_000, ""), 2: (700_001, 700_000, "end"), 3: (100_000, 100_000, ""), 4: (100_001, 100_000, "begin"), 5: (200_000, 200_000, ""), 6: (40, 40, ""), 7: (37, 36, "start")}
+
+
 def test_op2(spark, docs, empty):
     said = {"aa": "the cat and the dog went over the hill with that thing ", "bb": "der hund und die katze gingen nicht mit uns nach hause "}
     rows = [(i, (said[lang] * 3)[i % 7 :], lang) for i, lang in enumerate(["aa", "bb"] * 20)] + [(99, None, None), (100, "123 !!", "aa"), (101, "", "bb"), (102, "the thing and the dog", None)]
