@@ -1,12 +1,13 @@
 """Language ID by compression: one zstandard raw-content dictionary for each language, the smallest encoding wins.
 
-Texts are lower-cased first.  A learned prior (the language's share of the training rows) decides near ties, as in a
-naive Bayes classifier whose likelihood is exp(-bytes / temperature).
+Texts are lower-cased first.  Sizes alone decide: how often a language occurs counts for nothing.  The score is the best language's share of
+the likelihoods exp(-bytes / temperature).
 
 Every language of the training rows is learned.  ``fit`` reads a bounded sample: at most ``max_texts`` texts a language, chosen by a seeded hash of the id, of which
 a piece of up to ``piece`` characters each, at a place that the hash draws, goes into a dictionary of at most ``dict_bytes``.  ``predict`` encodes every whole text, in
 chunks of ``chunk`` bytes so that long texts keep depending on the dictionary, once with each dictionary, and sums the
-sizes.  Of more than ``max_langs`` languages each has a share of that many languages' texts and bytes.  A narrow margin between the two smallest sizes marks a prediction as rejected.
+sizes; a text of fewer than ``short`` bytes, which would mostly be stored as it is, stands behind pieces of each dictionary, and what it adds to their
+sizes counts.  Of more than ``max_langs`` languages each has a share of that many languages' texts and bytes.  A narrow margin between the two smallest sizes marks a prediction as rejected.
 
 Defined results: a null text, or one without any letter, is ``und`` with score 0; without any training text every
 text is ``und``; full ties go to the language first in alphabetical order; repeated rows give repeated rows.
@@ -32,6 +33,8 @@ class Settings:
     dict_bytes: int = 112 << 10
     max_langs: int = 256
     chunk: int = 1024
+    #: texts of fewer bytes are encoded behind pieces of the dictionary
+    short: int = 48
     min_match: int = 4
     search_log: int = 4
     #: margins (second smallest size over smallest, less 1) under this are rejected
@@ -41,8 +44,8 @@ class Settings:
     seed: int = 11
 
 
-def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", where: Column | None = None, settings: Settings = Settings()) -> dict[str, tuple[bytes, float]]:
-    """Dictionary and prior by language, from the rows of ``where`` with a language.  Two passes: counts of the languages (no
+def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", where: Column | None = None, settings: Settings = Settings()) -> dict[str, bytes]:
+    """Dictionary by language, from the rows of ``where`` with a language.  Two passes: counts of the languages (no
     text is read), then the texts whose hash lies under a rate that leaves about twice ``max_texts`` a language.
     The driver gets at most max_langs * max_texts * piece bytes, or one piece a language if that is more."""
     rows = docs.where(F.col(lang_col).isNotNull() & (where if where is not None else F.lit(True)))
@@ -67,33 +70,44 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
         held = found.setdefault(r["lang"], bytearray())
         if len(held) < dict_bytes:
             held += r["text"].lower().encode()[: settings.piece] + b"\n"
-    total = sum(r["count"] for r in counts if r["lang"] in found)
-    shares = {r["lang"]: r["count"] / total for r in counts if r["lang"] in found}
-    return {lang: (bytes(held[:dict_bytes]), shares[lang]) for lang, held in sorted(found.items())}
+    return {lang: bytes(held[:dict_bytes]) for lang, held in sorted(found.items())}
 
 
-def _classifier(model: dict[str, tuple[bytes, float]], settings: Settings):
+def _classifier(model: dict[str, bytes], settings: Settings):
     import zstandard
 
-    packs, offsets = [], []
     table_log = 17 - min(9, max(0, math.ceil(math.log2(max(1, len(model)) / settings.max_langs))))  # the more languages, the smaller their tables
-    for content, prior in model.values():
+
+    def packer(content: bytes, strategy: int, **given: int):
         how = zstandard.ZstdCompressionParameters.from_level(
-            3, window_log=18, hash_log=table_log, chain_log=table_log, strategy=zstandard.STRATEGY_LAZY2, min_match=settings.min_match,
-            search_log=settings.search_log, write_checksum=False, write_content_size=False, write_dict_id=False,
+            3, window_log=18, hash_log=table_log, chain_log=table_log, strategy=strategy, write_checksum=False, write_content_size=False, write_dict_id=False, **given,
         )
         held = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
         held.precompute_compress(compression_params=how)
-        packs.append(zstandard.ZstdCompressor(dict_data=held, compression_params=how).compress)
-        offsets.append(-settings.temperature * math.log(prior))
-    langs = list(model)
+        return zstandard.ZstdCompressor(dict_data=held, compression_params=how).compress
+
+    packs = [packer(content, zstandard.STRATEGY_LAZY2, min_match=settings.min_match, search_log=settings.search_log) for content in model.values()]
+    langs, fine = list(model), []
+
+    def short(data: bytes) -> list[int]:
+        """What the text adds to the encodings of a few pieces of each dictionary: alone it would mostly be stored as it is."""
+        if not fine:
+            for content in model.values():
+                pack = packer(content, zstandard.STRATEGY_BTULTRA, min_match=3, search_log=5)
+                ends = [len(content) - 37 * j for j in range(3) if len(content) > 37 * j]
+                parts = [content[max(0, e - 300) : e] for e in ends]
+                fine.append((pack, parts, sum(len(pack(p)) for p in parts)))
+        return [max(1, sum(len(pack(p + data)) for p in parts) - alone) for pack, parts, alone in fine]
 
     def one(text: str | None) -> tuple:
         if not text or not langs or not any(map(str.isalpha, text)):
             return UNKNOWN, 0.0, 0.0, True
         data = memoryview(text.lower().encode())
-        cuts = [data[i : i + settings.chunk] for i in range(0, len(data), settings.chunk)]
-        sizes = [sum(len(pack(c)) for c in cuts) + extra for pack, extra in zip(packs, offsets)]
+        if len(data) < settings.short:
+            sizes = short(bytes(data))
+        else:
+            cuts = [data[i : i + settings.chunk] for i in range(0, len(data), settings.chunk)]
+            sizes = [sum(len(pack(c)) for c in cuts) for pack in packs]
         best = min(range(len(sizes)), key=sizes.__getitem__)
         low = sizes[best]
         margin = min((s for i, s in enumerate(sizes) if i != best), default=2 * low) / low - 1
@@ -107,7 +121,7 @@ def _classifier(model: dict[str, tuple[bytes, float]], settings: Settings):
     return work
 
 
-def predict(docs: DataFrame, model: dict[str, tuple[bytes, float]], id_col: str = "doc_id", text_col: str = "text", settings: Settings = Settings()) -> DataFrame:
+def predict(docs: DataFrame, model: dict[str, bytes], id_col: str = "doc_id", text_col: str = "text", settings: Settings = Settings()) -> DataFrame:
     """Per document lang_pred, score (0 to 1), margin and rejected; one pass without shuffle.  The dictionaries go to
     the tasks with the function: at most max_langs * dict_bytes, or 64 bytes a language if that is more, whatever the input's size."""
     return scan_texts(docs, [id_col], text_col, "lang_pred string, score double, margin double, rejected boolean", lambda: _classifier(model, settings))

@@ -191,17 +191,49 @@ def test_op2(spark, docs, empty):
     assert len(L.predict(docs, model).collect()) == len(ROWS)
 
 
+def test_op2_equals_brute_force(spark):
+    """Every size by a compressor of its own; the smallest wins, the first language of equal ones."""
+    import zstandard
+
+    rng = np.random.default_rng(4)
+    pools = {lang: ["".join(chr(97 + (int(c) + 9 * k) % 26) for c in rng.integers(0, 12, int(rng.integers(2, 9)))) for _ in range(300)] for k, lang in enumerate(("xx", "yy", "zz"))}
+    say = lambda lang, n: " ".join(rng.choice(pools[lang], n))
+    s = L.Settings()
+    model = L.fit(spark.createDataFrame([(i, say(lang, 120), lang) for i, lang in enumerate(["xx", "yy", "zz"] * 30)], "doc_id long, text string, lang string"))
+    texts = [say(("xx", "yy", "zz")[n % 3], 1 + n * n) for n in range(40)]
+    got = {r["doc_id"]: r for r in L.predict(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), model).collect()}
+
+    def size(content, data, strategy, **given):
+        how = zstandard.ZstdCompressionParameters.from_level(3, window_log=18, hash_log=17, chain_log=17, strategy=strategy, write_checksum=False, write_content_size=False, write_dict_id=False, **given)
+        return len(zstandard.ZstdCompressor(dict_data=zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT), compression_params=how).compress(data))
+
+    right = 0
+    for i, text in enumerate(texts):
+        data, sizes = text.lower().encode(), {}
+        for lang, c in sorted(model.items()):
+            if len(data) >= s.short:
+                sizes[lang] = sum(size(c, data[j : j + s.chunk], zstandard.STRATEGY_LAZY2, min_match=4, search_log=4) for j in range(0, len(data), s.chunk))
+            else:
+                heads = [c[max(0, len(c) - 37 * j - 300) : len(c) - 37 * j] for j in range(3)]
+                sizes[lang] = max(1, sum(size(c, h + data, zstandard.STRATEGY_BTULTRA, min_match=3, search_log=5) - size(c, h, zstandard.STRATEGY_BTULTRA, min_match=3, search_log=5) for h in heads))
+        low, second = sorted(sizes.values())[:2]
+        assert got[i]["lang_pred"] == min(k for k in sizes if sizes[k] == low) and abs(got[i]["margin"] - (second / low - 1)) < 1e-9
+        assert got[i]["rejected"] == (second / low - 1 < s.min_margin)
+        right += got[i]["lang_pred"] == ("xx", "yy", "zz")[i % 3]
+    assert right >= 38
+
+
 def test_op2_learns_every_language(spark):
     alphabet = "abcdefghijklmnopqrstuvwxyz"
     say = lambda n: " ".join(c * 2 + c.upper() + alphabet[(i + n) % 26] for i, c in enumerate(alphabet[n % 26] + chr(0x4E00 + n)) for _ in range(3)) + f" {chr(0x4E00 + n) * 12}"
     rows = [(n * 10 + k, say(n), f"l{n:03d}") for n in range(300) for k in range(1 + (n < 200))]
     model = L.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
-    assert len(model) == 300 and sum(len(held) for held, _ in model.values()) <= 256 * L.Settings().dict_bytes
+    assert len(model) == 300 and sum(map(len, model.values())) <= 256 * L.Settings().dict_bytes
     rare = spark.createDataFrame([r for r in rows if r[2] >= "l250"], "doc_id long, text string, lang string").coalesce(1)
     want = {r[0]: r[2] for r in rows}
     assert all(r["lang_pred"] == want[r["doc_id"]] for r in L.predict(rare, model).collect())
     small = L.fit(spark.createDataFrame(rows[:12], "doc_id long, text string, lang string"), settings=L.Settings(max_langs=2, dict_bytes=600))
-    assert len(small) == 6 and all(len(held) <= 200 for held, _ in small.values())
+    assert len(small) == 6 and all(len(held) <= 200 for held in small.values())
 
 
 HTML = """<!DOCTYPE html><html><head><title>T &amp; x</title><style>p{}</style><script>var a="</p>";</script></head><body><nav><ul><li><a href=a>Menu one</a></li></ul></nav>

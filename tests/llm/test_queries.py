@@ -30,6 +30,21 @@ def test_op2_held_out_accuracy(spark):
     assert sum(r["lang_pred"] == docs[r["doc_id"]]["lang"] for r in held) >= 0.9 * len(held)
 
 
+def test_op2_short_texts_by_language(spark):
+    """Held-out texts cut to a few characters: no language is swallowed by the most frequent one."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = queries.language_id.fit(docs, where=queries.fold("doc_id", 4) != 2)
+    held = docs.where((queries.fold("doc_id", 4) == 2) & F.col("lang").isNotNull())
+    for n, least in ((80, 0.9), (40, 0.9), (25, 0.85), (12, 0.6)):
+        rows = held.select("doc_id", "lang", F.substring("text", 1, n).alias("text")).where(F.col("text").rlike(r"\p{L}"))
+        right = rows.join(queries.language_id.predict(rows, model), "doc_id").groupBy("lang").agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int")).alias("share"))
+        found = {r["lang"]: r["share"] for r in right.collect()}
+        assert len(found) == 4 and min(found.values()) >= least, (n, found)
+    phrases = spark.createDataFrame(list(enumerate(("der hund", "die katze", "nach hause", "der weg durch den wald"))), "doc_id long, text string")
+    said = queries.language_id.predict(phrases, model).collect()
+    assert all(r["lang_pred"] == "de" or r["rejected"] or r["score"] < 0.6 for r in said)
+
+
 def test_op5_base(spark):
     patterns = {"assign": (r"(?i)(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", 2, 6), "access": (r"AKIA[A-Z0-9]+", 0, 20), "hex": (r"[0-9a-f]+", 0, 24)}
     docs = documents(spark)
