@@ -2,11 +2,13 @@
 
 Base kinds (``assign``, ``access``, ``hex``) are always reported.  Further candidates (provider tokens, JSON web tokens, credentials
 in URLs, private key blocks, mixed strings of 32 characters or more) are only reported if the corpus speaks for it: their values are hashed,
-and the hash is aggregated by distinct repositories and distinct owners.  A value that ``max_owners`` owners or more share,
-or that is a placeholder, is a widely copied example; one of few owners that looks random is live-looking and is added.
+and the hash is aggregated by distinct repositories and distinct owners.  A value that ``max_owners`` owners or more share, or
+``max_repos`` repositories or more of however few owners, or that is a placeholder, is a widely copied example; one of few owners and repositories
+that looks random is live-looking and is added.
 
-Texts are scanned once; the small table of candidates is written to the shared folder.  Counts are pre-aggregated by
-(hash, owner, repository), so a value that a third of all documents hold is a few rows when it meets.
+Texts are scanned once; the table of candidates is written to the shared folder.  Counts are pre-aggregated by (hash, owner,
+repository).  Only live values come back to the documents, over a join salted by row, so a value that a third of all documents hold is no hot key there.
+``redacted`` carries the texts through the scan: only rows with candidates of the further kinds are joined with a verdict.
 
 Defined results: a null text is an empty one; a null owner or repository counts as one of its own; repeated rows give
 repeated rows; a candidate that overlaps a base span or an earlier candidate is not reported again; an empty table
@@ -15,6 +17,7 @@ gives an empty table.
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import math
 import re
@@ -24,7 +27,7 @@ from dataclasses import dataclass
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from .common import materialize
+from .common import kept_type, materialize
 
 #: Kinds in the order in which spans with one start are listed.  A run of hex digits, or of letters and digits after AKIA, is
 #: matched whole, so asking for its least length in the pattern gives the same matches as dropping short ones afterwards; a short
@@ -49,6 +52,8 @@ _PLACEHOLDER = re.compile(r"(?i)example|sample|dummy|placeholder|changeme|your[_
 @dataclass(frozen=True)
 class Settings:
     max_owners: int = 3
+    max_repos: int = 50
+    salts: int = 16
     min_entropy: float = 3.0
 
 
@@ -78,16 +83,28 @@ def live_looking(kind: str, value: str, s: Settings) -> bool:
 
 def more_spans(text: str, held: list[tuple], s: Settings) -> list[tuple[str, int, int, str]]:
     """Live-looking candidates of the further kinds that overlap nothing held."""
-    taken = [(x[1], x[2]) for x in held]
+    starts, ends = [], []  # what is taken, as disjoint spans in order
+
+    def take(a: int, b: int) -> None:
+        i, j = bisect.bisect_right(ends, a), bisect.bisect_left(starts, b)
+        if i < j:
+            a, b = min(a, starts[i]), max(b, ends[j - 1])
+        starts[i:j], ends[i:j] = [a], [b]
+
+    for x in held:
+        take(x[1], x[2])
     found = []
     for kind, pattern, parts in MORE:
         if not any(part in text for part in parts):
             continue
+        new = []
         for m in pattern.finditer(text):
             value = m[m.lastindex or 0]
-            if live_looking(kind, value, s) and all(m.end() <= a or m.start() >= b for a, b in taken):
-                found.append((kind, m.start(), m.end(), value))
-                taken.append((m.start(), m.end()))
+            if live_looking(kind, value, s) and bisect.bisect_right(ends, m.start()) == bisect.bisect_left(starts, m.end()):
+                new.append((kind, m.start(), m.end(), value))
+        found += new
+        for _, a, b, _ in new:  # matches of one pattern never overlap
+            take(a, b)
     return found
 
 
@@ -112,32 +129,71 @@ def row_key(*columns: str) -> Column:
     return F.md5(F.concat_ws("\1", *[F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in columns]))
 
 
-def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", repo_col: str = "doc_id", owner_col: str = "source", settings: Settings = Settings()) -> DataFrame:
-    """Per document its id, ``row`` (row_key of id, repository, owner and text) and ``spans``: array of (kind, start, end, hash, base, repos, owners, verdict) by start, in code
-    points; verdict is ``live`` or ``example``.  Base spans are all there, others only if live."""
-    s = settings
-    span = T.ArrayType(T.StructType([T.StructField("kind", T.StringType()), T.StructField("start", T.LongType()), T.StructField("end", T.LongType()), T.StructField("hash", T.StringType()), T.StructField("base", T.BooleanType())]))
-    source = docs.select(F.col(id_col).alias("id"), F.col(repo_col).cast("string").alias("repo"), F.col(owner_col).cast("string").alias("owner"), F.col(text_col).cast("string").alias("text"))
-    source = source.withColumn("row", row_key("id", "repo", "owner", "text"))
-    out = T.StructType([source.schema["id"], T.StructField("row", T.StringType()), T.StructField("repo", T.StringType()), T.StructField("owner", T.StringType()), T.StructField("found", span)])
+_FOUND = T.ArrayType(T.StructType([T.StructField("kind", T.StringType()), T.StructField("start", T.LongType()), T.StructField("end", T.LongType()), T.StructField("hash", T.StringType()), T.StructField("base", T.BooleanType())]))
+
+
+def candidates(docs: DataFrame, carried: list[str], id_col: str, text_col: str, repo_col: str, owner_col: str, s: Settings) -> DataFrame:
+    """The carried columns with ``__row`` (row_key of id, repository, owner and text), ``__repo``, ``__owner`` and ``__found``: base spans and live-looking
+    candidates.  Written to the shared folder."""
+    rows = docs.select(*carried, row_key(id_col, repo_col, owner_col, text_col).alias("__row"), F.col(repo_col).cast("string").alias("__repo"), F.col(owner_col).cast("string").alias("__owner"), F.col(text_col).cast("string").alias("__text"))
+    own_text = text_col in carried and isinstance(kept_type(docs, text_col), T.StringType)
+    if own_text:
+        rows = rows.drop("__text")
+    keep = [*carried, "__row", "__repo", "__owner"]
+    out = T.StructType([rows.schema[c] for c in keep] + [T.StructField("__found", _FOUND)])
+    at = carried.index(text_col) if own_text else len(keep)
 
     def run(batches):
         work = _scan(s)
         for batch in batches:
             for row in range(0, batch.num_rows, 512):
                 b = batch.slice(row, 512)
-                yield pa.RecordBatch.from_arrays([b.column(0), b.column(4), b.column(1), b.column(2), work(b.column(3))], names=out.fieldNames())
+                yield pa.RecordBatch.from_arrays([*b.columns[: len(keep)], work(b.column(at))], names=out.fieldNames())
+
+    return materialize(rows.mapInArrow(run, out), "secrets")
 
-    rows = materialize(source.mapInArrow(run, out), "secrets")
-    one = rows.select("row", "repo", "owner", F.explode("found").alias("x")).select("row", "repo", "owner", "x.*")
-    use = one.groupBy("hash", "repo", "owner").agg(F.count(F.lit(1)).alias("n"))
+
+def _live(rows: DataFrame, s: Settings) -> DataFrame:
+    """(hash, repos, owners) of the values of few owners and repositories, by exact distinct counts over all rows."""
+    one = rows.select("__repo", "__owner", F.explode("__found.hash").alias("hash"))
     nothing = F.lit("\0")
-    counts = use.groupBy("hash").agg(F.countDistinct(F.coalesce("repo", nothing)).alias("repos"), F.countDistinct(F.coalesce("owner", nothing)).alias("owners"))
-    judged = one.dropDuplicates(["row", "kind", "start", "end"]).join(counts, "hash").withColumn("verdict", F.when(F.col("owners") >= s.max_owners, "example").otherwise("live"))
+    counts = one.groupBy("hash").agg(F.count_distinct(F.coalesce("__repo", nothing)).alias("repos"), F.count_distinct(F.coalesce("__owner", nothing)).alias("owners"))
+    return counts.where((F.col("owners") < s.max_owners) & (F.col("repos") < s.max_repos))
+
+
+def _judged(rows: DataFrame, spans: Column, live: DataFrame, s: Settings) -> DataFrame:
+    """(row, span columns, repos, owners, verdict) of the given spans, once for repeated rows; counts are null for examples."""
+    one = rows.select(F.col("__row").alias("row"), F.explode(spans).alias("x")).select("row", "x.*").dropDuplicates(["row", "kind", "start", "end"])
+    one = one.withColumn("salt", F.pmod(F.xxhash64("row"), F.lit(s.salts)).cast("int"))
+    known = live.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(s.salts - 1))))
+    return one.join(known, ["hash", "salt"], "left").withColumn("verdict", F.when(F.col("owners").isNull(), "example").otherwise("live")).drop("salt")
+
+
+def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", repo_col: str = "doc_id", owner_col: str = "source", settings: Settings = Settings()) -> DataFrame:
+    """Per document its id, ``row`` (row_key of id, repository, owner and text) and ``spans``: array of (kind, start, end, hash, base, repos, owners, verdict) by start, in code
+    points; verdict is ``live`` or ``example``, whose counts are null.  Base spans are all there, others only if live."""
+    s = settings
+    rows = candidates(docs, [id_col], id_col, text_col, repo_col, owner_col, s)
+    judged = _judged(rows, F.col("__found"), _live(rows, s), s)
     order = F.create_map(*[F.lit(x) for kind, n in KINDS.items() for x in (kind, n)])
     kept = judged.where(F.col("base") | (F.col("verdict") == "live"))
     listed = kept.groupBy("row").agg(F.array_sort(F.collect_list(F.struct(F.col("start"), order[F.col("kind")].alias("rank"), F.col("end"), F.col("kind"), F.col("hash"), F.col("base"), F.col("repos"), F.col("owners"), F.col("verdict")))).alias("spans"))
-    return rows.select("row", F.col("id").alias(id_col)).join(listed, "row", "left").select(id_col, "row", F.coalesce("spans", F.array().cast(listed.schema["spans"].dataType)).alias("spans"))
+    return rows.select(F.col("__row").alias("row"), id_col).join(listed, "row", "left").select(id_col, "row", F.coalesce("spans", F.array().cast(listed.schema["spans"].dataType)).alias("spans"))
+
+
+def redacted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", repo_col: str = "doc_id", owner_col: str = "source", settings: Settings = Settings()) -> DataFrame:
+    """The documents with every span that scan_secrets would report replaced, and ``__redacted``, whether any was.  Rows with base spans only, or none, stay in
+    place; only those with further candidates meet their verdicts."""
+    s = settings
+    rows = candidates(docs, docs.columns, id_col, text_col, repo_col, owner_col, s)
+    base, further = F.filter("__found", lambda x: x["base"]), F.filter("__found", lambda x: ~x["base"])
+    plain, asked = rows.where(F.size(further) == 0), rows.where(F.size(further) > 0)
+    judged = _judged(asked, further, _live(rows, s), s).where("verdict = 'live'")
+    more = judged.groupBy("row").agg(F.collect_list(F.struct("kind", "start", "end", "hash", "base")).alias("__more"))
+    joined = asked.join(more, asked["__row"] == more["row"], "left").drop("row")
+    joined = joined.withColumn("__found", F.concat(base, F.coalesce("__more", F.array().cast(_FOUND)))).drop("__more")
+    every = plain.unionByName(joined)
+    return redact_column(every, "__found", text_col).select(*docs.columns, (F.size("__found") > 0).alias("__redacted"))
 
 
 def redact(text: str, spans: list[tuple[int, int, str]]) -> str:

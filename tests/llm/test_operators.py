@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import re
+import time
 import zlib
 
 import numpy as np
@@ -294,6 +295,55 @@ def test_op5(spark, docs, empty):
     assert S.scan_secrets(docs).count() == len(ROWS) and S.scan_secrets(empty).count() == 0
 
 
+def brute_secrets(rows, s):
+    """Spans of every row by plain loops: base ones, and further ones that overlap nothing and whose value few owners and repositories have."""
+    found, repos, owners = [], collections.defaultdict(set), collections.defaultdict(set)
+    for d, text, owner in rows:
+        text = text or ""
+        spans = [(k, m.start(), m.end(), m[g], True) for k, p, g, least in S.BASE for m in p.finditer(text) if len(m[g]) >= least]
+        for kind, p, _ in S.MORE:
+            for m in p.finditer(text):
+                value = m[m.lastindex or 0]
+                if S.live_looking(kind, value, s) and all(m.end() <= a or m.start() >= b for _, a, b, _, _ in spans):
+                    spans.append((kind, m.start(), m.end(), value, False))
+        for *_, value, _ in spans:
+            repos[value].add(d)
+            owners[value].add(owner)
+        found.append((d, text, spans))
+    live = {v for v in repos if len(repos[v]) < s.max_repos and len(owners[v]) < s.max_owners}
+    return [(d, text, sorted((a, list(S.KINDS).index(k), b, "live" if v in live else "example") for k, a, b, v, base in spans if base or v in live)) for d, text, spans in found]
+
+
+def test_op5_ownership_equals_brute_force(spark):
+    rng = np.random.default_rng(6)
+    chars = "abcdefghijkmnpqrstuvwxyzABCDEFGHJKLMNPQRSTUVWXYZ23456789"
+    draw = lambda n: "".join(rng.choice(list(chars), n))
+    values = [f"ghp_{draw(34)}" for _ in range(8)] + [draw(40) for _ in range(8)] + [f"eyJ{draw(12)}.{draw(12)}.{draw(12)}" for _ in range(3)] + [f"AKIA{draw(18).upper()}" for _ in range(3)]
+    rows = []
+    for i in range(160):
+        picked = [values[int(v)] for v in rng.integers(0, len(values), int(rng.integers(0, 4)))]
+        owner = None if i % 17 == 0 else f"o{i % 23 if i % 3 else 0}"
+        rows.append((i if i % 29 else None, " and ".join(f"w{i} {v} token={v}" if n % 2 else f"see {v}" for n, v in enumerate(picked)) if i % 13 else None, owner))
+    rows += [rows[7], rows[7], (7, None, "o1"), (7, "other text with " + values[0], "o1")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+    for s in (S.Settings(), S.Settings(max_owners=9, max_repos=12), S.Settings(max_owners=30, max_repos=6, salts=1)):
+        want = brute_secrets(rows, s)
+        got = [(r["doc_id"], sorted((x["start"], x["rank"], x["end"], x["verdict"]) for x in r["spans"])) for r in S.scan_secrets(df, settings=s).collect()]
+        assert sorted(got, key=repr) == sorted(((d, spans) for d, _, spans in want), key=repr)
+        kinds = list(S.KINDS)
+        texts = [(d, S.redact(text, [(a, b, kinds[k]) for a, k, b, _ in spans]) if spans else None, bool(spans)) for d, text, spans in want]
+        told = S.redacted(df, settings=s).collect()
+        assert sorted(((r["doc_id"], r["text"] if r["__redacted"] else None, r["__redacted"]) for r in told), key=repr) == sorted(texts, key=repr)
+        assert sorted((r["text"] or "" for r in told if not r["__redacted"])) == sorted(text for _, text, spans in want if not spans)
+
+
+def test_op5_many_spans():
+    rng = np.random.default_rng(7)
+    text = " ".join("".join(rng.choice(list("abcdefGHIJKL234567"), 40)) for _ in range(60_000))
+    began = time.perf_counter()
+    assert len(S.more_spans(text, S.base_spans(text), S.Settings())) > 50_000 and time.perf_counter() - began < 8
+
+
 def test_op5_long_values(spark):
     chars = "aB3dE5gH7jK9mN1pQ2rS4tU6vW8xY0z"
     run = lambda n: (chars * (n // len(chars) + 1))[:n]
