@@ -28,6 +28,7 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -48,7 +49,7 @@ class Settings:
     shard_keys: int = 500_000
     least_parts: int = 64
     anchor_bytes: int = 4
-    automaton_words: int = 150_000
+    automaton_words: int = 250_000
     spread: int = 64
     targets: int = 256
 
@@ -117,80 +118,58 @@ def runs(places: np.ndarray, to: np.ndarray, window: int) -> list[tuple[int, int
     return [(int(first[i]), int(last[i]) + window, target[i:j]) for i, j in zip(cut.tolist(), [*cut[1:].tolist(), len(first)])]
 
 
-class Vocabulary:
-    """Words as numbers, and numbers as fixed-width strings of digits that tell their place, so that no match is shifted."""
+BASE = 64
 
-    BASE = 64
 
-    def __init__(self):
-        self.ids: dict[bytes, int] = {}
-
-    def learn(self, words: list[bytes]) -> np.ndarray:
-        ids = self.ids
-        return np.array([ids.setdefault(w, len(ids)) for w in words], np.int32)
-
-    def read(self, words: list[bytes]) -> np.ndarray:
-        """Numbers of known words, -1 for others."""
-        return np.array([*map(self.ids.get, words, [-1] * len(words))], np.int32)
-
-    def digits(self) -> int:
-        n, width = len(self.ids), 1
-        while self.BASE**width < n:
-            width += 1
-        return width
-
-    def letters(self, numbers: np.ndarray, width: int) -> str:
-        out = np.ones((len(numbers), width), np.uint32)  # 1 is the letter of unknown words
-        known = numbers >= 0
-        rest = numbers[known].astype(np.int64)
-        for d in range(width):
-            out[known, d] = 2 + d * self.BASE + rest % self.BASE
-            rest //= self.BASE
-        return out.astype("<u4").tobytes().decode("utf-32-le")
+def letters(numbers: np.ndarray, width: int) -> str:
+    """Numbers as ``width`` letters each, which tell their place, so that no match is shifted; -1 is a letter that stands in no pattern."""
+    out = np.ones((len(numbers), width), np.uint32)
+    known = numbers >= 0
+    rest = numbers[known]
+    for d in range(width):
+        out[known, d] = 2 + d * BASE + rest % BASE
+        rest = rest // BASE
+    return out.astype("<u4").tobytes().decode("utf-32-le")
 
 
 def locate(texts: list[list[bytes]], passages: list[list[bytes]], s: Settings) -> list[np.ndarray]:
     """For each text, as its words, which of them lie under a window of a passage, by one automaton for each shard of passages."""
     import ahocorasick
 
-    gone = [np.zeros(len(t), bool) for t in texts]
     size, seed, at = s.window, (s.window + 1) // 2, 0
     most = max(s.automaton_words, size)
-    passages = [p[i : i + most] for p in passages for i in range(0, len(p) - size + 1, most - size + 1)]
-    while at < len(passages):
-        vocabulary, part, room = Vocabulary(), [], s.automaton_words
-        while at < len(passages) and (not part or len(passages[at]) <= room):
-            part.append(vocabulary.learn(passages[at]))
-            room -= len(passages[at])
+    ids: dict[bytes, int] = {}
+    numbered = [np.array([ids.setdefault(w, len(ids)) for w in p], np.int32) for p in passages]
+    numbered = [p[i : i + most] for p in numbered for i in range(0, len(p) - size + 1, most - size + 1)]
+    width = 1
+    while BASE**width < len(ids):
+        width += 1
+    between = [b""]  # no word
+    flat = np.fromiter(map(ids.get, chain.from_iterable(chain(t, between) for t in texts), repeat(-1)), np.int32) if numbered else np.zeros(0, np.int32)
+    stream, data = letters(flat, width), flat.tobytes()
+    cover = np.zeros(len(flat) + 1, np.int32)
+    while at < len(numbered):
+        automaton, windows, room = ahocorasick.Automaton(ahocorasick.STORE_LENGTH), set(), most
+        while at < len(numbered) and len(numbered[at]) <= room:
+            numbers, raw = letters(numbered[at], width), numbered[at].tobytes()
+            for i in range(0, len(numbered[at]) - seed + 1, seed):
+                automaton.add_word(numbers[i * width : (i + seed) * width])
+            windows.update([raw[4 * i : 4 * (i + size)] for i in range(len(numbered[at]) - size + 1)])
+            room -= len(numbered[at])
             at += 1
-        width = vocabulary.digits()
-        automaton, windows = ahocorasick.Automaton(ahocorasick.STORE_LENGTH), set()
-        for numbers in part:
-            letters, data = vocabulary.letters(numbers, width), numbers.tobytes()
-            for i in range(0, len(numbers) - seed + 1, seed):
-                automaton.add_word(letters[i * width : (i + seed) * width])
-            windows.update([data[4 * i : 4 * (i + size)] for i in range(len(numbers) - size + 1)])
         automaton.make_automaton()
-        for words, out in zip(texts, gone):
-            if len(words) < size:
-                continue
-            numbers = vocabulary.read(words)
-            ends = [end for end, _ in automaton.iter(vocabulary.letters(numbers, width))]
-            if not ends:
-                continue
-            first = (np.array(ends, np.int64) + 1) // width - seed
-            near = np.zeros(len(words) + 1, np.int32)  # the windows that hold a found phrase
-            np.add.at(near, np.maximum(first - (size - seed), 0), 1)
-            np.add.at(near, first + 1, -1)
-            data = numbers.tobytes()
-            starts = np.flatnonzero(np.cumsum(near[: len(words) - size + 1]) > 0).tolist()
-            found = np.array([i for i in starts if data[4 * i : 4 * (i + size)] in windows], np.int64)
-            if len(found):
-                cover = np.zeros(len(words) + 1, np.int32)
-                cover[found] += 1
-                cover[found + size] -= 1
-                out |= np.cumsum(cover[:-1]) > 0
-    return gone
+        ends = np.fromiter((end for end, _ in automaton.iter(stream)), np.int64)
+        first = (ends + 1) // width - seed
+        near = np.zeros(len(flat) + 1, np.int32)  # the windows that hold a found phrase
+        np.add.at(near, np.maximum(first - (size - seed), 0), 1)
+        np.add.at(near, first + 1, -1)
+        starts = np.flatnonzero(np.cumsum(near[: max(0, len(flat) - size + 1)]) > 0).tolist()
+        found = np.array([i for i in starts if data[4 * i : 4 * (i + size)] in windows], np.int64)
+        cover[found] += 1
+        cover[found + size] -= 1
+    gone = np.cumsum(cover[:-1]) > 0 if numbered else np.zeros(sum(map(len, texts)) + len(texts), bool)
+    ends = np.cumsum([len(t) + 1 for t in texts]).tolist()
+    return [gone[e - len(t) - 1 : e - 1] for t, e in zip(texts, ends)]
 
 
 def dedup_phrases(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", settings: Settings = Settings()) -> DataFrame:
