@@ -379,6 +379,47 @@ def test_tiles_are_greedy():
         assert sorted(n for _, _, n in D.tile(doc, item, 3)) == sorted(n for _, _, n in brute_tiles(doc.tolist(), item.tolist(), k))
 
 
+def test_tiles_at_their_places():
+    rng = np.random.default_rng(9)
+    for _ in range(60):
+        doc, item = (rng.integers(1, 5, int(rng.integers(1, 40))).astype(np.uint64) for _ in "ab")
+        tiles = D.tile(doc, item, 3)
+        assert all((doc[i : i + n] == item[j : j + n]).all() for i, j, n in tiles)
+        for side in (0, 1):
+            used = [x for t in tiles for x in range(t[side], t[side] + t[2])]
+            assert len(used) == len(set(used))
+
+
+def test_op6_equals_brute_force(spark):
+    """Coverage of every item in every document by plain tiling, over items that share phrases and documents that move parts about."""
+    rng = np.random.default_rng(10)
+    phrase = lambda: [f"v{int(x)}" for x in rng.integers(0, 12, int(rng.integers(3, 12)))]
+    stock = [phrase() for _ in range(12)]
+    join = lambda n: [w for _ in range(n) for w in stock[int(rng.integers(0, len(stock)))]]
+    items = [(i, " ".join(join(int(rng.integers(1, 4))))) for i in range(12)]
+    rows = [(i, " ".join([*join(int(rng.integers(0, 3))), "zz", *join(int(rng.integers(0, 4)))])) for i in range(40)]
+    want = []
+    for d, text in rows:
+        for k, item in items:
+            a, b = text.split(), item.split()
+            tiles = brute_tiles(a, b, min(5, len(b)))
+            if sum(n for *_, n in tiles) >= 0.6 * len(b) - 1e-9:
+                want.append((d, k, round(sum(n for *_, n in tiles) / len(b), 9), len(tiles), max(n for *_, n in tiles)))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = D.contaminated(spark.createDataFrame(rows, "doc_id long, text string"), bench).collect()
+    assert len(want) > 20 and sorted((r["doc_id"], r["item_id"], round(r["coverage"], 9), r["n_tiles"], r["longest_tile"]) for r in got) == sorted(want)
+
+
+def test_op6_repeated_words(spark):
+    """A million equal words against items of the same word: memory and time follow the words, not their pairs."""
+    one, two = "na " * 1_000_000, "na ne " * 300_000
+    df = spark.createDataFrame([(1, one), (2, two), (3, "na " * 250)], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, "na " * 300), (2, ("na " * 7 + "ne ") * 30), (3, "na ne " * 90)], "item_id long, text string")
+    began = time.perf_counter()
+    got = {(r["doc_id"], r["item_id"]): (r["coverage"], r["n_tiles"]) for r in D.contaminated(df, bench).collect()}
+    assert got == {(1, 1): (1.0, 1), (1, 2): (210 / 240, 30), (2, 3): (1.0, 1), (3, 1): (250 / 300, 1), (3, 2): (210 / 240, 30)} and time.perf_counter() - began < 60
+
+
 def test_op6(spark, docs, empty):
     item = prose(20, 7)
     parts = item.split()
