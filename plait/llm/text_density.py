@@ -8,7 +8,8 @@ main without article, but for blocks beside the subtree that miss the threshold
 Elements that by their tag, role, class or id are menus, headers, footers, sidebars,
 notices, adverts, forms or comments never count, but a class, role or id alone never switches off the page's article.
 
-Unclosed and misnested tags are repaired as browsers do for the common cases; nothing recurses, so depth is no limit.
+Unclosed and misnested tags are repaired as browsers do for the common cases.  Nothing recurses, and what is open is known by tag, so time grows
+with the page alone, however deep it is.
 
 Defined results: a null or empty page has the empty text; text without any tag is the whole page's text; of equal
 sums the innermost, first container is taken; repeated rows give repeated rows.
@@ -68,12 +69,36 @@ class _Tree(HTMLParser):
         self.tags, self.chars, self.link_tags, self.link_chars = [0], [0], [0], [0]
         self.texts: list[tuple[int, str]] = []
         self.stack, self.link = [0], False
+        self.open: dict[str, list[int]] = {"body": [0]}  # by tag, where on the stack its open elements are
+        self.blocks, self.fences = [], [0]  # where blocks and containers are
+
+    def _push(self, tag: str) -> None:
+        at = len(self.stack)
+        self.stack.append(len(self.tag) - 1)
+        self.open.setdefault(tag, []).append(at)
+        if tag in BLOCKS:
+            self.blocks.append(at)
+        if tag in CONTAINERS:
+            self.fences.append(at)
+
+    def _cut(self, k: int) -> None:
+        """Closes all from place k of the stack on."""
+        for i in self.stack[k:]:
+            self.open[self.tag[i]].pop()
+        del self.stack[k:]
+        for places in (self.blocks, self.fences):
+            while places and places[-1] >= k:
+                places.pop()
+
+    def _last(self, tags) -> int:
+        """The place on the stack of the innermost open element with one of the tags; 0 if there is none."""
+        return max((self.open[t][-1] for t in tags if self.open.get(t)), default=0)
 
     def _bad(self, tag: str, attrs: list) -> str | None:
         """``off`` for what never is content, ``marked`` for what its names call so."""
         if tag in DROPPED:
             return "off"
-        inside = any(self.tag[i] in ("article", "main") for i in self.stack)
+        inside = bool(self.open.get("article") or self.open.get("main"))
         if tag == "header":
             return None if inside else "marked"
         if tag in ("article", "main", "body", "html"):
@@ -89,19 +114,15 @@ class _Tree(HTMLParser):
         return marked
 
     def _end_head(self) -> None:
-        for k in range(len(self.stack) - 1, 0, -1):
-            if self.tag[self.stack[k]] == "head":
-                del self.stack[k:]
-                return
+        k = self._last(("head",))
+        if k:
+            self._cut(k)
 
     def _close_within(self, tags: set, fence: set) -> None:
-        for k in range(len(self.stack) - 1, 0, -1):
-            tag = self.tag[self.stack[k]]
-            if tag in tags:
-                del self.stack[k:]
-                return
-            if tag in fence or tag in CONTAINERS:
-                return
+        """Closes the innermost element with one of the tags, unless a fence or a container lies within it."""
+        k = self._last(tags)
+        if k and k >= self.fences[-1] and k > self._last(fence):
+            self._cut(k)
 
     def handle_starttag(self, tag, attrs):
         if tag == "body" or (self.tag[self.stack[-1]] == "head" and tag not in HEAD):
@@ -139,7 +160,7 @@ class _Tree(HTMLParser):
         for column in (self.tags, self.chars, self.link_tags, self.link_chars):
             column.append(0)
         if tag not in VOID:
-            self.stack.append(len(self.tag) - 1)
+            self._push(tag)
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -150,13 +171,10 @@ class _Tree(HTMLParser):
     def handle_endtag(self, tag):
         if tag == "a":
             self.link = False
-        for k in range(len(self.stack) - 1, 0, -1):
-            if self.tag[self.stack[k]] == tag:
-                del self.stack[k:]
-                self.link = False
-                return
-            if tag not in BLOCKS and self.tag[self.stack[k]] in BLOCKS:
-                return  # the end of an inline element never closes a block
+        k = self._last((tag,))
+        if k and (tag in BLOCKS or not self.blocks or k > self.blocks[-1]):  # the end of an inline element never closes a block
+            self._cut(k)
+            self.link = False
 
     def handle_data(self, data):
         if self.tag[self.stack[-1]] == "head" and not data.isspace():

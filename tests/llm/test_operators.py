@@ -280,6 +280,93 @@ def test_op4_marks_and_heads_lose_no_article():
         assert H4.main_text(f'<body><article>{body}</article><div class="{junk}">{other}</div></body>') == words
 
 
+def brute_main_text(tree):
+    """The chosen text of a tree of (tag, children or text) by plain recursion over its definition."""
+
+    def size(node):
+        tag, inner = node
+        if isinstance(inner, str):
+            n = len(inner.replace(" ", ""))
+            return (n, 1, n, 1) if tag == "a" else (n, 0, 0, 0)
+        parts = [size(x) for x in inner]
+        return tuple(sum(p[i] for p in parts) + (i == 1 and tag != "body") for i in range(4))
+
+    every = size(tree)
+    ratio = every[2] / max(every[0], 1)
+    density = lambda node: H4._density(*(x - (i == 1 and node is not tree) for i, x in enumerate(size(node))), ratio)
+    blocks = lambda node: [x for x in node[1] if not isinstance(x[1], str)]
+    best, path_to_best = None, None
+
+    def visit(node, path):
+        nonlocal best, path_to_best
+        path = [*path, node]
+        if node[0] in H4.CONTAINERS and size(node)[0]:
+            total = sum(map(density, blocks(node)))
+            if best is None or total > best or (total == best and len(path) > 1 and path[-2] is path_to_best[-1]):
+                best, path_to_best = total, path
+        for x in blocks(node):
+            visit(x, path)
+
+    visit(tree, [])
+    path = path_to_best or [tree]
+    threshold = min(map(density, path))
+    home = next((x for x in path if x[0] == "article"), next((x for x in reversed(path) if x[0] == "main"), path[-1]))
+
+    def take(node, chosen):
+        out, now = [], []
+        for x in node[1]:
+            if isinstance(x[1], str):
+                now += [x[1]] if chosen else []
+                continue
+            on, above = any(x is p for p in path), any(node is p for p in path)
+            inner = path[next(i for i, p in enumerate(path) if p is home) :]
+            under = above and any(node is p for p in inner)
+            if on:
+                own = any(x is p for p in inner)
+            elif under and node is not path[-1] and home[0] == "main":
+                own = density(x) >= threshold or 2 * size(x)[2] <= size(x)[0]
+            elif above and not under:
+                own = density(x) >= threshold > 0
+            else:
+                own = chosen
+            found = take(x, own)
+            if found:  # a block between two texts parts them
+                out += ["".join(now)] * bool(now) + found
+                now = []
+        return out + ["".join(now)] * bool(now)
+
+    return "\n\n".join(b for b in (" ".join(x.split()) for x in take(tree, home is tree)) if b)
+
+
+def test_op4_equals_brute_force():
+    rng = np.random.default_rng(12)
+    draw = lambda n: int(rng.integers(0, n))
+
+    def grow(depth, leaf):
+        kids = []
+        for _ in range(1 + draw(4)):
+            kind = draw(6)
+            if leaf or kind < 2 or depth == 0:
+                kids.append(("#" if draw(4) else "a", " ".join("w" * (1 + draw(8)) for _ in range(1 + draw(12))) + " "))
+            else:
+                tag = ("div", "section", "div", "article", "main", "p")[draw(6)]
+                kids.append((tag, grow(depth - 1, tag == "p")))
+        return kids
+
+    html = lambda node: node[1] if node[0] == "#" else f"<a href=x>{node[1]}</a>" if node[0] == "a" else "".join(map(html, node[1])) if node[0] == "body" else f"<{node[0]}>{''.join(map(html, node[1]))}</{node[0]}>"
+    for _ in range(300):
+        tree = ("body", grow(4, False))
+        assert H4.main_text("<body>" + html(tree) + "</body>") == brute_main_text(tree)
+
+
+def test_op4_deep_pages():
+    began = time.perf_counter()
+    n = 100_000
+    for page in ("<div>" * n + "<p>deep text</p>", "<div>" * n + "<span class=ad>" * 10 + "<p>deep text</p>", "<div><p><b>" * (n // 3) + "<p>deep text</p>", "<ul>" * n + "<li>deep text", "<p>deep text</p>" + "<span>" * n + "</b>" * n):
+        assert "deep text" in H4.main_text(page)
+    assert time.perf_counter() - began < 10
+
+
 TOKEN = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff"
 
 
