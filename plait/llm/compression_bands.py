@@ -20,7 +20,11 @@ from pyspark.sql import DataFrame
 from .common import scan_texts
 from .words import Words, mix, text_bytes
 
-#: (texts below so many bytes, lowest ratio, highest ratio); short texts compress less and vary more.
+#: (texts below so many bytes, lowest ratio, highest ratio); short texts compress less and vary more.  The synthetic documents (sf0.1, whole
+#: texts, level 3) that are labelled good and pass the base rules have ratios of 1.38 to 1.85 under 500 bytes, and of 1.47 to 1.98, 1.73 to 2.15, 1.92
+#: to 2.22, 2.11 to 2.34 and 2.22 to 2.48 in the next lengths, their chunks 1.89 to 2.14.  Their words are drawn evenly, while real prose of
+#: one subject repeats more, so the limits leave a fifth or more below and a quarter or more above.  Another corpus, above all in other scripts, wants limits
+#: of its own, measured in the same way.
 BANDS = ((200, 0.0, 2.3), (500, 1.05, 2.4), (1000, 1.2, 2.5), (2000, 1.35, 2.7), (4000, 1.5, 2.9), (8000, 1.6, 3.1), (32000, 1.7, 3.5), (float("inf"), 1.7, 4.0))
 _WORD = re.compile(r"[^\x20\x09-\x0D]")
 
