@@ -7,8 +7,8 @@ the statistics, so that scoring is a plain projection.
 ``fit`` uses a bounded sample of labelled rows (``max_rows``, by a seeded hash of the id); scoring reads every text.
 
 Defined results: a null text counts as an empty one, all statistics 0; without usable labels, or with one class only,
-the score is the (smoothed) share of label 1; several labels of one id count as their rounded mean; repeated rows give
-repeated rows; statistics are finite for any text, so scores lie in 0 to 1.
+the score is the (smoothed) share of label 1; several labels of one id count as their rounded mean, of several
+texts of one id the one with the least statistics, in their order, is learned from; repeated rows give repeated rows; statistics are finite for any text, so scores lie in 0 to 1.
 """
 
 from __future__ import annotations
@@ -203,7 +203,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     picked = rows.where(F.pmod(F.shiftright("__h", 11), F.lit(1 << 50)) < F.lit(int(rate * (1 << 50)))).orderBy("__h", "__id").limit(settings.max_rows)
     texts = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text")).join(F.broadcast(picked.select("__id", "__y")), "__id")
     found = with_statistics(texts.select(F.struct("__id", "__y").alias("__key"), "__text"), ["__key"], "__text")
-    table = found.select(F.col("__key.__id").alias("__id"), F.col("__key.__y").alias("__y"), *STATISTICS).dropDuplicates(["__id"]).orderBy("__id").toArrow()
+    # of several texts with one id the least statistics count, whatever the order of rows
+    one = found.groupBy(F.col("__key.__id").alias("__id"), F.col("__key.__y").alias("__y")).agg(F.min(F.struct(*STATISTICS)).alias("s"))
+    table = one.select("__id", "__y", "s.*").orderBy("__id").toArrow()
     if not table.num_rows:
         return fit_rules(np.zeros((0, len(STATISTICS))), np.zeros(0), settings)
     values = np.stack([table.column(c).to_numpy() for c in STATISTICS], axis=1)
