@@ -630,3 +630,30 @@ def test_op10_bands(spark):
     df = spark.createDataFrame([(1, plain(100)), (2, plain(2000)), (3, noise), (4, partly)], "doc_id long, text string")
     got = {r["doc_id"]: r["reason"] for r in B.compression_bands(df).collect()}
     assert got[1] == got[2] == "" and got[3] == "incompressible" and got[4] in ("base", "chunks", "repetitive")
+
+
+def test_op10_verdict_equals_brute_force(spark):
+    """Ratios, chunks and the first reason of every text by plain calls."""
+    import zstandard
+
+    rng = np.random.default_rng(3)
+    word = lambda: "".join(rng.choice(list("abcdefghijklmnoprstu"), int(rng.integers(2, 9))))
+    pool = [word() for _ in range(400)]
+    rows = [(i, " ".join(rng.choice(pool[: 5 + i * 8], 40 + i * 40))) for i in range(50)] + [(100 + i, t) for i, (_, t) in enumerate(ROWS)]
+    limits = B.Limits()
+    pack = zstandard.ZstdCompressor(level=limits.level, write_checksum=False, write_content_size=False).compress
+    got = {r["doc_id"]: r for r in B.compression_bands(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    reasons = set()
+    for i, text in rows:
+        data = (text or "").encode()
+        ratio, cuts = len(data) / len(pack(data)) if data else 0.0, []
+        if len(data) >= 2 * limits.chunk:
+            starts = [a for a in range(0, len(data), limits.chunk) if len(data) - a > limits.chunk // 2]
+            cuts = [data[a:b] for a, b in zip(starts, [*starts[1:], len(data)])]
+        bad = sum(not limits.chunk_band[0] <= len(c) / len(pack(c)) <= limits.chunk_band[1] for c in cuts)
+        low, high = next((lo, hi) for below, lo, hi in limits.bands if len(data) < below)
+        r = got[i]
+        want = "base" if r["base_failed"] else "repetitive" if ratio > high else "incompressible" if ratio < low else "chunks" if bad > limits.bad_share * len(cuts) else ""
+        assert (r["ratio"], r["n_chunks"], r["n_bad_chunks"], r["reason"], r["kept"]) == (ratio, len(cuts), bad, want, not want)
+        reasons.add(want)
+    assert len(reasons) >= 3
