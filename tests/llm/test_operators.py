@@ -578,6 +578,48 @@ def test_op8(docs, empty):
     assert H.shuffle_shards(empty).count() == 0
 
 
+def rendezvous(key, shards, seed):
+    """The shard of the greatest signed hash, by a library of its own: numbers are hashed one after the other, each with the last hash as seed."""
+    import struct
+
+    import xxhash
+
+    def weight(i):
+        h = xxhash.xxh64(struct.pack("<i", seed), seed=42).intdigest()
+        h = h if key is None else xxhash.xxh64(struct.pack("<q", key), seed=h).intdigest()
+        h = xxhash.xxh64(struct.pack("<i", i), seed=h).intdigest()
+        return h - (1 << 64) if h >> 63 else h, i
+
+    return max(map(weight, range(shards)))[1]
+
+
+def test_op8_equals_brute_force(docs, spark, tmp_path):
+    """Shards, also among one more, recomputed; slots are a permutation by bucket, and the files hold them in order."""
+    s = H.Settings(shards=6, least_buckets=3)
+    rows = [*ROWS, *[(i, f"text {i % 50}") for i in range(300)]]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = H.shuffle_shards(df, path=str(tmp_path / "out"), settings=s).collect()
+    assert collections.Counter((r["doc_id"], r["text"]) for r in got) == collections.Counter(rows)
+    for r in got:
+        assert r["shard"] == rendezvous(r["doc_id"], 6, s.seed) and r["grown_shard"] == rendezvous(r["doc_id"], 7, s.seed)
+        assert r["text_crc32"] == zlib.crc32((r["text"] or "").encode()) and r["size"] == 16 + len((r["text"] or "").encode())
+    for shard in range(6):
+        inside = sorted((r for r in got if r["shard"] == shard), key=lambda r: r["slot"])
+        assert [r["slot"] for r in inside] == list(range(len(inside)))
+        order = lambda r: (r["doc_id"] is None, r["doc_id"] or 0, r["text_crc32"], r["size"])
+        at = 0
+        for bucket in sorted({r["bucket"] for r in inside}):
+            held = sorted((r for r in inside if r["bucket"] == bucket), key=order)
+            want = [held[i] for i in H.fisher_yates(len(held), [s.seed, shard, bucket])]
+            assert [(r["doc_id"], r["text"]) for r in want] == [(r["doc_id"], r["text"]) for r in inside[at : at + len(held)]]
+            at += len(held)
+        import pyarrow.parquet as pq
+
+        files = sorted((tmp_path / "out" / f"shard={shard}").glob("*.parquet"))
+        stored = [x for f in files for x in pq.read_table(f, partitioning=None).select(["id", "text"]).to_pylist()]
+        assert [(x["id"], x["text"]) for x in stored] == [(r["doc_id"], r["text"]) for r in inside]
+
+
 def test_fisher_yates_is_uniform():
     seen = collections.Counter(tuple(H.fisher_yates(3, [7, i])) for i in range(6000))
     assert len(seen) == 6 and all(850 < c < 1150 for c in seen.values())
