@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from .common import materialize
+from .common import discard, materialize
 
 
 def _settled(edges: DataFrame) -> bool:
@@ -32,5 +32,6 @@ def components(edges: DataFrame, name: str = "components", rounds: int = 60) ->
         large = materialize(large.distinct(), name)
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.explode(F.array(F.struct(F.col("u").alias("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
-        now = materialize(small.select("e.u", "e.v").where("u <> v").distinct(), name)
+        before, now = now, materialize(small.select("e.u", "e.v").where("u <> v").distinct(), name)
+        discard(before, large)
     raise RuntimeError("components did not settle")

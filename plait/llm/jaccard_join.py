@@ -6,12 +6,15 @@
    n - ceil(t n) + 1.  Shingles seen once lead to nobody: a document whose prefix has only such is done.
 3. Equal sets are one node.  Nodes with the same prefix and size are one group; groups meet in an inverted index over
    the shared prefix shingles, pass the size and position filters, and are expanded to member pairs, whose exact
-   similarity is computed from the whole texts.
+   similarity is computed from the whole texts.  The groups of a frequent shingle meet in blocks, where member pairs also pass parity bitmaps.
 4. So that a group of thousands of near copies is not compared with itself pair by pair, a first round links each node
    to one node of each of its minimum-hash neighbourhoods, the one whose shingles are the most frequent, as those of the
    text are from which the others were copied; the inverted index then only pairs groups of different
    components, which is all that components can still depend on.  No link between components is lost.
 
+A text is sent once for each pair in which it is compared with a more central one, which is sent once to each chunk of its pairs.
+Ids must be numbers, or texts of numbers.  Fully equal rows share a bucket of the census.
+
 Defined results: null or empty texts, or texts without words, have an empty set and link with nothing; fewer words
 than a shingle are one shingle; equal texts, repeated rows included, share a component; a null id takes part but never
 is a component's name unless all ids of the component are null; an empty table gives an empty table.
@@ -26,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from . import census
-from .common import materialize, parts_for, release, text_volume
+from .common import materialize, release, scratch, text_volume
 from .components import components
 from .words import Words, mix, rolled, signed
 
@@ -42,6 +45,8 @@ class Settings:
     neighbourhoods: int = 4
     hot: int = 64
     block: int = 1024
+    chunk: int = 512
+    members: int = 32
     bitmap_words: int = 16
 
 
@@ -86,8 +91,8 @@ NODES = "id long, n_shingles long, node binary, text string, n int, grp binary,
 def _surveyed(docs: DataFrame, s: Settings) -> DataFrame:
     """Per document its set's identity; for the first of each set in a bucket that may have links also text and prefix."""
     volume = text_volume(docs, "text")
-    buckets = parts_for(volume, s.bucket_bytes, s.least_parts)
-    keys = census.Keys(parts_for(volume // 6, s.shard_keys, s.least_parts), s.key_bytes)
+    buckets, parts = census.sizes(volume, s.bucket_bytes, s.shard_keys, s.least_parts)
+    keys = census.Keys(parts(volume // 6), s.key_bytes)
     dealt = docs.select("id", "text", census.bucket_of(buckets, "id", "text").alias("bucket"))
 
     def first(table: pa.Table) -> pa.Table:
@@ -132,22 +137,34 @@ def _surveyed(docs: DataFrame, s: Settings) -> DataFrame:
 
 
 def _linked(pairs: DataFrame, nodes: DataFrame, s: Settings) -> DataFrame:
-    """Those of the distinct pairs (a, b) whose whole texts have the similarity."""
+    """Those of the distinct pairs (hub, node) whose whole texts have the similarity, as (a, b), a < b.
+
+    A hub's pairs are cut into chunks; a chunk's rows stand together in a task, the hub's own text first, and stream through it.
+    """
     texts = nodes.select("node", "text")
-    full = pairs.join(texts.toDF("a", "x"), "a").join(texts.toDF("b", "y"), "b").select("a", "b", "x", "y")
+    many = pairs.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / s.chunk).cast("int").alias("chunks"))
+    dealt = pairs.join(many, "hub").withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")).drop("chunks")
+    ones = dealt.join(texts, "node").select("hub", "chunk", "node", "text")
+    hubs = many.select("hub", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk")).join(texts.toDF("hub", "text"), "hub")
+    rows = hubs.select("hub", "chunk", F.lit(None).cast("binary").alias("node"), "text").unionByName(ones)
+    rows = rows.repartition("hub", "chunk").sortWithinPartitions("hub", "chunk", F.col("node").asc_nulls_first())
 
     def check(batches):
+        centre = np.zeros(0, np.uint64)
         for batch in batches:
             for row in range(0, batch.num_rows, 256):
                 part = batch.slice(row, 256)
-                one, two = (shingle_sets(part.column(c), s.shingle) for c in (2, 3))
                 ok = []
-                for x, y in zip(one, two):
-                    same = len(np.intersect1d(x, y, assume_unique=True))
-                    ok.append(100 * same >= s.percent * (len(x) + len(y) - same) and same > 0)
-                yield part.select([0, 1]).filter(pa.array(ok, pa.bool_()))
+                for mine, own in zip(shingle_sets(part.column(3), s.shingle), part.column(2).is_null().to_pylist()):
+                    if own:
+                        centre = mine
+                        ok.append(False)
+                        continue
+                    same = len(np.intersect1d(mine, centre, assume_unique=True))
+                    ok.append(100 * same >= s.percent * (len(mine) + len(centre) - same) and same > 0)
+                yield part.select([0, 2]).filter(pa.array(ok, pa.bool_()))
 
-    return full.mapInArrow(check, "a binary, b binary")
+    return rows.mapInArrow(check, "hub binary, node binary").select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b"))
 
 
 def _rest(nodes: DataFrame, comp: DataFrame, s: Settings) -> DataFrame:
@@ -156,8 +173,8 @@ def _rest(nodes: DataFrame, comp: DataFrame, s: Settings) -> DataFrame:
     labelled = materialize(labelled.drop("root"), "labelled")
     entries = lambda df, *c: df.select(*c, F.explode(F.arrays_zip("tokens", "places")).alias("e")).select(*c, F.col("e.tokens").alias("token"), F.col("e.places").alias("place"))
     counts = entries(labelled, "comp").groupBy("token", "comp").agg(F.count(F.lit(1)).alias("c"))
-    sizes = counts.groupBy("token").agg(F.count(F.lit(1)).alias("comps"), F.sum("c").alias("held"), F.max_by("comp", F.struct("c", "comp")).alias("main")).where("comps > 1")
-    sizes = materialize(sizes.select("token", "held", "main"), "meeting")
+    sizes = counts.groupBy("token").agg(F.count(F.lit(1)).alias("comps"), F.sum("c").alias("held"), F.max("c").alias("most"), F.max_by("comp", F.struct("c", "comp")).alias("main")).where("comps > 1")
+    sizes = materialize(sizes.select("token", "held", (F.col("held") - F.col("most")).alias("strangers"), "main"), "meeting")
     return _cold(labelled, entries, sizes.where(F.col("held") <= s.hot), s).unionByName(_hot(labelled, entries, sizes.where(F.col("held") > s.hot), s)).distinct()
 
 
@@ -180,57 +197,71 @@ def _cold(labelled: DataFrame, entries, sizes: DataFrame, s: Settings) -> DataFr
 
 
 def _hot(labelled: DataFrame, entries, sizes: DataFrame, s: Settings) -> DataFrame:
-    """The nodes of a frequent shingle in blocks: every two blocks meet in a task, which returns the pairs that the sizes, the
-    places and the bitmaps leave."""
-    rows = entries(labelled, "node", "comp", "n", "bits").join(sizes.withColumn("blocks", F.ceil(F.col("held") / s.block).cast("int")).select("token", "blocks"), "token")
-    rows = rows.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = rows.select("token", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "own", "node", "comp", "n", "place", "bits")
+    """The groups of a frequent shingle in blocks.  Only what lies outside the shingle's largest component need be compared, with all: every block of
+    such strangers meets every block in a task, which returns the member pairs that sizes, places and bitmaps leave."""
+    held = F.struct("node", "bits")
+    groups = labelled.groupBy("grp", "comp", F.pmod(F.xxhash64("node"), F.lit(s.members)).alias("part")).agg(F.first("n").alias("n"), F.first("tokens").alias("tokens"), F.first("places").alias("places"), F.collect_list(held).alias("members"))
+    counted = sizes.select("token", "main", F.ceil(F.col("held") / s.block).cast("int").alias("blocks"), F.ceil(F.col("strangers") / s.block).cast("int").alias("others"))
+    rows = entries(groups, "grp", "part", "comp", "n", "members").join(counted, "token")
+    own = lambda count: F.pmod(F.xxhash64("grp", "part"), F.col(count)).cast("int")
+    every = lambda count: F.explode(F.sequence(F.lit(0), F.col(count) - 1))
+    columns = ["token", "x", "y", "stranger", "comp", "n", "place", "members"]
+    one = rows.withColumns({"x": own("blocks"), "stranger": F.lit(False)}).withColumn("y", every("others")).select(*columns)
+    two = rows.where("comp <> main").withColumns({"y": own("others"), "stranger": F.lit(True)}).withColumn("x", every("blocks")).select(*columns)
 
     def meet(table: pa.Table) -> pa.Table:
-        x, y = table.column("x")[0].as_py(), table.column("y")[0].as_py()
-        own = table.column("own").to_numpy()
-        one, two = np.flatnonzero(own == x), np.flatnonzero(own == y)
+        stranger = table.column("stranger").to_numpy(zero_copy_only=False)
         n, place = table.column("n").to_numpy().astype(np.int64), table.column("place").to_numpy().astype(np.int64)
-        node = table.column("node").combine_chunks()
         comp = table.column("comp").combine_chunks().dictionary_encode().indices.to_numpy()
-        bits = np.frombuffer(b"".join(table.column("bits").to_pylist()), np.uint64).reshape(len(n), -1)
+        lists = table.column("members").combine_chunks()
+        first, flat = lists.offsets.to_numpy(), lists.values
+        node, bits = flat.field("node"), np.frombuffer(b"".join(flat.field("bits").to_pylist()), np.uint64).reshape(len(flat), -1)
+        first, count = first - first[0], np.diff(first)
         found_a, found_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for at in range(0, len(one), 64):
-            i = one[at : at + 64, None]
-            j = two[None, :]
+        left, right = np.flatnonzero(stranger), np.flatnonzero(~stranger)
+        for at in range(0, len(left), 64):
+            i, j = left[at : at + 64, None], right[None, :]
             room = np.minimum(n[i] - place[i], n[j] - place[j])
             ok = (comp[i] != comp[j]) & (100 * np.minimum(n[i], n[j]) >= s.percent * np.maximum(n[i], n[j])) & (room * (100 + s.percent) >= s.percent * (n[i] + n[j]))
-            a, b = np.nonzero(ok & (i < j) if x == y else ok)
-            a, b = i[a, 0], j[0, b]
+            g, h = np.nonzero(ok)
+            g, h = i[g, 0], j[0, h]
+            each = count[g] * count[h]  # members of both groups
+            pair = np.repeat(np.arange(len(g)), each)
+            k = np.arange(len(pair)) - np.repeat(np.cumsum(each) - each, each)
+            a, b = first[g[pair]] + k // count[h[pair]], first[h[pair]] + k % count[h[pair]]
+            sizes = n[g[pair]] + n[h[pair]]
             apart = np.bitwise_count(bits[a] ^ bits[b]).sum(axis=1, dtype=np.int64)
-            most = (n[a] + n[b] - apart) // 2  # shared shingles at best
-            left = most * (100 + s.percent) >= s.percent * (n[a] + n[b])
-            found_a.append(a[left])
-            found_b.append(b[left])
+            most = (sizes - apart) // 2  # shared shingles at best
+            good = most * (100 + s.percent) >= s.percent * sizes
+            found_a.append(a[good])
+            found_b.append(b[good])
         return pa.table({"p": node.take(pa.array(np.concatenate(found_a))), "q": node.take(pa.array(np.concatenate(found_b)))})
 
-    return rows.groupBy("token", "x", "y").applyInArrow(meet, "p binary, q binary").select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b"))
+    return one.unionByName(two).groupBy("token", "x", "y").applyInArrow(meet, "p binary, q binary").select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b"))
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", settings: Settings = Settings()) -> DataFrame:
     """Per document n_shingles and component_id, the least id reachable by links (itself included)."""
     s = settings
-    rows = materialize(_surveyed(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")), s), "survey")
-    held = F.struct("text", "n", "grp", "tokens", "places", "near", "bits", "known")
-    nodes = rows.where("n is not null").groupBy("node").agg(F.min_by(held, F.struct(F.length("text"), F.xxhash64("text"))).alias("h")).select("node", "h.*")
-    nodes = materialize(nodes, "nodes")
-    near = nodes.select("node", "known", F.explode(F.array_distinct("near")).alias("key"))
-    heads = near.groupBy("key").agg(F.max_by("node", F.struct("known", "node")).alias("head"))
-    pairs = near.join(heads, "key").where("node <> head").select(F.least("head", "node").alias("a"), F.greatest("head", "node").alias("b")).distinct()
-    links = materialize(_linked(pairs, nodes, s), "links")
-    comp = components(links, "first")
-    more = _linked(materialize(_rest(nodes, comp, s), "pairs"), nodes, s)
-    at = lambda c: comp.select(F.col("node").alias(c), F.col("root").alias(f"r{c}"))
-    bridges = more.join(at("a"), "a", "left").join(at("b"), "b", "left").select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b"))
-    above = components(bridges, "final").toDF("root", "top")  # of the components' roots
-    named = rows.where("node is not null").groupBy("node").agg(F.min("id").alias("least"))
-    roots = named.join(comp, "node", "left").withColumn("root", F.coalesce("root", "node")).join(above, "root", "left").withColumn("root", F.coalesce("top", "root")).drop("top")
-    names = roots.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_node = materialize(roots.select("node", "root").join(names, "root").select("node", "component_id"), "names")
+    with scratch(docs.sparkSession) as keep:
+        rows = materialize(_surveyed(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")), s), "survey")
+        held = F.struct("text", "n", "grp", "tokens", "places", "near", "bits", "known")
+        nodes = rows.where("n is not null").groupBy("node").agg(F.min_by(held, F.struct(F.length("text"), F.xxhash64("text"))).alias("h")).select("node", "h.*")
+        nodes = materialize(nodes, "nodes")
+        near = nodes.select("node", "known", F.explode(F.array_distinct("near")).alias("key"))
+        heads = near.groupBy("key").agg(F.max_by("node", F.struct("known", "node")).alias("hub"))
+        pairs = near.join(heads, "key").where("node <> hub").select("hub", "node").distinct()
+        links = materialize(_linked(pairs, nodes, s), "links")
+        comp = components(links, "first")
+        met = materialize(_rest(nodes, comp, s).toDF("hub", "node"), "pairs")
+        more = _linked(met, nodes, s)
+        at = lambda c: comp.select(F.col("node").alias(c), F.col("root").alias(f"r{c}"))
+        bridges = more.join(at("a"), "a", "left").join(at("b"), "b", "left").select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b"))
+        above = components(bridges, "final").toDF("root", "top")  # of the components' roots
+        named = rows.where("node is not null").groupBy("node").agg(F.min("id").alias("least"))
+        roots = named.join(comp, "node", "left").withColumn("root", F.coalesce("root", "node")).join(above, "root", "left").withColumn("root", F.coalesce("top", "root")).drop("top")
+        names = roots.groupBy("root").agg(F.min("least").alias("component_id"))
+        by_node = materialize(roots.select("node", "root").join(names, "root").select("node", "component_id"), "names")
+        keep(rows, by_node)
     out = rows.select("id", "n_shingles", "node").join(by_node, "node", "left")
     return out.select(F.col("id").alias(id_col), "n_shingles", F.coalesce("component_id", "id").alias("component_id"))
