@@ -21,8 +21,8 @@ _PARTS = r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?
 
 
 def _decoded(part: Column) -> Column:
-    """Percent escapes and plus signs resolved; a malformed text only loses its plus signs."""
-    return F.coalesce(F.try_url_decode(part), F.replace(part, F.lit("+"), F.lit(" ")))
+    """Well-formed percent escapes and plus signs resolved; a percent sign that begins none stays."""
+    return F.try_url_decode(F.regexp_replace(part, "%(?![0-9A-Fa-f]{2})", "%25"))
 
 
 def _encoded(part: Column) -> Column:

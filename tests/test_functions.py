@@ -43,19 +43,23 @@ def test_xml_and_nul(spark):
     assert one(spark, X.strip_nul(F.concat(F.lit("a"), F.lit("\0"), F.lit("b")))) == "ab"
 
 
-def test_snippet():
-    assert X.snippet_of("too short") is None
-    text = "This is a sentence of some length. " * 30
-    got = X.snippet_of(text)
+def test_snippet(spark):
+    say = lambda text: one(spark, X.snippet(F.col("t").cast("string")), t=text)
+    assert say("too short") is None and say(None) is None
+    got = say("This is a sentence of some length. " * 30)
     assert 400 <= len(got) + 1 <= 520 and got.endswith(".")
-    assert X.snippet_of("x" * 600) == "x" * 517 + "..."
+    assert say("x" * 600) == "x" * 517 + "..."
+    assert say("One\x1ctwo  three\u2003four. " * 3) == ("One two three four. " * 3).strip()
+    assert say("A. " * 100 + "B" * 700).endswith("A.")
 
 
-def test_placeholder_title():
-    assert X.first_sentence_title("Rep. Ann Lee and Sen. Bo Ray voted on the bill. Then they left.") == "Rep. Ann Lee and Sen. Bo Ray voted on the bill"
-    long = X.first_sentence_title("word " * 60)
+def test_placeholder_title(spark):
+    say = lambda text: one(spark, X.placeholder_title(F.col("t").cast("string")), t=text)
+    assert say("Rep. Ann Lee and Sen. Bo Ray voted on the bill. Then they left.") == "Rep. Ann Lee and Sen. Bo Ray voted on the bill"
+    long = say("word " * 60)
     assert len(long) <= 121 and long.endswith("…")
-    assert X.first_sentence_title(None) == ""
+    assert say(None) == "" and say("Too early. Then this goes on for a while. End") == "Too early. Then this goes on for a while"
+    assert say("The talks with J. Doe of the U.S. Army went on. 2 left") == "The talks with J. Doe of the U.S. Army went on" and say("z" * 130) == "z" * 120 + "…"
 
 
 def test_near_duplicate(spark):

@@ -50,8 +50,13 @@ PAGE = """<html><head><title>Vote passes - Site</title><meta property="og:image"
 <p>PARIS (AP) — The vote passed after a long night of talks in the capital.</p><p>Members of both groups said that they were content with the outcome of the vote.</p><p>short</p></article></body></html>"""
 
 
-def test_page():
-    got = pages.extract(PAGE)
+def extracted(spark, *html):
+    rows = spark.createDataFrame(list(enumerate(html)), "id int, html string")
+    return [r for r in sorted(pages.extract_pages(rows, "id").collect(), key=lambda r: r["id"])]
+
+
+def test_page(spark):
+    got = extracted(spark, PAGE)[0]
     assert (got["title"], got["section"], got["authors"], got["image"], got["jsonld_type"]) == ("Vote passes", "Politics", ["Ann Lee", "Bo"], "https://a.example/ld.jpg", "NewsArticle")
     assert got["text"].count("\n\n") == 1 and "Menu" not in got["text"]
 
@@ -62,6 +67,42 @@ def test_pages_frame(spark):
     assert str(got[1]["published_at"]) == "2026-01-02 03:04:05" and got[1]["wire_hint"] and got[2]["text"] == "" and not got[3]["wire_hint"]
 
 
+LONG = "Words of the report that go on, and on, for quite a while without an end. " * 3
+
+
+def test_text_in_three_attempts(spark):
+    """Precisely from the weightiest element; all of it if that is short; the paragraphs of a holder if even that is."""
+    links = "<ul>" + "<li><a href=x>Another page of this site</a></li>" * 5 + "</ul>"
+    page = f"<body><nav><p>{LONG}</p></nav><div><h1>T</h1><p>{LONG}</p><h2>Part</h2><p>{LONG}</p><ul><li>A point</li></ul>{links}</div><div><p>Other text, short.</p></div><footer><p>{LONG}</p></footer></body>"
+    one = LONG.strip()
+    short = "<body><div><p>Just a line.</p></div><ul><li>First point</li><li>Second point</li></ul><div>Loose text</div></body>"
+    holder = "<body><main>" + "".join(f"<p>{'x' * 45} {n}</p>" for n in range(3)) + "</main></body>"
+    got = extracted(spark, page, short, holder, "<p>" + "y" * 50 + "<div>z", "<table><tr><td>cell</table>")
+    assert got[0]["text"] == f"{one}\n\nPart\n\n{one}\n\nA point" and got[1]["text"] == "Just a line.\n\nFirst point\n\nSecond point\n\nLoose text"
+    assert got[2]["text"] == "\n\n".join(f"{'x' * 45} {n}" for n in range(3)) and got[3]["text"] == "y" * 50 and got[4]["text"] == ""
+
+
+def test_paragraphs_of_holders():
+    p = lambda n, c="x": f"<p>{c * n}</p>"
+    first = pages.Page(f"<main>{p(900)}{p(900)}</main><article>{p(4000)}</article>").paragraphs()
+    assert first == "x" * 900 + "\n\n" + "x" * 900  # enough is known at the first holder
+    assert pages.Page(f"<main>{p(500)}</main><article>{p(700, 'y')}{p(39)}</article>").paragraphs() == "y" * 700
+    assert pages.Page(f'<div class="x post-content">{p(41)}</div>{p(800, "z")}').paragraphs() == "x" * 41
+
+
+def test_fields_by_rank(spark):
+    """Structured data before meta tags; the last object first, up to the first with a date; meta tags in their order."""
+    data = lambda x: f'<script type="application/ld+json">{json.dumps(x)}</script>'
+    item = lambda **more: {"@type": "NewsArticle"} | more
+    two = data([item(headline="Never read", datePublished="2026-01-01T00:00:00Z"), {"@type": "Person", "headline": "no"}, item(headline="Second", author="Cy", datePublished="2026-01-03T00:00:00Z", image={"url": "i2"}), item(headline=" First ", author=[{"name": " Ann "}, "Bo", {"x": 1}], datePublished="bad")])
+    metas = '<meta name="author" content="Dee, Ed and Flo"><meta name="description" content="later"><meta property="og:description" content=" sooner "><meta property="og:title" content="OG"><meta name="date" content="2026-01-05"><meta property="og:published_time" content="2026-01-06T01:00:00+01:00"><meta name="parsely-section" content="S">'
+    got = extracted(spark, two + metas, metas + "<title> T &amp; x </title>", '<title>Only</title><meta name="author" content="https://x.example/a"><p>Only the text', data({"@graph": [item(image=["i1", "i2"], articleSection="News")]}) + data("[") + metas, None)
+    assert (got[0]["title"], got[0]["authors"], got[0]["image"], str(got[0]["published_at"]), got[0]["description"], got[0]["section"]) == ("First", ["Ann", "Bo", "Cy"], "i2", "2026-01-03 00:00:00", "sooner", "S")
+    assert (got[1]["title"], got[1]["authors"], str(got[1]["published_at"]), got[1]["jsonld_type"]) == ("OG", ["Dee", "Ed", "Flo"], "2026-01-06 00:00:00", None)
+    assert (got[2]["title"], got[2]["authors"], got[2]["text"]) == ("Only", [], "the text")
+    assert (got[3]["image"], got[3]["section"], got[3]["jsonld_type"], got[3]["title"]) == ("i1", "News", "NewsArticle", "OG") and got[4]["title"] is None and got[4]["text"] == ""
+
+
 def test_registry(spark):
     one = {"id": "a", "outlet": "A", "feed_url": "u", "leaning": "LEFT"}
     assert registry.parse_registry([one])[0]["max_per_run"] == 40
