@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import new_path
+from .common import new_path, release
 
 
 @dataclass(frozen=True)
@@ -68,6 +68,7 @@ def shuffle_shards(docs: DataFrame, path: str | None = None, id_col: str = "doc_
     schema = "id {0}, text string, size long, text_crc32 long, bucket int, place long, grown_shard int, shard int".format(rows.schema["id"].dataType.simpleString())
 
     def second(table: pa.Table) -> pa.Table:
+        release()
         table = table.sort_by([("id", "ascending"), ("text_crc32", "ascending"), ("size", "ascending")])
         shard, bucket = table.column("shard")[0].as_py(), table.column("bucket")[0].as_py()
         table = table.take(pa.array(fisher_yates(table.num_rows, [s.seed, shard, bucket])))
