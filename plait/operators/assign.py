@@ -8,7 +8,8 @@ independent blocks (say, categories) proceed in parallel.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+import json
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -17,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..config import Config
 from ..functions.scoring import SIDES, CREATING_TYPES, can_create, candidate_score, date_compatible, entity_jaccard, verify_reason, zone
-from ..functions.text import first_sentence_title
+from ..functions.text import placeholder_title
 from ..functions.vectors import follow
 from . import retrieval
 
@@ -52,14 +53,16 @@ def scored(articles: DataFrame, stories: DataFrame, config: Config = Config()) -
 
 
 def decide(articles: DataFrame, stories: DataFrame, config: Config = Config()) -> DataFrame:
-    """Per article with a vector: decision (attach, verify, create), the best story, its score and the reason to verify."""
+    """Per article with a vector: decision (attach, verify, create, or orphan where the article may not create), the best story, its score and the reason to verify."""
     rows = scored(articles, stories, config)
     best = Window.partitionBy("article_id").orderBy(F.desc("score"), "rank")
     first = rows.withColumn("n", F.row_number().over(best)).where("n = 1")
     reason = verify_reason(F.col("published_at"), F.col("event_date"), F.col("first_seen"), F.col("story_date"), config)
     first = first.select("article_id", "story_id", "score", reason.alias("reason"))
-    out = articles.where("vector is not null").select(F.col("id").alias("article_id")).join(first, "article_id", "left")
-    return out.select("article_id", "story_id", "score", F.when(F.col("score") >= config.attach_threshold, F.col("reason")).alias("reason"), zone(F.col("score"), F.col("reason"), config).alias("decision"))
+    out = articles.where("vector is not null").select(F.col("id").alias("article_id"), can_create(F.col("article_type"), F.col("is_wire_copy")).alias("may")).join(first, "article_id", "left")
+    decision = zone(F.col("score"), F.col("reason"), config)
+    decision = F.when((decision == "create") & ~F.col("may"), "orphan").otherwise(decision)
+    return out.select("article_id", "story_id", "score", F.when(F.col("score") >= config.attach_threshold, F.col("reason")).alias("reason"), decision.alias("decision"))
 
 
 @dataclass
@@ -128,20 +131,26 @@ class Sequence:
         found = sorted(zip((-sims).tolist(), [self.list[i].id for i in rows.tolist()]))[:k]
         return [(-s, self.stories[i]) for s, i in found]
 
-    def candidates(self, article, vector: np.ndarray, parent) -> list[tuple[float, float, Story]]:
-        """(score, similarity, story) of the retrieved stories that fit the event date, best first; the split-off parent is out."""
+    def candidates(self, article, vector: np.ndarray, parent) -> tuple[list[tuple[float, float, Story]], list[dict]]:
+        """(score, similarity, story) of the retrieved stories that fit the event date, best first, and the record of all in the order of retrieval; the
+        split-off parent is out."""
         c = self.config
         names = {e.lower() for e in article.key_entities}
-        out = []
+        out, record = [], []
         for sim, s in self.nearest(vector, article.published_at - pd.Timedelta(hours=c.candidate_window_hours)):
+            if s.id == parent:
+                continue
             dated = article.event_date is not None and s.event_date is not None
-            if s.id == parent or (dated and abs((article.event_date - s.event_date).days) > c.event_date_max_gap_days):
+            if dated and abs((article.event_date - s.event_date).days) > c.event_date_max_gap_days:
+                record.append({"id": s.id, "score": None, "similarity": None, "rejected": "event_date_gap", "verify_reason": None})
                 continue
             theirs = {e.lower() for e in s.entities}
             shared = len(names & theirs) / len(names | theirs) if names and theirs else 0.0
             days = abs((article.published_at - s.last_seen).total_seconds()) / 86400
-            out.append((round(sim + 0.05 * shared - 0.02 * days, 4), sim, s))
-        return sorted(out, key=lambda x: -x[0])
+            score = round(sim + 0.05 * shared - 0.02 * days, 4)
+            out.append((score, sim, s))
+            record.append({"id": s.id, "score": score, "similarity": round(sim, 4), "rejected": None, "verify_reason": None})
+        return sorted(out, key=lambda x: -x[0]), record
 
     def reason(self, article, s: Story) -> str | None:
         if s.first_seen is None:
@@ -152,12 +161,13 @@ class Sequence:
             return "later_event_date"
         return None
 
-    def verify(self, article, found: list, strong: bool) -> Story | None:
+    def verify(self, article, found: list, strong: bool, done: dict) -> Story | None:
         c, shown = self.config, [s for _, _, s in found[:3]]
         if self.verifier is None:
             return shown[0] if strong else None
         answer = self.verifier(article, shown)
-        relation, sure = answer.get("relation"), float(answer.get("confidence") or 0)
+        done["verifier"] = json.dumps(answer)
+        relation, sure = answer.get("relation"), _number(answer.get("confidence"))
         named = next((s for s in shown if s.id == answer.get("candidate_id")), None)
         if relation == "same_development" and named and (strong or sure >= c.verify_min_confidence):
             return named
@@ -165,90 +175,128 @@ class Sequence:
             return shown[0]
         return None
 
-    def step(self, article) -> tuple[str, str | None, str | None, float | None]:
-        """(method, story id, side, best score) of one article; the stories change accordingly."""
+    def step(self, article) -> dict:
+        """What becomes of one article: method, story, side, best score and the record of the decision; the stories change accordingly."""
         c, side = self.config, self.side(article)
+        done = {"method": "orphan", "story_id": None, "side": side, "score": None, "reason": None, "candidates": [], "verifier": None}
         if article.vector is None or not len(article.vector):
-            return "orphan", None, side, None
+            return done | {"reason": "no vector"}
         vector = np.asarray(article.vector, float)
-        found = self.candidates(article, vector, article.split_from)
+        found, record = self.candidates(article, vector, article.split_from)
         chosen, method, best = None, None, found[0][0] if found else None
+        done |= {"score": best, "candidates": record[:5]}
         if found and best >= c.attach_threshold:
-            strong = self.reason(article, found[0][2]) is not None
-            chosen, method = (self.verify(article, found, True), "verifier") if strong else (found[0][2], "threshold")
+            why = self.reason(article, found[0][2])
+            for x in record:
+                x["verify_reason"] = why if x["id"] == found[0][2].id else None
+            chosen, method = (self.verify(article, found, True, done), "verifier") if why else (found[0][2], "threshold")
         elif found and best >= c.verify_threshold:
-            chosen, method = self.verify(article, found, False), "verifier"
+            chosen, method = self.verify(article, found, False, done), "verifier"
         if chosen is not None:
             n = chosen.article_count
             chosen.centroid = follow(chosen.centroid, n, vector)
             chosen.entities = list(dict.fromkeys([*chosen.entities, *article.key_entities]))[:24]
-            chosen.first_seen, chosen.last_seen = min(chosen.first_seen, article.published_at), max(chosen.last_seen, article.published_at)
+            chosen.first_seen = article.published_at if chosen.first_seen is None else min(chosen.first_seen, article.published_at)
+            chosen.last_seen = max(chosen.last_seen, article.published_at)
             chosen.event_date = chosen.event_date if chosen.event_date is not None else article.event_date
             self.refresh(chosen)
         elif article.article_type in CREATING_TYPES and not article.is_wire_copy:
-            summary = article.event_summary or article.title
             name = "s" + hashlib.sha1(str(article.id).encode()).hexdigest()[:16]
-            chosen, method = Story(name, summary, first_sentence_title(summary), article.category, article.event_date, article.published_at, article.published_at, follow(None, 0, vector), list(article.key_entities)[:24]), "create"
+            while name in self.stories:  # an article that was split off creates another story than at first
+                name = "s" + hashlib.sha1(name.encode()).hexdigest()[:16]
+            chosen, method = Story(name, article.event_summary or article.title, article.placeholder, article.category, article.event_date, article.published_at, article.published_at, follow(None, 0, vector), list(article.key_entities)[:24]), "create"
             self.add(chosen)
         else:
-            return "orphan", None, side, best
+            return done | {"reason": f"{article.article_type}{' wire' if article.is_wire_copy else ''} cannot create a story"}
         chosen.article_count += 1
         if side:
             chosen.sides[side] += 1
-        return method, chosen.id, side, best
+        return done | {"method": method, "story_id": chosen.id}
 
 
-ASSIGNED = "id long, block string, method string, story_id string, side string, score double, story_size int"
+def _number(value) -> float:
+    try:
+        return float(value or 0)
+    except (TypeError, ValueError):
+        return 0.0
 
 
-def assign_in_order(articles: DataFrame, stories: DataFrame | None = None, verifier=None, config: Config = Config()) -> DataFrame:
-    """The exact online pass: per article the method, story and side, and the story's size just after it.
+RECORD = "reason string, rule string, candidates array<struct<id:string,score:double,similarity:double,rejected:string,verify_reason:string>>, verifier string, split_from string, error string, step int"
+STATE = (
+    "story struct<id:string,summary:string,title:string,category:string,event_date:date,first_seen:timestamp,last_seen:timestamp,centroid:array<double>,"
+    "key_entities:array<string>,article_count:int,left_count:int,right_count:int,center_count:int,status:string>"
+)
+COLUMNS = ["id", "block", "phase", "published_at", "event_date", "key_entities", "article_type", "is_wire_copy", "leaning_label", "leaning_conf", "outlet_leaning", "split_from", "category", "title", "event_summary", "vector"]
 
-    articles: id, block, phase, published_at, event_date, key_entities, article_type, is_wire_copy, leaning_label, leaning_conf,
-    outlet_leaning, split_from, category, title, event_summary, vector.  stories: the open ones to begin with, with their block (optional).
-    verifier: a picklable function of (article, stories shown), or None: strong matches attach, weak ones do not.
-    """
 
-    columns = ["id", "block", "phase", "published_at", "event_date", "key_entities", "article_type", "is_wire_copy", "leaning_label", "leaning_conf", "outlet_leaning", "split_from", "category", "title", "event_summary", "vector"]
-    rows = articles.select(*columns)
+def dumped(s: Story) -> dict:
+    """A story as a row of STATE."""
+    return {
+        "id": s.id, "summary": s.summary, "title": s.title, "category": s.category, "event_date": s.event_date, "first_seen": s.first_seen, "last_seen": s.last_seen, "centroid": s.centroid.tolist(), "key_entities": list(s.entities),
+        "article_count": s.article_count, "left_count": s.sides["left"], "right_count": s.sides["right"], "center_count": s.sides["center"], "status": s.status,
+    }
+
 
-    def steps(run: Sequence, part: pd.DataFrame) -> Iterator[tuple]:
-        for a in part.itertuples(index=False):
-            a = cleaned(a)
-            method, story, side, score = run.step(a)
-            yield a.id, a.block, method, story, side, score, run.stories[story].article_count if story else None
+def assign_in_order(articles: DataFrame, stories: DataFrame | None = None, verifier: Callable | None = None, config: Config = Config(), with_stories: bool = False) -> DataFrame:
+    """The exact online pass: per article the method, story and side, the story's size just after it, and the record of the decision (RECORD).
 
-    def frame(found: list[tuple]) -> pd.DataFrame:
-        return pd.DataFrame(found, columns=["id", "block", "method", "story_id", "side", "score", "story_size"]).astype({"story_size": "Int32"})
+    articles: COLUMNS; a null block is a block like any other.  stories: the open ones to begin with, with their block (optional).
+    verifier: a picklable function of (article, stories shown), or None: strong matches attach, weak ones do not.
+    with_stories: also the story as the step left it; a story's last row is its state after the pass.
+
+    An article whose step fails has the method ``failed`` and the error; the others go on.
+    """
+    rows = articles.select(*COLUMNS).withColumn("placeholder", placeholder_title(F.coalesce(F.nullif("event_summary", F.lit("")), "title")))
+    kind = articles.schema["id"].dataType.simpleString()
+    schema = f"id {kind}, block string, method string, story_id string, side string, score double, story_size int, {RECORD}" + (f", {STATE}" if with_stories else "")
+    names = [f.split()[0] for f in ("id", "block", "method", "story_id", "side", "score", "story_size", "reason", "rule", "candidates", "verifier", "split_from", "error", "step")] + ["story"] * with_stories
+
+    def steps(run: Sequence, part: pd.DataFrame, first: int) -> Iterator[dict]:
+        for n, a in enumerate(part.itertuples(index=False), first):
+            error = None
+            try:
+                a = cleaned(a)
+                done = run.step(a)
+            except Exception as e:  # noqa: BLE001  one article must not stop the others
+                done, error = {"method": "failed", "story_id": None, "side": None, "score": None, "reason": None, "candidates": [], "verifier": None}, str(e)[:300] or type(e).__name__
+            story = run.stories.get(done["story_id"])
+            more = {"story": None if story is None else dumped(story)} if with_stories else {}
+            yield {"id": a.id, "block": _none(a.block), **done, "story_size": story.article_count if story else None, "rule": RULE, "split_from": _none(a.split_from), "error": error, "step": n} | more
+
+    def frame(found: list[dict]) -> pd.DataFrame:
+        return pd.DataFrame({c: pd.Series([r[c] for r in found], dtype="Int32" if c == "story_size" else "int32" if c == "step" else object if c not in ("id", "score") else None) for c in names})
 
     if stories is None:
         # a block's articles stream through one task in order; only its stories are held
 
         def stream(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            block, run = None, None
+            block, run, n = None, None, 0
             for part in batches:
                 out = []
                 for own, some in part.groupby("block", sort=False, dropna=False):
+                    own = _none(own)  # nulls are one block, however they are shown
                     if run is None or own != block:
-                        block, run = own, Sequence(config, verifier)
-                    out += steps(run, some)
+                        block, run, n = own, Sequence(config, verifier), 0
+                    out += steps(run, some, n)
+                    n += len(some)
                 yield frame(out)
 
-        return rows.repartition("block").sortWithinPartitions("block", "phase", "published_at", "id").mapInPandas(stream, ASSIGNED)
+        return rows.repartition("block").sortWithinPartitions("block", "phase", "published_at", "id").mapInPandas(stream, schema)
 
     def fold(part: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
         held = [
-            Story(s.id, s.summary, s.title, s.category, _none(s.event_date), s.first_seen, s.last_seen, np.asarray(s.centroid, float), list(s.key_entities), int(s.article_count), {"left": int(s.left_count), "right": int(s.right_count), "center": int(s.center_count)}, s.status)
-            for s in known.itertuples(index=False)
+            Story(s.id, s.summary, s.title, s.category, _none(s.event_date), _none(s.first_seen), s.last_seen, np.asarray(s.centroid, float), list(s.key_entities), int(s.article_count), {"left": int(s.left_count), "right": int(s.right_count), "center": int(s.center_count)}, s.status)
+            for s in known.itertuples(index=False) if s.centroid is not None
         ]
-        return frame(list(steps(Sequence(config, verifier, held), part.sort_values(["phase", "published_at", "id"]))))
+        return frame(list(steps(Sequence(config, verifier, held), part.sort_values(["phase", "published_at", "id"]), 0)))
 
-    return rows.groupBy("block").cogroup(stories.groupBy("block")).applyInPandas(fold, ASSIGNED)
+    key = F.coalesce("block", F.lit("\0"))
+    return rows.groupBy(key.alias("__block")).cogroup(stories.groupBy(key.alias("__block"))).applyInPandas(fold, schema)
 
 
 def cleaned(a):
     """A row of a frame with nulls as None and lists as lists."""
-    return a._replace(event_date=_none(a.event_date), key_entities=list(a.key_entities) if a.key_entities is not None else [], split_from=_none(a.split_from), leaning_conf=_none(a.leaning_conf))
+    return a._replace(event_date=_none(a.event_date), key_entities=list(a.key_entities) if a.key_entities is not None else [], split_from=_none(a.split_from), leaning_conf=_none(a.leaning_conf), event_summary=_none(a.event_summary))
 
 
 def _none(x):

@@ -1,7 +1,8 @@
 """Nearest stories of articles within a time window, and similar pairs of stories: blocked matrix products.
 
-Both sides are dealt into blocks of bounded size.  Each pair of blocks is one task's matrix product, of which only the best
-k rows of an article, or the pairs over the threshold, leave the task; the rest is never a row.
+Both sides are dealt into time slots as long as the window, and within a slot into blocks of bounded size, which are numbered in the order of time.  An
+article's block meets the blocks of stories from the slot before its own on; older ones never.  Each pair of blocks is one task's matrix product, of which
+only the best k rows of an article, or the best pairs over the threshold, leave the task; the rest is never a row.
 """
 
 from __future__ import annotations
@@ -10,17 +11,13 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.times import micros
 
 BLOCK = 4096
-
-
-def _blocked(df: DataFrame, rows: int, own: str, other: str, other_count: int, block: int) -> tuple[DataFrame, int]:
-    count = max(1, math.ceil(rows / block))
-    dealt = df.withColumn(own, F.pmod(F.xxhash64("id"), F.lit(count)).cast("int"))
-    return dealt.withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(other_count - 1)))), count
+#: Bytes of story vectors that may travel with the function.
+SHIPPED = 64 << 20
 
 
 def _matrix(frame: pd.DataFrame, column: str) -> np.ndarray:
@@ -28,28 +25,83 @@ def _matrix(frame: pd.DataFrame, column: str) -> np.ndarray:
 
 
 def _best(a_id: np.ndarray, a_at: np.ndarray, a_v: np.ndarray, b_id: np.ndarray, b_at: np.ndarray, b_v: np.ndarray, k: int, window: int) -> pd.DataFrame:
-    """The k best rows of b for each row of a: one matrix product, then a partial sort."""
+    """The k best rows of b for each row of a, ties by the least id: one matrix product, a partition at the k-th value, and a sort of what is left."""
+    order = np.argsort(b_id, kind="stable")
+    b_id, b_at, b_v = b_id[order], b_at[order], b_v[order]
     sims = a_v @ b_v.T
     sims[a_at[:, None] - window > b_at[None, :]] = -np.inf
-    order = np.lexsort((np.broadcast_to(b_id, sims.shape), -sims), axis=1)[:, :k]
-    rows = np.repeat(np.arange(len(a_id)), order.shape[1])
-    cols = order.ravel()
-    out = pd.DataFrame({"article_id": a_id[rows], "story_id": b_id[cols], "similarity": sims[rows, cols]})
-    return out[np.isfinite(out["similarity"])]
-
-
-def top_stories(articles: DataFrame, stories: DataFrame, k: int = 10, window_hours: int = 96, block: int = BLOCK, shipped_rows: int = 4 * BLOCK) -> DataFrame:
-    """(article_id, story_id, similarity, rank) of each article's ``k`` most similar stories seen within the window before it.
-
-    articles: id, published_at, vector; stories: id, last_seen, vector; unit vectors, no nulls among them.  Up to
-    ``shipped_rows`` stories travel with the function and articles are not moved at all; more are dealt into blocks, and every pair of blocks
-    of articles and stories meets in a task.  Either way the same rows come out.
+    if sims.shape[1] > k:
+        least = np.partition(sims, -k, axis=1)[:, -k]
+        rows, cols = np.nonzero((sims >= least[:, None]) & np.isfinite(sims))
+    else:
+        rows, cols = np.nonzero(np.isfinite(sims))
+    found = sims[rows, cols]
+    order = np.lexsort((cols, -found, rows))
+    rows, cols, found = rows[order], cols[order], found[order]
+    first = np.searchsorted(rows, rows)
+    kept = np.arange(len(rows)) - first < k
+    rows, cols, found = rows[kept], cols[kept], found[kept]
+    return pd.DataFrame({"article_id": a_id[rows], "story_id": b_id[cols], "similarity": found})
+
+
+def slot_blocks(rows: DataFrame, width: int, block: int) -> list[tuple[int, int, int]]:
+    """(slot, first block, blocks) for each time slot with rows, in order: as many rows as the span of time has slots."""
+    found, first = [], 0
+    for r in rows.groupBy(F.floor(F.col("at") / width).alias("slot")).count().orderBy("slot").collect():
+        n = math.ceil(r["count"] / block)
+        found.append((r["slot"], first, n))
+        first += n
+    return found
+
+
+def meeting_ranges(lefts: list[tuple[int, int, int]], rights: list[tuple[int, int, int]]) -> tuple[dict, dict]:
+    """By slot: the first block of stories that articles of the slot meet, and the number of blocks of articles that stories of the slot meet."""
+    ends = [first + n for _, first, n in rights] or [0]
+    begin = {slot: next((first for s, first, _ in rights if s >= slot - 1), ends[-1]) for slot, _, _ in lefts}
+    upto = {slot: max((first + n for s, first, n in lefts if s <= slot + 1), default=0) for slot, _, _ in rights}
+    return begin, upto
+
+
+def _blocks(rows: DataFrame, slots: list[tuple[int, int, int]], width: int, name: str) -> DataFrame:
+    """Rows with their slot and the number of their block."""
+    table = F.create_map(*[F.lit(x) for slot, first, n in slots for x in (slot, F.struct(F.lit(first).alias("first"), F.lit(n).alias("n")))])
+    rows = rows.withColumn("slot", F.floor(F.col("at") / width)).withColumn("__s", table[F.col("slot")])
+    return rows.withColumn(name, (F.col("__s.first") + F.pmod(F.xxhash64("id"), F.col("__s.n"))).cast("int")).drop("__s")
+
+
+def _ranges(values: dict) -> Column:
+    return F.create_map(*[F.lit(x) for item in values.items() for x in item])[F.col("slot")]
+
+
+def meetings(left: DataFrame, right: DataFrame, window: int, block: int) -> tuple[DataFrame, DataFrame]:
+    """Both sides, a row for each task (lb, rb) in which it meets the other."""
+    lefts, rights = slot_blocks(left, window, block), slot_blocks(right, window, block)
+    if not lefts or not rights:
+        none = lambda df: df.select("*", F.lit(0).alias("lb"), F.lit(0).alias("rb")).limit(0)
+        return none(left), none(right)
+    begin, upto = meeting_ranges(lefts, rights)
+    last = rights[-1][1] + rights[-1][2] - 1
+    one = _blocks(left, lefts, window, "lb").withColumn("__from", _ranges(begin)).where(F.col("__from") <= last).withColumn("rb", F.explode(F.sequence(F.col("__from"), F.lit(last))))
+    two = _blocks(right, rights, window, "rb").withColumn("__to", _ranges(upto)).where("__to > 0").withColumn("lb", F.explode(F.sequence(F.lit(0), F.col("__to") - 1)))
+    return one.drop("slot", "__from"), two.drop("slot", "__to")
+
+
+def top_stories(articles: DataFrame, stories: DataFrame, k: int = 10, window_hours: int = 96, block: int = BLOCK, shipped_bytes: int = SHIPPED) -> DataFrame:
+    """(article_id, story_id, similarity, rank) of each article's ``k`` most similar stories last seen within the window before it, or later.
+
+    articles: id, published_at, vector; stories: id, last_seen, vector; unit vectors.  Ids may be of any ordered type.  Rows without a vector or time take no
+    part.  Rows that share an article id ask together: k stories at most answer, each once.  Stories older than the window of the earliest article are left out.
+    Story vectors of up to ``shipped_bytes`` in all travel with the function and articles are not moved; more are dealt into
+    blocks.  Either way the same rows come out.
     """
-    left = articles.select(F.col("id").cast("long").alias("id"), micros(F.col("published_at")).alias("at"), F.col("vector").cast("array<double>").alias("v")).where("v is not null")
-    right = stories.select(F.col("id").cast("long").alias("id"), micros(F.col("last_seen")).alias("at"), F.col("vector").cast("array<double>").alias("v")).where("v is not null")
-    window, schema = window_hours * 3_600_000_000, "article_id long, story_id long, similarity double"
-    head = right.limit(shipped_rows + 1).toPandas()
-    if len(head) <= shipped_rows:
+    window = window_hours * 3_600_000_000
+    side = lambda df, at: df.select("id", micros(F.col(at)).alias("at"), F.col("vector").cast("array<double>").alias("v")).where("v is not null and at is not null")
+    left, right = side(articles, "published_at"), side(stories, "last_seen")
+    earliest = left.agg(F.min("at").alias("m")).first()["m"]
+    right = right.where(F.col("at") >= F.lit((earliest or 0) - window))
+    schema = f"article_id {left.schema['id'].dataType.simpleString()}, story_id {right.schema['id'].dataType.simpleString()}, similarity double"
+    if right.agg(F.coalesce(F.sum(8 * F.size("v") + 16), F.lit(0)).alias("n")).first()["n"] <= shipped_bytes:
+        head = right.toPandas()
         ids, at, matrix = head["id"].to_numpy(), head["at"].to_numpy(), _matrix(head, "v")
 
         def scan(batches):
@@ -60,38 +112,40 @@ def top_stories(articles: DataFrame, stories: DataFrame, k: int = 10, window_hou
                         yield _best(a["id"].to_numpy(), a["at"].to_numpy(), _matrix(a, "v"), ids, at, matrix, k, window)
 
         met = left.mapInPandas(scan, schema)
-        return met.withColumn("rank", F.row_number().over(Window.partitionBy("article_id").orderBy(F.desc("similarity"), "story_id")))
-    n_left, n_right = left.count(), right.count()
-    lefts, rights = max(1, math.ceil(n_left / block)), max(1, math.ceil(n_right / block))
-    left, _ = _blocked(left, n_left, "lb", "rb", rights, block)
-    right, _ = _blocked(right, n_right, "rb", "lb", lefts, block)
-
-    def best(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        if not len(a) or not len(b):
-            return pd.DataFrame({"article_id": [], "story_id": [], "similarity": []}).astype({"article_id": "int64", "story_id": "int64", "similarity": "float64"})
-        return _best(a["id"].to_numpy(), a["at"].to_numpy(), _matrix(a, "v"), b["id"].to_numpy(), b["at"].to_numpy(), _matrix(b, "v"), k, window)
-
-    met = left.groupBy("lb", "rb").cogroup(right.groupBy("lb", "rb")).applyInPandas(best, schema)
-    ranked = met.withColumn("rank", F.row_number().over(Window.partitionBy("article_id").orderBy(F.desc("similarity"), "story_id")))
+    else:
+
+        def best(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+            if not len(a) or not len(b):
+                return pd.DataFrame({"article_id": a["id"][:0], "story_id": b["id"][:0], "similarity": pd.Series([], dtype=float)})
+            return _best(a["id"].to_numpy(), a["at"].to_numpy(), _matrix(a, "v"), b["id"].to_numpy(), b["at"].to_numpy(), _matrix(b, "v"), k, window)
+
+        one, two = meetings(left, right, window, block)
+        met = one.groupBy("lb", "rb").cogroup(two.groupBy("lb", "rb")).applyInPandas(best, schema)
+    once = met.repartition("article_id").groupBy("article_id", "story_id").agg(F.max("similarity").alias("similarity"))
+    ranked = once.withColumn("rank", F.row_number().over(Window.partitionBy("article_id").orderBy(F.desc("similarity"), "story_id")))
     return ranked.where(F.col("rank") <= k)
 
 
-def similar_pairs(stories: DataFrame, least: float, block: int = BLOCK) -> DataFrame:
-    """(a_id, b_id, similarity), a_id < b_id, of all stories whose unit vectors' product is at least ``least``."""
-    rows = stories.select(F.col("id").cast("long").alias("id"), F.col("vector").cast("array<double>").alias("v")).where("v is not null")
+def similar_pairs(stories: DataFrame, least: float, block: int = BLOCK, most: int | None = None) -> DataFrame:
+    """(a_id, b_id, similarity), a_id < b_id, of all stories whose unit vectors' product is at least ``least``; with ``most`` every task returns its best
+    so many, among which the best of all are."""
+    rows = stories.select("id", F.col("vector").cast("array<double>").alias("v")).where("v is not null")
     count = max(1, math.ceil(rows.count() / block))
     dealt = rows.withColumn("b", F.pmod(F.xxhash64("id"), F.lit(count)).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
     both = dealt.withColumn("o", other).select(F.least("b", "o").alias("x"), F.greatest("b", "o").alias("y"), "b", "id", "v")
+    kind = rows.schema["id"].dataType.simpleString()
 
     def meet(part: pd.DataFrame) -> pd.DataFrame:
         x, y = part["x"].iloc[0], part["y"].iloc[0]
         a, b = part[part["b"] == x], part[part["b"] == y]
         sims = _matrix(a, "v") @ _matrix(b, "v").T
         i, j = np.nonzero(sims >= least)
-        one, two = a["id"].to_numpy()[i], b["id"].to_numpy()[j]
+        one, two, found = a["id"].to_numpy()[i], b["id"].to_numpy()[j], sims[i, j]
         keep = one < two if x == y else one != two
-        out = pd.DataFrame({"a_id": np.minimum(one, two), "b_id": np.maximum(one, two), "similarity": sims[i, j]})
-        return out[keep]
+        one, two, found = one[keep], two[keep], found[keep]
+        swap = one > two
+        out = pd.DataFrame({"a_id": np.where(swap, two, one), "b_id": np.where(swap, one, two), "similarity": found})
+        return out if most is None else out.sort_values(["similarity", "a_id", "b_id"], ascending=[False, True, True]).head(most)
 
-    return both.groupBy("x", "y").applyInPandas(meet, "a_id long, b_id long, similarity double")
+    return both.groupBy("x", "y").applyInPandas(meet, f"a_id {kind}, b_id {kind}, similarity double")

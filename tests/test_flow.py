@@ -87,3 +87,18 @@ def test_stream_equals_batch(spark, tmp_path):
     query.awaitTermination(120)
     got = {r["id"]: (r["method"], r["story_id"]) for r in spark.table("assigned").collect()}
     assert got == {r["id"]: (r["method"], r["story_id"]) for r in assign_in_order(df).collect()}
+
+
+def test_stream_gives_up_old_blocks(spark, tmp_path):
+    """A block without new articles loses its state by event time: the same article founds a story again."""
+    from plait.streaming.online import assign_stream
+
+    rows = [article(1, [1.0, 0.0], block="a"), article(2, [0.0, 1.0], block="b", hours=24 * 20), article(3, [0.0, 1.0], block="b", hours=24 * 40), article(4, [1.0, 0.0], block="a", hours=24 * 41)]
+    df = spark.createDataFrame([tuple(r[c.split()[0]] for c in SCHEMA.split(", ")) for r in rows], SCHEMA)
+    for n in range(1, 5):
+        df.where(F.col("id") == n).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = assign_stream(spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in")), delay="1 hour")
+    query = stream.writeStream.format("memory").queryName("aged").option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
+    query.awaitTermination(120)
+    sizes = [sum(s["numRowsTotal"] for s in p["stateOperators"]) for p in query.recentProgress]
+    assert {r["id"]: r["method"] for r in spark.table("aged").collect()} == {n: "create" for n in range(1, 5)} and max(sizes) <= 2 and sizes[-1] <= 2 and min(sizes[1:]) <= 1

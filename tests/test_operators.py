@@ -119,12 +119,38 @@ def test_retrieval_by_blocks_equals_shipping(spark):
     a = spark.createDataFrame([(i, T0 + timedelta(hours=i), v) for i, v in enumerate(unit(50))], "id long, published_at timestamp, vector array<double>")
     s = spark.createDataFrame([(i, T0 + timedelta(hours=5 * i - 100), v) for i, v in enumerate(unit(30))], "id long, last_seen timestamp, vector array<double>")
     rows = lambda df: sorted((r["article_id"], r["rank"], r["story_id"], round(r["similarity"], 9)) for r in df.collect())
-    one, two = top_stories(a, s, k=4), top_stories(a, s, k=4, block=7, shipped_rows=5)
+    one, two = top_stories(a, s, k=4), top_stories(a, s, k=4, block=7, shipped_bytes=5)
     assert rows(one) == rows(two) and len(rows(one)) > 100
+    again = a.unionByName(a.withColumn("id", F.col("id") % 10))  # repeated ids ask together
+    named = s.withColumn("id", F.concat(F.lit("s"), F.col("id").cast("string")))
+    for stories in (s, named):
+        one, two = top_stories(again, stories, k=3), top_stories(again, stories, k=3, block=7, shipped_bytes=5)
+        assert rows(one) == rows(two) and max(r[1] for r in rows(one)) == 3
+        assert len({(r[0], r[2]) for r in rows(one)}) == len(rows(one))
+    assert top_stories(a.limit(0), s, shipped_bytes=0).count() == 0 == top_stories(a, s.limit(0), shipped_bytes=-1).count()
+    best = sorted(((r["a_id"], r["b_id"]) for r in similar_pairs(s, 0.2).orderBy(F.desc("similarity")).limit(5).collect()))
+    assert best == sorted(((r["a_id"], r["b_id"]) for r in similar_pairs(s, 0.2, block=4, most=5).orderBy(F.desc("similarity")).limit(5).collect()))
     pairs_of = lambda df: sorted((r["a_id"], r["b_id"], round(r["similarity"], 9)) for r in df.collect())
     assert pairs_of(similar_pairs(s, 0.2)) == pairs_of(similar_pairs(s, 0.2, block=4))
 
 
+def test_only_blocks_within_the_window_meet(spark):
+    from plait.operators import retrieval
+
+    width = 96 * 3_600_000_000
+    at = lambda days: F.lit(days) * 86_400_000_000
+    left = spark.range(400).select("id", (at(100) + F.col("id") * 21_600_000_000).cast("long").alias("at"))  # days 100 to 200
+    right = spark.range(3000).select("id", (F.col("id") * 5_760_000_000).cast("long").alias("at"))  # days 0 to 200
+    one, two = retrieval.meetings(left, right, width, 20)
+    keys = lambda df: {(r["lb"], r["rb"]) for r in df.select("lb", "rb").distinct().collect()}
+    span = lambda df, key: {r[key]: (r["a"], r["z"]) for r in df.groupBy(key).agg(F.min("at").alias("a"), F.max("at").alias("z")).collect()}
+    a, b = span(one, "lb"), span(two, "rb")
+    assert keys(one) == keys(two) and all(b[y][1] >= a[x][0] - 2 * width for x, y in keys(one))
+    assert len(keys(one)) < 0.45 * len(a) * (3000 // 20)
+    must = {(x["lb"], y["rb"]) for x in one.select("lb", "at").distinct().collect()[::7] for y in two.select("rb", "at").distinct().collect()[::97] if y["at"] >= x["at"] - width}
+    assert must <= keys(one)
+
+
 def test_pairs_by_blocks_equal_the_join(spark):
     from plait.operators import pair_blocks
     from plait.plans.proxies import articles as px
@@ -173,3 +199,45 @@ def test_order_of_input_does_not_matter(spark):
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     assert len({v[3] for v in base.values()}) > 2
+
+
+def test_null_blocks_and_batch_sizes(spark):
+    """Equal results whatever the size of Arrow batches, also for articles without a block, from nothing and from given stories."""
+    rows = [article(n, [1.0, 0.01 * n], hours=n / 4, block=None if n % 2 else "b") for n in range(1, 13)]
+    given = spark.createDataFrame([("s1", None, "Sum", "T", "politics", None, T0, T0, [1.0, 0.0], ["Ann Lee"], 3, 2, 1, 0, "open")], "id string, block string, summary string, title string, category string, event_date date, first_seen timestamp, last_seen timestamp, centroid array<double>, key_entities array<string>, article_count int, left_count int, right_count int, center_count int, status string")
+    df = spark.createDataFrame([tuple(r[c.split()[0]] for c in SCHEMA.split(", ")) for r in rows], SCHEMA)
+    seen = []
+    for size in ("10000", "2"):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+        try:
+            seen.append([{r["id"]: (r["block"], r["method"], r["story_id"], r["story_size"], r["step"]) for r in assign.assign_in_order(df, known).collect()} for known in (None, given)])
+        finally:
+            spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert seen[0] == seen[1] and [sum(v[1] == "create" for v in x.values()) for x in seen[0]] == [2, 1]
+    assert {v[2] for k, v in seen[0][1].items() if k % 2} == {"s1"}
+
+
+def fails_on_three(article, shown):
+    if article.id == 3:
+        raise OSError("verifier down")
+    return {"relation": "same_development", "confidence": "0.9", "candidate_id": shown[0].id, "reason": "same"}
+
+
+def test_records_and_failures(spark):
+    """The record of each decision, and an article whose verifier fails, which stops no other."""
+    rows = [article(1, [1.0, 0.0, 0.0]), article(2, [1.0, 0.0, 0.0], hours=30), article(3, [1.0, 0.0, 0.0], hours=31), article(4, [0.75, 0.66, 0.0], hours=32), article(5, [0.0, 0.0, 1.0], kind="opinion"), article(6, [1.0, 0.0, 0.0], hours=3, event_date=date(2026, 2, 1)), article(7, [1.0, 0.0], hours=40)]
+    got = assigned(spark, rows, fails_on_three)
+    assert [got[n]["method"] for n in range(1, 8)] == ["create", "verifier", "failed", "verifier", "orphan", "create", "failed"]
+    assert "verifier down" in got[3]["error"] and got[3]["story_id"] is None and got[7]["error"] and got[2]["error"] is None
+    first = got[1]["story_id"]
+    assert got[2]["candidates"][0]["id"] == first and got[2]["candidates"][0]["verify_reason"] == "late" and '"reason": "same"' in got[2]["verifier"] and got[2]["rule"] == assign.RULE
+    assert got[5]["reason"] == "opinion cannot create a story" and [c["rejected"] for c in got[6]["candidates"]] == ["event_date_gap"]
+    states = {r["id"]: r["story"] for r in assign.assign_in_order(spark.createDataFrame([tuple(r[c.split()[0]] for c in SCHEMA.split(", ")) for r in rows[:2]], SCHEMA), with_stories=True).collect()}
+    assert [states[n]["article_count"] for n in (1, 2)] == [1, 2] and states[2]["id"] == first and states[2]["title"] == "Summary 1" and abs(sum(x * x for x in states[2]["centroid"]) - 1) < 1e-9
+
+
+def test_decide_knows_who_may_create(spark):
+    rows = [article(n, [0.0, 1.0], kind=kind, is_wire_copy=wire) for n, kind, wire in ((1, "news", False), (2, "opinion", False), (3, "news", True))]
+    df = spark.createDataFrame([tuple(r[c.split()[0]] for c in SCHEMA.split(", ")) for r in rows], SCHEMA)
+    known = spark.createDataFrame([("s1", None, T0, T0, [1.0, 0.0], ["Ann Lee"])], "id string, event_date date, first_seen timestamp, last_seen timestamp, vector array<double>, key_entities array<string>")
+    assert {r["article_id"]: r["decision"] for r in assign.decide(df, known).collect()} == {1: "create", 2: "orphan", 3: "orphan"}
