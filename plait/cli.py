@@ -3,32 +3,52 @@
 from __future__ import annotations
 
 import argparse
+import dataclasses
 import json
 from datetime import datetime, timezone
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .config import Config, from_environment
-from .operators import enrich, ingest, pairs, recheck, reports, stories as S
+from .operators import assign, enrich, ingest, models, recheck, reports, stories as S
 from .plans import flow
 from .sources import pages as P, registry, tables
-from .sources.feeds import FeedSource
+from .sources.feeds import FeedSource, named
 
 TABLES = ("sources", "articles", "stories", "pairs")
 
 
 def _read(spark: SparkSession, root: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{root}/{name}")
+    return tables.latest(spark, root, name)
 
 
-def _write(df: DataFrame, root: str, name: str, dry: bool) -> None:
-    """The next version of a table beside the old one; a dry run only counts."""
+def _stamp() -> str:
+    return datetime.now(timezone.utc).strftime("%Y%m%d%H%M%S%f")
+
+
+def _write(df: DataFrame, root: str, name: str, dry: bool) -> DataFrame:
+    """The next version of a table beside the old one, which later commands read; a dry run only counts."""
     if dry:
         print(json.dumps({"table": name, "rows": df.count(), "dry_run": True}))
-        return
-    stamp = datetime.now(timezone.utc).strftime("%Y%m%d%H%M%S%f")
-    tables.publish(df, f"{root}/versions/{name}-{stamp}")
+        return df
+    stamp = _stamp()
+    out = tables.publish(df, f"{root}/versions/{name}-{stamp}")
     print(json.dumps({"table": name, "version": stamp}))
+    return out
+
+
+def _model(args):
+    """The factory of the model that --model names (module:factory), or None."""
+    return named(args.model) if args.model else None
+
+
+def _verifier(args):
+    return models.ModelVerifier(_model(args)) if args.model else None
+
+
+def _merger(args):
+    return models.ModelMerger(_model(args)) if args.model else None
 
 
 def _now(args) -> F.Column:
@@ -71,22 +91,47 @@ def enrich_articles(spark, args, config):
     _write(enrich.run(enrich.queue(_read(spark, args.root, "articles"), args.limit, config), config=config), args.root, "enriched", args.dry_run)
 
 
+def _assign(spark, args, config, articles=None, stories=None, limit=None) -> tuple[DataFrame, DataFrame]:
+    articles, stories = articles or _read(spark, args.root, "articles"), stories or _read(spark, args.root, "stories")
+    config = dataclasses.replace(config, assign_batch=limit) if limit else config
+    done = flow.assign_stage(articles, stories, _read(spark, args.root, "sources"), _now(args), _verifier(args), config)
+    done = done if args.dry_run else tables.publish(done, f"{args.root}/versions/assigned-{_stamp()}")
+    print(json.dumps({"assign": assign.stats(done).first().asDict()}))
+    return _write(flow.assigned(articles, done, _now(args)), args.root, "articles", args.dry_run), _write(S.close_stale(flow.stories_after(stories, done, _now(args)), _now(args), config), args.root, "stories", args.dry_run)
+
+
 def assign_articles(spark, args, config):
-    _write(flow.assign_stage(_read(spark, args.root, "articles"), _read(spark, args.root, "sources"), _now(args), config=config), args.root, "articles", args.dry_run)
+    _assign(spark, args, config, limit=args.limit)
+
+
+def _pairs(spark, args, config, hours, stories=None) -> None:
+    s, now = stories or _read(spark, args.root, "stories"), _read(spark, args.root, "pairs")
+    since = None if args.story else _now(args).cast("timestamp") - F.make_dt_interval(hours=F.lit(hours))
+    some = s.where(F.col("story_id") == args.story) if args.story else s
+    some, after = flow.pair_stage(_read(spark, args.root, "articles"), some, now, since, _model(args), config)
+    if args.story:
+        some = s.where(F.col("story_id") != args.story).unionByName(some)
+    _write(after, args.root, "pairs", args.dry_run)
+    if args.model:
+        _write(some, args.root, "stories", args.dry_run)
 
 
 def pair_stories(spark, args, config):
-    s = _read(spark, args.root, "stories").where("status = 'open' and left_count >= 1 and right_count >= 1")
-    hours = args.lookback_hours or config.pairs_lookback_hours
-    s = s.where(F.col("story_id").cast("string") == args.story) if args.story else s.where(F.col("updated_at") >= _now(args) - F.make_dt_interval(hours=F.lit(hours)))
-    now = _read(spark, args.root, "pairs")
-    changes = pairs.maintain(s, flow.pair_members(_read(spark, args.root, "articles")), now, config=config)
-    _write(pairs.apply(now, changes), args.root, "pairs", args.dry_run)
+    _pairs(spark, args, config, args.lookback_hours or config.pairs_lookback_hours)
+    if not args.dry_run:
+        refresh_feed(spark, args, config)
 
 
 def merge_stories(spark, args, config):
-    a, s, p, stats = flow.merge_stage(_read(spark, args.root, "articles"), _read(spark, args.root, "stories"), _read(spark, args.root, "pairs"), None, _now(args), config)
+    """Merges are only made with a model that says so."""
+    before = [_read(spark, args.root, t) for t in ("articles", "stories", "pairs")]
+    *after, stats = flow.merge_stage(*before, _merger(args), _now(args), config)
     print(json.dumps(stats))
+    if stats["merged"]:
+        for name, df in zip(("articles", "stories", "pairs"), after):
+            _write(df, args.root, name, args.dry_run)
+        if not args.dry_run:
+            refresh_feed(spark, args, config)
 
 
 def fix_text(spark, args, config):
@@ -94,11 +139,23 @@ def fix_text(spark, args, config):
 
 
 def recheck_stories(spark, args, config):
-    a, s = _read(spark, args.root, "articles"), recheck.reanchored(_read(spark, args.root, "stories").withColumnRenamed("story_id", "id"), _read(spark, args.root, "articles"))
-    found = recheck.suspects(s, a, config, args.limit or config.recheck_cap)
-    if args.report and not args.dry_run:
-        tables.write_tsv(found, args.report, ["story_id", "published_at"])
-    print(json.dumps({"suspects": found.count()}))
+    """Suspects asked again; then detached articles are filed anew, duplicates merged, pairs of a week maintained and the feed refreshed."""
+    make = _model(args) or models.OfflineModel
+    keep = lambda df, name: tables.publish(df, f"{args.root}/versions/{name}-{_stamp()}")
+    out = flow.recheck_stage(_read(spark, args.root, "articles"), _read(spark, args.root, "stories"), make, _now(args), config, args.limit, keep)
+    if args.report:
+        tables.write_tsv(out["report"], args.report, ["story_title_before", "published_at"])
+    counts = {r["decision"]: r["n"] for r in out["decisions"].groupBy("decision").agg(F.count(F.lit(1)).alias("n")).collect()}
+    print(json.dumps({"suspects": sum(counts.values()), "kept": counts.get("kept", 0), "detached": counts.get("detached", 0)}))
+    for r in recheck.histogram(out["decisions"]).orderBy("cut").collect():
+        print(f">= {r['cut']:.2f}: {r['n']}")
+    if args.dry_run:
+        return
+    articles, stories = _write(out["articles"], args.root, "articles", False), _write(out["stories"], args.root, "stories", False)
+    _assign(spark, args, config, articles, stories, max(config.assign_batch, counts.get("detached", 0) + 100))
+    merge_stories(spark, args, config)
+    _pairs(spark, args, config, 24 * 7)
+    refresh_feed(spark, args, config)
 
 
 def backfill_framing(spark, args, config):
@@ -112,14 +169,20 @@ def status(spark, args, config):
 
 
 def run(spark, args, config):
-    """Everything from the feeds to the feed table, from an empty state, each stage published under the root; a dry run stops before any request."""
+    """Everything from the feeds to the feed table, from the tables under the root if there are any, each stage published; a dry run stops before any request."""
     listed = registry.select(registry.load_registry(spark, args.sources), args.include_unverified, args.source)
     if args.dry_run:
         print(json.dumps({"sources": listed.count(), "dry_run": True}))
         return
-    feed = tables.publish(_feed(spark, listed, args.transport).where("error is null"), f"{args.root}/feed_items")
-    pages = tables.publish(P.fetch_pages(ingest.entries(feed), args.page_transport).where("error is null").drop("error"), f"{args.root}/pages")
-    out = flow.run(listed, feed, pages, args.root, _now(args), config=config)
+    try:
+        old = {name: _read(spark, args.root, name) for name in ("articles", "stories", "pairs")}
+    except AnalysisException:  # nothing there yet
+        old = None
+    root = f"{args.root}/run-{_stamp()}" if old else args.root
+    tables.publish(listed.drop(*registry.LOCAL), f"{root}/sources")
+    feed = tables.publish(_feed(spark, listed, args.transport).where("error is null"), f"{root}/feed_items")
+    pages = tables.publish(P.fetch_pages(ingest.entries(feed), args.page_transport).where("error is null").drop("error"), f"{root}/pages")
+    out = flow.run(listed, feed, pages, root, _now(args), make=_model(args) or models.OfflineModel, verifier=_verifier(args), config=config, previous=old, merger=_merger(args), titler=_model(args))
     print(json.dumps({name: df.count() for name, df in out.items()}))
 
 
@@ -141,7 +204,7 @@ def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="plait", description=__doc__)
     p.add_argument("command", choices=sorted(COMMANDS))
     p.add_argument("--root", default="tables")
-    for name in ("--sources", "--source", "--out", "--story", "--report", "--now"):
+    for name in ("--sources", "--source", "--out", "--story", "--report", "--now", "--model"):
         p.add_argument(name)
     for name in ("--limit", "--lookback-hours"):
         p.add_argument(name, type=int)

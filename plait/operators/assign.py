@@ -301,3 +301,12 @@ def cleaned(a):
 
 def _none(x):
     return None if x is None or x is pd.NaT or (isinstance(x, float) and x != x) else x
+
+
+def stats(done: DataFrame) -> DataFrame:
+    """What became of the articles of a pass, as one row of counters."""
+    is_ = lambda *methods: F.count_if(F.col("method").isin(*methods))
+    return done.agg(
+        F.count(F.lit(1)).alias("processed"), is_("threshold", "verifier").alias("attached"), is_("create").alias("created"), is_("orphan").alias("orphaned"), is_("failed").alias("failed"),
+        F.count("verifier").alias("verified"), is_("verifier").alias("verifier_attached"),
+    )

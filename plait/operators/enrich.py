@@ -47,17 +47,29 @@ def sanitise(rows: DataFrame, answer: str = "answer") -> DataFrame:
     })
 
 
+def framed(rows: DataFrame, make: Callable[[], object], config: Config = Config()) -> DataFrame:
+    """Enriched rows of which those without framing are asked for it once more; an answer that fails leaves the row as it is."""
+    lacking = (F.col("enrichment_status") == "done") & S.needs_framing(F.col("stance.framing_axes"), F.col("stance.framing_summary"))
+    answers = models.ask(rows.where(lacking).withColumn("prompt", models.framing_prompt(config)), "id", "prompt", lambda: make().frame)
+    got = answers.select("id", F.from_json("answer", models.FRAMING).alias("f"), F.col("calls").alias("__calls"))
+    out = rows.join(got, "id", "left")
+    axes, summary = S.fill_framing(F.col("stance.framing_axes"), F.col("stance.framing_summary"), F.col("f.framing_axes"), F.col("f.framing_summary"))
+    filled = F.when(F.col("f").isNotNull(), F.col("stance").withField("framing_axes", axes).withField("framing_summary", summary)).otherwise(F.col("stance"))
+    return out.withColumn("stance", filled).withColumn("calls", F.concat("calls", F.coalesce("__calls", F.array().cast(models.CALLS)))).drop("f", "__calls")
+
+
 def run(pending: DataFrame, make: Callable[[], object] = models.OfflineModel, config: Config = Config()) -> DataFrame:
-    """Pending articles enriched and embedded.  A failed answer, an empty summary or a failed embedding makes the row ``failed``;
-    fields that were obtained stay."""
-    prompts = pending.withColumn("prompt", models.enrich_prompt(config))
+    """Pending articles enriched, asked once more for framing where that is empty, and embedded.  A failed answer, an empty summary or a failed embedding makes
+    the row ``failed``; fields that were obtained stay.  ``calls`` lists the model calls that were logged."""
+    prompts = pending.withColumn("prompt", models.enrich_prompt(config, tuple(pending.columns)))
     answers = models.ask(prompts, "id", "prompt", lambda: make().enrich)
     rows = pending.join(answers.withColumn("answer", F.from_json("answer", ANSWER)), "id")
-    clean = sanitise(rows)
+    clean = framed(sanitise(rows), make, config)
     vectors = models.embed(clean.where("enrichment_status = 'done'").withColumn("t", models.embedding_text(F.col("event_summary"), F.col("key_entities"))), "id", "t", make)
     out = clean.join(vectors.withColumnRenamed("error", "embed_error"), "id", "left")
     bad = F.col("error").isNotNull() | F.col("embed_error").isNotNull() | F.col("vector").isNull()
-    return out.withColumn("enrichment_status", F.when(bad, "failed").otherwise(F.col("enrichment_status"))).withColumn("error", F.coalesce("error", "embed_error")).drop("answer", "embed_error")
+    why = F.coalesce("error", "embed_error", F.when(F.col("event_summary").isNull(), "empty summary"))
+    return out.withColumn("enrichment_status", F.when(bad, "failed").otherwise(F.col("enrichment_status"))).withColumn("error", why).drop("answer", "embed_error")
 
 
 def framing_queue(articles: DataFrame, since: Column, config: Config = Config()) -> DataFrame:
@@ -70,7 +82,7 @@ def framing_queue(articles: DataFrame, since: Column, config: Config = Config())
 def backfill_framing(rows: DataFrame, make: Callable[[], object] = models.OfflineModel, config: Config = Config()) -> DataFrame:
     """Rows of framing_queue with what was missing filled in; an answer that fails leaves the row as it is."""
     answers = models.ask(rows.withColumn("prompt", models.framing_prompt(config)), "id", "prompt", lambda: make().frame)
-    got = answers.select("id", F.from_json("answer", "framing_axes array<string>, framing_summary string").alias("f"))
+    got = answers.select("id", F.from_json("answer", models.FRAMING).alias("f"))
     out = rows.join(got, "id", "left")
     axes, summary = S.fill_framing(F.col("stance.framing_axes"), F.col("stance.framing_summary"), F.col("f.framing_axes"), F.col("f.framing_summary"))
     stance = F.coalesce(F.col("stance"), F.lit(None).cast(rows.schema["stance"].dataType))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..config import Config
 from ..functions.scoring import date_compatible, survives
-from . import retrieval
+from . import models, retrieval
 from .stories import recount
 
 
@@ -17,8 +17,9 @@ def candidates(stories: DataFrame, now: Column | None = None, config: Config = C
     rows = stories.where("status = 'open'")
     if now is not None:
         rows = rows.where(F.col("updated_at") >= now - F.make_dt_interval(hours=F.lit(config.merge_lookback_hours)))
-    pairs = retrieval.similar_pairs(rows.select("id", F.col("centroid").alias("vector")), config.merge_min_similarity)
-    return pairs.orderBy(F.desc("similarity"), "a_id", "b_id").limit(3 * config.merge_max_checks)
+    most = 3 * config.merge_max_checks
+    pairs = retrieval.similar_pairs(rows.select("id", F.col("centroid").alias("vector")), config.merge_min_similarity, most=most)
+    return pairs.orderBy(F.desc("similarity"), "a_id", "b_id").limit(most)
 
 
 def unordered(pairs: DataFrame) -> DataFrame:
@@ -48,7 +49,7 @@ def resolve(pairs: DataFrame, verifier: Callable[[dict], dict] | None, config: C
     Sequential by nature: an absorbed story takes no further part and the checks are limited; the pairs are at most three times that limit,
     so this list, and nothing that grows with the corpus, comes to the driver.  Without a verifier nothing merges.
     """
-    stats = {"candidates": 0, "checked": 0, "merged": 0}
+    stats = {"candidates": 0, "checked": 0, "merged": 0, "failed": 0}
     if verifier is None:
         return [], stats
     gone, moves = set(), []
@@ -56,9 +57,14 @@ def resolve(pairs: DataFrame, verifier: Callable[[dict], dict] | None, config: C
         stats["candidates"] += 1
         if stats["checked"] >= config.merge_max_checks or row["a_id"] in gone or row["b_id"] in gone:
             continue
-        answer = verifier(row.asDict())
+        try:
+            answer = verifier(row.asDict())
+            sure = float(answer.get("confidence") or 0)
+        except Exception:  # noqa: BLE001  a pair that cannot be judged stays as it is
+            stats["failed"] += 1
+            continue
         stats["checked"] += 1
-        if answer.get("same_development") and float(answer.get("confidence") or 0) >= config.merge_min_confidence:
+        if answer.get("same_development") and sure >= config.merge_min_confidence:
             moves.append((row["absorbed"], row["survivor"]))
             gone.add(row["absorbed"])
             stats["merged"] += 1
@@ -87,6 +93,15 @@ def apply(articles: DataFrame, stories: DataFrame, pairs: DataFrame, mapping: Da
     return moved, after, kept
 
 
+def described(pairs: DataFrame, stories: DataFrame, articles: DataFrame) -> DataFrame:
+    """Pairs of ``allowed`` with title, summary, dates and first headlines of both stories, and the prompt made of them."""
+    told = stories.select("id", "title", "summary", F.col("event_date").cast("string").alias("date"), F.col("first_seen").cast("string").alias("first")).join(headlines(articles).withColumnRenamed("story_id", "id"), "id", "left")
+    rows = pairs
+    for s in ("a", "b"):
+        rows = rows.join(told.toDF(f"{s}_id", f"{s}_title", f"{s}_summary", f"{s}_date", f"{s}_first", f"{s}_headlines"), f"{s}_id")
+    return rows.withColumn("prompt", models.merge_prompt())
+
+
 def headlines(articles: DataFrame, most: int = 6) -> DataFrame:
     """Per story its first headlines, for the verifier."""
     w = Window.partitionBy("story_id").orderBy("published_at", "id")

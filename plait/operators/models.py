@@ -1,7 +1,9 @@
 """Language models behind small interfaces, with deterministic offline stand-ins, and their use inside plans.
 
 A model is any picklable object with the method of its role; it is made once in each task by ``make``.  Answers come back as columns with
-an ``error`` field: a failing call never fails the task.  Usage is a table of calls, aggregated like any other.
+an ``error`` field: a failing call never fails the task.  ``Structured`` turns a plain function that sends a prompt into all roles, by the rules for structured
+answers: broken or truncated ones are asked again, and one role may fall back to another model.  Calls that a model lists in ``calls`` come back as a column,
+and usage is an aggregate over it.
 """
 
 from __future__ import annotations
@@ -10,14 +12,22 @@ import hashlib
 import json
 import time
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass, field
 from typing import Protocol
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..config import Config
 
+CALLS = "array<struct<kind:string,model:string,tokens_in:long,tokens_out:long>>"
+#: What the roles answer, as types for from_json.
+FRAMING = "framing_axes array<string>, framing_summary string"
+VERIFICATION = "candidate_id string, relation string, confidence string, reason string"
+MERGING = "same_development boolean, confidence string, reason string"
+TITLING = "story_title string, headline_contrast string"
+
 
 class Enricher(Protocol):
     def enrich(self, prompt: str) -> dict: ...
@@ -35,6 +45,14 @@ class Titler(Protocol):
     def title(self, prompt: str) -> dict: ...
 
 
+class Verifier(Protocol):
+    def verify(self, prompt: str) -> dict: ...
+
+
+class Merger(Protocol):
+    def merge(self, prompt: str) -> dict: ...
+
+
 class OfflineModel:
     """All roles without any network: answers are functions of the prompt."""
 
@@ -63,6 +81,68 @@ class OfflineModel:
     def title(self, prompt: str) -> dict:
         return {"story_title": " ".join(prompt.split()[:8]), "headline_contrast": None}
 
+    def verify(self, prompt: str) -> dict:
+        return {"candidate_id": None, "relation": "unrelated", "confidence": 0.0, "reason": "offline"}
+
+    def merge(self, prompt: str) -> dict:
+        return {"same_development": False, "confidence": 0.0, "reason": "offline"}
+
+
+class Truncated(RuntimeError):
+    """The answer ended at the limit of tokens: it is no answer."""
+
+
+@dataclass(frozen=True)
+class Reply:
+    text: str
+    finish: str = "stop"
+    tokens_in: int = 0
+    tokens_out: int = 0
+
+
+@dataclass
+class Structured:
+    """All text roles over ``send(model, kind, prompt)``, which returns a Reply.
+
+    models: the model of each kind, or of all under ``""``.  fallback: the model that is asked once when a call of the tier that verifies (verify, merge, title)
+    failed after all tries; other kinds have none, nor has that model itself.
+    """
+
+    send: Callable[[str, str, str], Reply]
+    models: dict[str, str]
+    fallback: str | None = None
+    tries: int = 3
+    pause: float = 0.0
+    calls: list[dict] = field(default_factory=list)
+
+    def _once(self, model: str, kind: str, prompt: str) -> dict:
+        reply = self.send(model, kind, prompt)
+        self.calls.append({"kind": kind, "model": model, "tokens_in": reply.tokens_in, "tokens_out": reply.tokens_out})
+        if reply.finish == "length":
+            raise Truncated("the answer was cut off at its limit of tokens")
+        return json.loads(reply.text)
+
+    def ask(self, kind: str, prompt: str) -> dict:
+        model = self.models.get(kind, self.models.get("", ""))
+        tier = kind in ("verify", "merge", "title") and self.fallback not in (None, "", model)
+        other = (lambda: retried(lambda: self._once(self.fallback, kind, prompt), self.tries, self.pause)) if tier else None
+        return retried(lambda: self._once(model, kind, prompt), self.tries, self.pause, other)
+
+    def enrich(self, prompt: str) -> dict:
+        return self.ask("enrich", prompt)
+
+    def frame(self, prompt: str) -> dict:
+        return self.ask("framing", prompt)
+
+    def verify(self, prompt: str) -> dict:
+        return self.ask("verify", prompt)
+
+    def merge(self, prompt: str) -> dict:
+        return self.ask("merge", prompt)
+
+    def title(self, prompt: str) -> dict:
+        return self.ask("title", prompt)
+
 
 def retried(call: Callable, tries: int = 3, pause: float = 0.0, fallback: Callable | None = None):
     """The call's answer; broken JSON is asked again at once, other errors after a growing pause; then the fallback, once."""
@@ -81,12 +161,13 @@ def retried(call: Callable, tries: int = 3, pause: float = 0.0, fallback: Callab
 
 
 def ask(df: DataFrame, id_col: str, prompt_col: str, make: Callable[[], Callable[[str], dict]]) -> DataFrame:
-    """(id, answer as JSON, error) for every row, in Arrow batches; a row's failure is its error."""
+    """(id, answer as JSON, error, calls) for every row, in Arrow batches; a row's failure is its error."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         call = make()
+        log = getattr(getattr(call, "__self__", None), "calls", [])
         for b in batches:
-            answers, errors = [], []
+            answers, errors, calls = [], [], []
             for prompt in b["prompt"]:
                 try:
                     answers.append(json.dumps(retried(lambda p=prompt: call(p))))
@@ -94,14 +175,24 @@ def ask(df: DataFrame, id_col: str, prompt_col: str, make: Callable[[], Callable
                 except Exception as error:  # noqa: BLE001
                     answers.append(None)
                     errors.append(str(error)[:300])
-            yield pd.DataFrame({id_col: b[id_col], "answer": answers, "error": errors})
+                calls.append(list(log))
+                log.clear()
+            yield pd.DataFrame({id_col: b[id_col], "answer": answers, "error": errors, "calls": calls})
 
     kind = df.schema[id_col].dataType.simpleString()
-    return df.select(id_col, F.col(prompt_col).alias("prompt")).mapInPandas(run, f"{id_col} {kind}, answer string, error string")
+    return df.select(id_col, F.col(prompt_col).alias("prompt")).mapInPandas(run, f"{id_col} {kind}, answer string, error string, calls {CALLS}")
+
+
+def in_order(found: list) -> list[list[float]]:
+    """The vectors of an answer; where each comes with the index of its text, in the order of the texts."""
+    if found and isinstance(found[0], dict):
+        found = [x["embedding"] for x in sorted(found, key=lambda x: x["index"])]
+    return found
 
 
 def embed(df: DataFrame, id_col: str, text_col: str, make: Callable[[], Embedder], batch: int = 64, most_chars: int = 8000) -> DataFrame:
-    """(id, vector, error): texts cut to ``most_chars``, embedded ``batch`` at a time; a failing batch is an error of all its rows."""
+    """(id, vector, error): texts cut to ``most_chars``, embedded ``batch`` at a time; a failing batch, or one with another number of vectors than
+    texts, is an error of all its rows."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = make()
@@ -109,7 +200,9 @@ def embed(df: DataFrame, id_col: str, text_col: str, make: Callable[[], Embedder
             for at in range(0, len(b), batch):
                 part = b.iloc[at : at + batch]
                 try:
-                    vectors, error = retried(lambda p=part: model.embed([(t or "")[:most_chars] for t in p["text"]])), None
+                    vectors, error = in_order(retried(lambda p=part: model.embed([(t or "")[:most_chars] for t in p["text"]]))), None
+                    if len(vectors) != len(part):
+                        raise ValueError(f"{len(vectors)} vectors for {len(part)} texts")
                 except Exception as e:  # noqa: BLE001
                     vectors, error = [None] * len(part), str(e)[:300]
                 yield pd.DataFrame({id_col: part[id_col], "vector": vectors, "error": error})
@@ -123,17 +216,70 @@ def usage(calls: DataFrame) -> DataFrame:
     return calls.groupBy("kind", "model").agg(F.count(F.lit(1)).alias("calls"), F.sum("tokens_in").alias("tokens_in"), F.sum("tokens_out").alias("tokens_out"))
 
 
-def enrich_prompt(config: Config = Config()):
-    """What an enricher reads of an article."""
-    or_none = lambda c: F.coalesce(F.nullif(F.col(c), F.lit("")), F.lit("none"))
-    return F.concat(
-        F.lit("Outlet: "), or_none("outlet"), F.lit("\nPublished: "), F.coalesce(F.col("published_at").cast("string"), F.lit("none")), F.lit("\nTitle: "), or_none("title"), F.lit("\nFeed headline: "), or_none("headline"),
-        F.lit("\nDescription: "), or_none("subheadline"), F.lit("\nText:\n"), F.substring(F.coalesce("body_text", F.lit("")), 1, config.body_chars_for_prompt),
+def _said(name: str, value: Column) -> list[Column]:
+    return [F.lit(f"{name}: "), F.coalesce(F.nullif(value.cast("string"), F.lit("")), F.lit("none")), F.lit("\n")]
+
+
+def enrich_prompt(config: Config = Config(), columns: tuple[str, ...] = ()) -> Column:
+    """What an enricher reads of an article; section and authors where there are such columns."""
+    parts = [*_said("Outlet", F.col("outlet")), *_said("Published", F.col("published_at")), *_said("Title", F.col("title")), *_said("Feed headline", F.col("headline")), *_said("Description", F.col("subheadline"))]
+    if "evidence" in columns:
+        parts += _said("Section", F.col("evidence.section"))
+    if "authors" in columns:
+        parts += _said("Authors", F.array_join("authors", ", "))
+    return F.concat(*parts, F.lit("Text:\n"), F.substring(F.coalesce("body_text", F.lit("")), 1, config.body_chars_for_prompt))
+
+
+def framing_prompt(config: Config = Config()) -> Column:
+    headline = F.coalesce(F.nullif("headline", F.lit("")), "title")
+    return F.concat(*_said("Outlet", F.col("outlet")), *_said("Headline", headline), *_said("Page title", F.col("title")), *_said("Subheadline", F.col("subheadline")), F.lit("Text:\n"), F.substring(F.coalesce("body_text", F.lit("")), 1, config.framing_body_chars))
+
+
+def verify_prompt(article, stories: list) -> str:
+    """An article's main point and the stories that it may belong to, for a verifier; any objects with these fields."""
+    has = lambda name: getattr(article, name, None)
+    lines = [f"Outlet: {has('outlet')}", f"Published: {has('published_at')}", f"Headline: {has('title')}", f"Main point: {has('event_summary')}", f"Date of the event: {has('event_date')}", f"Names: {', '.join(has('key_entities') or [])}", "", "Stories:"]
+    lines += [f"[{s.id}] {s.title} | {s.summary} (event {s.event_date}, first seen {s.first_seen or 'unknown'})" for s in stories]
+    return "\n".join([*lines, "", "To which story is the article closest, and is its main point the same development, a follow-up of it, or unrelated?"])
+
+
+class ModelVerifier:
+    """A verifier for the sequential pass over a model's role; the model is made where it is used."""
+
+    def __init__(self, make: Callable[[], Verifier]):
+        self.make, self.model = make, None
+
+    def __getstate__(self):
+        return {"make": self.make, "model": None}
+
+    def __call__(self, article, stories: list) -> dict:
+        self.model = self.model or self.make()
+        return self.model.verify(verify_prompt(article, stories))
+
+
+class ModelMerger:
+    """A verifier for merges: a row of merge.described in, the answer out."""
+
+    def __init__(self, make: Callable[[], Merger]):
+        self.model = make()
+
+    def __call__(self, row: dict) -> dict:
+        return self.model.merge(row["prompt"])
+
+
+def merge_prompt() -> Column:
+    """Two stories with their first headlines, from the columns of merge.described."""
+    one = lambda s: F.concat(
+        F.lit(f"Story {s.upper()}\n"), *_said("Title", F.col(f"{s}_title")), *_said("Summary", F.col(f"{s}_summary")), *_said("Event", F.col(f"{s}_date")), *_said("First seen", F.col(f"{s}_first")), F.lit("Headlines:\n- "),
+        F.coalesce(F.array_join(f"{s}_headlines", "\n- "), F.lit("none")),
     )
+    return F.concat(one("a"), F.lit("\n\n"), one("b"), F.lit("\n\nDo both report the same single development?"))
 
 
-def framing_prompt(config: Config = Config()):
-    return F.concat(F.lit("Outlet: "), F.coalesce("outlet", F.lit("none")), F.lit("\nHeadline: "), F.coalesce("headline", "title", F.lit("none")), F.lit("\nText:\n"), F.substring(F.coalesce("body_text", F.lit("")), 1, config.framing_body_chars))
+def title_prompt() -> Column:
+    """A story's anchor and the two pieces that are set against each other."""
+    piece = lambda s: [F.lit(f"{s.capitalize()} piece, "), *_said("outlet", F.col(f"{s}.outlet")), *_said("Title", F.col(f"{s}.title")), *_said("Framing", F.col(f"{s}.framing"))]
+    return F.concat(*_said("Development", F.col("summary")), *piece("left"), *piece("right"))
 
 
 def embedding_text(summary, entities):

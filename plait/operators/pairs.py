@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..config import Config
 from ..functions.scoring import displayable, keeps_current, pair_terms
 from ..functions.text import near_duplicate, normalise_title
-from . import pair_blocks
+from . import models, pair_blocks
 
 #: What a member must carry for pairing.
 MEMBER = ("id", "outlet", "title", "snippet", "image_url", "published_at", "article_type", "direction", "confidence", "axes")
@@ -83,6 +85,27 @@ def apply(pairs: DataFrame, changes: DataFrame) -> DataFrame:
     return old.join(new.select(*keys), keys, "left_anti").unionByName(new, allowMissingColumns=True)
 
 
+def titles(stories: DataFrame, articles: DataFrame, changes: DataFrame, make: Callable[[], models.Titler]) -> DataFrame:
+    """(story_id, title, contrast, error) for stories whose pair is new or whose title no model has written yet; the title of at most 200 characters is null where
+    a model's title stands already, and the contrast where the pair stays.  The summary, the story's anchor, is never touched.
+
+    articles: with ``framing`` (what the piece puts first).
+    """
+    side = lambda s: articles.select(F.col("id").alias(f"{s}_article_id"), F.struct("outlet", "title", "framing").alias(s))
+    rows = changes.where("action <> 'retired'").join(stories.select("story_id", "summary", "title_source"), "story_id")
+    titled = F.coalesce(F.col("title_source") == "llm", F.lit(False))
+    rows = rows.where((F.col("action") != "kept") | ~titled).join(side("left"), "left_article_id").join(side("right"), "right_article_id")
+    answers = models.ask(rows.withColumn("prompt", models.title_prompt()), "story_id", "prompt", lambda: make().title)
+    told = answers.select("story_id", F.from_json("answer", models.TITLING).alias("t"), "error")
+    title = F.nullif(F.substring(F.trim("t.story_title"), 1, 200), F.lit(""))
+    return rows.join(told, "story_id").select("story_id", F.when(~titled, title).alias("title"), F.when(F.col("action") != "kept", F.col("t.headline_contrast")).alias("contrast"), "error")
+
+
+def stats(changes: DataFrame) -> DataFrame:
+    """How many stories got, changed, kept or lost their pair: one aggregate."""
+    return changes.groupBy("action").agg(F.count(F.lit(1)).alias("n"))
+
+
 def ranked(articles: DataFrame, top: int, near: str = "title") -> DataFrame:
     """The ``top`` pairs of each story, for inspection."""
     w = Window.partitionBy("story_id").orderBy(F.desc("score"), "l.id", "r.id")

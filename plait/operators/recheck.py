@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import json
+from collections.abc import Callable, Iterator
+from types import SimpleNamespace
+
+import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from ..config import Config
 from ..functions.scoring import verified, verify_reason
 from ..functions.text import placeholder_title
+from . import models
 from .assign import RULE
 from .stories import founders
 
@@ -41,9 +47,44 @@ def suspects(stories: DataFrame, articles: DataFrame, config: Config = Config(),
     return rows if most is None else rows.orderBy("story_id", "published_at", "id").limit(most)
 
 
+ANSWERS = "id {0}, candidate_id string, relation string, confidence double, reason string, error string"
+
+
+def answered(asked: DataFrame, stories: DataFrame, articles: DataFrame, make: Callable[[], models.Verifier]) -> DataFrame:
+    """A verifier's answer for each suspect, asked about its own story alone; a call that fails has an error and no relation."""
+    s = stories.select(F.col("id").alias("story_id"), F.struct(F.col("id").cast("string").alias("id"), "title", "summary", "event_date", "first_seen").alias("story"))
+    a = articles.select("id", F.struct("outlet", "published_at", "title", "event_summary", "event_date", "key_entities").alias("article"))
+    rows = asked.select("id", "story_id").join(s, "story_id").join(a, "id").select("id", F.to_json("article").alias("article"), F.to_json("story").alias("story"))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        verifier = models.ModelVerifier(make)
+        read = lambda text: json.loads(text, object_hook=lambda d: SimpleNamespace(**{"event_date": None, "first_seen": None, "title": None, "summary": None} | d))
+        for b in batches:
+            out = []
+            for i, article, story in zip(b["id"], b["article"], b["story"]):
+                try:
+                    x = verifier(read(article), [read(story)])
+                    sure = pd.to_numeric(x.get("confidence"), errors="coerce")
+                    out.append((i, x.get("candidate_id"), x.get("relation"), 0.0 if pd.isna(sure) else float(sure), x.get("reason"), None))
+                except Exception as error:  # noqa: BLE001
+                    out.append((i, None, None, None, None, str(error)[:300]))
+            yield pd.DataFrame(out, columns=["id", "candidate_id", "relation", "confidence", "reason", "error"])
+
+    return rows.mapInPandas(run, ANSWERS.format(articles.schema["id"].dataType.simpleString()))
+
+
+def report(decisions: DataFrame, before: DataFrame, stories: DataFrame, articles: DataFrame) -> DataFrame:
+    """One row a decision with the story's title before and after re-anchoring, in eleven columns; for write_tsv."""
+    old = before.select(F.col("id").alias("story_id"), F.col("title").alias("story_title_before"))
+    new = stories.select(F.col("id").alias("story_id"), F.col("title").alias("story_anchor"))
+    a = articles.select("id", "outlet", F.col("title").alias("headline"))
+    rows = decisions.select("story_id", "id", "published_at", "relation", "confidence", "decision", F.col("answer_reason").alias("reason")).join(old, "story_id").join(new, "story_id").join(a, "id")
+    return rows.select("story_id", "story_title_before", "story_anchor", F.col("id").alias("article_id"), "outlet", "published_at", "headline", "relation", F.format_number("confidence", 2).alias("confidence"), "decision", F.translate("reason", "\t", " ").alias("reason"))
+
+
 def judged(asked: DataFrame, answers: DataFrame, config: Config = Config()) -> DataFrame:
     """Each asked member with the answer's decision: kept or detached.  answers: id, candidate_id, relation, confidence."""
-    rows = asked.join(answers, "id")
+    rows = asked.join(answers.withColumnRenamed("reason", "answer_reason") if "reason" in answers.columns else answers, "id")
     verdict = verified(F.col("relation"), F.col("confidence"), F.col("candidate_id") == F.col("story_id"), F.lit(True), config)
     return rows.withColumn("decision", F.when(verdict.isNull(), "detached").otherwise("kept"))
 

@@ -13,6 +13,18 @@ def publish(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def latest(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """The newest version of a table under a root: ``versions/NAME-STAMP`` or ``run-STAMP/NAME``, else ``NAME``."""
+    files = spark._jvm.org.apache.hadoop.fs.Path(root).getFileSystem(spark._jsc.hadoopConfiguration())
+    found = {}
+    for pattern in (f"{root}/versions/{name}-*", f"{root}/run-*/{name}"):
+        for status in files.globStatus(spark._jvm.org.apache.hadoop.fs.Path(pattern)) or []:
+            path = status.getPath().toString()
+            found[path.rpartition(f"{name}-")[2] if "/versions/" in path else path.split("/run-")[-1].partition("/")[0]] = path
+    done = {stamp: path for stamp, path in found.items() if files.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS"))}
+    return spark.read.parquet(done[max(done)] if done else f"{root}/{name}")
+
+
 def first_wins(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """One row a key: the first in the given order (dropDuplicates knows no order)."""
     ranked = df.withColumn("__n", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
@@ -62,6 +74,18 @@ def page_after(table: DataFrame, key: str, last, size: int) -> DataFrame:
     return rows.orderBy(key).limit(size)
 
 
+def pages_of(table: DataFrame, key: str, size: int):
+    """All rows in pages by key, one at a time on the driver: the next page begins after the last key, a page that is not full ends the scan."""
+    last = None
+    while True:
+        rows = page_after(table, key, last, size).collect()
+        if rows:
+            yield rows
+        if len(rows) < size:
+            return
+        last = rows[-1][key]
+
+
 def count_rows(table: DataFrame, test: Column | None = None) -> int:
     return (table if test is None else table.where(test)).count()
 
