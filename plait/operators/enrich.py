@@ -61,6 +61,7 @@ def framed(rows: DataFrame, make: Callable[[], object], config: Config = Config(
 def run(pending: DataFrame, make: Callable[[], object] = models.OfflineModel, config: Config = Config()) -> DataFrame:
     """Pending articles enriched, asked once more for framing where that is empty, and embedded.  A failed answer, an empty summary or a failed embedding makes
     the row ``failed``; fields that were obtained stay.  ``calls`` lists the model calls that were logged."""
+    pending = pending.drop("error", "calls", "vector")  # of an earlier attempt
     prompts = pending.withColumn("prompt", models.enrich_prompt(config, tuple(pending.columns)))
     answers = models.ask(prompts, "id", "prompt", lambda: make().enrich)
     rows = pending.join(answers.withColumn("answer", F.from_json("answer", ANSWER)), "id")

@@ -1,10 +1,13 @@
 """The whole run on fixtures, the command line and the stream."""
 
+import re
 from datetime import datetime
 
 from pyspark.sql import functions as F
 
 from plait import cli
+from plait.config import Config
+from plait.operators import models
 from plait.plans import flow
 from plait.sources import registry
 from tests.test_operators import SCHEMA, article
@@ -102,3 +105,95 @@ def test_stream_gives_up_old_blocks(spark, tmp_path):
     query.awaitTermination(120)
     sizes = [sum(s["numRowsTotal"] for s in p["stateOperators"]) for p in query.recentProgress]
     assert {r["id"]: r["method"] for r in spark.table("aged").collect()} == {n: "create" for n in range(1, 5)} and max(sizes) <= 2 and sizes[-1] <= 2 and min(sizes[1:]) <= 1
+
+
+class TopicModel(models.OfflineModel):
+    """Answers by the topic that a page names: "topic A", "topic A2" (nearly A), "opinion on topic B"."""
+
+    def __init__(self):
+        super().__init__(dims=4)
+        self.calls = []
+
+    def _log(self, kind):
+        self.calls.append({"kind": kind, "model": "topics", "tokens_in": 10, "tokens_out": 2})
+
+    def enrich(self, prompt):
+        self._log("enrich")
+        topic = re.search(r"topic (\w+)", prompt)[1]
+        told = super().enrich(prompt)
+        return told | {"event_summary": f"Development {topic} took place", "key_entities": [f"Actor {topic}"], "article_type": "opinion" if "opinion" in prompt else "news", "event_date": "2026-01-02"}
+
+    def embed(self, texts):
+        base = {"A": [1, 0, 0, 0], "A2": [0.95, 0.31, 0, 0], "B": [0, 0, 1, 0], "C": [0, 0, 0, 1]}
+        return [{"index": i, "embedding": [float(x) for x in base[re.search(r"Development (\w+)", t)[1]]]} for i, t in reversed(list(enumerate(texts)))]
+
+    def verify(self, prompt):
+        return {"candidate_id": re.search(r"\[(\w+)\]", prompt)[1], "relation": "follow_up", "confidence": 0.9, "reason": "later\tstep"}
+
+    def merge(self, prompt):
+        return {"same_development": "Story A" in prompt and "Outlet" in prompt, "confidence": 0.9, "reason": "same"}
+
+    def title(self, prompt):
+        return {"story_title": "Told: " + prompt.splitlines()[0].removeprefix("Development: "), "headline_contrast": "left and right"}
+
+
+def topic_feed(spark, items, day=2, hour=12):
+    """(source, link, title) items as feed rows and their pages."""
+    feed = spark.createDataFrame([(s, n, link, title, f"2026-01-{day:02d}T{hour + n // 60:02d}:{n % 60:02d}:00Z") for n, (s, link, title) in enumerate(items)], "source_id string, pos int, link string, title string, published string").select(
+        "source_id", "pos", "link", F.array().cast("array<struct<href:string,type:string>>").alias("links"), "title", F.lit("sum").alias("summary"), "published", F.lit(None).cast("string").alias("updated"),
+        F.array().cast("array<string>").alias("media_content"), F.array().cast("array<string>").alias("media_thumbnail"), F.array().cast("array<struct<href:string,type:string>>").alias("enclosures"), F.lit("Ann").alias("author"),
+    )
+    body = lambda title: f"<html><head><title>{title}</title></head><body><article><p>{('Report on ' + title + ', with much to say about it. ') * 9}</p></article></body></html>"
+    return feed, spark.createDataFrame([(link, link, body(title)) for _, link, title in items], "link string, final_url string, html string")
+
+
+def topic_sources(spark):
+    listed = registry.parse_registry([{"id": f"s{i}", "outlet": f"Outlet {i}", "feed_url": "u", "leaning": "LEFT" if i % 2 else "RIGHT", "verified": True} for i in range(4)])
+    return spark.createDataFrame(listed, registry.SCHEMA)
+
+
+def test_second_run_goes_on_from_the_first(spark, tmp_path):
+    """New articles attach to the first run's stories, orphans are tried again, known links are passed over; then merges and rechecks by command."""
+    u = "https://o.example/"
+    sources, root = topic_sources(spark), str(tmp_path / "t")
+    first = topic_feed(spark, [("s0", u + "a1", "topic A one"), ("s1", u + "a2", "topic A two"), ("s2", u + "b1", "opinion on topic B")])
+    one = flow.run(sources, *first, root, F.lit(datetime(2026, 1, 2, 13)), make=TopicModel, titler=TopicModel)
+    got = {r["canonical_url"][-2:]: r for r in one["articles"].collect()}
+    assert [got[k]["method"] for k in ("a1", "a2", "b1")] == ["create", "threshold", "orphan"] and got["b1"]["reason"] == "opinion cannot create a story" and got["a2"]["candidates"][0]["id"] == got["a1"]["story_id"]
+    assert got["a1"]["stance"]["framing_axes"] == ["coverage"]  # asked once more, since the first answer had none
+    assert [(c["kind"], c["model"]) for c in got["a1"]["calls"]] == [("enrich", "topics")]
+    pair = one["pairs"].first()
+    story = one["stories"].first()
+    assert one["pairs"].count() == 1 and pair["headline_contrast"] == "left and right" and story["title"] == "Told: Development A took place" and story["title_source"] == "llm" and story["summary"] == "Development A took place"
+    assert one["feed"].count() == 1
+
+    second = topic_feed(spark, [("s0", u + "a1", "topic A one"), ("s3", u + "a3", "topic A three"), ("s3", u + "b2", "topic B news"), ("s1", u + "c1", "topic A2 near")], hour=13)
+    tables = {n: one[n] for n in ("articles", "stories", "pairs")}
+    two = flow.run(sources, *second, root + "/run-1", F.lit(datetime(2026, 1, 2, 14, 30)), make=TopicModel, previous=tables, titler=TopicModel, config=Config(attach_threshold=0.99))
+    now = {r["canonical_url"][-2:]: r for r in two["articles"].collect()}
+    assert len(now) == 6 and [now[k]["method"] for k in ("a1", "a2", "a3", "b2", "b1", "c1")] == ["create", "threshold", "threshold", "create", "threshold", "create"]
+    assert now["a3"]["story_id"] == got["a1"]["story_id"] and now["b1"]["story_id"] == now["b2"]["story_id"] and now["a1"]["assigned_at"] == got["a1"]["assigned_at"]
+    stories = {r["story_id"]: r for r in two["stories"].collect()}
+    assert stories[now["a1"]["story_id"]]["article_count"] == 3 and stories[now["a1"]["story_id"]]["title_source"] == "llm" and len(stories) == 3
+    sources.drop(*registry.LOCAL).write.parquet(root + "/sources")
+
+    common = ["--root", root, "--now", "2026-01-02T15:00:00+00:00", "--model", "tests.test_flow:TopicModel"]
+    config = Config(attach_threshold=0.99, verify_threshold=0.9, merge_min_similarity=0.9, auto_attach_window_hours=0)
+    assert cli.main(["merge", "--dry-run", *common], spark, config) == 0 and cli.main(["merge", *common], spark, config) == 0
+    merged = {r["canonical_url"][-2:]: r["story_id"] for r in cli._read(spark, root, "articles").collect()}
+    assert merged["c1"] == merged["a1"] and {r["status"] for r in cli._read(spark, root, "stories").collect()} == {"open", "merged"}
+
+    report = str(tmp_path / "report")
+    old = cli._read(spark, root, "articles").withColumn("rule", F.lit("older"))
+    cli._write(old, root, "articles", False)
+    assert cli.main(["recheck-stories", "--report", report, *common], spark, config) == 0
+    told = spark.read.option("sep", "\t").option("header", True).csv(report)
+    assert told.columns == ["story_id", "story_title_before", "story_anchor", "article_id", "outlet", "published_at", "headline", "relation", "confidence", "decision", "reason"]
+    decisions = {(r["decision"], r["reason"]) for r in told.collect()}
+    assert decisions == {("detached", "later step")} and told.count() >= 3
+    final = {r["canonical_url"][-2:]: r for r in cli._read(spark, root, "articles").collect()}
+    assert final["a3"]["split_from"] == merged["a1"] != final["a3"]["story_id"]  # filed anew, never back into the story it was split from
+    anchored = {r["story_id"]: r for r in cli._read(spark, root, "stories").collect()}[merged["a1"]]
+    assert anchored["article_count"] == sum(r["story_id"] == merged["a1"] for r in final.values())
+    for command in ("assign", "pairs", "enrich", "status", "refresh-feed", "trim", "fix-text", "backfill-framing"):
+        assert cli.main([command, *(["--dry-run"] if command != "assign" else []), *common], spark, config) == 0
