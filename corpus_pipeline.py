@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from plait.llm import decontamination, jaccard_join, packing, rule_ensemble, secrets
-from plait.llm.common import bounded_batches, fold, materialize
+from plait.llm.common import bounded_batches, discard, fold, materialize, scratch
 from plait.llm.queries import table, tokenizer_path
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -58,12 +58,10 @@ def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def secret_spans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Replaces every reported span by a mark of its kind; n_chars follows the text."""
+    """Replaces every reported span by a mark of its kind; n_chars follows the text.  Texts pass through the scan and are not joined again."""
     bounded_batches(spark)
-    spans = secrets.scan_secrets(docs).where(F.size("spans") > 0).select("row", "spans").dropDuplicates(["row"])
-    joined = docs.select(*COLUMNS).withColumn("row", secrets.row_key("doc_id", "doc_id", "source", "text")).join(spans, "row", "left")
-    out = secrets.redact_column(joined, "spans")
-    return out.withColumn("n_chars", F.when(F.col("spans").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType))).select(*COLUMNS)
+    out = secrets.redacted(docs.select(*COLUMNS))
+    return out.withColumn("n_chars", F.when(F.col("__redacted"), F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))).select(*COLUMNS)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -85,7 +83,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages, each written to the shared folder; what a stage made on its way, and its input, go once it is written."""
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), name)
+    for n, (name, stage) in enumerate(STAGES):
+        with scratch(spark) as keep:
+            out = materialize(stage(spark, docs, sf_dir), name)
+            keep(out)
+        if n:
+            discard(docs)
+        docs = out
     return docs
