@@ -25,8 +25,8 @@ def unit(v: Column) -> Column:
 
 
 def to_text(v: Column) -> Column:
-    """``[x,...]`` with seven decimals; null stays null."""
-    return F.when(v.isNotNull(), F.concat(F.lit("["), F.array_join(F.transform(v, lambda x: F.format_string("%.7f", x)), ","), F.lit("]")))
+    """``[x,...]`` with seven decimals, halves to the even digit; null stays null."""
+    return F.when(v.isNotNull(), F.concat(F.lit("["), F.array_join(F.transform(v, lambda x: F.format_string("%.7f", F.bround(x, 7))), ","), F.lit("]")))
 
 
 def from_text(text: Column) -> Column:

@@ -134,14 +134,73 @@ def stale_guard(spark, d):
     return _stamps(spark, d).select("event_id", published.alias("published_at"), source.alias("date_source"))
 
 
+_FETCHED_SQL = """f AS (
+  SELECT doc_id, source, text, CASE doc_id % 9 WHEN 0 THEN NULL WHEN 1 THEN '  ' WHEN 2 THEN 'Transcript: talk ' || doc_id WHEN 3 THEN repeat('Long title ', 60) || doc_id ELSE ' Page  title ' || doc_id END AS page_title,
+    CASE WHEN doc_id % 4 > 0 THEN 'Feed title ' || doc_id END AS feed_title, CASE WHEN doc_id % 5 > 0 THEN TIMESTAMP '2024-01-01 00:00:00' + to_hours(CAST((doc_id * 7) % 700 AS BIGINT)) END AS page_at,
+    CASE WHEN doc_id % 3 > 0 THEN TIMESTAMP '2024-01-01 00:00:00' + to_hours(CAST((doc_id * 11) % 740 AS BIGINT)) END AS feed_at FROM documents),
+g AS (
+  SELECT *, nullif(trim(regexp_replace(page_title, '\\s+', ' ', 'g')), '') AS pt, TIMESTAMP '2024-01-31 00:00:00' - INTERVAL 72 HOUR AS cut, greatest(page_at, feed_at) AS newest, coalesce(page_at, feed_at) AS chosen FROM f),
+r AS (SELECT *, coalesce(pt, feed_title) AS title, CASE WHEN newest < cut OR (chosen < cut AND newest >= cut) THEN newest ELSE chosen END AS published_at FROM g)"""
+
+
 @query(
-    "SELECT doc_id, substr(split_part(text, chr(10), 1), 1, 500) AS title, nullif(substr(text, 1, 20000), '') AS body_text, length(text)::INT AS body_chars, "
-    "CASE WHEN length(text) >= 300 THEN 'pending' ELSE 'skipped' END AS enrichment_status FROM documents"
+    f"""WITH {_FETCHED_SQL}
+SELECT doc_id, CASE WHEN published_at IS NULL THEN 'failed' WHEN newest < cut THEN 'stale' WHEN title IS NULL THEN 'failed' WHEN starts_with(title, 'Transcript:') THEN 'non_article' ELSE 'row' END AS outcome,
+  left(title, 500) AS title, CASE WHEN feed_title <> title THEN feed_title END AS headline, nullif(substr(text, 1, 20000), '') AS body_text, length(text)::INT AS body_chars, CASE WHEN length(text) >= 300 THEN 'pending' ELSE 'skipped' END AS enrichment_status,
+  published_at, 'about ' || CASE WHEN doc_id % 2 = 0 THEN doc_id ELSE -doc_id END AS subheadline, CASE WHEN doc_id % 2 = 0 THEN ['Ann', 'Bo'] WHEN doc_id % 3 = 0 THEN ['Cy'] ELSE [] END AS authors, 'https://w.example/a/' || doc_id AS canonical_url FROM r"""
 )
 def row_build_status(spark, d):
-    title = F.substring(F.split_part("text", F.lit("\n"), F.lit(1)), 1, 500)
-    status = F.when(F.length("text") >= Config().min_body_chars, "pending").otherwise("skipped")
-    return table(spark, d, "documents").select("doc_id", title.alias("title"), F.nullif(F.substring("text", 1, 20000), F.lit("")).alias("body_text"), F.length("text").alias("body_chars"), status.alias("enrichment_status"))
+    docs = table(spark, d, "documents")
+    title = F.expr("case doc_id % 9 when 0 then null when 1 then '  ' when 2 then concat('Transcript: talk ', doc_id) when 3 then concat(repeat('Long title ', 60), doc_id) else concat(' Page  title ', doc_id) end")
+    at = lambda by, n, span: F.expr(f"case when doc_id % {by} > 0 then cast(timestampadd(HOUR, cast((doc_id * {n}) % {span} as int), timestamp_ntz'2024-01-01 00:00:00') as timestamp) end")
+    even, none = F.col("doc_id") % 2 == 0, F.lit(None).cast("string")
+    page = F.struct(
+        title.alias("title"), F.when(even, F.concat(F.lit("about "), "doc_id")).alias("description"), F.col("text"), none.alias("image"), F.when(even, F.array(F.lit("Ann"), F.lit("Bo"))).otherwise(F.array().cast("array<string>")).alias("authors"),
+        at(5, 7, 700).alias("published_at"), none.alias("section"), F.lit(False).alias("wire_hint"), none.alias("jsonld_type"),
+    )
+    entry = F.struct(
+        F.when(F.col("doc_id") % 4 > 0, F.concat(F.lit("Feed title "), "doc_id")).alias("title"), F.concat(F.lit("about "), -F.col("doc_id")).alias("summary"), at(3, 11, 740).alias("published_at"), none.alias("image_url"),
+        F.when(F.col("doc_id") % 3 == 0, "Cy").alias("author"),
+    )
+    fetched = docs.select("doc_id", F.col("source").alias("source_id"), F.col("source").alias("outlet"), F.col("doc_id").alias("pos"), F.concat(F.lit("http://www.w.example/a/"), "doc_id", F.lit("?utm_source=x")).alias("link"), entry.alias("entry"), page.alias("page"), F.lit(0).cast("long").alias("html_bytes"))
+    out = ingest.build_rows(fetched, ntz("2024-01-31 00:00:00"))
+    return out.select(F.col("pos").alias("doc_id"), "outcome", "title", "headline", "body_text", "body_chars", "enrichment_status", F.col("published_at").cast("timestamp_ntz").alias("published_at"), "subheadline", "authors", "canonical_url")
+
+
+@query("SELECT page_id, 'https://x.example/p?q=' || page_id || '%25%25&r=a+b%2Fc&t=%C3%A9%25zz&u=%25' AS canonical_url FROM pages")
+def url_escapes(spark, d):
+    raw = F.concat(F.lit("http://www.X.example//p/?u=%&r=a+b%2Fc&q="), "page_id", F.lit("%25%&t=%C3%A9%zz&utm_x=1&blank=#top"))
+    return table(spark, d, "pages").select("page_id", canonical_url(raw).alias("canonical_url"))
+
+
+@query(
+    """SELECT page_id, CASE WHEN page_id % 4 = 0 THEN url || '?alt' ELSE url END AS link, CASE WHEN page_id % 3 > 0 THEN 'Title ' || page_id END AS title,
+  CASE WHEN page_id % 5 = 0 THEN TIMESTAMP '2024-01-03 04:05:06' WHEN page_id % 5 < 4 THEN TIMESTAMP '2024-01-02 03:04:05' END AS published_at,
+  CASE WHEN page_id % 6 = 0 THEN 'm' WHEN page_id % 6 = 1 THEN 't' WHEN page_id % 6 = 2 THEN 'l' WHEN page_id % 6 = 3 THEN 'e' END AS image_url FROM pages WHERE page_id % 8 <> 4"""
+)
+def entry_normalise(spark, d):
+    image = lambda n, url: F.when(F.col("page_id") % 6 <= n, F.array(F.lit(""), F.lit(url))).otherwise(F.array().cast("array<string>"))
+    link = lambda *given: F.array(*[F.struct(F.lit(h).alias("href") if isinstance(h, str) else h.alias("href"), F.lit(kind).alias("type")) for h, kind in given])
+    feed = table(spark, d, "pages").select(
+        F.lit("s").alias("source_id"), F.col("page_id").alias("pos"), F.when(F.col("page_id") % 4 == 0, "  ").otherwise(F.concat(F.lit(" "), "url")).alias("link"),
+        F.when(F.col("page_id") % 8 == 4, link(("", "text/html"))).otherwise(F.when(F.col("page_id") % 6 <= 2, link((F.concat("url", F.lit("?alt")), "text/html"), ("l", "image/png"))).otherwise(link((F.concat("url", F.lit("?alt")), "text/html")))).alias("links"),
+        F.when(F.col("page_id") % 3 > 0, F.concat(F.lit(" Title "), "page_id", F.lit(" "))).otherwise(" ").alias("title"), F.lit("sum").alias("summary"),
+        F.when(F.col("page_id") % 5 == 0, "soon").when(F.col("page_id") % 5 < 4, "Tue, 02 Jan 2024 03:04:05 GMT").alias("published"), F.when(F.col("page_id") % 5 == 0, "2024-01-03T04:05:06Z").alias("updated"),
+        image(0, "m").alias("media_content"), image(1, "t").alias("media_thumbnail"), F.when(F.col("page_id") % 6 <= 3, link(("p", "audio/mp3"), ("e", "image/jpeg"))).otherwise(link(("p", "audio/mp3"))).alias("enclosures"), F.lit("Ann").alias("author"),
+    )
+    return ingest.entries(feed).select(F.col("pos").alias("page_id"), "link", "title", F.col("published_at").cast("timestamp_ntz").alias("published_at"), "image_url")
+
+
+@query(
+    """WITH r AS (SELECT page_id, 'https://r.example/' || (page_id % 40) AS canonical_url, page_id % 7 AS position FROM pages WHERE page_id % 5 > 0),
+old AS (SELECT DISTINCT canonical_url FROM r WHERE page_id % 40 < 4)
+SELECT arg_min(page_id, (position, page_id)) AS pos, canonical_url FROM r WHERE canonical_url NOT IN (SELECT canonical_url FROM old) GROUP BY canonical_url UNION ALL SELECT -1, canonical_url FROM old"""
+)
+def redirect_dedup(spark, d):
+    rows = table(spark, d, "pages").where("page_id % 5 > 0").select(F.lit("row").alias("outcome"), F.concat(F.lit("s"), F.col("page_id") % 7).alias("source_id"), F.col("page_id").alias("pos"), F.concat(F.lit("https://r.example/"), F.col("page_id") % 40).alias("canonical_url"))
+    sources = spark.range(7).select(F.concat(F.lit("s"), "id").alias("id"), F.col("id").alias("position"))
+    have = rows.where("pos % 40 < 4").select(F.lit(-1).cast("long").alias("pos"), "canonical_url").distinct()
+    return ingest.new_articles(rows, have, sources)
 
 
 @query(sql("SELECT id, trim(regexp_replace(lower(title), '[^a-z0-9 ]+', ' ', 'g')) AS title FROM articles_px"))
@@ -258,22 +317,43 @@ def displayable(spark, d):
     return articles(spark, d).where(S.displayable(F.col("is_wire_copy"), F.col("article_type"), F.col("title"))).select("id")
 
 
-@query(sql("SELECT id, '[' || array_to_string(list_transform(vector[1:5], lambda x: printf('%.7f', x)), ',') || ']' AS vector FROM articles_px"))
+@query(sql("SELECT id, '[' || array_to_string(list_transform(vector, lambda x: printf('%.7f', x)), ',') || ']' AS vector FROM articles_px"))
 def vector_text(spark, d):
-    return articles(spark, d).select("id", V.to_text(F.slice("vector", 1, 5)).alias("vector"))
+    return articles(spark, d).select("id", V.to_text(F.col("vector")).alias("vector"))
+
+
+#: Heads and tails of texts, some of them those of agency copy, and names of authors.
+_HEADS = ("", "PARIS (AFP) - ", "New York, (AP) — ", "paris (afp) - ", "(Reuters)– ", "LONDON (Reuters) and ", "A line.\nST. JOHN'S, (Bloomberg) - ", "x" * 420 + "\nROME (AP) - ")
+_TAILS = ("", " AP writer Ann Lee contributed to this", " © 2024 Reuters", " Reuters was told" + " z" * 30 + " contributed", " © 1999 Reuters", " ap staff contributed")
+_BYLINES = (("Ann Lee",), ("Bo", "Reuters Staff"), ("associated press",), ("Reutersson",), ())
+_QUOTED = lambda x: "'" + x.replace("'", "''") + "'"
+_PICK = lambda name, values: f"([{', '.join(values)}])[1 + {name} % {len(values)}]"
+_AGENCY = "(?i)\\b(associated press|reuters|agence france-presse|afp|bloomberg news)\\b"
 
 
 @query(
     sql(
-        "SELECT id, 'AP (Reuters) -' = 'x' OR id % 6 = 0 AS hint, (id % 2 = 0 AND id % 3 = 0) OR id % 6 = 0 AS wire FROM articles_px"
+        f"SELECT id, regexp_matches(left(t, 400), '(?m)^\\s*(?:[A-Z][A-Za-z.''’\\- ]{{1,40}},?\\s*)?\\((?:AP|Reuters|AFP|Bloomberg)\\)\\s*[—–-]') OR len(list_filter(authors, lambda a: regexp_matches(a, '{_AGENCY}'))) > 0 "
+        f"OR regexp_matches(right(t, 600), '(?i)\\b(?:AP|Reuters)\\b.{{0,40}}\\bcontributed\\b|©\\s*20\\d\\d\\s*(?:The Associated Press|Reuters)') AS hint FROM w",
+        more=f"w AS (SELECT id, {_PICK('id', [_QUOTED(h) for h in _HEADS])} || text || {_PICK('(id // 8)', [_QUOTED(x) for x in _TAILS])} AS t, "
+        f"{_PICK('(id // 3)', ['[' + ', '.join(map(_QUOTED, b)) + ']::VARCHAR[]' for b in _BYLINES])} AS authors FROM articles_px)",
     )
 )
 def wire_hint(spark, d):
     rows = articles(spark, d)
-    text = F.when(F.col("id") % 6 == 0, F.concat(F.lit("PARIS (AFP) - "), "text")).otherwise(F.col("text"))
-    hint = S.wire_hint(text, F.array(F.lit("Ann Example")))
-    said = S.wire_verdict(F.col("id") % 2 == 0, F.when(F.col("id") % 3 == 0, "byline: Associated Press").otherwise("none"), hint)
-    return rows.select("id", hint.alias("hint"), said.alias("wire"))
+    pick = lambda name, values: F.element_at(F.array(*values), (name % len(values) + 1).cast("int"))
+    text = F.concat(pick(F.col("id"), [F.lit(h) for h in _HEADS]), "text", pick(F.floor(F.col("id") / 8), [F.lit(x) for x in _TAILS]))
+    authors = pick(F.floor(F.col("id") / 3), [F.array(*map(F.lit, b)).cast("array<string>") for b in _BYLINES])
+    return rows.select("id", S.wire_hint(text, authors).alias("hint"))
+
+
+_EVIDENCE = ("none", "byline: Associated Press", "dateline PARIS (AFP)", "a map of the cape", "")
+
+
+@query(sql(f"SELECT id, (id % 2 = 0 AND regexp_matches({_PICK('id', [_QUOTED(e) for e in _EVIDENCE])}, '(?i)\\b(ap|associated press|reuters|afp|agence france|bloomberg)\\b')) OR id % 7 = 0 AS wire FROM articles_px"))
+def wire_verdict(spark, d):
+    evidence = F.element_at(F.array(*map(F.lit, _EVIDENCE)), (F.col("id") % len(_EVIDENCE) + 1).cast("int"))
+    return articles(spark, d).select("id", S.wire_verdict(F.col("id") % 2 == 0, evidence, F.col("id") % 7 == 0).alias("wire"))
 
 
 @query(sql("SELECT id, len(axes) = 0 OR id % 5 = 0 AS missing, CASE WHEN len(axes) = 0 THEN ['new axis'] ELSE axes END AS axes, CASE WHEN id % 5 = 0 THEN 'told' ELSE 'own' END AS summary FROM articles_px"))
@@ -321,10 +401,33 @@ def source_select(spark, d):
     return part(R.select(rows), "verified").unionByName(part(R.select(rows, True), "all")).unionByName(part(R.select(rows, only="SRC7"), "one"))
 
 
-@query("SELECT page_id, regexp_extract(html, '<title>([^<]*)</title>', 1) <> '' AS titled, strlen(html) AS html_bytes FROM pages")
+_LD = (
+    '<script type="application/ld+json">{"@graph": [{"@type": "Person", "headline": "no"}, {"@type": ["NewsArticle"], "headline": "Told @@", "author": [{"name": "Ann @@"}, " Bo "], "datePublished": "2024-01-02T03:04:05Z", '
+    '"articleSection": "S", "image": [{"url": "https://img.example/@@"}]}]}</script><script type="application/ld+json">{broken</script>'
+)
+_METAS = '<meta name="author" content="Ann Lee, Bo @@ and Cy"><meta property="og:title" content="OG @@"><meta property="og:image" content="https://img.example/m"><meta name="description" content=" about @@ "><meta name="date" content="2024-01-05">'
+
+
+@query(
+    f"""WITH h AS (
+  SELECT page_id, replace(html, '<meta charset="utf-8">', '<meta charset="utf-8">' || replace(CASE page_id % 3 WHEN 0 THEN '{_LD}' WHEN 1 THEN '{_METAS}' ELSE '' END, '@@', page_id::VARCHAR)) AS html FROM (SELECT page_id, html FROM pages)),
+a AS (SELECT *, regexp_extract(html, '(?s)<article>(.*?)</article>', 1) AS art, replace(replace(replace(replace(trim(regexp_extract(html, '<title>([^<]*)</title>', 1)), '&quot;', '"'), '&lt;', '<'), '&gt;', '>'), '&amp;', '&') AS t0 FROM h),
+p AS (
+  SELECT *, list_transform(string_split(art, '<p>')[2:], lambda x: array_to_string(list_filter(list_transform(string_split(regexp_replace(string_split(x, '</p>')[1], '<[^>]*>', chr(1), 'g'), chr(1)),
+    lambda y: trim(y, ' ' || chr(10) || chr(9))), lambda y: y <> ''), ' ')) AS ps,
+    CASE page_id % 3 WHEN 0 THEN 'Told ' || page_id WHEN 1 THEN 'OG ' || page_id ELSE t0 END AS title FROM a),
+j AS (SELECT *, array_to_string(list_filter(ps, lambda x: length(x) >= 2), chr(10) || chr(10)) AS precise, array_to_string(list_filter(ps, lambda x: length(x) >= 10), chr(10) || chr(10)) AS every FROM p),
+r AS (SELECT *, replace(replace(replace(replace(CASE WHEN length(precise) < 300 AND every <> '' THEN every ELSE precise END, '&quot;', '"'), '&lt;', '<'), '&gt;', '>'), '&amp;', '&') AS raw FROM j)
+SELECT page_id, title, CASE WHEN starts_with(raw, title) THEN ltrim(substr(raw, length(title) + 1), ' ' || chr(10)) ELSE raw END AS text, CASE page_id % 3 WHEN 0 THEN ['Ann ' || page_id, 'Bo'] WHEN 1 THEN ['Ann Lee', 'Bo ' || page_id, 'Cy'] ELSE [] END AS authors,
+  CASE page_id % 3 WHEN 0 THEN 'https://img.example/' || page_id WHEN 1 THEN 'https://img.example/m' END AS image, CASE WHEN page_id % 3 = 1 THEN 'about ' || page_id END AS description, CASE WHEN page_id % 3 = 0 THEN 'S' END AS section,
+  CASE WHEN page_id % 3 = 0 THEN 'NewsArticle' END AS jsonld_type, CASE page_id % 3 WHEN 0 THEN TIMESTAMP '2024-01-02 03:04:05' WHEN 1 THEN TIMESTAMP '2024-01-05 00:00:00' END AS published_at, strlen(html) AS html_bytes FROM r"""
+)
 def page_extract(spark, d):
-    out = P.extract_pages(table(spark, d, "pages"), "page_id")
-    return out.select("page_id", F.col("title").isNotNull().alias("titled"), "html_bytes")
+    number = F.col("page_id").cast("string")
+    more = F.when(F.col("page_id") % 3 == 0, F.lit(_LD)).when(F.col("page_id") % 3 == 1, F.lit(_METAS)).otherwise("")
+    html = F.replace("html", F.lit('<meta charset="utf-8">'), F.concat(F.lit('<meta charset="utf-8">'), F.replace(more, F.lit("@@"), number)))
+    out = P.extract_pages(table(spark, d, "pages").select("page_id", html.alias("html")), "page_id")
+    return out.select("page_id", "title", "text", "authors", "image", "description", "section", "jsonld_type", F.col("published_at").cast("timestamp_ntz").alias("published_at"), "html_bytes")
 
 
 @query("SELECT event_type AS kind, CAST(user_id % 3 AS VARCHAR) AS model, count(*) AS calls, CAST(sum(event_id) AS BIGINT) AS tokens_in, CAST(sum(user_id) AS BIGINT) AS tokens_out FROM events GROUP BY ALL")

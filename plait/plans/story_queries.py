@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import dataclasses
+
 from pyspark.sql import functions as F
 
 from ..config import Config
@@ -38,7 +40,7 @@ cand AS (
         ELSE len(list_intersect(a.key_entities, s.key_entities)) / len(list_distinct(list_concat(a.key_entities, s.key_entities))) END)
       - 0.02 * abs(epoch(a.published_at) - epoch(s.last_seen)) / 86400, 4) AS score
   FROM top t JOIN articles_px a ON a.id = t.article_id JOIN stories_px s ON s.id = t.story_id
-  WHERE coalesce(abs(date_diff('day', a.event_date, s.event_date)) <= 3, true)),
+  WHERE coalesce(abs(date_diff('day', a.event_date, s.event_date)) <= 3, true) AND NOT (a.id % 3 = 0 AND t.story_id = a.id % 10)),
 best AS (SELECT * FROM cand QUALIFY row_number() OVER (PARTITION BY article_id ORDER BY score DESC, rank) = 1),
 why AS (
   SELECT *, CASE WHEN first_seen IS NULL THEN 'no_first_seen' WHEN published_at - first_seen > INTERVAL 12 HOUR THEN 'late' WHEN event_date > story_date THEN 'later_event_date' END AS r FROM best)"""
@@ -49,7 +51,8 @@ def _known(spark, d):
 
 
 def _asked(spark, d):
-    return articles(spark, d).withColumn("split_from", F.lit(None).cast("long"))
+    """Articles of which every third was split off from a story."""
+    return articles(spark, d).withColumn("split_from", F.when(F.col("id") % 3 == 0, F.col("id") % 10))
 
 
 @query(sql("SELECT article_id, story_id, rank::INT AS rank, round(similarity, 6) AS similarity FROM top", True, TOP_SQL))
@@ -65,7 +68,7 @@ def candidate_score(spark, d):
 @query(
     sql(
         "SELECT a.id AS article_id, w.story_id, w.score, CASE WHEN w.score >= 0.30 THEN w.r END AS reason, "
-        "CASE WHEN w.score >= 0.30 AND w.r IS NULL THEN 'attach' WHEN w.score >= 0.20 THEN 'verify' ELSE 'create' END AS decision FROM articles_px a LEFT JOIN why w ON w.article_id = a.id",
+        "CASE WHEN w.score >= 0.30 AND w.r IS NULL THEN 'attach' WHEN w.score >= 0.20 THEN 'verify' WHEN a.article_type IN ('news', 'live', 'explainer') AND NOT a.is_wire_copy THEN 'create' ELSE 'orphan' END AS decision FROM articles_px a LEFT JOIN why w ON w.article_id = a.id",
         True, TOP_SQL,
     )
 )
@@ -94,8 +97,25 @@ def verifier_policy(spark, d):
 
 @query()
 def assign_online(spark, d):
-    rows = _asked(spark, d).withColumns({"block": F.lit("all"), "phase": F.lit(0), "category": F.lit("other")})
-    return assign.assign_in_order(rows, config=PX)
+    rows = articles(spark, d).withColumns({"block": F.lit("all"), "phase": F.lit(0), "category": F.lit("other"), "split_from": F.lit(None).cast("string")})
+    return assign.assign_in_order(rows, config=PX).select("id", "block", "method", "story_id", "side", "score", "story_size")
+
+
+@query(
+    sql(
+        """SELECT id, CAST(story_id % 3 AS VARCHAR) AS block, CASE WHEN f IS NULL OR (published_at, id) < f THEN 'orphan' WHEN (published_at, id) = f THEN 'create' WHEN published_at - f[1] > INTERVAL 12 HOUR THEN 'verifier' ELSE 'threshold' END AS method,
+  CASE WHEN (published_at, id) >= f THEN 's' || left(sha1(CAST(f[2] AS VARCHAR)), 16) END AS story_id, side, CASE WHEN (published_at, id) >= f THEN n END AS story_size,
+  CASE WHEN f IS NULL OR (published_at, id) < f THEN article_type || CASE WHEN is_wire_copy THEN ' wire' ELSE '' END || ' cannot create a story' END AS reason
+FROM (SELECT *, CAST(count(*) FILTER ((published_at, id) >= f) OVER (PARTITION BY story_id ORDER BY published_at, id) AS INT) AS n FROM o)""",
+        more="""o AS (
+  SELECT *, min((published_at, id)) FILTER (article_type IN ('news', 'live', 'explainer') AND NOT is_wire_copy) OVER (PARTITION BY story_id) AS f FROM articles_px)""",
+    )
+)
+def assign_in_blocks(spark, d):
+    """Articles of one label are alike, of two labels at right angles: what becomes of each follows from the first that may create."""
+    axis = F.transform(F.sequence(F.lit(0), F.lit(9)), lambda i: F.when(i == F.col("story_id"), 1.0).otherwise(0.0))
+    rows = articles(spark, d).withColumns({"block": (F.col("story_id") % 3).cast("string"), "phase": F.lit(0), "category": F.lit("other"), "split_from": F.lit(None).cast("string"), "event_date": F.lit(None).cast("date"), "vector": axis})
+    return assign.assign_in_order(rows).select("id", "block", "method", "story_id", "side", "story_size", "reason")
 
 
 _STATE = "CASE WHEN id % 3 = 0 THEN NULL ELSE story_id END"
@@ -220,6 +240,33 @@ def merge_allowed(spark, d):
     return merge.allowed(merge.candidates(s, config=_LOOSE), s, arts, _LOOSE).select("a_id", "b_id", "survivor")
 
 
+@query(
+    "WITH RECURSIVE "
+    + sql("", True, MERGE_SQL).removeprefix("WITH ").rstrip()
+    + """,
+al AS (
+  SELECT m.*, CASE WHEN a.article_count > b.article_count OR (a.article_count = b.article_count AND a.first_seen <= b.first_seen) THEN m.a_id ELSE m.b_id END AS survivor, row_number() OVER (ORDER BY similarity DESC, m.a_id, m.b_id) AS n
+  FROM mc m JOIN stories_px a ON a.id = m.a_id JOIN stories_px b ON b.id = m.b_id WHERE coalesce(abs(date_diff('day', a.event_date, b.event_date)) <= 3, true)),
+g(n, gone, checked, absorbed, survivor) AS (
+  SELECT 0::BIGINT, []::BIGINT[], 0, NULL::BIGINT, NULL::BIGINT
+  UNION ALL
+  SELECT n, CASE WHEN yes THEN list_append(gone, lost) ELSE gone END, checked + CASE WHEN live THEN 1 ELSE 0 END, CASE WHEN yes THEN lost END, CASE WHEN yes THEN survivor END
+  FROM (
+    SELECT *, live AND (a_id + b_id) % 3 <> 1 AS yes FROM (
+      SELECT al.n, g.gone, g.checked, al.survivor, al.a_id, al.b_id, CASE WHEN al.survivor = al.a_id THEN al.b_id ELSE al.a_id END AS lost,
+        g.checked < 8 AND al.n <= 24 AND NOT list_contains(g.gone, al.a_id) AND NOT list_contains(g.gone, al.b_id) AS live
+      FROM g JOIN al ON al.n = g.n + 1)))
+SELECT absorbed, survivor FROM g WHERE absorbed IS NOT NULL"""
+)
+def merge_greedy(spark, d):
+    """The greedy resolution with a limit of checks, on a verifier that answers by the ids."""
+    s = stories(spark, d)
+    found = merge.allowed(merge.candidates(s, config=_LOOSE), s, articles(spark, d).withColumn("split_from", F.lit(None).cast("long")), _LOOSE)
+    says = lambda row: {"same_development": (row["a_id"] + row["b_id"]) % 3 != 1, "confidence": 0.9}
+    moves, _ = merge.resolve(found, says, dataclasses.replace(_LOOSE, merge_max_checks=8))
+    return spark.createDataFrame(moves, "absorbed long, survivor long")
+
+
 @query(
     sql(
         "SELECT s.id, CASE WHEN s.id % 3 = 1 THEN 'merged' ELSE s.status END AS status, count(a.id) AS article_count, count(a.id) FILTER (a.side = 'left') AS left_count "
@@ -371,6 +418,25 @@ def recheck_suspects(spark, d):
     return recheck.suspects(_founded(spark, d), _members(spark, d)).select("story_id", "id", "reason")
 
 
+@query(sql("SELECT story_id, id, reason FROM sus ORDER BY story_id, published_at, id LIMIT 40", True, SUSPECT_SQL.replace(" QUALIFY reason IS NOT NULL", " AND (a.published_at - s.first_seen > INTERVAL 12 HOUR OR a.event_date > s.event_date)")))
+def recheck_capped(spark, d):
+    return recheck.suspects(_founded(spark, d), _members(spark, d), most=40).select("story_id", "id", "reason")
+
+
+@query(
+    sql(
+        "SELECT id, CASE WHEN len(axes) = 0 THEN ['coverage'] ELSE axes END AS axes, CASE WHEN id % 5 = 0 THEN array_to_string(regexp_extract_all('Outlet: ' || outlet || ' Headline: ' || title || ' Page title: ' || title || ' Subheadline: none', '[^ ]+')[1:8], ' ') ELSE 'told' END AS summary "
+        "FROM (SELECT id, axes, outlet, CASE WHEN trim(regexp_replace(title, '\\s+', ' ', 'g')) = '' THEN 'none' ELSE trim(regexp_replace(title, '\\s+', ' ', 'g')) END AS title FROM articles_px WHERE published_at >= TIMESTAMP '2024-01-03 00:00:00' AND (len(axes) = 0 OR id % 5 = 0))"
+    )
+)
+def framing_backfill(spark, d):
+    stance = F.struct(F.col("axes").alias("framing_axes"), F.when(F.col("id") % 5 != 0, "told").alias("framing_summary"))
+    none = F.lit(None).cast("string")
+    rows = articles(spark, d).withColumns({"stance": stance, "enrichment_status": F.lit("done"), "headline": none, "subheadline": none, "body_text": F.col("text")})
+    out = enrich.backfill_framing(enrich.framing_queue(rows, ntz("2024-01-03 00:00:00")))
+    return out.select("id", F.col("stance.framing_axes").alias("axes"), F.col("stance.framing_summary").alias("summary"))
+
+
 def _answers(spark, d):
     relation = F.element_at(F.array(F.lit("same_development"), F.lit("follow_up"), F.lit("unrelated")), (F.col("id") % 3 + 1).cast("int"))
     return articles(spark, d).select("id", F.col("story_id").alias("candidate_id"), relation.alias("relation"), ((F.col("id") % 21).cast("double") / 20).alias("confidence"))
