@@ -100,23 +100,41 @@ class Reply:
     tokens_out: int = 0
 
 
+@dataclass(frozen=True)
+class Request:
+    model: str
+    kind: str
+    prompt: str
+    effort: str | None = None
+    most_tokens: int = 300
+
+
 @dataclass
 class Structured:
-    """All text roles over ``send(model, kind, prompt)``, which returns a Reply.
+    """All text roles over ``send(request)``, which returns a Reply.
 
     models: the model of each kind, or of all under ``""``.  fallback: the model that is asked once when a call of the tier that verifies (verify, merge, title)
-    failed after all tries; other kinds have none, nor has that model itself.
+    failed after all tries; other kinds have none, nor has that model itself.  efforts: how hard models think, by the start of their names; those that think
+    more than the least get ``headroom`` tokens on top of a kind's limit, since thinking counts towards it.
     """
 
-    send: Callable[[str, str, str], Reply]
+    send: Callable[[Request], Reply]
     models: dict[str, str]
     fallback: str | None = None
+    efforts: dict[str, str] = field(default_factory=dict)
+    limits: dict[str, int] = field(default_factory=lambda: {"enrich": 1200, "": 300})
+    headroom: int = 2000
     tries: int = 3
     pause: float = 0.0
     calls: list[dict] = field(default_factory=list)
 
+    def request(self, model: str, kind: str, prompt: str) -> Request:
+        effort = next((self.efforts[start] for start in sorted(self.efforts, key=len, reverse=True) if model.startswith(start)), None)
+        limit = self.limits.get(kind, self.limits[""])
+        return Request(model, kind, prompt, effort, limit + (self.headroom if effort not in (None, "none", "minimal") else 0))
+
     def _once(self, model: str, kind: str, prompt: str) -> dict:
-        reply = self.send(model, kind, prompt)
+        reply = self.send(self.request(model, kind, prompt))
         self.calls.append({"kind": kind, "model": model, "tokens_in": reply.tokens_in, "tokens_out": reply.tokens_out})
         if reply.finish == "length":
             raise Truncated("the answer was cut off at its limit of tokens")
