@@ -73,8 +73,11 @@ def _scores(l: pd.DataFrame, r: pd.DataFrame, outlets) -> tuple[np.ndarray, np.n
 
 
 def best_of(l: pd.DataFrame, r: pd.DataFrame, outlets, near: str, ratio: float) -> tuple | None:
-    """(left id, right id, kind, score, later date) of the best pair that does not say the same, or None."""
+    """(left id, right id, kind, score, later date) of the best pair that does not say the same, or None.  Members that are worded alike count as one
+    in that comparison: it is made once for each two wordings."""
     score, opposed, disjoint = _scores(l, r, outlets)
+    words = pd.factorize(pd.Series(list(zip([*l["title"], *r["title"]], [*l["snippet"], *r["snippet"]]))))[0]
+    lw, rw = words[: len(l)], words[len(l) :]
     flat = score.ravel()
     open_ = np.isfinite(flat)
     while open_.any():
@@ -87,8 +90,10 @@ def best_of(l: pd.DataFrame, r: pd.DataFrame, outlets, near: str, ratio: float)
             got = _rounded(flat[tier[n]])
             if got != first:
                 break  # pairs outside the tier may round to this, too
+            if not open_[tier[n]]:
+                continue
             a, b = l.iloc[i[n]], r.iloc[j[n]]
-            open_[tier[n]] = False
+            open_ &= ~((lw == lw[i[n]])[:, None] & (rw == rw[j[n]])[None, :]).ravel()
             if not _same_news(a["title"], a["snippet"], b["title"], b["snippet"], near, ratio):
                 kind = "opposing_stance" if opposed[i[n], j[n]] else "framing_contrast" if disjoint[i[n], j[n]] else "same_story"
                 return a["id"], b["id"], kind, got, max(a["at"], b["at"])

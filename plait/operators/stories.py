@@ -78,10 +78,15 @@ def centroids(articles: DataFrame) -> DataFrame:
     return dealt.mapInPandas(fold, f"story_id {kind}, centroid array<double>")
 
 
-def mean_centroids(articles: DataFrame, dims: int) -> DataFrame:
-    """Per story the unit vector of its articles' mean: per-dimension partial sums, for groups of any size."""
-    sums = articles.groupBy("story_id").agg(*[F.avg(F.element_at("vector", i + 1)).alias(f"m{i}") for i in range(dims)])
-    mean = sums.select("story_id", F.array(*[F.col(f"m{i}") for i in range(dims)]).alias("m"))
+def mean_centroids(articles: DataFrame, dims: int, wide: int = 128) -> DataFrame:
+    """Per story the unit vector of its articles' mean: per-dimension partial sums, for groups of any size.  Up to ``wide`` dimensions are columns of one
+    aggregate; more would be too much code for one stage and are rows of (story, dimension)."""
+    if dims <= wide:
+        sums = articles.groupBy("story_id").agg(*[F.avg(F.element_at("vector", i + 1)).alias(f"m{i}") for i in range(dims)])
+        mean = sums.select("story_id", F.array(*[F.col(f"m{i}") for i in range(dims)]).alias("m"))
+    else:
+        each = articles.select("story_id", F.posexplode(F.slice("vector", 1, dims)).alias("i", "x")).groupBy("story_id", "i").agg(F.avg("x").alias("x"))
+        mean = each.groupBy("story_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "x"))), lambda e: e["x"]).alias("m"))
     length = F.sqrt(F.aggregate("m", F.lit(0.0), lambda s, x: s + x * x))
     return mean.withColumn("__l", length).select("story_id", F.transform("m", lambda x: x / F.when(F.col("__l") == 0, 1.0).otherwise(F.col("__l"))).alias("centroid"))
 

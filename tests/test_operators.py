@@ -241,3 +241,21 @@ def test_decide_knows_who_may_create(spark):
     df = spark.createDataFrame([tuple(r[c.split()[0]] for c in SCHEMA.split(", ")) for r in rows], SCHEMA)
     known = spark.createDataFrame([("s1", None, T0, T0, [1.0, 0.0], ["Ann Lee"])], "id string, event_date date, first_seen timestamp, last_seen timestamp, vector array<double>, key_entities array<string>")
     assert {r["article_id"]: r["decision"] for r in assign.decide(df, known).collect()} == {1: "create", 2: "orphan", 3: "orphan"}
+
+
+def test_copies_are_compared_once(spark, monkeypatch):
+    """A story of which all members are worded alike has no pair, and finds that out with one comparison."""
+    import pandas as pd
+
+    from plait.operators import pair_blocks
+
+    calls = []
+    monkeypatch.setattr(pair_blocks, "_same_news", lambda *a: calls.append(a) or True)
+    side = lambda s, n: pd.DataFrame({"id": range(n), "outlet": [f"{s}{i % 50}" for i in range(n)], "article_type": "news", "direction": None, "confidence": 0.0, "axes": [[]] * n, "at": range(n), "has_image": True, "has_snippet": True, "title": "same words", "snippet": "same"})
+    assert pair_blocks.best_of(side("l", 300), side("r", 300), None, "ratio", 0.9) is None and len(calls) == 1
+
+
+def test_mean_centroids_of_many_dimensions(spark):
+    rows = spark.range(60).select((F.col("id") % 3).alias("story_id"), F.transform(F.sequence(F.lit(1), F.lit(40)), lambda i: ((F.col("id") * i) % 7).cast("double")).alias("vector"))
+    one, two = ({r["story_id"]: [round(x, 9) for x in r["centroid"]] for r in S.mean_centroids(rows, 40, wide).collect()} for wide in (128, 10))
+    assert one == two and len(one) == 3
