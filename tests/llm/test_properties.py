@@ -92,3 +92,18 @@ def test_base_spans_equal_matches_with_short_ones_dropped(text):
     for n, (pattern, group, least, flags) in enumerate(((r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", 2, 6, re.I | re.A), (r"AKIA[A-Z0-9]+", 0, 20, 0), (r"[0-9a-f]+", 0, 24, 0))):
         plain += [(m.start(), n, m.end()) for m in re.finditer(pattern, text, flags) if len(m[group]) >= least]
     assert [(s, secrets.KINDS[k], e) for k, s, e, _ in secrets.base_spans(text)] == sorted(plain)
+
+
+def test_pieces_equal_the_tokenizer_on_odd_texts():
+    """Random texts of letters, marks, digits, accents, other scripts and white space of all kinds."""
+    import numpy as np
+    import pyarrow as pa
+
+    from plait.llm import packing as P
+    from plait.llm.queries import tokenizer_path
+
+    rng = np.random.default_rng(21)
+    alphabet = list("abcdeABCDE  \t\n.,;:!?'\"-_()[]{}#*$%&|<>/\\@0123456789éÉñßÀøΣςабвЖ日本語😀\u00a0\u2003\u0085\u200b\u0301İıﬁ") + ["'s", "'ll", " the ", "</w>", "<|endoftext|>"]
+    texts = ["".join(rng.choice(alphabet, int(rng.integers(0, 30)))) for _ in range(4000)]
+    encoder = P.Encoder(tokenizer_path(), P.Settings(cached_pieces=500))
+    assert encoder.by_piece and encoder(pa.array(texts, pa.string())) == [encoder._whole(t) for t in texts]

@@ -127,6 +127,80 @@ def test_pipeline_stages(spark):
         before = after
 
 
+def test_pipeline_equals_brute_force(spark, tmp_path):
+    """Every stage of the pipeline against plain loops over all that the stage before it kept, on a table with repeated ids, copies, leaks and secrets."""
+    from plait.llm import secrets as S
+    from tests.llm.test_operators import brute_components, brute_secrets, brute_tiles, check_packing
+
+    base = list(documents(spark).values())
+    bench = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{SMALL}/benchmark.parquet").collect()]
+    rows = [(r["doc_id"], r["text"], r["lang"], r["source"], r["n_chars"]) for r in base]
+    rows += [(rows[3][0], rows[9][1], "en", "s", 1), (rows[4][0], rows[4][1] + " tail of it", "en", "s", 2), rows[5], (None, rows[6][1], None, None, None), (None, None, None, None, 0)]
+    rows += [(10**6 + i, f"so {rows[20 + i][1]} then {text} and on", "en", "src1", 3) for i, (_, text) in enumerate(bench[:6])]
+    fine = {r["doc_id"] for r in spark.read.parquet(f"{SMALL}/labels.parquet").where("quality = 1").collect()}
+    good = [r["text"] for r in base if r["doc_id"] in fine and len(r["text"].split()) > 80]
+    rows += [(2 * 10**6 + i, f"{' '.join(reversed(good[i].split()))} ghp_Zq8rT2mWx5Lk9Vb3Nc7Jd1Hf6Gs4Pa0YeUi{'abc'[i]} end", "en", f"src{i}", 4) for i in range(3)]
+    key = lambda r: tuple(map(repr, r))
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/documents.parquet")
+    for name in ("labels", "benchmark"):
+        spark.read.parquet(f"{SMALL}/{name}.parquet").write.parquet(f"{tmp_path}/{name}.parquet")
+    sf, now = str(tmp_path), rows
+    got = lambda stage: [tuple(r) for r in stage(spark, spark.createDataFrame(now, schema), sf).collect()]
+    stages = dict(corpus_pipeline.STAGES)
+
+    after = got(stages["quality_classifier"])
+    model = queries.rule_ensemble.fit(queries.table(spark, sf, "documents"), queries.table(spark, sf, "labels"), where=queries.fold("doc_id", 5) != 0)
+    x = queries.rule_ensemble.statistics(__import__("pyarrow").array([r[1] for r in now], "string"))
+    at = {n: i for i, n in enumerate(queries.rule_ensemble.STATISTICS)}
+    odds = [model.intercept + sum(w for rule, w in zip(model.rules, model.weights) if all((x[at[n]][k] <= cut) == (sign == "<=") for n, sign, cut in rule)) for k in range(len(now))]
+    assert sorted(map(key, after)) == sorted(key(r) for r, o in zip(now, odds) if 1 / (1 + math.exp(-o)) >= 0.3) and len(after) < len(now)
+
+    now = after
+    after = got(stages["ngram_jaccard_join"])
+    numbered = list(enumerate(now))
+    parts = {}
+    for i, n, component in brute_components([(i, r[1]) for i, r in numbered]):
+        parts.setdefault(("alone", now[i]) if not n else component, []).append(now[i])
+    least = lambda group: min((r[0] is None, r[0] or 0) for r in group)
+    assert len(after) == len(parts)
+    kept = {key(r) for r in after}
+    assert all(sum(key(r) in kept for r in set(group)) == 1 and any(key(r) in kept and (r[0] is None, r[0] or 0) == least(group) for r in group) for group in parts.values())
+
+    now = after
+    after = got(stages["benchmark_decontamination"])
+    words = lambda t: re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]+", lambda m: m[0].lower(), t or ""))
+
+    def leaks(text):
+        doc = words(text)
+        for _, item in bench:
+            b = words(item)
+            if not b:
+                continue
+            k = min(5, len(b))
+            grams = {tuple(b[j : j + k]) for j in range(len(b) - k + 1)}
+            near = {p for j in range(len(doc) - k + 1) if tuple(doc[j : j + k]) in grams for p in range(j, j + k)}
+            a = [doc[j] if j in near else None for j in range(len(doc)) if j in near or j - 1 in near]  # other words as breaks
+            if len(near) >= 0.6 * len(b) and sum(n for *_, n in brute_tiles(a, b, k)) >= 0.6 * len(b) - 1e-9:
+                return True
+        return False
+
+    assert sorted(map(key, after)) == sorted(key(r) for r in now if not leaks(r[1])) and len(after) < len(now)
+
+    now = after
+    after = got(stages["secret_scans"])
+    kinds = list(S.KINDS)
+    want = []
+    for (d, text, spans), r in zip(brute_secrets([(r[0], r[1], r[3]) for r in now], S.Settings()), now):
+        told = S.redact(text, [(a, b, kinds[k]) for a, k, b, _ in spans]) if spans else r[1]
+        want.append((d, told, r[2], r[3], len(told) if spans else r[4]))
+    assert sorted(map(key, after)) == sorted(map(key, want)) and any("<secret:provider>" in (r[1] or "") for r in after)
+
+    now = after
+    frame = spark.createDataFrame(now, schema)
+    check_packing([(r[0], r[1]) for r in now], stages["packing"](spark, frame, sf).collect())
+
+
 def test_pipeline_takes_odd_rows(spark):
     rows = [(None, "a few plain words here and there that say nothing at all today", None, None, None), (None, None, None, None, None), (7, "", "en", "s", 0), (8, "the same text for two rows of this table stands here", "en", "s", 1), (8, "the same text for two rows of this table stands here", "en", "s", 1)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
@@ -157,3 +231,10 @@ def test_benchmark_items_without_id(spark, tmp_path):
     assert sorted((r["doc_id"], r["item_id"], r["coverage"]) for r in got) == [(2, 5, 1.0), (3, None, 1.0)]
     left = corpus_pipeline.benchmark_leaks(spark, spark.read.parquet(f"{tmp_path}/documents.parquet"), str(tmp_path)).collect()
     assert [r["doc_id"] for r in left] == [1]
+
+
+@pytest.mark.parametrize("name", sorted(queries.QUERIES))
+def test_plans_have_no_products_and_no_row_udfs(spark, name):
+    spark.catalog.clearCache()
+    plan = queries.QUERIES[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert not re.search(r"CartesianProduct|BroadcastNestedLoopJoin|BatchEvalPython", plan)
