@@ -77,18 +77,39 @@ def sync_sources(spark, args, config):
 
 
 def ingest_feeds(spark, args, config):
-    """Feeds and pages of the selected sources; new rows beside those of the articles table."""
+    """Feeds and pages of the selected sources; new rows join the articles table.  A dry run shows three of them."""
     listed = registry.select(registry.load_registry(spark, args.sources), args.include_unverified, args.source)
-    known = _read(spark, args.root, "articles").select("canonical_url")
+    try:
+        have = _read(spark, args.root, "articles")
+    except AnalysisException:  # nothing there yet
+        have = None
+    known = have.select("canonical_url") if have is not None else spark.createDataFrame([], "canonical_url string")
     feed = _feed(spark, listed, args.transport).where("error is null")
     wanted = ingest.prune(ingest.entries(feed), listed, known, _now(args), config)
     pages = P.fetch_pages(wanted, args.page_transport).where("error is null").drop("error")
     built = flow.build_stage(wanted, listed, pages, _now(args), config)
-    _write(flow.new_rows(built, listed), args.root, "new_articles", args.dry_run)
+    if args.dry_run:
+        for r in built.select("outcome", "source_id", "title", "canonical_url").limit(3).collect():
+            print(json.dumps(r.asDict()))
+        return
+    built = tables.publish(built, f"{args.root}/versions/built-{_stamp()}")
+    for r in ingest.stats(built).orderBy("source_id").collect():
+        print(json.dumps(r.asDict()))
+    rows = flow.new_rows(built, listed).withColumn("wire_hint", F.col("is_wire_copy"))
+    print(json.dumps({"inserted": rows.count()}))
+    _write(rows if have is None else flow.replaced(have, rows, "id"), args.root, "articles", False)
 
 
 def enrich_articles(spark, args, config):
-    _write(enrich.run(enrich.queue(_read(spark, args.root, "articles"), args.limit, config), config=config), args.root, "enriched", args.dry_run)
+    have = _read(spark, args.root, "articles")
+    done = enrich.run(enrich.queue(have, args.limit, config), _model(args) or models.OfflineModel, config)
+    if args.dry_run:
+        _write(done, args.root, "enriched", True)
+        return
+    done = tables.publish(done, f"{args.root}/versions/enriched-{_stamp()}")
+    for r in models.usage(done.select(F.explode("calls").alias("c")).select("c.*")).collect():
+        print(json.dumps(r.asDict()))
+    _write(flow.replaced(have, done, "id"), args.root, "articles", False)
 
 
 def _assign(spark, args, config, articles=None, stories=None, limit=None) -> tuple[DataFrame, DataFrame]:
@@ -135,7 +156,13 @@ def merge_stories(spark, args, config):
 
 
 def fix_text(spark, args, config):
-    _write(ingest.changed_text(_read(spark, args.root, "articles"), "id", ["title", "headline", "subheadline", "snippet"]), args.root, "text_fixes", args.dry_run)
+    have, names = _read(spark, args.root, "articles"), ["title", "headline", "subheadline", "snippet"]
+    delta = ingest.changed_text(have, "id", names)
+    if args.dry_run:
+        _write(delta, args.root, "text_fixes", True)
+        return
+    given = delta.select("id", *[F.col(c).alias(f"__{c}") for c in names])
+    _write(have.join(given, "id", "left").withColumns({c: F.coalesce(f"__{c}", c) for c in names}).select(*have.columns), args.root, "articles", False)
 
 
 def recheck_stories(spark, args, config):
@@ -159,8 +186,13 @@ def recheck_stories(spark, args, config):
 
 
 def backfill_framing(spark, args, config):
-    since = _now(args) - F.make_dt_interval(days=F.lit(args.days))
-    _write(enrich.backfill_framing(enrich.framing_queue(_read(spark, args.root, "articles"), since, config), config=config), args.root, "framing", args.dry_run)
+    since, have = _now(args) - F.make_dt_interval(days=F.lit(args.days)), _read(spark, args.root, "articles")
+    done = enrich.backfill_framing(enrich.framing_queue(have, since, config), _model(args) or models.OfflineModel, config)
+    if args.dry_run:
+        _write(done, args.root, "framing", True)
+        return
+    _write(flow.replaced(have, done.select(*have.columns), "id"), args.root, "articles", False)
+    refresh_feed(spark, args, config)
 
 
 def status(spark, args, config):

@@ -66,7 +66,7 @@ def _with(df: DataFrame, schema: str) -> DataFrame:
     return df.withColumns({f.name: F.lit(None).cast(f.dataType) for f in empty if f.name not in df.columns}) if set(empty.names) - set(df.columns) else df
 
 
-def _replaced(table: DataFrame, rows: DataFrame, key: str) -> DataFrame:
+def replaced(table: DataFrame, rows: DataFrame, key: str) -> DataFrame:
     """The table with the rows in place of theirs, columns of either side included."""
     return table.join(rows.select(key), key, "left_anti").unionByName(rows, allowMissingColumns=True)
 
@@ -105,7 +105,7 @@ def stories_after(stories: DataFrame | None, done: DataFrame, now: Column) -> Da
         return fresh
     source = stories.select("story_id", F.col("title_source").alias("__source"))
     fresh = fresh.join(source, "story_id", "left").withColumn("title_source", F.coalesce("__source", "title_source")).select(*names)
-    return _replaced(stories, fresh, "story_id").select(*names)
+    return replaced(stories, fresh, "story_id").select(*names)
 
 
 def pair_members(articles: DataFrame) -> DataFrame:
@@ -179,9 +179,9 @@ def run(
     known = old["articles"].select("canonical_url") if old else spark.createDataFrame([], "canonical_url string")
     built = publish(ingest_stage(sources, feed, pages, known, now, config), "built")
     rows = new_rows(built, sources).withColumn("wire_hint", F.col("is_wire_copy"))
-    table = _replaced(old["articles"], rows, "id") if old else rows
+    table = replaced(old["articles"], rows, "id") if old else rows
     enriched = publish(enrich.run(enrich.queue(table.select(*rows.columns), config=config), make, config), "enriched")
-    table = publish(_with(_replaced(table, enriched, "id"), ASSIGNMENT), "table")
+    table = publish(_with(replaced(table, enriched, "id"), ASSIGNMENT), "table")
     stories, current = old.get("stories"), old.get("pairs", spark.createDataFrame([], PAIRS))
     done = publish(assign_stage(table, stories, sources, now, verifier, config), "assigned")
     articles = publish(assigned(table, done, now), "filed" if merger else "articles")

@@ -197,3 +197,11 @@ def test_second_run_goes_on_from_the_first(spark, tmp_path):
     assert anchored["article_count"] == sum(r["story_id"] == merged["a1"] for r in final.values())
     for command in ("assign", "pairs", "enrich", "status", "refresh-feed", "trim", "fix-text", "backfill-framing"):
         assert cli.main([command, *(["--dry-run"] if command != "assign" else []), *common], spark, config) == 0
+    bare = cli._read(spark, root, "articles")
+    spoilt = bare.withColumns({"stance": F.col("stance").withField("framing_axes", F.array().cast("array<string>")), "title": F.concat("title", F.lit(" &amp; more")), "enrichment_status": F.when(F.col("canonical_url").endswith("b2"), "pending").otherwise(F.col("enrichment_status"))})
+    cli._write(spoilt, root, "articles", False)
+    for command in ("fix-text", "backfill-framing", "enrich"):
+        assert cli.main([command, *common], spark, config) == 0
+    mended = {r["canonical_url"][-2:]: r for r in cli._read(spark, root, "articles").collect()}
+    assert len(mended) == 6 and all(r["title"].endswith(" & more") and r["enrichment_status"] == "done" for r in mended.values())
+    assert mended["a1"]["stance"]["framing_axes"] == ["coverage"] == mended["b2"]["stance"]["framing_axes"]
