@@ -174,8 +174,14 @@ def recheck_stories(spark, args, config):
         tables.write_tsv(out["report"], args.report, ["story_title_before", "published_at"])
     counts = {r["decision"]: r["n"] for r in out["decisions"].groupBy("decision").agg(F.count(F.lit(1)).alias("n")).collect()}
     print(json.dumps({"suspects": sum(counts.values()), "kept": counts.get("kept", 0), "detached": counts.get("detached", 0)}))
+    for r in out["reanchored"].orderBy("story_id").limit(15).collect():
+        print(f"{r['before']} -> {r['after']}")
     for r in recheck.histogram(out["decisions"]).orderBy("cut").collect():
         print(f">= {r['cut']:.2f}: {r['n']}")
+    for r in recheck.borderline(out["decisions"]).collect():
+        print(f"{r['relation']} {r['confidence']:.2f} {r['story_id']} {r['id']}")
+    for r in out["report"].where("decision = 'detached'").orderBy("story_id", "article_id").limit(40).collect():
+        print(f"{r['relation']} {r['confidence']} {r['story_anchor']} -> {r['outlet']}: {r['headline']}")
     if args.dry_run:
         return
     articles, stories = _write(out["articles"], args.root, "articles", False), _write(out["stories"], args.root, "stories", False)

@@ -164,7 +164,7 @@ def survives(a_count: Column, a_first: Column, b_count: Column, b_first: Column)
     return (F.coalesce(a_count, F.lit(0)) > F.coalesce(b_count, F.lit(0))) | ((F.coalesce(a_count, F.lit(0)) == F.coalesce(b_count, F.lit(0))) & (micros(a_first) <= micros(b_first)))
 
 
-# Fixed value: names by which a credit counts as evidence of a wire service.
+# The names, datelines and credits by which a text counts as agency copy.
 WIRE_NAMES = r"(?i)\b(associated press|reuters|agence france-presse|afp|bloomberg news)\b"
 WIRE_DATELINE = r"(?m)^\s*(?:[A-Z][A-Za-z.'’\- ]{1,40},?\s*)?\((?:AP|Reuters|AFP|Bloomberg)\)\s*[—–-]"
 WIRE_CREDIT = r"(?i)\b(?:AP|Reuters)\b.{0,40}\bcontributed\b|©\s*20\d\d\s*(?:The Associated Press|Reuters)"

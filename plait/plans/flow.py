@@ -144,7 +144,7 @@ def pair_stage(articles: DataFrame, stories: DataFrame, current: DataFrame, sinc
 
 
 def recheck_stage(articles: DataFrame, stories: DataFrame, make: Callable[[], models.Verifier], now: Column, config: Config = Config(), most: int | None = None, publish: Callable[[DataFrame, str], DataFrame] | None = None) -> dict[str, DataFrame]:
-    """Suspect members asked about again: ``articles`` and ``stories`` after it, ``decisions``, and the ``report``.
+    """Suspect members asked about again: ``articles`` and ``stories`` after it, ``decisions``, the ``report``, and ``reanchored`` (story_id, before, after).
 
     Stories are re-anchored on their founder first.  Detached articles lose story, side and time, so the next pass files them; counters follow.
     """
@@ -161,7 +161,9 @@ def recheck_stage(articles: DataFrame, stories: DataFrame, make: Callable[[], mo
     rows = anchored.withColumnRenamed("id", "story_id").join(touched, "story_id", "left").join(counts.select("story_id", *[F.col(c).alias(f"__{c}") for c in names]), "story_id", "left")
     hit = F.col("__touched").isNotNull()
     rows = rows.withColumns({c: F.when(hit, F.coalesce(f"__{c}", F.lit(0)).cast("int")).otherwise(F.col(c)) for c in names} | {"updated_at": F.when(hit | F.col("changed"), now.cast("timestamp")).otherwise(F.col("updated_at"))})
-    return {"articles": after, "stories": rows.select(*stories.columns), "decisions": decisions, "report": recheck.report(decisions, before, anchored, a)}
+    old = before.select(F.col("id").alias("story_id"), F.col("title").alias("before"))
+    renamed = anchored.where("changed").select(F.col("id").alias("story_id"), F.col("title").alias("after")).join(old, "story_id").select("story_id", "before", "after")
+    return {"articles": after, "stories": rows.select(*stories.columns), "decisions": decisions, "report": recheck.report(decisions, before, anchored, a), "reanchored": renamed}
 
 
 def run(
