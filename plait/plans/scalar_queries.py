@@ -175,7 +175,7 @@ def url_escapes(spark, d):
 
 @query(
     """SELECT page_id, CASE WHEN page_id % 4 = 0 THEN url || '?alt' ELSE url END AS link, CASE WHEN page_id % 3 > 0 THEN 'Title ' || page_id END AS title,
-  CASE WHEN page_id % 5 = 0 THEN TIMESTAMP '2024-01-03 04:05:06' WHEN page_id % 5 < 4 THEN TIMESTAMP '2024-01-02 03:04:05' END AS published_at,
+  CAST(epoch(CASE WHEN page_id % 5 = 0 THEN TIMESTAMP '2024-01-03 04:05:06' WHEN page_id % 5 < 4 THEN TIMESTAMP '2024-01-02 03:04:05' END) AS BIGINT) AS published,
   CASE WHEN page_id % 6 = 0 THEN 'm' WHEN page_id % 6 = 1 THEN 't' WHEN page_id % 6 = 2 THEN 'l' WHEN page_id % 6 = 3 THEN 'e' END AS image_url FROM pages WHERE page_id % 8 <> 4"""
 )
 def entry_normalise(spark, d):
@@ -188,7 +188,7 @@ def entry_normalise(spark, d):
         F.when(F.col("page_id") % 5 == 0, "soon").when(F.col("page_id") % 5 < 4, "Tue, 02 Jan 2024 03:04:05 GMT").alias("published"), F.when(F.col("page_id") % 5 == 0, "2024-01-03T04:05:06Z").alias("updated"),
         image(0, "m").alias("media_content"), image(1, "t").alias("media_thumbnail"), F.when(F.col("page_id") % 6 <= 3, link(("p", "audio/mp3"), ("e", "image/jpeg"))).otherwise(link(("p", "audio/mp3"))).alias("enclosures"), F.lit("Ann").alias("author"),
     )
-    return ingest.entries(feed).select(F.col("pos").alias("page_id"), "link", "title", F.col("published_at").cast("timestamp_ntz").alias("published_at"), "image_url")
+    return ingest.entries(feed).select(F.col("pos").alias("page_id"), "link", "title", F.unix_seconds("published_at").alias("published"), "image_url")
 
 
 @query(
@@ -420,14 +420,14 @@ j AS (SELECT *, array_to_string(list_filter(ps, lambda x: length(x) >= 2), chr(1
 r AS (SELECT *, replace(replace(replace(replace(CASE WHEN length(precise) < 300 AND every <> '' THEN every ELSE precise END, '&quot;', '"'), '&lt;', '<'), '&gt;', '>'), '&amp;', '&') AS raw FROM j)
 SELECT page_id, title, CASE WHEN starts_with(raw, title) THEN ltrim(substr(raw, length(title) + 1), ' ' || chr(10)) ELSE raw END AS text, CASE page_id % 3 WHEN 0 THEN ['Ann ' || page_id, 'Bo'] WHEN 1 THEN ['Ann Lee', 'Bo ' || page_id, 'Cy'] ELSE [] END AS authors,
   CASE page_id % 3 WHEN 0 THEN 'https://img.example/' || page_id WHEN 1 THEN 'https://img.example/m' END AS image, CASE WHEN page_id % 3 = 1 THEN 'about ' || page_id END AS description, CASE WHEN page_id % 3 = 0 THEN 'S' END AS section,
-  CASE WHEN page_id % 3 = 0 THEN 'NewsArticle' END AS jsonld_type, CASE page_id % 3 WHEN 0 THEN TIMESTAMP '2024-01-02 03:04:05' WHEN 1 THEN TIMESTAMP '2024-01-05 00:00:00' END AS published_at, strlen(html) AS html_bytes FROM r"""
+  CASE WHEN page_id % 3 = 0 THEN 'NewsArticle' END AS jsonld_type, CAST(epoch(CASE page_id % 3 WHEN 0 THEN TIMESTAMP '2024-01-02 03:04:05' END) AS BIGINT) AS published, strlen(html) AS html_bytes FROM r"""
 )
 def page_extract(spark, d):
     number = F.col("page_id").cast("string")
     more = F.when(F.col("page_id") % 3 == 0, F.lit(_LD)).when(F.col("page_id") % 3 == 1, F.lit(_METAS)).otherwise("")
     html = F.replace("html", F.lit('<meta charset="utf-8">'), F.concat(F.lit('<meta charset="utf-8">'), F.replace(more, F.lit("@@"), number)))
     out = P.extract_pages(table(spark, d, "pages").select("page_id", html.alias("html")), "page_id")
-    return out.select("page_id", "title", "text", "authors", "image", "description", "section", "jsonld_type", F.col("published_at").cast("timestamp_ntz").alias("published_at"), "html_bytes")
+    return out.select("page_id", "title", "text", "authors", "image", "description", "section", "jsonld_type", F.when(F.col("page_id") % 3 == 0, F.unix_seconds("published_at")).alias("published"), "html_bytes")
 
 
 @query("SELECT event_type AS kind, CAST(user_id % 3 AS VARCHAR) AS model, count(*) AS calls, CAST(sum(event_id) AS BIGINT) AS tokens_in, CAST(sum(user_id) AS BIGINT) AS tokens_out FROM events GROUP BY ALL")
