@@ -112,6 +112,40 @@ def test_parity_bitmap_bounds_the_difference():
         assert np.bitwise_count(x ^ y).sum() <= 2 * (n - n // 2)
 
 
+def test_scratch_tables_go(spark):
+    import os
+
+    from plait.llm.common import discard, materialize, scratch
+
+    there = lambda df: os.path.exists(df.plait_path.removeprefix("file://"))
+    with scratch(spark) as keep_outer:
+        with scratch(spark) as keep:
+            gone, stays, last = (materialize(spark.range(5), "x") for _ in range(3))
+            keep(stays, last)
+        assert not there(gone) and there(stays) and there(last) and stays.count() == 5
+        discard(last)
+        assert not there(last)
+        other = materialize(stays, "y")
+        keep_outer(other)
+    assert not there(stays) and other.count() == 5
+    with pytest.raises(ValueError), scratch(spark):
+        left = materialize(spark.range(2), "z")
+        raise ValueError
+    assert not there(left)
+
+
+def test_census_sizes_grow_with_the_volume():
+    """Keys in a blob stay at hundreds up to 1 TB; buckets and shards never pass 16 times their size."""
+    from plait.llm import census
+
+    for volume in (10**8, 4 << 30, 30 * 10**9, 10**12):
+        buckets, parts = census.sizes(volume, 4 << 20, 500_000, 64)
+        keys = volume // 6
+        assert volume / buckets <= 16 * (4 << 20) * 1.01 and keys / parts(keys) <= 16 * 500_000 * 1.01
+        assert volume < 10**9 or keys / buckets / parts(keys) > 250
+    assert census.sizes(0, 4 << 20, 500_000, 64)[0] == 64
+
+
 def test_components(spark):
     edges = spark.createDataFrame([(i + 1, i) for i in range(40)] + [(100, 101), (101, 102), (102, 100), (7, 7)], "a long, b long")
     got = dict(map(tuple, components(edges).collect()))
