@@ -97,11 +97,12 @@ def top_stories(articles: DataFrame, stories: DataFrame, k: int = 10, window_hou
     window = window_hours * 3_600_000_000
     side = lambda df, at: df.select("id", micros(F.col(at)).alias("at"), F.col("vector").cast("array<double>").alias("v")).where("v is not null and at is not null")
     left, right = side(articles, "published_at"), side(stories, "last_seen")
-    earliest = left.agg(F.min("at").alias("m")).first()["m"]
-    right = right.where(F.col("at") >= F.lit((earliest or 0) - window))
+    asked = left.agg(F.min("at").alias("earliest"), F.max(F.size("v")).alias("dims")).first()
+    right = right.where(F.col("at") >= F.lit((asked["earliest"] or 0) - window))
+    most = shipped_bytes // (8 * (asked["dims"] or 0) + 16)
     schema = f"article_id {left.schema['id'].dataType.simpleString()}, story_id {right.schema['id'].dataType.simpleString()}, similarity double"
-    if right.agg(F.coalesce(F.sum(8 * F.size("v") + 16), F.lit(0)).alias("n")).first()["n"] <= shipped_bytes:
-        head = right.toPandas()
+    head = right.limit(max(0, most + 1)).toPandas()
+    if len(head) <= most:
         ids, at, matrix = head["id"].to_numpy(), head["at"].to_numpy(), _matrix(head, "v")
 
         def scan(batches):
