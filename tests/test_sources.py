@@ -90,6 +90,18 @@ def test_paragraphs_of_holders():
     assert pages.Page(f'<div class="x post-content">{p(41)}</div>{p(800, "z")}').paragraphs() == "x" * 41
 
 
+def test_pages_of_many_elements():
+    """Time follows the page's size, whatever is nested or left open."""
+    import time
+
+    began = time.perf_counter()
+    n = 20_000
+    for page in ("<article><p>" + "w" * 50 + "</p></article>", "<article>", "<div><p>text of a line", "<ul><li>point of a list", "</div></p>", "<p>a b c d e f g h i j"):
+        pages.Page(page * n).text()
+    pages.Page("<main>" * 300 + ("<p>" + "w" * 60 + "</p>") * 300).text()
+    assert time.perf_counter() - began < 20
+
+
 def test_fields_by_rank(spark):
     """Structured data before meta tags; the last object first, up to the first with a date; meta tags in their order."""
     data = lambda x: f'<script type="application/ld+json">{json.dumps(x)}</script>'
