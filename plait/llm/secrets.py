@@ -189,8 +189,8 @@ def redacted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", re
     base, further = F.filter("__found", lambda x: x["base"]), F.filter("__found", lambda x: ~x["base"])
     plain, asked = rows.where(F.size(further) == 0), rows.where(F.size(further) > 0)
     judged = _judged(asked, further, _live(rows, s), s).where("verdict = 'live'")
-    more = judged.groupBy("row").agg(F.collect_list(F.struct("kind", "start", "end", "hash", "base")).alias("__more"))
-    joined = asked.join(more, asked["__row"] == more["row"], "left").drop("row")
+    more = judged.groupBy(F.col("row").alias("__row")).agg(F.collect_list(F.struct("kind", "start", "end", "hash", "base")).alias("__more"))
+    joined = asked.join(more, "__row", "left").select(*rows.columns, "__more")
     joined = joined.withColumn("__found", F.concat(base, F.coalesce("__more", F.array().cast(_FOUND)))).drop("__more")
     every = plain.unionByName(joined)
     return redact_column(every, "__found", text_col).select(*docs.columns, (F.size("__found") > 0).alias("__redacted"))
