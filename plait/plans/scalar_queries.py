@@ -438,8 +438,18 @@ def llm_usage(spark, d):
     return usage(calls)
 
 
-@query()
+@query(
+    sql(
+        """SELECT id, 'done' AS enrichment_status, 'other' AS category, 'news' AS article_type, array_to_string(w[1:12], ' ') AS event_summary,
+  list_transform(list_filter(list_zip(e, range(1, len(e) + 1)), lambda x: list_position(list_transform(e, lambda y: lower(y)), lower(x[1])) = x[2]), lambda x: x[1])[1:8] AS key_entities, 64 AS dims, CAST(NULL AS VARCHAR) AS error
+FROM (SELECT id, w, list_filter(list_sort(list_distinct(list_transform(list_filter(w, lambda x: regexp_matches(x, '^\\p{Lu}')), lambda x: trim(x, '.,'))))[1:6], lambda x: length(x) >= 2 AND NOT contains(lower(x), lower(outlet))) AS e FROM p)""",
+        more="""p AS (
+  SELECT id, outlet, regexp_extract_all('Outlet: ' || outlet || ' Published: ' || strftime(published_at, '%Y-%m-%d %H:%M:%S') || ' Title: ' || CASE WHEN title = '' THEN 'none' ELSE title END || ' Feed headline: none Description: none Text: ' || left(text, 4000), '\\S+') AS w
+  FROM articles_px WHERE length(text) >= 300)""",
+    )
+)
 def enrich_run(spark, d):
+    """Enrichment by the offline model, whose answers are functions of the prompt."""
     rows = articles(spark, d).where("length(text) >= 300").select("id", "outlet", "published_at", "title", F.lit(None).cast("string").alias("headline"), F.lit(None).cast("string").alias("subheadline"), F.col("text").alias("body_text"), F.length("text").alias("body_chars"), F.lit(False).alias("wire_hint"))
     out = enrich.run(rows)
     return out.select("id", "enrichment_status", "category", "article_type", "event_summary", "key_entities", F.size("vector").alias("dims"), "error")
