@@ -8,7 +8,7 @@ from ..config import Config
 from ..functions import scoring as S, text as X, times as M, vectors as V
 from ..functions.predicates import scan
 from ..functions.urls import TRACKING_NAMES, TRACKING_PREFIXES, canonical_url, url_hash
-from ..operators import enrich, ingest
+from ..operators import enrich, ingest, models
 from ..sources import pages as P, registry as R, tables as T
 from .proxies import articles, ntz, sql, table
 
@@ -150,6 +150,12 @@ SELECT doc_id, CASE WHEN published_at IS NULL THEN 'failed' WHEN newest < cut TH
   published_at, 'about ' || CASE WHEN doc_id % 2 = 0 THEN doc_id ELSE -doc_id END AS subheadline, CASE WHEN doc_id % 2 = 0 THEN ['Ann', 'Bo'] WHEN doc_id % 3 = 0 THEN ['Cy'] ELSE [] END AS authors, 'https://w.example/a/' || doc_id AS canonical_url FROM r"""
 )
 def row_build_status(spark, d):
+    out = ingest.build_rows(_fetched(spark, d), ntz("2024-01-31 00:00:00"))
+    return out.select(F.col("pos").alias("doc_id"), "outcome", "title", "headline", "body_text", "body_chars", "enrichment_status", F.col("published_at").cast("timestamp_ntz").alias("published_at"), "subheadline", "authors", "canonical_url")
+
+
+def _fetched(spark, d):
+    """Documents as fetched pages with their feed entries, some without titles or dates."""
     docs = table(spark, d, "documents")
     title = F.expr("case doc_id % 9 when 0 then null when 1 then '  ' when 2 then concat('Transcript: talk ', doc_id) when 3 then concat(repeat('Long title ', 60), doc_id) else concat(' Page  title ', doc_id) end")
     at = lambda by, n, span: F.expr(f"case when doc_id % {by} > 0 then cast(timestampadd(HOUR, cast((doc_id * {n}) % {span} as int), timestamp_ntz'2024-01-01 00:00:00') as timestamp) end")
@@ -162,9 +168,61 @@ def row_build_status(spark, d):
         F.when(F.col("doc_id") % 4 > 0, F.concat(F.lit("Feed title "), "doc_id")).alias("title"), F.concat(F.lit("about "), -F.col("doc_id")).alias("summary"), at(3, 11, 740).alias("published_at"), none.alias("image_url"),
         F.when(F.col("doc_id") % 3 == 0, "Cy").alias("author"),
     )
-    fetched = docs.select("doc_id", F.col("source").alias("source_id"), F.col("source").alias("outlet"), F.col("doc_id").alias("pos"), F.concat(F.lit("http://www.w.example/a/"), "doc_id", F.lit("?utm_source=x")).alias("link"), entry.alias("entry"), page.alias("page"), F.lit(0).cast("long").alias("html_bytes"))
-    out = ingest.build_rows(fetched, ntz("2024-01-31 00:00:00"))
-    return out.select(F.col("pos").alias("doc_id"), "outcome", "title", "headline", "body_text", "body_chars", "enrichment_status", F.col("published_at").cast("timestamp_ntz").alias("published_at"), "subheadline", "authors", "canonical_url")
+    return docs.select("doc_id", F.col("source").alias("source_id"), F.col("source").alias("outlet"), F.col("doc_id").alias("pos"), F.concat(F.lit("http://www.w.example/a/"), "doc_id", F.lit("?utm_source=x")).alias("link"), entry.alias("entry"), page.alias("page"), F.lit(0).cast("long").alias("html_bytes"))
+
+
+@query(
+    f"""WITH {_FETCHED_SQL},
+o AS (
+  SELECT source, text, CASE WHEN published_at IS NULL THEN 'failed' WHEN newest < cut THEN 'stale' WHEN title IS NULL THEN 'failed' WHEN starts_with(title, 'Transcript:') THEN 'non_article' ELSE 'row' END AS outcome, chosen < cut AND newest >= cut AS overridden FROM r)
+SELECT source AS source_id, count(*) AS fetched, count(*) FILTER (outcome = 'row') AS "rows", count(*) FILTER (outcome = 'failed') AS failed, count(*) FILTER (outcome = 'stale') AS stale, count(*) FILTER (outcome = 'non_article') AS non_article,
+  count(*) FILTER (outcome = 'row' AND overridden) AS date_override, count(*) FILTER (outcome = 'row' AND length(text) < 300) AS skipped_short FROM o GROUP BY source"""
+)
+def ingest_stats(spark, d):
+    return ingest.stats(ingest.build_rows(_fetched(spark, d), ntz("2024-01-31 00:00:00")))
+
+
+@query(
+    """WITH e AS (
+  SELECT doc_id, source, 'https://p.example/' || (doc_id % 400) AS canonical_url, CASE WHEN doc_id % 6 > 0 THEN TIMESTAMP '2024-01-01 00:00:00' + to_hours(CAST((doc_id * 7) % 700 AS BIGINT)) END AS seen FROM documents),
+live AS (SELECT * FROM e WHERE (seen IS NULL OR seen >= TIMESTAMP '2024-01-20 00:00:00' - INTERVAL 72 HOUR) AND doc_id % 10 <> 0),
+cut AS (SELECT * FROM live QUALIFY row_number() OVER (PARTITION BY source ORDER BY doc_id) <= 5 + CAST(regexp_extract(source, '[0-9]+') AS INT) % 3 * 5),
+one AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY source, canonical_url ORDER BY doc_id) = 1)
+SELECT doc_id AS pos, source AS source_id, canonical_url FROM one WHERE canonical_url NOT IN (SELECT canonical_url FROM e WHERE doc_id < 60)"""
+)
+def entry_prune(spark, d):
+    docs = table(spark, d, "documents")
+    at = F.expr("case when doc_id % 6 > 0 then timestampadd(HOUR, cast((doc_id * 7) % 700 as int), timestamp_ntz'2024-01-01 00:00:00') end")
+    url = F.concat(F.lit("http://www.p.example/"), F.col("doc_id") % 400)
+    rows = docs.select(F.col("source").alias("source_id"), F.col("doc_id").alias("pos"), F.concat(url, F.lit("?utm_medium=x")).alias("link"), F.when(F.col("doc_id") % 10 == 0, "Transcript &amp; more").otherwise("A title").alias("title"), at.alias("published_at"))
+    sources = docs.select("source").distinct().select(F.col("source").alias("id"), (5 + F.regexp_extract("source", "[0-9]+", 0).cast("int") % 3 * 5).alias("max_per_run"))
+    known = docs.where("doc_id < 60").select(canonical_url(url).alias("canonical_url"))
+    return ingest.prune(rows, sources, known, ntz("2024-01-20 00:00:00")).select("pos", "source_id", "canonical_url")
+
+
+@query(sql("SELECT id, coalesce(event_summary, '') || ' | Entities: ' || array_to_string(key_entities, ', ') AS t FROM articles_px"))
+def embedding_texts(spark, d):
+    return articles(spark, d).select("id", models.embedding_text(F.col("event_summary"), F.col("key_entities")).alias("t"))
+
+
+@query(sql("SELECT id, list_transform(vector, lambda x: round(x, 6)) AS vector FROM articles_px"))
+def vector_from_text(spark, d):
+    text = F.concat(F.lit("["), F.array_join(F.transform("vector", lambda x: x.cast("string")), ","), F.lit("]"))
+    return articles(spark, d).select("id", F.transform(V.from_text(text), lambda x: F.round(x, 6)).alias("vector"))
+
+
+@query("SELECT doc_id, (row_number() OVER (ORDER BY doc_id) - 1) // 70 AS page FROM documents WHERE source IN ('src1', 'src2', 'src3')")
+def keyset_pages(spark, d):
+    """Every page of a keyset scan over a few sources, one after the other."""
+    rows = table(spark, d, "documents").where("source in ('src1', 'src2', 'src3')").select("doc_id")
+    found = [(r["doc_id"], n) for n, page in enumerate(T.pages_of(rows, "doc_id", 70)) for r in page]
+    return spark.createDataFrame(found, "doc_id long, page long")
+
+
+@query("SELECT (SELECT count(*) FROM documents) AS every, (SELECT count(*) FROM documents WHERE lang = 'en') AS english, (SELECT count(*) FROM labels WHERE toxic = 1) AS toxic")
+def exact_counts(spark, d):
+    docs, labels = table(spark, d, "documents"), table(spark, d, "labels")
+    return spark.createDataFrame([(T.count_rows(docs), T.count_rows(docs, F.col("lang") == "en"), T.count_rows(labels, F.col("toxic") == 1))], "every long, english long, toxic long")
 
 
 @query("SELECT page_id, 'https://x.example/p?q=' || page_id || '%25%25&r=a+b%2Fc&t=%C3%A9%25zz&u=%25' AS canonical_url FROM pages")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..config import Config
 from ..functions import scoring as S
-from ..operators import assign, enrich, merge, pairs, recheck, reports, retrieval, stories as Y
+from ..operators import assign, enrich, merge, models, pairs, recheck, reports, retrieval, stories as Y
 from .proxies import PX, articles, ntz, sql, stories, table
 
 QUERIES, SQL = {}, {}
@@ -118,6 +118,20 @@ def assign_in_blocks(spark, d):
     return assign.assign_in_order(rows).select("id", "block", "method", "story_id", "side", "story_size", "reason")
 
 
+@query(
+    sql(
+        """SELECT count(*) AS processed, count(*) FILTER ((published_at, id) > f) AS attached, count(*) FILTER ((published_at, id) = f) AS created, count(*) FILTER (f IS NULL OR (published_at, id) < f) AS orphaned, 0::BIGINT AS failed,
+  0::BIGINT AS verified, count(*) FILTER ((published_at, id) > f AND published_at - f[1] > INTERVAL 12 HOUR) AS verifier_attached FROM o""",
+        more="""o AS (
+  SELECT *, min((published_at, id)) FILTER (article_type IN ('news', 'live', 'explainer') AND NOT is_wire_copy) OVER (PARTITION BY story_id) AS f FROM articles_px)""",
+    )
+)
+def assign_stats(spark, d):
+    axis = F.transform(F.sequence(F.lit(0), F.lit(9)), lambda i: F.when(i == F.col("story_id"), 1.0).otherwise(0.0))
+    rows = articles(spark, d).withColumns({"block": (F.col("story_id") % 3).cast("string"), "phase": F.lit(0), "category": F.lit("other"), "split_from": F.lit(None).cast("string"), "event_date": F.lit(None).cast("date"), "vector": axis})
+    return assign.stats(assign.assign_in_order(rows))
+
+
 _STATE = "CASE WHEN id % 3 = 0 THEN NULL ELSE story_id END"
 
 
@@ -392,6 +406,22 @@ def feed_refresh(spark, d):
     return Y.feed(s, now, articles(spark, d)).drop("last_seen")
 
 
+@query(
+    sql(
+        """SELECT story_id, CASE WHEN story_id % 2 = 1 THEN title END AS title, CASE WHEN action <> 'kept' THEN NULL::VARCHAR END AS contrast
+FROM (SELECT p.story_id, p.action, array_to_string(regexp_extract_all('Development: About story ' || p.story_id || ' Left piece, outlet: ' || a.outlet || ' Title: ' || a.title, '\\S+')[1:8], ' ') AS title
+  FROM plan p JOIN articles_px a ON a.id = CASE WHEN p.action = 'kept' THEN p.cl ELSE p.l END WHERE p.action <> 'retired' AND (p.action <> 'kept' OR p.story_id % 2 = 1))""",
+        True, PAIR_SQL + ",\n" + CURRENT_SQL,
+    )
+)
+def pair_titles(spark, d):
+    """Titles by the offline model for stories whose pair is new, or that no model has named yet."""
+    s = stories(spark, d).withColumnRenamed("id", "story_id").withColumns({"summary": F.concat(F.lit("About story "), "story_id"), "title_source": F.when(F.col("story_id") % 2 == 0, "llm").otherwise("auto")})
+    a = articles(spark, d)
+    told = pairs.titles(s, a.withColumn("framing", F.lit(None).cast("string")), pairs.maintain(s, a, _px_pairs(spark, d), near="title"), models.OfflineModel)
+    return told.select("story_id", "title", "contrast")
+
+
 # ---- rechecks and reports -----------------------------------------------------------------------------------------------
 
 
@@ -455,6 +485,19 @@ def recheck_applied(spark, d):
     return recheck.applied(members, done).join(done.select("id", "decision"), "id").select("id", "decision", "story_id")
 
 
+@query(
+    sql(
+        f"SELECT s.story_id, 'Story ' || s.story_id AS story_title_before, 'Story ' || s.story_id AS story_anchor, s.id AS article_id, a.outlet, s.published_at, a.title AS headline, s.relation, printf('%.2f', s.confidence) AS confidence, "
+        f"CASE WHEN relation IN ('follow_up', 'unrelated') AND s.confidence >= 0.7 THEN 'detached' ELSE 'kept' END AS decision, 'since ' || s.id AS reason FROM (SELECT id, story_id, published_at, {_ANSWER} FROM sus) s JOIN articles_px a USING (id)",
+        True, SUSPECT_SQL.replace(" QUALIFY reason IS NOT NULL", " AND (a.published_at - s.first_seen > INTERVAL 12 HOUR OR a.event_date > s.event_date)"),
+    )
+)
+def recheck_report(spark, d):
+    members, found = _members(spark, d), _founded(spark, d)
+    answers = _answers(spark, d).withColumn("reason", F.concat(F.lit("since\t"), "id"))
+    return recheck.report(recheck.judged(recheck.suspects(found, members), answers), found, found, members)
+
+
 @query(
     sql(
         "SELECT s.id, coalesce(s.id % 2 = 0 AND a.event_summary IS NOT NULL AND a.event_summary <> 'old summary', false) AS changed, CASE WHEN s.id % 2 = 0 AND a.event_summary IS NOT NULL THEN a.event_summary ELSE 'old summary' END AS summary "
