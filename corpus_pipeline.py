@@ -27,34 +27,39 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def _own_numbers(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The columns of documents with a number ``__id`` of the row's values, and the table of (__id, doc_id).  Equal rows share a
+    """The columns of documents with a number ``__id`` of the row's values, and the table of (__id, doc_id, n), how often the row stands.  Equal rows share a
     number, different ones never do: hashes are drawn with another seed until none agree."""
     flags = F.concat(*[F.col(c).isNull().cast("int").cast("string") for c in COLUMNS])
     exact = F.concat(flags, *[F.concat(F.length(c := F.coalesce(F.col(name).cast("string"), F.lit(""))), F.lit(":"), c) for name in COLUMNS])
     for seed in range(9):
         rows = docs.select(*COLUMNS, F.xxhash64(F.lit(seed), flags, *COLUMNS).alias("__id"))
-        known = materialize(rows.select("__id", "doc_id", F.md5(exact).alias("__key")).distinct(), "numbers")
+        known = materialize(rows.groupBy("__id", "doc_id", F.md5(exact).alias("__key")).agg(F.count(F.lit(1)).alias("n")), "numbers")
         if known.groupBy("__id").count().where("count > 1").isEmpty():
-            return rows, known.select("__id", "doc_id")
+            return rows, known.select("__id", "doc_id", "n")
     raise RuntimeError("rows could not be told apart")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one row of each component, one of the least id (null ids come last), and one of fully equal rows.  Rows are
-    compared and dropped by numbers of their own, so rows with one id and different texts are documents of their own."""
+    compared and dropped by numbers of their own, so rows with one id and different texts are documents of their own.
+
+    What goes and what stands more than once are written tables, whose size decides how they are joined: while they are small, no text moves."""
     bounded_batches(spark)
     rows, known = _own_numbers(docs)
     linked = jaccard_join.jaccard_components(rows, id_col="__id").where("n_shingles > 0").select("__id", "component_id").distinct()
-    linked = materialize(linked.join(known, "__id"), "linked")
+    linked = materialize(linked.join(known.drop("n"), "__id"), "linked")
     kept = linked.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "__id"))["__id"].alias("__id"))
-    gone = linked.join(kept, "__id", "left_anti").select("__id")
-    return rows.join(gone, "__id", "left_anti").groupBy("__id").agg(F.first(F.struct(*COLUMNS)).alias("d")).select("d.*")
+    gone = materialize(linked.join(kept, "__id", "left_anti").select("__id"), "gone")
+    several = materialize(known.where("n > 1").select("__id"), "several")
+    left = rows.join(gone, "__id", "left_anti")
+    once = left.join(several, "__id", "left_semi").groupBy("__id").agg(F.first(F.struct(*COLUMNS)).alias("d")).select("d.*")
+    return left.join(several, "__id", "left_anti").select(*COLUMNS).unionByName(once)
 
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops every document that holds a benchmark item."""
+    """Drops every document that holds a benchmark item.  The rows found are a written table, whose size decides how it is joined."""
     found = decontamination.contaminated(_numbered(docs), table(spark, sf_dir, "benchmark"), id_col="__row", unnamed=True).select("__row").distinct()
-    return _numbered(docs).join(found, "__row", "left_anti").select(*COLUMNS)
+    return _numbered(docs).join(materialize(found, "leaks"), "__row", "left_anti").select(*COLUMNS)
 
 
 def secret_spans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
