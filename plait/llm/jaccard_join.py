@@ -45,6 +45,7 @@ class Settings:
     neighbourhoods: int = 4
     hot: int = 64
     block: int = 1024
+    #: pairs of a hub that stand together, and parts that a group's members are dealt into, so that no task and no row holds them all
     chunk: int = 512
     members: int = 32
     bitmap_words: int = 16
@@ -139,13 +140,14 @@ def _surveyed(docs: DataFrame, s: Settings) -> DataFrame:
 def _linked(pairs: DataFrame, nodes: DataFrame, s: Settings) -> DataFrame:
     """Those of the distinct pairs (hub, node) whose whole texts have the similarity, as (a, b), a < b.
 
-    A hub's pairs are cut into chunks; a chunk's rows stand together in a task, the hub's own text first, and stream through it.
+    A hub's pairs are cut into chunks; a chunk's rows stand together in a task, the hub's own text first, and stream through it.  Pairs and chunks are
+    a written table, whose size decides how texts are joined to it: while it is small, they move only once.
     """
     texts = nodes.select("node", "text")
     many = pairs.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / s.chunk).cast("int").alias("chunks"))
-    dealt = pairs.join(many, "hub").withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")).drop("chunks")
-    ones = dealt.join(texts, "node").select("hub", "chunk", "node", "text")
-    hubs = many.select("hub", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk")).join(texts.toDF("hub", "text"), "hub")
+    dealt = materialize(pairs.join(many, "hub").withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")).drop("chunks"), "dealt")
+    ones = texts.join(dealt, "node").select("hub", "chunk", "node", "text")
+    hubs = texts.toDF("hub", "text").join(dealt.select("hub", "chunk").distinct(), "hub")
     rows = hubs.select("hub", "chunk", F.lit(None).cast("binary").alias("node"), "text").unionByName(ones)
     rows = rows.repartition("hub", "chunk").sortWithinPartitions("hub", "chunk", F.col("node").asc_nulls_first())
 
@@ -249,8 +251,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         nodes = rows.where("n is not null").groupBy("node").agg(F.min_by(held, F.struct(F.length("text"), F.xxhash64("text"))).alias("h")).select("node", "h.*")
         nodes = materialize(nodes, "nodes")
         near = nodes.select("node", "known", F.explode(F.array_distinct("near")).alias("key"))
-        heads = near.groupBy("key").agg(F.max_by("node", F.struct("known", "node")).alias("hub"))
-        pairs = near.join(heads, "key").where("node <> hub").select("hub", "node").distinct()
+        heads = materialize(near.groupBy("key").agg(F.max_by("node", F.struct("known", "node")).alias("hub")), "heads")
+        pairs = materialize(near.join(heads, "key").where("node <> hub").select("hub", "node").distinct(), "near")
         links = materialize(_linked(pairs, nodes, s), "links")
         comp = components(links, "first")
         met = materialize(_rest(nodes, comp, s).toDF("hub", "node"), "pairs")
