@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from . import census
-from .common import kept_type, release, text_volume
+from .common import kept_type, text_volume
 from .words import Words, mix, rolled
 
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -139,24 +139,25 @@ def locate(texts: list[list[bytes]], passages: list[list[bytes]], s: Settings) -
     size, seed, at = s.window, (s.window + 1) // 2, 0
     most = max(s.automaton_words, size)
     ids: dict[bytes, int] = {}
-    numbered = [np.array([ids.setdefault(w, len(ids)) for w in p], np.int32) for p in passages]
-    numbered = [p[i : i + most] for p in numbered for i in range(0, len(p) - size + 1, most - size + 1)]
+    parts = [p[i : i + most] for p in passages for i in range(0, len(p) - size + 1, most - size + 1)]
+    sizes = [len(p) for p in parts]
+    numbers = np.fromiter((ids.setdefault(w, len(ids)) for w in chain.from_iterable(parts)), np.int32, sum(sizes))
     width = 1
     while BASE**width < len(ids):
         width += 1
     between = [b""]  # no word
-    flat = np.fromiter(map(ids.get, chain.from_iterable(chain(t, between) for t in texts), repeat(-1)), np.int32) if numbered else np.zeros(0, np.int32)
-    stream, data = letters(flat, width), flat.tobytes()
+    flat = np.fromiter(map(ids.get, chain.from_iterable(chain(t, between) for t in texts), repeat(-1)), np.int32) if parts else np.zeros(0, np.int32)
+    phrases, stream, raw, data = letters(numbers, width), letters(flat, width), numbers.tobytes(), flat.tobytes()
     cover = np.zeros(len(flat) + 1, np.int32)
-    while at < len(numbered):
+    begin = 0
+    while at < len(parts):
         automaton, windows, room = ahocorasick.Automaton(ahocorasick.STORE_LENGTH), set(), most
-        while at < len(numbered) and len(numbered[at]) <= room:
-            numbers, raw = letters(numbered[at], width), numbered[at].tobytes()
-            for i in range(0, len(numbered[at]) - seed + 1, seed):
-                automaton.add_word(numbers[i * width : (i + seed) * width])
-            windows.update([raw[4 * i : 4 * (i + size)] for i in range(len(numbered[at]) - size + 1)])
-            room -= len(numbered[at])
-            at += 1
+        while at < len(parts) and sizes[at] <= room:
+            end = begin + sizes[at]
+            for i in range(begin, end - seed + 1, seed):
+                automaton.add_word(phrases[i * width : (i + seed) * width])
+            windows.update([raw[4 * i : 4 * (i + size)] for i in range(begin, end - size + 1)])
+            room, begin, at = room - sizes[at], end, at + 1
         automaton.make_automaton()
         ends = np.fromiter((end for end, _ in automaton.iter(stream)), np.int64)
         first = (ends + 1) // width - seed
@@ -167,7 +168,7 @@ def locate(texts: list[list[bytes]], passages: list[list[bytes]], s: Settings) -
         found = np.array([i for i in starts if data[4 * i : 4 * (i + size)] in windows], np.int64)
         cover[found] += 1
         cover[found + size] -= 1
-    gone = np.cumsum(cover[:-1]) > 0 if numbered else np.zeros(sum(map(len, texts)) + len(texts), bool)
+    gone = np.cumsum(cover[:-1]) > 0 if parts else np.zeros(sum(map(len, texts)) + len(texts), bool)
     ends = np.cumsum([len(t) + 1 for t in texts]).tolist()
     return [gone[e - len(t) - 1 : e - 1] for t, e in zip(texts, ends)]
 
@@ -213,7 +214,6 @@ def dedup_phrases(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
             for a, b, targets in runs(np.repeat(places[hit[first]], n), to[pick], s.window):
                 text = held.words.text(a, b)
                 rows += [(text, targets[i : i + s.targets].tolist()) for i in range(0, len(targets), s.targets)]
-        release()
         return pa.table({"words": pa.array([r[0] for r in rows], pa.binary()), "to": pa.array([r[1] for r in rows], pa.list_(pa.int32()))})
 
     def remove(table: pa.Table, sent: pa.Table) -> pa.Table:
@@ -226,7 +226,6 @@ def dedup_phrases(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
             "kept": pa.array([k.decode() for k in kept], pa.string()),
             "removed": pa.array([[{"first": a, "end": b} for a, b in e] for e in edges], pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())]))),
         })
-        release()
         return result
 
     first = census.verdicts(dealt.groupBy("bucket").applyInArrow(anchors, census.BLOBS), coarse)
