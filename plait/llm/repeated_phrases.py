@@ -108,6 +108,8 @@ class _Bucket:
 
 def runs(places: np.ndarray, to: np.ndarray, window: int) -> list[tuple[int, int, np.ndarray]]:
     """(first word, word after the last, targets) of the maximal runs of consecutive places that go to the same target."""
+    if not len(places):
+        return []
     order = np.lexsort((places, to))
     places, to = places[order], to[order]
     cut = np.flatnonzero(np.r_[True, (np.diff(places) != 1) | (np.diff(to) != 0)])
@@ -202,8 +204,8 @@ def dedup_phrases(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         if owned.num_rows:
             held = _Bucket(table.column("text"), s)
             codes, checks, counts, to = census.owned_keys(owned)
-            places = np.concatenate([np.arange(a, b - s.window + 1) for a, b in held.spans])
-            low = np.concatenate([held.least(a, b) for a, b in held.spans])
+            places = np.concatenate([np.zeros(0, np.int64), *[np.arange(a, b - s.window + 1) for a, b in held.spans]])
+            low = np.concatenate([np.zeros(0, np.uint64), *[held.least(a, b) for a, b in held.spans]])
             at = np.minimum(np.searchsorted(codes, held.windows[places]), len(codes) - 1)
             hit = np.flatnonzero(codes[at] == held.windows[places])
             hit = hit[held.checks(places[hit], low[hit]) == checks[at[hit]]]

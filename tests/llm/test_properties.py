@@ -68,14 +68,28 @@ def test_prefix_reaches_every_partner(n, percent):
     assert 100 * need >= percent * n > 100 * (need - 1)
 
 
+@settings(max_examples=80, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 60), st.integers(0, 3)), max_size=60, unique=True))
+def test_runs_are_maximal_for_each_target(pairs):
+    """What a target is sent covers its windows and nothing else, in runs that cannot be joined."""
+    found = repeated_phrases.runs(np.array([p for p, _ in pairs], np.int64), np.array([t for _, t in pairs], np.int32), 3)
+    for target in range(4):
+        own = sorted((a, b) for a, b, to in found if target in to.tolist())
+        assert {p for a, b in own for p in range(a, b - 2)} == {p for p, t in pairs if t == target}
+        assert all(b - 2 < c for (_, b), (c, _) in zip(own, own[1:]))
+    assert len({(a, b) for a, b, _ in found}) == len(found)
+
+
 @settings(max_examples=60, deadline=None)
-@given(st.lists(st.integers(0, 60), max_size=30, unique=True))
-def test_passages_are_maximal_runs(starts):
-    spans = [(0, 0, 40), (1, 40, 100)]
-    places = np.array(sorted(p for p in starts if p <= 37 or 40 <= p <= 97), np.int64)
-    covered = {w for p in places.tolist() for w in range(p, p + 3)}
-    runs = repeated_phrases.passages(places, spans, 3)
-    assert {w for a, b in runs for w in range(a, b)} == covered and all(b <= 40 or a >= 40 for a, b in runs)
+@given(st.lists(st.lists(st.sampled_from("abcd"), max_size=25), max_size=5), st.lists(st.lists(st.sampled_from("abcde"), min_size=5, max_size=14), max_size=4), st.integers(5, 30))
+def test_located_words_lie_under_windows_of_passages(texts, passages, room):
+    """Against every window of every text and passage, with few words and so many repetitions."""
+    s = repeated_phrases.Settings(window=5, automaton_words=room)
+    windows = {tuple(p[i : i + 5]) for p in passages for i in range(len(p) - 4)}
+    raw = lambda rows: [[w.encode() for w in row] for row in rows]
+    for text, gone in zip(texts, repeated_phrases.locate(raw(texts), raw(passages), s)):
+        hits = [i for i in range(len(text) - 4) if tuple(text[i : i + 5]) in windows]
+        assert [bool(g) for g in gone] == [any(i <= j < i + 5 for i in hits) for j in range(len(text))]
 
 
 @settings(max_examples=80, deadline=None)
