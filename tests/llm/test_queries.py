@@ -5,6 +5,7 @@ import math
 import re
 import zlib
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -151,7 +152,7 @@ def test_pipeline_equals_brute_force(spark, tmp_path):
 
     after = got(stages["quality_classifier"])
     model = queries.rule_ensemble.fit(queries.table(spark, sf, "documents"), queries.table(spark, sf, "labels"), where=queries.fold("doc_id", 5) != 0)
-    x = queries.rule_ensemble.statistics(__import__("pyarrow").array([r[1] for r in now], "string"))
+    x = queries.rule_ensemble.statistics(pa.array([r[1] for r in now], "string"))
     at = {n: i for i, n in enumerate(queries.rule_ensemble.STATISTICS)}
     odds = [model.intercept + sum(w for rule, w in zip(model.rules, model.weights) if all((x[at[n]][k] <= cut) == (sign == "<=") for n, sign, cut in rule)) for k in range(len(now))]
     assert sorted(map(key, after)) == sorted(key(r) for r, o in zip(now, odds) if 1 / (1 + math.exp(-o)) >= 0.3) and len(after) < len(now)
