@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import schema_of
+from .common import release, schema_of
 from .words import Words, mix, rolled, slices
 
 
@@ -197,6 +197,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
         ids, texts = table.column("id").to_pylist(), table.column("text").to_pylist()
 
         def run(batches, ids=ids, texts=texts):
+            release()
             block = _Block(ids, texts, settings)
             for batch in batches:
                 for row, piece in slices(batch.column(1)):
@@ -204,6 +205,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                     rows = pa.array([row + g[0] for g in got], pa.int64())
                     columns = [pa.array([g[i] for g in got], kind) for i, kind in ((1, pa.int64()), (2, pa.float64()), (3, pa.int64()), (4, pa.int64()))]
                     yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), *columns], names=out.fieldNames())
+            release()
 
         part = source.mapInArrow(run, out)
         found = part if found is None else found.unionByName(part)

@@ -27,7 +27,7 @@ from dataclasses import dataclass
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from .common import kept_type, materialize
+from .common import kept_type, materialize, release
 
 #: Kinds in the order in which spans with one start are listed.  A run of hex digits, or of letters and digits after AKIA, is
 #: matched whole, so asking for its least length in the pattern gives the same matches as dropping short ones afterwards; a short
@@ -144,11 +144,13 @@ def candidates(docs: DataFrame, carried: list[str], id_col: str, text_col: str,
     at = carried.index(text_col) if own_text else len(keep)
 
     def run(batches):
+        release()
         work = _scan(s)
         for batch in batches:
             for row in range(0, batch.num_rows, 512):
                 b = batch.slice(row, 512)
                 yield pa.RecordBatch.from_arrays([*b.columns[: len(keep)], work(b.column(at))], names=out.fieldNames())
+        release()
 
     return materialize(rows.mapInArrow(run, out), "secrets")
 
