@@ -32,7 +32,7 @@ def shared_dir(spark: SparkSession) -> str:
 _MADE: list[list[str]] = []
 
 
-def _hadoop(spark: SparkSession, path: str):
+def hadoop_path(spark: SparkSession, path: str):
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop
 
@@ -40,7 +40,7 @@ def _hadoop(spark: SparkSession, path: str):
 def new_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder; it is deleted at the end of the innermost ``scratch``, or when the session ends."""
     path = f"{shared_dir(spark)}/plait-{name}-{uuid.uuid4().hex}"
-    files, hadoop = _hadoop(spark, path)
+    files, hadoop = hadoop_path(spark, path)
     files.deleteOnExit(hadoop)
     if _MADE:
         _MADE[-1].append(path)
@@ -58,7 +58,7 @@ def scratch(spark: SparkSession):
     finally:
         for path in _MADE.pop():
             if path not in kept:
-                files, hadoop = _hadoop(spark, path)
+                files, hadoop = hadoop_path(spark, path)
                 files.delete(hadoop, True)
             elif _MADE:
                 _MADE[-1].append(path)
@@ -76,7 +76,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 def discard(*tables: DataFrame) -> None:
     """Deletes tables of ``materialize`` that nothing reads any more."""
     for table in tables:
-        files, hadoop = _hadoop(table.sparkSession, table.plait_path)
+        files, hadoop = hadoop_path(table.sparkSession, table.plait_path)
         files.delete(hadoop, True)
 
 
@@ -133,6 +133,26 @@ def scan_texts(df: DataFrame, carried: list[str], text_col: str, fields: str, ma
     return df.select(*[F.col(c) for c in carried], *extra).mapInArrow(run, out)
 
 
+def free_names(names: Iterable[str], taken: Iterable[str]) -> list[str]:
+    """The names, each with so many trailing underscores that it differs from all that are taken, in any case of letters."""
+    taken = {x.lower() for x in taken}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def lookup(rows: DataFrame, table: DataFrame, on: list[str], share: int = 1000) -> DataFrame:
+    """Rows of a written table joined with a table of one row a key, none of it null.  Keys with more than 1/``share`` of the rows, fewer than ``share`` of them, meet a
+    broadcast table of as many rows, so no task gets such a group; the rest is shuffled."""
+    heavy = materialize(rows.groupBy(*on).count().where(F.col("count") * share > F.lit(rows.count())).select(*on), "heavy")
+    light = rows.join(F.broadcast(heavy), on, "left_anti").join(table, on)
+    return light.unionByName(rows.join(F.broadcast(table.join(F.broadcast(heavy), on, "left_semi")), on))
+
+
 def text_volume(df: DataFrame, text_col: str) -> int:
     """Bytes of all texts: one aggregate over the text column."""
     return df.agg(F.coalesce(F.sum(F.octet_length(F.col(text_col))), F.lit(0)).alias("n")).first()["n"]

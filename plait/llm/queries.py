@@ -7,8 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import compression_bands as bands, decontamination, jaccard_join, language_id, packing, repeated_phrases, rule_ensemble, secrets, sharding, text_density
-from .common import bounded_batches, fold
+from . import collocations, compression_bands as bands, decontamination, exact_dedup, filter_audit, jaccard_join, language_id, packing, repeated_phrases, rule_ensemble, secrets, sharding, text_density
+from .common import bounded_batches, fold, new_path
 
 
 def tokenizer_path() -> str:
@@ -79,11 +79,25 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bands.compression_bands(table(spark, sf_dir, "documents"))
 
 
+def op11_filter_interaction_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return exact_dedup.deduplicate(docs, exact_dedup.index_for(docs, new_path(spark, "digests")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_ngram_jaccard_join, op2_language_id, op3_substring_dedup, op4_html_extraction, op5_secret_scans,
         op6_benchmark_decontamination, op7_packing, op8_sharding, op9_quality_classifier, op10_quality_rules,
+        op11_filter_interaction_audit, op12_phrase_collocations, op13_exact_dedup,
     )
 }
 
@@ -118,5 +132,50 @@ k AS (
   WHERE g.j IS NULL GROUP BY t.doc_id)
 SELECT w.doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(k.n, 0))::BIGINT AS n_removed, sha256(coalesce(k.kept, '')) AS kept_sha256
 FROM w LEFT JOIN k USING (doc_id)
+""",
+    "op11_filter_interaction_audit": f"""
+WITH RECURSIVE w AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text, {_WORDS.format(text="coalesce(text, '')")} AS ws FROM documents),
+f AS (
+  SELECT doc_id, part, [CASE WHEN len(ws) < 100 THEN 'A' END, CASE WHEN 100 * len(list_distinct(ws)) < 80 * len(ws) THEN 'B' END,
+    CASE WHEN 100 * len(regexp_replace(text, '[^A-Z]', '', 'g')) > 10 * length(text) THEN 'C' END, CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' END,
+    CASE WHEN min(doc_id) OVER (PARTITION BY text) < doc_id THEN 'E' END] AS fails,
+    coalesce((SELECT max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) FROM labels l WHERE l.doc_id = w.doc_id), 0) AS good,
+    coalesce((SELECT max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) FROM labels l WHERE l.doc_id = w.doc_id), 0) AS toxic FROM w),
+h AS (SELECT part, list_filter(fails, lambda x: x IS NOT NULL) AS fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM f GROUP BY 1, 2),
+o(filter_order) AS (SELECT '' UNION ALL SELECT filter_order || x FROM o, (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x) WHERE NOT contains(filter_order, x)),
+s AS (SELECT filter_order, step::INTEGER AS step, filter_order[step] AS letter, string_split(filter_order[1:step - 1], '') AS before FROM o, (SELECT unnest(range(1, 6)) AS step) WHERE len(filter_order) = 5),
+r AS (
+  SELECT part, filter_order, step, letter,
+    coalesce(sum(n) FILTER (NOT list_contains(fails, letter) AND NOT list_has_any(fails, before)), 0)::BIGINT AS kept,
+    coalesce(sum(n) FILTER (list_contains(fails, letter) AND NOT list_has_any(fails, before)), 0)::BIGINT AS removed,
+    coalesce(sum(n) FILTER (list_contains(fails, letter) AND list_has_any(fails, before)), 0)::BIGINT AS redundant,
+    coalesce(sum(n) FILTER (fails = [letter]), 0)::BIGINT AS unique_fails,
+    coalesce(sum(good) FILTER (list_contains(fails, letter) AND NOT list_has_any(fails, before)), 0)::BIGINT AS good_lost,
+    coalesce(sum(toxic) FILTER (list_contains(fails, letter) AND NOT list_has_any(fails, before)), 0)::BIGINT AS toxic_lost
+  FROM h, s GROUP BY ALL)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost, (sum(removed) OVER (PARTITION BY part, letter))::BIGINT AS shapley FROM r
+""",
+    "op12_phrase_collocations": f"""
+WITH d AS (SELECT row_number() OVER () AS d, coalesce(lang, 'und') AS lang, regexp_split_to_array({_LOWER.replace("text", "coalesce(text, '')")}, '[.,;:!?\\x0A-\\x0D]') AS ps FROM documents),
+p AS (SELECT lang, regexp_extract_all(unnest(ps), '[^\\x20\\x09]+') AS ws FROM d),
+g AS (SELECT lang, k, unnest(list_transform(range(1, len(ws) - k + 2), lambda i: array_to_string(ws[i:i + k - 1], ' '))) AS phrase FROM p, (SELECT unnest([1, 2, 3]) AS k) WHERE len(ws) >= k),
+c AS (SELECT lang, k, phrase, count(*) AS a FROM g GROUP BY ALL),
+t AS (SELECT lang, sum(a)::BIGINT AS n FROM c WHERE k = 1 GROUP BY lang),
+x AS (SELECT lang, k, phrase, string_split(phrase, ' ') AS ws, a FROM c WHERE k > 1 AND a >= 10),
+cut AS (SELECT lang, k, phrase, a, j, array_to_string(ws[1:j], ' ') AS p1, array_to_string(ws[j + 1:], ' ') AS p2 FROM x, (SELECT unnest([1, 2]) AS j) WHERE j < k),
+sc AS (
+  SELECT cut.lang, cut.k, cut.phrase, cut.a, cut.j, l.a AS l, r.a AS r, (1000000::HUGEINT * cut.a * cut.a // (l.a::HUGEINT * r.a))::BIGINT AS score
+  FROM cut JOIN c l ON l.lang = cut.lang AND l.phrase = cut.p1 JOIN c r ON r.lang = cut.lang AND r.phrase = cut.p2),
+low AS (SELECT * FROM sc QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+i AS (SELECT lang, unnest([array_to_string(ws[1:2], ' '), array_to_string(ws[2:3], ' ')]) AS phrase, a FROM x WHERE k = 3),
+m AS (SELECT lang, phrase, max(a) AS a FROM i GROUP BY ALL),
+kept AS (SELECT low.* FROM low LEFT JOIN m ON m.lang = low.lang AND m.phrase = low.phrase WHERE m.a IS NULL OR 100 * m.a < 50 * low.a),
+ranked AS (SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, score FROM kept)
+SELECT ranked.lang, rank, phrase, a, l, r, n, score FROM ranked JOIN t ON t.lang = ranked.lang WHERE rank <= 2000
+""",
+    "op13_exact_dedup": f"""
+WITH t AS (SELECT doc_id, sha256({_LOWER.replace("text", "coalesce(text, '')")}) AS text_sha256 FROM documents),
+k AS (SELECT text_sha256, max(doc_id) AS keep_id, count(*) AS group_size FROM t GROUP BY text_sha256)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM t JOIN k USING (text_sha256)
 """,
 }

@@ -72,13 +72,14 @@ def slices(column: pa.Array, limit: int = 4 * BLOCK):
 class Words:
     """The words of a column of texts: byte spans, and for each text the first word and the word after its last."""
 
-    def __init__(self, column: pa.Array, lower: bool = False):
+    def __init__(self, column: pa.Array, lower: bool = False, gaps: np.ndarray = _SPACE):
+        """``gaps`` tells for each byte whether it parts words."""
         raw, at = text_bytes(column)
         self.raw = _LOWER[raw] if lower else raw
         self.at = at
         inside = np.empty(len(raw) + 2, dtype=bool)
         inside[0] = inside[-1] = False
-        np.logical_not(_SPACE[raw], out=inside[1:-1])
+        np.logical_not(gaps[raw], out=inside[1:-1])
         begins = inside[1:-1] & ~inside[:-2]
         ends = inside[1:-1] & ~inside[2:]
         cut = at[1:-1]
