@@ -7,6 +7,7 @@ import dataclasses
 import json
 from datetime import datetime, timezone
 
+from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -61,11 +62,35 @@ def _feed(spark: SparkSession, rows: DataFrame, transport: str = "plait.sources.
     return spark.read.format("plait_feed").option("feeds", json.dumps(feeds)).option("transport", transport).load()
 
 
+def _tables(spark: SparkSession, root: str, *names: str) -> list[DataFrame] | None:
+    """The newest versions of the tables, or None if one was never written."""
+    try:
+        return [_read(spark, root, name) for name in names]
+    except AnalysisException:
+        return None
+
+
+def _synced(spark, args) -> DataFrame:
+    """The sources table after a sync with the whole registry: a selection of a command never thins it."""
+    listed, old = registry.load_registry(spark, args.sources), _tables(spark, args.root, "sources")
+    return registry.sync(old[0], listed) if old else listed.drop(*registry.LOCAL)
+
+
+def _only(rows: DataFrame, source: str | None) -> DataFrame:
+    return rows if source is None else rows.where((F.col("id") == source) | (F.lower("outlet") == source.lower()))
+
+
 def verify_feeds(spark, args, config):
-    entries = ingest.entries(_feed(spark, registry.load_registry(spark, args.sources), args.transport).where("error is null")).select(
-        "source_id", "pos", "published_at", "link", "image_url", F.col("link").alias("final_url"), F.lit(None).cast("int").alias("body_chars"), F.lit(None).cast("string").alias("page_image"), F.lit(None).cast("timestamp").alias("page_date"), F.lit(None).cast("boolean").alias("wire_hint")
-    )
-    text = reports.audit_markdown([r.asDict() for r in reports.feed_audit(entries, _now(args)).orderBy("source_id").collect()])
+    """Reads all listed feeds, or one, and the first pages of each; prints and writes the report."""
+    listed, now = _only(registry.load_registry(spark, args.sources), args.source), _now(args)
+    feed = _feed(spark, listed, args.transport).persist(StorageLevel.DISK_ONLY)  # each feed and page is asked for once; a lost executor asks again
+    try:
+        fetched = P.fetch_pages(reports.first_entries(feed).where("sampled"), args.page_transport, workers=config.fetch_workers).persist(StorageLevel.DISK_ONLY)
+        rows = [r.asDict() for r in reports.audit(listed, feed, fetched, now).orderBy("position").collect()]  # one a feed
+        fetched.unpersist()
+    finally:
+        feed.unpersist()
+    text = reports.audit_markdown(rows, args.now or datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M UTC"))
     if args.out and not args.dry_run:
         with open(args.out, "w", encoding="utf-8") as out:
             out.write(text + "\n")
@@ -73,31 +98,42 @@ def verify_feeds(spark, args, config):
 
 
 def sync_sources(spark, args, config):
-    _write(registry.sync(_read(spark, args.root, "sources"), registry.load_registry(spark, args.sources)), args.root, "sources", args.dry_run)
+    _write(_synced(spark, args), args.root, "sources", args.dry_run)
 
 
 def ingest_feeds(spark, args, config):
     """Feeds and pages of the selected sources; new rows join the articles table.  A dry run shows three of them."""
+    if not args.dry_run:
+        sync_sources(spark, args, config)
     listed = registry.select(registry.load_registry(spark, args.sources), args.include_unverified, args.source)
-    try:
-        have = _read(spark, args.root, "articles")
-    except AnalysisException:  # nothing there yet
-        have = None
-    known = have.select("canonical_url") if have is not None else spark.createDataFrame([], "canonical_url string")
-    feed = _feed(spark, listed, args.transport).where("error is null")
-    wanted = ingest.prune(ingest.entries(feed), listed, known, _now(args), config)
-    pages = P.fetch_pages(wanted, args.page_transport).where("error is null").drop("error")
-    built = flow.build_stage(wanted, listed, pages, _now(args), config)
+    old = _tables(spark, args.root, "articles")
+    known = old[0].select("canonical_url") if old else spark.createDataFrame([], "canonical_url string")
+    feed = _feed(spark, listed, args.transport)
     if args.dry_run:
-        for r in built.select("outcome", "source_id", "title", "canonical_url").limit(3).collect():
+        wanted = ingest.prune(ingest.entries(feed.where("error is null")), listed, known, _now(args), config)
+        pages = P.fetch_pages(wanted, args.page_transport, workers=config.fetch_workers).where("error is null").drop("error")
+        for r in flow.build_stage(wanted, listed, pages, _now(args), config).select("outcome", "source_id", "title", "canonical_url").limit(3).collect():
             print(json.dumps(r.asDict()))
         return
-    built = tables.publish(built, f"{args.root}/versions/built-{_stamp()}")
+    feed, pages = _harvested(spark, args, config, feed, listed, known, f"{args.root}/versions")
+    built = tables.publish(flow.ingest_stage(listed, feed, pages, known, _now(args), config), f"{args.root}/versions/built-{_stamp()}")
     for r in ingest.stats(built).orderBy("source_id").collect():
         print(json.dumps(r.asDict()))
-    rows = flow.new_rows(built, listed).withColumn("wire_hint", F.col("is_wire_copy"))
-    print(json.dumps({"inserted": rows.count()}))
-    _write(rows if have is None else flow.replaced(have, rows, "id"), args.root, "articles", False)
+    rows, counted = tables.publish_counted(flow.new_rows(built, known, listed), f"{args.root}/versions/rows-{_stamp()}", inserted=F.count(F.lit(1)))
+    print(json.dumps(counted))
+    _write(old[0].unionByName(rows, allowMissingColumns=True) if old else rows, args.root, "articles", False)
+
+
+def _harvested(spark, args, config, feed: DataFrame, listed: DataFrame, known: DataFrame, root: str) -> tuple[DataFrame, DataFrame]:
+    """(feed items, pages of the entries that are worth a request), both published, so that nothing is asked for twice; failures are printed."""
+    stamp = _stamp()
+    feed, counted = tables.publish_counted(feed, f"{root}/feed_items-{stamp}", items=F.count("link"), failed_feeds=F.count("error"))
+    wanted = ingest.prune(ingest.entries(feed.where("error is null")), listed, known, _now(args), config)
+    pages, more = tables.publish_counted(P.fetch_pages(wanted, args.page_transport, workers=config.fetch_workers), f"{root}/pages-{stamp}", pages=F.count(F.lit(1)), failed_pages=F.count("error"))
+    print(json.dumps({"fetched": counted | more}))
+    for r in feed.where("error is not null").select("source_id", "error").orderBy("source_id").limit(100).collect():  # a report
+        print(json.dumps(r.asDict()))
+    return feed.where("error is null"), pages.where("error is null").drop("error")
 
 
 def enrich_articles(spark, args, config):
@@ -116,9 +152,13 @@ def _assign(spark, args, config, articles=None, stories=None, limit=None) -> tup
     articles, stories = articles or _read(spark, args.root, "articles"), stories or _read(spark, args.root, "stories")
     config = dataclasses.replace(config, assign_batch=limit) if limit else config
     done = flow.assign_stage(articles, stories, _read(spark, args.root, "sources"), _now(args), _verifier(args), config)
-    done = done if args.dry_run else tables.publish(done, f"{args.root}/versions/assigned-{_stamp()}")
-    print(json.dumps({"assign": assign.stats(done).first().asDict()}))
-    return _write(flow.assigned(articles, done, _now(args)), args.root, "articles", args.dry_run), _write(S.close_stale(flow.stories_after(stories, done, _now(args)), _now(args), config), args.root, "stories", args.dry_run)
+    if args.dry_run:
+        counted = assign.stats(done).first().asDict()
+    else:
+        done, counted = tables.publish_counted(done, f"{args.root}/versions/assigned-{_stamp()}", **assign.counters())
+    print(json.dumps({"assign": counted}))
+    after = _write(S.close_stale(flow.stories_after(stories, done, _now(args)), _now(args), config), args.root, "stories", args.dry_run)  # before the articles, which point to them
+    return _write(flow.assigned(articles, done, _now(args)), args.root, "articles", args.dry_run), after
 
 
 def assign_articles(spark, args, config):
@@ -207,20 +247,19 @@ def status(spark, args, config):
 
 
 def run(spark, args, config):
-    """Everything from the feeds to the feed table, from the tables under the root if there are any, each stage published; a dry run stops before any request."""
+    """Everything from the feeds to the feed table, from the tables under the root if there are any, each stage published; a dry run stops before any request.
+    The whole registry is synced first; feeds are read for the selection only."""
     listed = registry.select(registry.load_registry(spark, args.sources), args.include_unverified, args.source)
     if args.dry_run:
         print(json.dumps({"sources": listed.count(), "dry_run": True}))
         return
-    try:
-        old = {name: _read(spark, args.root, name) for name in ("articles", "stories", "pairs")}
-    except AnalysisException:  # nothing there yet
-        old = None
-    root = f"{args.root}/run-{_stamp()}" if old else args.root
-    tables.publish(listed.drop(*registry.LOCAL), f"{root}/sources")
-    feed = tables.publish(_feed(spark, listed, args.transport).where("error is null"), f"{root}/feed_items")
-    pages = tables.publish(P.fetch_pages(ingest.entries(feed), args.page_transport).where("error is null").drop("error"), f"{root}/pages")
-    out = flow.run(listed, feed, pages, root, _now(args), make=_model(args) or models.OfflineModel, verifier=_verifier(args), config=config, previous=old, merger=_merger(args), titler=_model(args))
+    old = _tables(spark, args.root, "articles", "stories", "pairs")
+    root = args.root if old is None and _tables(spark, args.root, "sources") is None else f"{args.root}/run-{_stamp()}"
+    known_sources = tables.publish(_synced(spark, args), f"{root}/sources")
+    known = old[0].select("canonical_url") if old else spark.createDataFrame([], "canonical_url string")
+    feed, pages = _harvested(spark, args, config, _feed(spark, listed, args.transport), listed, known, root)
+    previous = dict(zip(("articles", "stories", "pairs"), old)) if old else None
+    out = flow.run(listed, feed, pages, root, _now(args), make=_model(args) or models.OfflineModel, verifier=_verifier(args), config=config, previous=previous, merger=_merger(args), titler=_model(args), registry=known_sources)
     print(json.dumps({name: df.count() for name, df in out.items()}))
 
 

@@ -17,6 +17,7 @@ class Config:
     feed_max_age_hours: int = 72
     max_per_run: int = 40
     min_body_chars: int = 300
+    fetch_workers: int = 8
     # assignment
     attach_threshold: float = 0.83
     verify_threshold: float = 0.66
@@ -42,6 +43,7 @@ class Config:
     near_duplicate_ratio: float = 0.90
     # enrichment
     enrich_batch: int = 200
+    enrich_workers: int = 4
     body_chars_for_prompt: int = 4000
     framing_body_chars: int = 1500
     framing_cap: int = 3000

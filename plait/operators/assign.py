@@ -35,9 +35,9 @@ def queue(articles: DataFrame, now: Column, config: Config = Config()) -> DataFr
     return fresh.unionByName(orphans)
 
 
-def split_memory(assignment: str = "assignment") -> Column:
+def split_memory(assignment: Column | str = "assignment") -> Column:
     """The story that an article was split off from, now or before; null if none."""
-    a = F.col(assignment)
+    a = F.col(assignment) if isinstance(assignment, str) else assignment
     return F.coalesce(a["split_from"], F.when(a["method"] == "detached", a["from_story"]))
 
 
@@ -221,7 +221,7 @@ def _number(value) -> float:
         return 0.0
 
 
-RECORD = "reason string, rule string, candidates array<struct<id:string,score:double,similarity:double,rejected:string,verify_reason:string>>, verifier string, split_from string, error string, step int"
+RECORD = "phase int, reason string, rule string, candidates array<struct<id:string,score:double,similarity:double,rejected:string,verify_reason:string>>, verifier string, split_from string, error string, step int"
 STATE = (
     "story struct<id:string,summary:string,title:string,category:string,event_date:date,first_seen:timestamp,last_seen:timestamp,centroid:array<double>,"
     "key_entities:array<string>,article_count:int,left_count:int,right_count:int,center_count:int,status:string>"
@@ -249,7 +249,7 @@ def assign_in_order(articles: DataFrame, stories: DataFrame | None = None, verif
     rows = articles.select(*COLUMNS).withColumn("placeholder", placeholder_title(F.coalesce(F.nullif("event_summary", F.lit("")), "title")))
     kind = articles.schema["id"].dataType.simpleString()
     schema = f"id {kind}, block string, method string, story_id string, side string, score double, story_size int, {RECORD}" + (f", {STATE}" if with_stories else "")
-    names = [f.split()[0] for f in ("id", "block", "method", "story_id", "side", "score", "story_size", "reason", "rule", "candidates", "verifier", "split_from", "error", "step")] + ["story"] * with_stories
+    names = [f.split()[0] for f in ("id", "block", "method", "story_id", "side", "score", "story_size", "phase", "reason", "rule", "candidates", "verifier", "split_from", "error", "step")] + ["story"] * with_stories
 
     def steps(run: Sequence, part: pd.DataFrame, first: int) -> Iterator[dict]:
         for n, a in enumerate(part.itertuples(index=False), first):
@@ -261,10 +261,10 @@ def assign_in_order(articles: DataFrame, stories: DataFrame | None = None, verif
                 done, error = {"method": "failed", "story_id": None, "side": None, "score": None, "reason": None, "candidates": [], "verifier": None}, str(e)[:300] or type(e).__name__
             story = run.stories.get(done["story_id"])
             more = {"story": None if story is None else dumped(story)} if with_stories else {}
-            yield {"id": a.id, "block": _none(a.block), **done, "story_size": story.article_count if story else None, "rule": RULE, "split_from": _none(a.split_from), "error": error, "step": n} | more
+            yield {"id": a.id, "block": _none(a.block), **done, "story_size": story.article_count if story else None, "phase": a.phase, "rule": RULE, "split_from": _none(a.split_from), "error": error, "step": n} | more
 
     def frame(found: list[dict]) -> pd.DataFrame:
-        return pd.DataFrame({c: pd.Series([r[c] for r in found], dtype="Int32" if c == "story_size" else "int32" if c == "step" else object if c not in ("id", "score") else None) for c in names})
+        return pd.DataFrame({c: pd.Series([r[c] for r in found], dtype="Int32" if c == "story_size" else "int32" if c in ("step", "phase") else object if c not in ("id", "score") else None) for c in names})
 
     if stories is None:
         # a block's articles stream through one task in order; only its stories are held
@@ -303,10 +303,15 @@ def _none(x):
     return None if x is None or x is pd.NaT or (isinstance(x, float) and x != x) else x
 
 
-def stats(done: DataFrame) -> DataFrame:
-    """What became of the articles of a pass, as one row of counters."""
+def counters() -> dict[str, Column]:
+    """What became of the articles of a pass, as aggregates over its rows: observed while these are written."""
     is_ = lambda *methods: F.count_if(F.col("method").isin(*methods))
-    return done.agg(
-        F.count(F.lit(1)).alias("processed"), is_("threshold", "verifier").alias("attached"), is_("create").alias("created"), is_("orphan").alias("orphaned"), is_("failed").alias("failed"),
-        F.count("verifier").alias("verified"), is_("verifier").alias("verifier_attached"),
-    )
+    return {
+        "processed": F.count(F.lit(1)), "attached": is_("threshold", "verifier"), "created": is_("create"), "orphaned": is_("orphan"), "failed": is_("failed"), "verified": F.count("verifier"), "verifier_attached": is_("verifier"),
+        "orphan_retries": F.count_if(F.col("phase") == 1),
+    }
+
+
+def stats(done: DataFrame) -> DataFrame:
+    """The counters of a pass as one row."""
+    return done.agg(*[c.alias(name) for name, c in counters().items()])

@@ -50,7 +50,7 @@ def sanitise(rows: DataFrame, answer: str = "answer") -> DataFrame:
 def framed(rows: DataFrame, make: Callable[[], object], config: Config = Config()) -> DataFrame:
     """Enriched rows of which those without framing are asked for it once more; an answer that fails leaves the row as it is."""
     lacking = (F.col("enrichment_status") == "done") & S.needs_framing(F.col("stance.framing_axes"), F.col("stance.framing_summary"))
-    answers = models.ask(rows.where(lacking).withColumn("prompt", models.framing_prompt(config)), "id", "prompt", lambda: make().frame)
+    answers = models.ask(rows.where(lacking).withColumn("prompt", models.framing_prompt(config)), "id", "prompt", lambda: make().frame, config.enrich_workers)
     got = answers.select("id", F.from_json("answer", models.FRAMING).alias("f"), F.col("calls").alias("__calls"))
     out = rows.join(got, "id", "left")
     axes, summary = S.fill_framing(F.col("stance.framing_axes"), F.col("stance.framing_summary"), F.col("f.framing_axes"), F.col("f.framing_summary"))
@@ -63,7 +63,7 @@ def run(pending: DataFrame, make: Callable[[], object] = models.OfflineModel, co
     the row ``failed``; fields that were obtained stay.  ``calls`` lists the model calls that were logged."""
     pending = pending.drop("error", "calls", "vector")  # of an earlier attempt
     prompts = pending.withColumn("prompt", models.enrich_prompt(config, tuple(pending.columns)))
-    answers = models.ask(prompts, "id", "prompt", lambda: make().enrich)
+    answers = models.ask(prompts, "id", "prompt", lambda: make().enrich, config.enrich_workers)
     rows = pending.join(answers.withColumn("answer", F.from_json("answer", ANSWER)), "id")
     clean = framed(sanitise(rows), make, config)
     vectors = models.embed(clean.where("enrichment_status = 'done'").withColumn("t", models.embedding_text(F.col("event_summary"), F.col("key_entities"))), "id", "t", make)
@@ -82,7 +82,7 @@ def framing_queue(articles: DataFrame, since: Column, config: Config = Config())
 
 def backfill_framing(rows: DataFrame, make: Callable[[], object] = models.OfflineModel, config: Config = Config()) -> DataFrame:
     """Rows of framing_queue with what was missing filled in; an answer that fails leaves the row as it is."""
-    answers = models.ask(rows.withColumn("prompt", models.framing_prompt(config)), "id", "prompt", lambda: make().frame)
+    answers = models.ask(rows.withColumn("prompt", models.framing_prompt(config)), "id", "prompt", lambda: make().frame, config.enrich_workers)
     got = answers.select("id", F.from_json("answer", models.FRAMING).alias("f"))
     out = rows.join(got, "id", "left")
     axes, summary = S.fill_framing(F.col("stance.framing_axes"), F.col("stance.framing_summary"), F.col("f.framing_axes"), F.col("f.framing_summary"))

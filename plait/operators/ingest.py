@@ -59,12 +59,17 @@ def build_rows(fetched: DataFrame, now: Column, config: Config = Config()) -> Da
     )
 
 
-def new_articles(built: DataFrame, table: DataFrame, sources: DataFrame) -> DataFrame:
-    """The table with the built rows whose canonical URL is new.  Links that redirects made equal count once: the one of the
-    source listed first (``position``), then of the earlier entry."""
+def built_first(built: DataFrame, known: DataFrame, sources: DataFrame) -> DataFrame:
+    """The built rows whose canonical URL is new.  Links that redirects made equal count once: the one of the source listed first
+    (``position``), then of the earlier entry; a link that a redirect made a known one does not count."""
     rows = built.where("outcome = 'row'").join(sources.select(F.col("id").alias("source_id"), F.col("position").alias("__position")), "source_id", "left")
     first = tables.first_wins(rows, ["canonical_url"], [F.col("__position"), F.col("source_id"), F.col("pos")])
-    return table.unionByName(tables.only_new(first, table, "canonical_url").select(*table.columns))
+    return tables.only_new(first, known, "canonical_url").drop("__position")
+
+
+def new_articles(built: DataFrame, table: DataFrame, sources: DataFrame) -> DataFrame:
+    """The table with the built rows that are new."""
+    return table.unionByName(built_first(built, table, sources).select(*table.columns))
 
 
 def stats(built: DataFrame) -> DataFrame:

@@ -9,7 +9,9 @@ and usage is an aggregate over it.
 from __future__ import annotations
 
 import hashlib
+import itertools
 import json
+import threading
 import time
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
@@ -20,6 +22,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..config import Config
+from ..sources.pool import pooled
 
 CALLS = "array<struct<kind:string,model:string,tokens_in:long,tokens_out:long>>"
 #: What the roles answer, as types for from_json.
@@ -178,24 +181,27 @@ def retried(call: Callable, tries: int = 3, pause: float = 0.0, fallback: Callab
     raise last
 
 
-def ask(df: DataFrame, id_col: str, prompt_col: str, make: Callable[[], Callable[[str], dict]]) -> DataFrame:
-    """(id, answer as JSON, error, calls) for every row, in Arrow batches; a row's failure is its error."""
+def ask(df: DataFrame, id_col: str, prompt_col: str, make: Callable[[], Callable[[str], dict]], workers: int = 4) -> DataFrame:
+    """(id, answer as JSON, error, calls) for every row, in Arrow batches; a row's failure is its error.  A task asks ``workers`` prompts at a time, each by a model of its own."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        call = make()
-        log = getattr(getattr(call, "__self__", None), "calls", [])
-        for b in batches:
-            answers, errors, calls = [], [], []
-            for prompt in b["prompt"]:
-                try:
-                    answers.append(json.dumps(retried(lambda p=prompt: call(p))))
-                    errors.append(None)
-                except Exception as error:  # noqa: BLE001
-                    answers.append(None)
-                    errors.append(str(error)[:300])
-                calls.append(list(log))
-                log.clear()
-            yield pd.DataFrame({id_col: b[id_col], "answer": answers, "error": errors, "calls": calls})
+        own = threading.local()
+
+        def one(row: tuple) -> tuple:
+            if not hasattr(own, "call"):
+                own.call = make()
+            log = getattr(getattr(own.call, "__self__", None), "calls", [])
+            log.clear()
+            try:
+                answer, error = json.dumps(retried(lambda: own.call(row[1]))), None
+            except Exception as e:  # noqa: BLE001  a model may fail in any way
+                answer, error = None, str(e)[:300]
+            return answer, error, list(log)
+
+        found = pooled((row for b in batches for row in zip(b[id_col], b["prompt"])), one, workers)
+        while part := list(itertools.islice(found, 256)):
+            told = [got or (None, failed, []) for _, got, failed in part]  # a model that cannot be made fails its rows
+            yield pd.DataFrame({id_col: [row[0] for row, _, _ in part], "answer": [t[0] for t in told], "error": [t[1] for t in told], "calls": [t[2] for t in told]})
 
     kind = df.schema[id_col].dataType.simpleString()
     return df.select(id_col, F.col(prompt_col).alias("prompt")).mapInPandas(run, f"{id_col} {kind}, answer string, error string, calls {CALLS}")

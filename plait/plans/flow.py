@@ -36,11 +36,9 @@ def ingest_stage(sources: DataFrame, feed: DataFrame, pages: DataFrame, known: D
     return build_stage(ingest.prune(ingest.entries(feed), sources, known, now, config), sources, pages, now, config)
 
 
-def new_rows(built: DataFrame, sources: DataFrame) -> DataFrame:
-    """The rows that were built, one for each canonical URL: of the source listed first, then of the earlier entry."""
-    position = sources.select(F.col("id").alias("source_id"), "position")
-    rows = built.where("outcome = 'row'").join(position, "source_id")
-    return with_identity(tables.first_wins(rows, ["canonical_url"], [F.col("position"), F.col("pos")]))
+def new_rows(built: DataFrame, known: DataFrame, sources: DataFrame) -> DataFrame:
+    """The built rows that the articles table (``known``) lacks, with their numbers."""
+    return with_identity(ingest.built_first(built, known, sources)).withColumn("wire_hint", F.col("is_wire_copy"))
 
 
 def with_identity(rows: DataFrame) -> DataFrame:
@@ -76,7 +74,7 @@ def assign_stage(articles: DataFrame, stories: DataFrame | None, sources: DataFr
     articles = _with(articles, ASSIGNMENT)
     lean = sources.select(F.col("id").alias("source_id"), F.col("leaning").alias("outlet_leaning"))
     rows = assign.queue(articles, now, config).join(lean, "source_id", "left").withColumn("block", F.lit("all"))
-    rows = rows.withColumn("split_from", F.coalesce("split_from", F.when(F.col("method") == "detached", F.col("from_story"))))
+    rows = rows.withColumn("split_from", assign.split_memory(F.struct("split_from", "method", "from_story")))
     known = None
     if stories is not None:
         oldest = rows.agg(F.min("published_at").alias("m")).first()["m"]
@@ -166,12 +164,25 @@ def recheck_stage(articles: DataFrame, stories: DataFrame, make: Callable[[], mo
     return {"articles": after, "stories": rows.select(*stories.columns), "decisions": decisions, "report": recheck.report(decisions, before, anchored, a), "reanchored": renamed}
 
 
+def trimmed(articles: DataFrame, root: str, now: Column, config: Config = Config()) -> DataFrame:
+    """The articles table of the run, without the bodies of old articles; if that fails, with them."""
+    try:
+        out, counted = tables.publish_counted(S.trim_bodies(articles, now, config), f"{root}/articles", bodies=F.count("body_text"))
+        log.info("trimming: %s", counted)
+        return out
+    except Exception:  # noqa: BLE001  housekeeping: the next run does it
+        log.exception("trimming failed")
+        articles.write.mode("overwrite").parquet(f"{root}/articles")
+        return articles.sparkSession.read.schema(articles.schema).parquet(f"{root}/articles")
+
+
 def run(
     sources: DataFrame, feed: DataFrame, pages: DataFrame, root: str, now: Column, make: Callable[[], object] = models.OfflineModel, verifier: Callable | None = None, config: Config = Config(),
-    previous: dict[str, DataFrame] | None = None, merger: Callable[[dict], dict] | None = None, titler: Callable[[], models.Titler] | None = None,
+    previous: dict[str, DataFrame] | None = None, merger: Callable[[dict], dict] | None = None, titler: Callable[[], models.Titler] | None = None, registry: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
     """All stages from the tables of an earlier run (``previous``: articles, stories, pairs) or from nothing; tables are published under ``root``.
 
+    sources are those whose feeds were read; registry has all (the same if it is not given), since articles of other sources wait for their assignment too.
     verifier, merger and titler are the models for gray matches, merges and titles; without them strong matches attach, nothing merges and titles
     stay placeholders.  Returns articles, stories, pairs and feed.
     """
@@ -180,22 +191,22 @@ def run(
     old = previous or {}
     known = old["articles"].select("canonical_url") if old else spark.createDataFrame([], "canonical_url string")
     built = publish(ingest_stage(sources, feed, pages, known, now, config), "built")
-    rows = new_rows(built, sources).withColumn("wire_hint", F.col("is_wire_copy"))
-    table = replaced(old["articles"], rows, "id") if old else rows
+    rows = new_rows(built, known, sources)
+    table = old["articles"].unionByName(rows, allowMissingColumns=True) if old else rows
     enriched = publish(enrich.run(enrich.queue(table.select(*rows.columns), config=config), make, config), "enriched")
     table = publish(_with(replaced(table, enriched, "id"), ASSIGNMENT), "table")
     stories, current = old.get("stories"), old.get("pairs", spark.createDataFrame([], PAIRS))
-    done = publish(assign_stage(table, stories, sources, now, verifier, config), "assigned")
-    articles = publish(assigned(table, done, now), "filed" if merger else "articles")
+    done, counted = tables.publish_counted(assign_stage(table, stories, sources if registry is None else registry, now, verifier, config), f"{root}/assigned", **assign.counters())
+    log.info("assigning: %s", counted)
+    articles = publish(assigned(table, done, now), "filed")
     stories = publish(stories_after(stories, done, now), "stories_open")
     if merger:
         try:
             merged, after, kept, stats = merge_stage(articles, stories, current, merger, now, config)
-            articles, stories, current = publish(merged, "articles"), publish(after, "stories_merged"), publish(kept, "pairs_kept")
+            articles, stories, current = publish(merged, "articles_merged"), publish(after, "stories_merged"), publish(kept, "pairs_kept")
             log.info("merging: %s", stats)
         except Exception:  # noqa: BLE001  housekeeping: the next run does it
             log.exception("merging failed")
-            articles = publish(articles, "articles_unmerged")
     try:
         stories = publish(S.close_stale(stories, now, config), "stories_closed")
     except Exception:  # noqa: BLE001  housekeeping: the next run does it
@@ -203,4 +214,5 @@ def run(
     since = now.cast("timestamp") - F.make_dt_interval(hours=F.lit(config.pairs_lookback_hours))
     stories, current = pair_stage(articles, stories, current, since, titler, config, publish)
     stories, current = publish(stories, "stories"), publish(current, "pairs")
+    articles = trimmed(articles, root, now, config)
     return {"articles": articles, "stories": stories, "pairs": current, "feed": publish(S.feed(stories, current, pair_members(articles)), "feed")}

@@ -121,7 +121,7 @@ def assign_in_blocks(spark, d):
 @query(
     sql(
         """SELECT count(*) AS processed, count(*) FILTER ((published_at, id) > f) AS attached, count(*) FILTER ((published_at, id) = f) AS created, count(*) FILTER (f IS NULL OR (published_at, id) < f) AS orphaned, 0::BIGINT AS failed,
-  0::BIGINT AS verified, count(*) FILTER ((published_at, id) > f AND published_at - f[1] > INTERVAL 12 HOUR) AS verifier_attached FROM o""",
+  0::BIGINT AS verified, count(*) FILTER ((published_at, id) > f AND published_at - f[1] > INTERVAL 12 HOUR) AS verifier_attached, 0::BIGINT AS orphan_retries FROM o""",
         more="""o AS (
   SELECT *, min((published_at, id)) FILTER (article_type IN ('news', 'live', 'explainer') AND NOT is_wire_copy) OVER (PARTITION BY story_id) AS f FROM articles_px)""",
     )
@@ -522,7 +522,7 @@ def borderline(spark, d):
 
 @query(
     sql(
-        "SELECT 'articles_' || CASE WHEN id % 4 = 0 THEN 'pending' ELSE 'done' END AS measure, count(*) AS n FROM articles_px GROUP BY 1 UNION ALL SELECT 'unassigned', count(*) FROM articles_px WHERE id % 4 <> 0 AND id % 3 = 0 AND id % 5 = 0 "
+        "SELECT 'articles_total' AS measure, count(*) AS n FROM articles_px UNION ALL SELECT 'articles_' || CASE WHEN id % 4 = 0 THEN 'pending' ELSE 'done' END AS measure, count(*) AS n FROM articles_px GROUP BY 1 UNION ALL SELECT 'unassigned', count(*) FROM articles_px WHERE id % 4 <> 0 AND id % 3 = 0 AND id % 5 = 0 "
         "UNION ALL SELECT 'open_stories', count(*) FROM stories_px UNION ALL SELECT 'two_sided', count(*) FROM stories_px WHERE left_count >= 1 AND right_count >= 1 UNION ALL SELECT 'current_pairs', count(*) FROM cur",
         True, CURRENT_SQL.split(",\nstand AS")[0],
     )

@@ -5,7 +5,7 @@ A snapshot is a new version of a table; ``publish`` writes it beside the old one
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window, functions as F, types as T
 
 
 def publish(df: DataFrame, path: str) -> DataFrame:
@@ -13,15 +13,24 @@ def publish(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def publish_counted(df: DataFrame, path: str, **counters: Column) -> tuple[DataFrame, dict[str, int]]:
+    """The published frame, and counters (aggregates over its rows) that are observed while it is written, so they cost no job of their own."""
+    seen = Observation()
+    out = publish(df.observe(seen, *[c.alias(name) for name, c in counters.items()]), path)
+    return out, {name: value or 0 for name, value in seen.get.items()}
+
+
 def latest(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """The newest version of a table under a root: ``versions/NAME-STAMP`` or ``run-STAMP/NAME``, else ``NAME``."""
+    """The newest version of a table under a root: ``versions/NAME-STAMP`` or ``run-STAMP/NAME``, else ``NAME``.  A run counts once its last table, the feed, is written, so its
+    tables are always those of one moment."""
     files = spark._jvm.org.apache.hadoop.fs.Path(root).getFileSystem(spark._jsc.hadoopConfiguration())
     found = {}
     for pattern in (f"{root}/versions/{name}-*", f"{root}/run-*/{name}"):
         for status in files.globStatus(spark._jvm.org.apache.hadoop.fs.Path(pattern)) or []:
             path = status.getPath().toString()
             found[path.rpartition(f"{name}-")[2] if "/versions/" in path else path.split("/run-")[-1].partition("/")[0]] = path
-    done = {stamp: path for stamp, path in found.items() if files.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS"))}
+    whole = lambda path: files.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS"))
+    done = {stamp: path for stamp, path in found.items() if whole(path) and ("/versions/" in path or whole(f"{path.rpartition('/')[0]}/feed"))}
     return spark.read.parquet(done[max(done)] if done else f"{root}/{name}")
 
 

@@ -74,7 +74,7 @@ def test_cli_status(spark, tmp_path, capsys):
     spark.createDataFrame([(True,)], "is_current boolean").write.parquet(str(tmp_path / "pairs"))
     assert cli.main(["status", "--root", str(tmp_path)], spark) == 0
     said = dict(line.split("\t") for line in capsys.readouterr().out.strip().splitlines())
-    assert said == {"articles_done": "1", "articles_pending": "1", "current_pairs": "1", "open_stories": "1", "two_sided": "1", "unassigned": "1"}
+    assert said == {"articles_total": "2", "articles_done": "1", "articles_pending": "1", "current_pairs": "1", "open_stories": "1", "two_sided": "1", "unassigned": "1"}
 
 
 def test_stream_equals_batch(spark, tmp_path):
@@ -205,3 +205,110 @@ def test_second_run_goes_on_from_the_first(spark, tmp_path):
     mended = {r["canonical_url"][-2:]: r for r in cli._read(spark, root, "articles").collect()}
     assert len(mended) == 6 and all(r["title"].endswith(" & more") and r["enrichment_status"] == "done" for r in mended.values())
     assert mended["a1"]["stance"]["framing_axes"] == ["coverage"] == mended["b2"]["stance"]["framing_axes"]
+
+
+def command_feed(url):
+    """Three feeds: one whose pages are whole, one whose pages have no body and which only an alternate URL gives, one that is down."""
+    if "bad" in url or url.endswith("/moved"):
+        raise OSError("down")
+    host = url.split("/")[2]
+    items = "".join(f"<item><title>Budget agreed {i}</title><link>https://{host}/{i}</link><pubDate>Fri, 02 Jan 2026 {10 + i}:00:00 GMT</pubDate></item>" for i in range(5))
+    return f"<rss><channel>{items}</channel></rss>".encode()
+
+
+def command_page(url):
+    if url.endswith("/1"):
+        raise OSError("gone away")
+    n = int(url[-1])
+    if "thin" in url:
+        return url, b"<html><head><title>Thin</title></head><body><article><p>Short.</p></article></body></html>"
+    return url + ("?utm_source=feed" if n == 0 else "/moved"), page(n).replace("<head>", '<head><meta property="og:image" content="https://x.example/i.jpg"><meta name="date" content="2026-01-02T09:00:00Z">').encode()
+
+
+REGISTRY = """
+- {id: good, outlet: Good Times, feed_url: 'https://good.example/feed', leaning: LEFT, verified: true}
+- {id: thin, outlet: Thin Post, feed_url: 'https://thin.example/moved', alt_feed_urls: ['https://thin.example/feed'], leaning: RIGHT, verified: true}
+- {id: bad, outlet: Bad News, feed_url: 'https://bad.example/feed', leaning: CENTER, verified: false}
+"""
+
+
+def commands(tmp_path, now="2026-01-03T00:00:00+00:00"):
+    (tmp_path / "sources.yaml").write_text(REGISTRY)
+    return ["--root", str(tmp_path / "t"), "--sources", str(tmp_path / "sources.yaml"), "--now", now, "--transport", "tests.test_flow:command_feed", "--page-transport", "tests.test_flow:command_page"]
+
+
+def test_verify_feeds_samples_pages_and_keeps_failures(spark, tmp_path, capsys):
+    out = tmp_path / "audit.md"
+    assert cli.main(["verify-feeds", "--out", str(out), *commands(tmp_path)], spark) == 0
+    lines = [line.split(" | ") for line in out.read_text().splitlines() if line.startswith("| ")]
+    columns = [c.strip("| ") for c in lines[0]]
+    rows = {r["source_id"]: r for r in (dict(zip(columns, (c.strip("| ") for c in line))) for line in lines[1:])}
+    assert list(rows) == ["good", "thin", "bad"] and {k: r["status"] for k, r in rows.items()} == {"good": "ok", "thin": "NO_BODY", "bad": "FEED_FAIL"}
+    good = rows["good"]
+    assert (good["outlet"], good["leaning"], good["entries"], good["fresh"], good["per_day"]) == ("Good Times", "LEFT", "5", "5", "30.0")
+    assert (good["body_ok"], good["image_ok"], good["date_ok"], good["wire"], good["redirected"]) == ("2/3", "2/3", "2/3", "0/3", "1/3") and int(good["median_chars"]) > 500 and good["error"] == "page: gone away"
+    assert rows["thin"]["error"] == "WORKED VIA ALT URL https://thin.example/feed page: gone away" and rows["thin"]["body_ok"] == "0/3" and rows["thin"]["median_chars"] == "6"
+    assert "down" in rows["bad"]["error"] and rows["bad"]["entries"] == "0" and "1 of 3 feeds pass." in out.read_text()
+    capsys.readouterr()
+    assert cli.main(["verify-feeds", "--source", "good times", *commands(tmp_path)], spark) == 0
+    assert "1 of 1 feeds pass." in capsys.readouterr().out
+
+
+def test_a_selection_leaves_the_registry_whole(spark, tmp_path, capsys):
+    common = commands(tmp_path)
+    assert cli.main(["run", "--source", "good", *common], spark) == 0
+    sources = lambda: {r["id"]: (r["leaning"], r["enabled"]) for r in cli._read(spark, str(tmp_path / "t"), "sources").collect()}
+    assert sources() == {"good": ("LEFT", True), "thin": ("RIGHT", True), "bad": ("CENTER", True)}
+    first = {r["canonical_url"]: r for r in cli._read(spark, str(tmp_path / "t"), "articles").collect()}
+    assert len(first) == 4 and {r["side"] for r in first.values()} == {"left"}
+    waiting = cli._read(spark, str(tmp_path / "t"), "articles").withColumns({"story_id": F.lit(None).cast("string"), "assigned_at": F.lit(None).cast("timestamp"), "side": F.lit(None).cast("string")})
+    cli._write(waiting, str(tmp_path / "t"), "articles", False)  # as if they had not been filed yet
+    (tmp_path / "sources.yaml").write_text(REGISTRY.replace("id: bad", "id: new"))
+    assert cli.main(["run", "--source", "thin", *common], spark) == 0
+    assert sources() == {"good": ("LEFT", True), "thin": ("RIGHT", True), "new": ("CENTER", True), "bad": ("CENTER", False)}
+    after = cli._read(spark, str(tmp_path / "t"), "articles").collect()
+    assert len(after) == 8 and {r["side"] for r in after if r["source_id"] == "good"} == {"left"}  # by the leaning of a source that this run did not read
+    assert cli.main(["ingest", "--source", "thin", *common], spark) == 0
+    assert len(sources()) == 4 and cli._read(spark, str(tmp_path / "t"), "articles").count() == 8
+    said = capsys.readouterr().out
+    assert '"inserted": 0' in said and '"failed_pages": 1' in said
+
+
+def test_a_run_trims_old_bodies(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "t")
+    assert cli.main(["run", *commands(tmp_path)], spark) == 0
+    assert cli._read(spark, root, "articles").where("body_text is not null").count() == 8
+    assert cli.main(["run", *commands(tmp_path, "2026-01-20T00:00:00+00:00")], spark) == 0
+    assert cli._read(spark, root, "articles").where("body_text is not null").count() == 8
+    from plait.operators import stories as S
+
+    with monkeypatch.context() as broken:  # a failing trim must not block the feed
+        broken.setattr(S, "trim_bodies", lambda *a: (_ for _ in ()).throw(OSError("no")))
+        assert cli.main(["run", *commands(tmp_path, "2026-03-05T00:00:00+00:00")], spark) == 0
+    assert cli._read(spark, root, "articles").where("body_text is not null").count() == 8
+    assert cli.main(["run", *commands(tmp_path, "2026-03-05T00:00:00+00:00")], spark) == 0
+    bare = cli._read(spark, root, "articles").collect()
+    assert len(bare) == 8 and all(r["body_text"] is None and r["title"] for r in bare)
+
+
+def test_an_unfinished_run_does_not_count(spark, tmp_path, monkeypatch):
+    """Tables of a run are those of one moment: if it ends before its feed, the next one starts from the last whole run."""
+    from plait.operators import stories as S
+
+    root = str(tmp_path / "t")
+    with monkeypatch.context() as broken:
+        broken.setattr(S, "feed", lambda *a: (_ for _ in ()).throw(OSError("no")))
+        try:
+            cli.main(["run", "--source", "good", *commands(tmp_path)], spark)
+        except OSError:
+            pass
+    assert cli.main(["run", "--source", "good", *commands(tmp_path)], spark) == 0
+    before = sorted(map(str, cli._read(spark, root, "articles").select("id", "story_id").collect()))
+    with monkeypatch.context() as broken:
+        broken.setattr(S, "feed", lambda *a: (_ for _ in ()).throw(OSError("no")))
+        try:
+            cli.main(["run", "--source", "thin", *commands(tmp_path)], spark)
+            raise AssertionError
+        except OSError:
+            pass
+    assert sorted(map(str, cli._read(spark, root, "articles").select("id", "story_id").collect())) == before
