@@ -21,7 +21,7 @@ def norm(v: Column) -> Column:
 
 def unit(v: Column) -> Column:
     """The vector of length 1; the zero vector stays."""
-    return F.transform(v, lambda x: x / norm(v))
+    return F.get(F.transform(F.array(norm(v)), lambda length: F.transform(v, lambda x: x / length)), 0)  # the norm once, not once an element
 
 
 def to_text(v: Column) -> Column:

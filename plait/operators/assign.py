@@ -25,6 +25,11 @@ from . import retrieval
 RULE = "plait-1"
 
 
+def floor_of(config: Config) -> float:
+    """The similarity below which a story cannot reach a threshold: names add at most 0.05, time only takes away, scores are rounded to four places."""
+    return min(config.verify_threshold, config.attach_threshold) - 0.0501
+
+
 def queue(articles: DataFrame, now: Column, config: Config = Config()) -> DataFrame:
     """What the next pass works on, in order: new articles oldest first, then orphans that are due for another try."""
     done = articles.where("enrichment_status = 'done' and story_id is null")
@@ -89,7 +94,7 @@ class Sequence:
     """
 
     def __init__(self, config: Config, verifier=None, stories: list[Story] = ()):
-        self.config, self.verifier = config, verifier
+        self.config, self.verifier, self.floor = config, verifier, floor_of(config)
         self.stories: dict[str, Story] = {}
         self.list: list[Story] = []
         self.matrix, self.seen = np.zeros((0, 0)), np.zeros(0, np.int64)
@@ -119,21 +124,23 @@ class Sequence:
         return SIDES.get(article.outlet_leaning or "")
 
     def nearest(self, vector: np.ndarray, since: pd.Timestamp) -> list[tuple[float, Story]]:
-        """The k most similar stories seen since then; ties go to the least id."""
+        """Of the stories seen since then that could reach a threshold the k most similar; ties go to the least id.  What decides is computed story by story, so it does not depend
+        on which other stories there are."""
         n, k = len(self.list), self.config.candidates
         rows = np.flatnonzero(self.seen[:n] >= since.value)
         if not len(rows):
             return []
         sims = self.matrix[rows] @ vector
-        if len(rows) > k:
-            kept = sims >= np.partition(sims, -k)[-k]
-            rows, sims = rows[kept], sims[kept]
+        least = self.floor if len(rows) <= k else max(self.floor, np.partition(sims, -k)[-k])
+        rows = rows[sims >= least - 1e-9]
+        sims = np.einsum("ij,j->i", self.matrix[rows], vector)
+        rows, sims = rows[sims >= self.floor], sims[sims >= self.floor]
         found = sorted(zip((-sims).tolist(), [self.list[i].id for i in rows.tolist()]))[:k]
         return [(-s, self.stories[i]) for s, i in found]
 
     def candidates(self, article, vector: np.ndarray, parent) -> tuple[list[tuple[float, float, Story]], list[dict]]:
         """(score, similarity, story) of the retrieved stories that fit the event date, best first, and the record of all in the order of retrieval; the
-        split-off parent is out."""
+        split-off parent is out.  Stories that could not reach a threshold are not retrieved, so neither record nor score has them."""
         c = self.config
         names = {e.lower() for e in article.key_entities}
         out, record = [], []

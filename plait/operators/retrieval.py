@@ -1,152 +1,415 @@
-"""Nearest stories of articles within a time window, and similar pairs of stories: blocked matrix products.
+"""Nearest stories of articles within a time window, all stories over a similarity, and similar pairs: products of blocks, of which bounds leave out most.
 
-Both sides are dealt into time slots as long as the window, and within a slot into blocks of bounded size, which are numbered in the order of time.  An
-article's block meets the blocks of stories from the slot before its own on; older ones never.  Each pair of blocks is one task's matrix product, of which
-only the best k rows of an article, or the best pairs over the threshold, leave the task; the rest is never a row.
+Vectors whose nearest pivot, of a few, is the same and that are about equally far from it form a ball: a ring around the pivot.  By the triangle inequality for angles, no product between two balls
+exceeds the cosine of the least angle that the pivots' distance and the rings allow (times the lengths), and none is below that of the greatest.  So from the balls' numbers alone it is known which of them can hold an answer: for a threshold, those whose
+upper bound reaches it; for the best k, those whose upper bound reaches the value that k stories are sure to have.  Only blocks of such balls meet.  Balls
+are also cut by time slots as long as the window, since stories of earlier slots never answer.  Whatever the pivots are, the rows are the same; how many products are made is theirs.
+
+A meeting of two blocks is one task's matrix product; only the best k rows of an article, or pairs over the threshold, leave it.  Under a threshold the product is made over the
+strongest dimensions first, and what they and the length of the rest (Cauchy-Schwarz) cannot bring over it is dropped.  Stories that are few travel with the function instead, as an index
+of balls that each batch of articles visits from the best bound down.  Similarities that decide are computed pair by pair, so they do not depend on how blocks are cut.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window, functions as F
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.times import micros
 
 BLOCK = 4096
-#: Bytes of story vectors that may travel with the function.
-SHIPPED = 64 << 20
+#: Stories that may travel with the function, and their bytes.
+SHIPPED_ROWS, SHIPPED = 4096, 64 << 20
+#: Balls of a side at most, vectors of which pivots are chosen, rounding errors of a bound.
+BALLS, SAMPLE, SLACK = 1024, 2048, 1e-9
+#: Width of a ring around a pivot, as an angle, and more rings than there can be.
+RING, RINGS = 0.3, 16
+
+
+def matrix(column: pa.Array) -> np.ndarray:
+    """A column of equally long lists as rows."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1) if len(column) else np.zeros((0, 1))
+
+
+def unit(m: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(rows of length 1, their lengths); a zero row stays zero."""
+    length = np.sqrt(np.einsum("ij,ij->i", m, m))
+    return m / np.where(length == 0, 1.0, length)[:, None], length
+
+
+def choose_pivots(sample: np.ndarray, most: int) -> np.ndarray:
+    """Up to ``most`` directions: each next one is the sample's vector that is farthest from those before."""
+    rows, length = unit(sample)
+    rows = rows[length > 0]
+    if not len(rows):
+        return np.eye(1, sample.shape[1])
+    chosen = [0]
+    near = rows @ rows[0]
+    while len(chosen) < min(most, len(rows)) and near.min() < 0.9999:
+        chosen.append(int(near.argmin()))
+        near = np.maximum(near, rows @ rows[chosen[-1]])
+    return rows[chosen]
+
 
+def placed(m: np.ndarray, pivots: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(ball, angle to its pivot, length) of each row; a ball's number is that of its pivot and ring.  Zero vectors fit any ball: their products are none."""
+    rows, length = unit(m)
+    cos = rows @ pivots.T
+    best = cos.argmax(axis=1)
+    angle = np.where(length == 0, 0.0, np.arccos(np.clip(cos[np.arange(len(m)), best], -1, 1)))
+    return best * RINGS + (angle / RING).astype(int), angle, length
 
-def _matrix(frame: pd.DataFrame, column: str) -> np.ndarray:
-    return np.stack([np.asarray(v, float) for v in frame[column]]) if len(frame) else np.zeros((0, 1))
 
+class Balls:
+    """The numbers of some balls: ball, least and greatest angle to its pivot, least and greatest length, rows, time slot."""
 
-def _best(a_id: np.ndarray, a_at: np.ndarray, a_v: np.ndarray, b_id: np.ndarray, b_at: np.ndarray, b_v: np.ndarray, k: int, window: int) -> pd.DataFrame:
-    """The k best rows of b for each row of a, ties by the least id: one matrix product, a partition at the k-th value, and a sort of what is left."""
-    order = np.argsort(b_id, kind="stable")
-    b_id, b_at, b_v = b_id[order], b_at[order], b_v[order]
-    sims = a_v @ b_v.T
-    sims[a_at[:, None] - window > b_at[None, :]] = -np.inf
-    if sims.shape[1] > k:
-        least = np.partition(sims, -k, axis=1)[:, -k]
-        rows, cols = np.nonzero((sims >= least[:, None]) & np.isfinite(sims))
+    def __init__(self, ball, near, far, low, high, rows, slot=None):
+        self.ball, self.near, self.far, self.low, self.high, self.rows = np.asarray(ball, int), *(np.asarray(x, float) for x in (near, far, low, high)), np.asarray(rows, np.int64)
+        self.slot = np.zeros(len(self.ball), np.int64) if slot is None else np.asarray(slot, np.int64)
+
+    @classmethod
+    def of(cls, vectors: np.ndarray, pivots: np.ndarray) -> tuple[Balls, np.ndarray]:
+        """(the balls of some rows, the rows in the balls' order)."""
+        ball, angle, length = placed(vectors, pivots)
+        order = np.argsort(ball, kind="stable")
+        known, begin, rows = np.unique(ball[order], return_index=True, return_counts=True)
+        fold = lambda f, x: f.reduceat(x[order], begin) if len(begin) else np.zeros(0)
+        return cls(known, fold(np.minimum, angle), fold(np.maximum, angle), fold(np.minimum, length), fold(np.maximum, length), rows), order
+
+    def __len__(self) -> int:
+        return len(self.ball)
+
+
+def ball_bounds(left: Balls, right: Balls, pivots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(least, greatest) product that a row of each left ball can have with a row of each right ball."""
+    apart = np.arccos(np.clip(pivots @ pivots.T, -1, 1))[left.ball // RINGS][:, right.ball // RINGS]
+    far, other, near, inner = left.far[:, None], right.far[None, :], left.near[:, None], right.near[None, :]
+    least = np.maximum.reduce([apart - far - other, near - apart - other, inner - apart - far, np.zeros_like(apart)])
+    up, down = np.cos(np.minimum(least, math.pi)), np.cos(np.minimum(apart + far + other, math.pi))
+    few, many = left.low[:, None] * right.low[None, :], left.high[:, None] * right.high[None, :]
+    return np.where(down > 0, down * few, down * many) - SLACK, np.maximum(up, 0) * many + SLACK
+
+
+def ball_meetings(left: Balls, right: Balls, pivots: np.ndarray, least: float | None = None, k: int | None = None, ahead: int | None = None) -> np.ndarray:
+    """Which left balls must meet which right ones: for all products of ``least``, or for the best ``k`` of each left row.  ``ahead``: so many slots later at most."""
+    down, up = ball_bounds(left, right, pivots)
+    reached = right.slot[None, :] >= left.slot[:, None] - 1
+    if ahead is not None:
+        reached &= right.slot[None, :] <= left.slot[:, None] + ahead
+    if k is not None:  # stories of the own slot and later ones are in the window of every article of a slot
+        sure = right.slot[None, :] >= left.slot[:, None]
+        order = np.argsort(-np.where(sure, down, -np.inf), axis=1, kind="stable")
+        many = np.cumsum(np.where(np.take_along_axis(sure, order, 1), right.rows[order], 0), axis=1) >= k
+        at = many.argmax(axis=1)
+        row = np.arange(len(left))
+        floor = np.where(many.any(axis=1), np.where(sure, down, -np.inf)[row, order[row, at]], -np.inf)[:, None] if len(right) else np.full((len(left), 1), -np.inf)
     else:
-        rows, cols = np.nonzero(np.isfinite(sims))
-    found = sims[rows, cols]
-    order = np.lexsort((cols, -found, rows))
-    rows, cols, found = rows[order], cols[order], found[order]
-    first = np.searchsorted(rows, rows)
-    kept = np.arange(len(rows)) - first < k
-    rows, cols, found = rows[kept], cols[kept], found[kept]
-    return pd.DataFrame({"article_id": a_id[rows], "story_id": b_id[cols], "similarity": found})
-
-
-def slot_blocks(rows: DataFrame, width: int, block: int) -> list[tuple[int, int, int]]:
-    """(slot, first block, blocks) for each time slot with rows, in order: as many rows as the span of time has slots."""
-    found, first = [], 0
-    for r in rows.groupBy(F.floor(F.col("at") / width).alias("slot")).count().orderBy("slot").collect():
-        n = math.ceil(r["count"] / block)
-        found.append((r["slot"], first, n))
-        first += n
-    return found
-
-
-def meeting_ranges(lefts: list[tuple[int, int, int]], rights: list[tuple[int, int, int]]) -> tuple[dict, dict]:
-    """By slot: the first block of stories that articles of the slot meet, and the number of blocks of articles that stories of the slot meet."""
-    ends = [first + n for _, first, n in rights] or [0]
-    begin = {slot: next((first for s, first, _ in rights if s >= slot - 1), ends[-1]) for slot, _, _ in lefts}
-    upto = {slot: max((first + n for s, first, n in lefts if s <= slot + 1), default=0) for slot, _, _ in rights}
-    return begin, upto
-
-
-def _blocks(rows: DataFrame, slots: list[tuple[int, int, int]], width: int, name: str) -> DataFrame:
-    """Rows with their slot and the number of their block."""
-    table = F.create_map(*[F.lit(x) for slot, first, n in slots for x in (slot, F.struct(F.lit(first).alias("first"), F.lit(n).alias("n")))])
-    rows = rows.withColumn("slot", F.floor(F.col("at") / width)).withColumn("__s", table[F.col("slot")])
-    return rows.withColumn(name, (F.col("__s.first") + F.pmod(F.xxhash64("id"), F.col("__s.n"))).cast("int")).drop("__s")
-
-
-def _ranges(values: dict) -> Column:
-    return F.create_map(*[F.lit(x) for item in values.items() for x in item])[F.col("slot")]
-
-
-def meetings(left: DataFrame, right: DataFrame, window: int, block: int) -> tuple[DataFrame, DataFrame]:
-    """Both sides, a row for each task (lb, rb) in which it meets the other."""
-    lefts, rights = slot_blocks(left, window, block), slot_blocks(right, window, block)
-    if not lefts or not rights:
-        none = lambda df: df.select("*", F.lit(0).alias("lb"), F.lit(0).alias("rb")).limit(0)
-        return none(left), none(right)
-    begin, upto = meeting_ranges(lefts, rights)
-    last = rights[-1][1] + rights[-1][2] - 1
-    one = _blocks(left, lefts, window, "lb").withColumn("__from", _ranges(begin)).where(F.col("__from") <= last).withColumn("rb", F.explode(F.sequence(F.col("__from"), F.lit(last))))
-    two = _blocks(right, rights, window, "rb").withColumn("__to", _ranges(upto)).where("__to > 0").withColumn("lb", F.explode(F.sequence(F.lit(0), F.col("__to") - 1)))
-    return one.drop("slot", "__from"), two.drop("slot", "__to")
+        floor = np.full((len(left), 1), least)
+    return reached & (up >= floor)
 
 
-def top_stories(articles: DataFrame, stories: DataFrame, k: int = 10, window_hours: int = 96, block: int = BLOCK, shipped_bytes: int = SHIPPED) -> DataFrame:
-    """(article_id, story_id, similarity, rank) of each article's ``k`` most similar stories last seen within the window before it, or later.
+class Found:
+    """Products worth keeping: (row, column, approximate value), and each row's k-th best so far."""
 
-    articles: id, published_at, vector; stories: id, last_seen, vector; unit vectors.  Ids may be of any ordered type.  Rows without a vector or time take no
-    part.  Rows that share an article id ask together: k stories at most answer, each once.  Stories older than the window of the earliest article are left out.
-    Story vectors of up to ``shipped_bytes`` in all travel with the function and articles are not moved; more are dealt into
-    blocks.  Either way the same rows come out.
-    """
+    def __init__(self, rows: int, k: int):
+        self.k, self.top, self.parts = k, np.full((rows, k), -np.inf), []
+
+    def add(self, rows: np.ndarray, cols: np.ndarray, sims: np.ndarray) -> None:
+        """sims: a product of the numbered rows with the numbered columns; minus infinity is none."""
+        together = np.concatenate([self.top[rows], sims], axis=1)
+        self.top[rows] = np.partition(together, -self.k, axis=1)[:, -self.k :]
+        i, j = np.nonzero((sims >= self.floor(rows)[:, None]) & np.isfinite(sims))
+        self.parts.append((rows[i], cols[j], sims[i, j]))
+
+    def floor(self, rows: np.ndarray) -> np.ndarray:
+        return self.top[rows].min(axis=1) - SLACK
+
+    def best(self, a: np.ndarray, b: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(row, column, product) of the k best of each row; equal products go by the columns' rank."""
+        if not self.parts:
+            return np.zeros(0, int), np.zeros(0, int), np.zeros(0)
+        rows, cols, sims = (np.concatenate(x) for x in zip(*self.parts))
+        kept = sims >= self.floor(rows)
+        rows, cols = rows[kept], cols[kept]
+        exact = np.einsum("ij,ij->i", a[rows], b[cols])
+        order = np.lexsort((rank[cols], -exact, rows))
+        rows, cols, exact = rows[order], cols[order], exact[order]
+        kept = np.arange(len(rows)) - np.searchsorted(rows, rows) < self.k
+        return rows[kept], cols[kept], exact[kept]
+
+
+def ranks(ids: pa.Array) -> np.ndarray:
+    """The places of ids in their order."""
+    out = np.empty(len(ids), np.int64)
+    out[np.argsort(np.asarray(ids.to_pylist(), dtype=object), kind="stable")] = np.arange(len(ids))
+    return out
+
+
+def over(a: np.ndarray, b: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, column, product) of all products of at least ``least``: the strongest quarter of the dimensions first, then what the rest may still bring."""
+    if not len(a) or not len(b):
+        return np.zeros(0, int), np.zeros(0, int), np.zeros(0)
+    order = np.argsort(-np.einsum("ij,ij->j", b, b), kind="stable")
+    a, b = a[:, order], b[:, order]
+    cut = max(8, a.shape[1] // 4)
+    rest = lambda m: np.sqrt(np.einsum("ij,ij->i", m[:, cut:], m[:, cut:]))
+    near = a[:, :cut] @ b[:, :cut].T + rest(a)[:, None] * rest(b)[None, :] >= least - SLACK
+    if near.sum() * 8 > near.size:  # so many that one product is less work
+        near &= a @ b.T >= least - SLACK
+    i, j = np.nonzero(near)
+    parts = []
+    for at in range(0, len(i), 1 << 16):
+        x, y = i[at : at + (1 << 16)], j[at : at + (1 << 16)]
+        sims = np.einsum("ij,ij->i", a[x], b[y])
+        kept = sims >= least
+        parts.append((x[kept], y[kept], sims[kept]))
+    return tuple(np.concatenate(p) for p in zip(*parts)) if parts else (i, j, np.zeros(0))
+
+
+class BallIndex:
+    """Stories that travel with the function, ball by ball; ``products`` counts the products that were made."""
+
+    def __init__(self, ids: pa.Array, at: np.ndarray, vectors: np.ndarray, of_ball: int = 32, ranked: bool = True):
+        pivots = choose_pivots(vectors[:: max(1, len(vectors) // SAMPLE)], max(1, len(vectors) // of_ball))
+        self.balls, order = Balls.of(vectors, pivots)
+        self.ids, self.at, self.vectors, self.rank = ids.take(pa.array(order)), at[order], vectors[order], ranks(ids)[order] if ranked else None
+        ends = np.cumsum(self.balls.rows)
+        self.spans = list(zip((ends - self.balls.rows).tolist(), ends.tolist()))
+        self.centre = pivots[self.balls.ball // RINGS]
+        self.products = 0
+
+    def _bounds(self, a: np.ndarray) -> np.ndarray:
+        rows, length = unit(a)
+        angle = np.arccos(np.clip(rows @ self.centre.T, -1, 1))
+        least = np.maximum(np.maximum(angle - self.balls.far[None, :], self.balls.near[None, :] - angle), 0)
+        return np.maximum(np.cos(least), 0) * length[:, None] * self.balls.high[None, :] + SLACK
+
+    def top(self, a: np.ndarray, since: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(row, story, product) of each row's k best stories seen since its time."""
+        found, bounds = Found(len(a), k), self._bounds(a)
+        order, left = np.argsort(-bounds, axis=1, kind="stable"), np.arange(len(a))
+        for nth in range(order.shape[1]):  # each row from its best bound down, until none is left that could do better
+            ball = order[left, nth]
+            kept = bounds[left, ball] >= found.floor(left)
+            left, ball = left[kept], ball[kept]
+            if not len(left):
+                break
+            for b in np.unique(ball):
+                rows, (x, y) = left[ball == b], self.spans[b]
+                sims = a[rows] @ self.vectors[x:y].T
+                self.products += sims.size
+                sims[since[rows, None] > self.at[None, x:y]] = -np.inf
+                found.add(rows, np.arange(x, y), sims)
+        return found.best(a, self.vectors, self.rank)
+
+    def over(self, a: np.ndarray, since: np.ndarray, until: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(row, story, product) of all stories over the threshold that were seen between the row's times."""
+        bounds, parts = self._bounds(a), []
+        for ball, (x, y) in enumerate(self.spans):
+            rows = np.flatnonzero(bounds[:, ball] >= least)
+            self.products += len(rows) * (y - x)
+            i, j, sims = over(a[rows], self.vectors[x:y], least)
+            kept = (since[rows[i]] <= self.at[x + j]) & (self.at[x + j] <= until[rows[i]])
+            parts.append((rows[i][kept], (x + j)[kept], sims[kept]))
+        return tuple(np.concatenate(p) for p in zip(*parts))
+
+
+def _side(rows: DataFrame, at: str) -> DataFrame:
+    return rows.select("id", micros(F.col(at)).alias("at"), F.col("vector").cast("array<double>").alias("v")).where("v is not null and at is not null")
+
+
+def _place(rows: DataFrame, pivots: np.ndarray) -> DataFrame:
+    """Rows with their ball, the angle to its pivot and their length."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            ball, angle, length = placed(matrix(b.column("v")), pivots) if b.num_rows else (np.zeros(0, int), np.zeros(0), np.zeros(0))
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(ball.astype(np.int32)), pa.array(angle), pa.array(length)], names=[*b.schema.names, "ball", "angle", "len"])
+
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields)
+    return rows.mapInArrow(run, f"{fields}, ball int, angle double, len double")
+
+
+def _balls(rows: DataFrame, width: int | None) -> Balls:
+    """The balls of a side: ``BALLS`` times some rings at most."""
+    slot = F.lit(0).cast("long") if width is None else F.floor(F.col("at") / width)
+    least, most = [F.min(c).alias(f"{c}_a") for c in ("angle", "len")], [F.max(c).alias(f"{c}_b") for c in ("angle", "len")]
+    found = rows.groupBy(slot.alias("slot"), "ball").agg(*least, *most, F.count(F.lit(1)).alias("rows")).orderBy("slot", "ball").toPandas()
+    return Balls(found["ball"], found["angle_a"], found["angle_b"], found["len_a"], found["len_b"], found["rows"], found["slot"])
+
+
+def _numbered(rows: DataFrame, balls: Balls, width: int | None, block: int, meets: np.ndarray, other: Balls, own: str, others: str) -> DataFrame:
+    """Rows with the number of their block, once for each block of the other side that it meets."""
+    parts, theirs = -(-balls.rows // block), -(-other.rows // block)
+    first, their_first = np.cumsum(parts) - parts, np.cumsum(theirs) - theirs
+    table = pd.DataFrame({
+        "slot": balls.slot, "ball": balls.ball, "first": first, "parts": parts,
+        "spans": [[(int(their_first[j]), int(their_first[j] + theirs[j] - 1)) for j in np.flatnonzero(row)] for row in meets],
+    })
+    spans = rows.sparkSession.createDataFrame(table.to_dict("records"), "slot long, ball int, first long, parts long, spans array<struct<a:long,b:long>>")
+    slot = F.lit(0).cast("long") if width is None else F.floor(F.col("at") / width)
+    met = rows.withColumn("slot", slot).join(F.broadcast(spans), ["slot", "ball"])
+    met = met.withColumn(own, F.col("first") + F.pmod(F.xxhash64("id"), F.col("parts")))
+    return met.withColumn(others, F.explode(F.flatten(F.transform("spans", lambda s: F.sequence(s["a"], s["b"]))))).select("id", "at", "v", own, others)
+
+
+def _answers(article_ids: pa.Array, story_ids: pa.Array, rows: np.ndarray, cols: np.ndarray, sims: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([article_ids.take(pa.array(rows)), story_ids.take(pa.array(cols)), pa.array(sims.astype(float))], names=["article_id", "story_id", "similarity"])
+
+
+def _spanning(a_ids: pa.Array, b_ids: pa.Array, rows: np.ndarray, cols: np.ndarray) -> pa.RecordBatch:
+    """Of the pairs of nodes of one block as many as connect what all of them connect: a task sends no more rows than it has nodes."""
+    both = pa.concat_arrays([a_ids, b_ids])
+    block = pc.struct_field(both, "block").dictionary_encode().indices.fill_null(-1).to_numpy()
+    coded = pc.struct_field(both, "node").dictionary_encode()
+    node, cols = coded.indices.to_numpy(), cols + len(a_ids)
+    kept = (block[rows] == block[cols]) & (node[rows] != node[cols])
+    u, v = node[rows[kept]], node[cols[kept]]
+    label = np.arange(len(coded.dictionary))
+    while True:
+        least, new = np.minimum(label[u], label[v]), label.copy()
+        np.minimum.at(new, u, least)
+        np.minimum.at(new, v, least)
+        new = new[new]
+        if (new == label).all():
+            break
+        label = new
+    joined = np.flatnonzero(label != np.arange(len(label)))
+    return pa.RecordBatch.from_arrays([coded.dictionary.take(pa.array(joined)), coded.dictionary.take(pa.array(label[joined]))], names=["a", "b"])
+
+
+def _one(column) -> pa.Array:
+    return column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+
+
+def meetings(left: DataFrame, right: DataFrame, window: int, block: int, k: int | None = None, least: float | None = None, ahead: int | None = None) -> tuple[DataFrame, DataFrame] | None:
+    """Both sides (id, at, v), a row for each task (lb, rb) in which it meets the other; None if a side is empty.  The rows of the right side that are seen before the
+    window of the earliest left one are left out."""
+    times = left.agg(F.min("at").alias("a"), F.max("at").alias("b")).first()
+    right = right.where(F.col("at") >= F.lit((times["a"] or 0) - window))
+    sample = right.orderBy(F.xxhash64("id")).limit(SAMPLE).toArrow()
+    if times["a"] is None or not sample.num_rows:
+        return None
+    seen = right.agg(F.max("at").alias("b")).first()["b"]
+    span = max(times["b"], seen) - times["a"] + 2 * window + 1
+    width = max(window, 1, math.ceil(span / 256))
+    pivots = choose_pivots(matrix(sample.column("v")), max(1, min(256, BALLS // math.ceil(span / width + 1))))
+    left, right = _place(left, pivots), _place(right, pivots)
+    lefts, rights = _balls(left, width), _balls(right, width)
+    meets = ball_meetings(lefts, rights, pivots, least, k, None if ahead is None else 1 + math.ceil(ahead / width))
+    return _numbered(left, lefts, width, block, meets, rights, "lb", "rb"), _numbered(right, rights, width, block, meets.T, lefts, "rb", "lb")
+
+
+def _met(articles: DataFrame, stories: DataFrame, window_hours: int, block: int, shipped_bytes: int, k: int | None = None, least: float | None = None, ahead_hours: int | None = None, linked: bool = False) -> DataFrame:
+    """(article_id, story_id, similarity) in which each article's k best stories, or all over ``least`` that were last seen at most ``ahead_hours`` after it, are.  ``linked``: ids are
+    structs of block and node; (a, b) of nodes that connect what all these pairs of one block connect."""
     window = window_hours * 3_600_000_000
-    side = lambda df, at: df.select("id", micros(F.col(at)).alias("at"), F.col("vector").cast("array<double>").alias("v")).where("v is not null and at is not null")
-    left, right = side(articles, "published_at"), side(stories, "last_seen")
-    asked = left.agg(F.min("at").alias("earliest"), F.max(F.size("v")).alias("dims")).first()
-    right = right.where(F.col("at") >= F.lit((asked["earliest"] or 0) - window))
-    most = shipped_bytes // (8 * (asked["dims"] or 0) + 16)
-    schema = f"article_id {left.schema['id'].dataType.simpleString()}, story_id {right.schema['id'].dataType.simpleString()}, similarity double"
-    head = right.limit(max(0, most + 1)).toPandas()
-    if len(head) <= most:
-        ids, at, matrix = head["id"].to_numpy(), head["at"].to_numpy(), _matrix(head, "v")
-
-        def scan(batches):
-            for part in batches:
-                for row in range(0, len(part), 1024):
-                    a = part.iloc[row : row + 1024]
-                    if len(ids):
-                        yield _best(a["id"].to_numpy(), a["at"].to_numpy(), _matrix(a, "v"), ids, at, matrix, k, window)
-
-        met = left.mapInPandas(scan, schema)
-    else:
+    ahead = np.iinfo(np.int64).max // 4 if ahead_hours is None else ahead_hours * 3_600_000_000
+    left, right = _side(articles, "published_at"), _side(stories, "last_seen")
+    schema = "a string, b string" if linked else f"article_id {left.schema['id'].dataType.simpleString()}, story_id {right.schema['id'].dataType.simpleString()}, similarity double"
+    answers = (lambda a, b, rows, cols, sims: _spanning(a, b, rows, cols)) if linked else _answers
+    head = right.limit(SHIPPED_ROWS + 1).toArrow()
+    if head.num_rows <= SHIPPED_ROWS and head.nbytes <= shipped_bytes:
+        index = BallIndex(_one(head.column("id")), head.column("at").to_numpy(), matrix(head.column("v")), ranked=k is not None) if head.num_rows else None
+
+        def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for row in range(0, batch.num_rows if index else 0, 1024):
+                    part = batch.slice(row, 1024)
+                    a, at = matrix(part.column("v")), part.column("at").to_numpy()
+                    yield answers(part.column("id"), index.ids, *(index.top(a, at - window, k) if k is not None else index.over(a, at - window, at + ahead, least)))
+
+        return left.mapInArrow(scan, schema)
+    sides = meetings(left, right, window, block, k, least, None if ahead_hours is None else ahead)
+    if sides is None:
+        return left.sparkSession.createDataFrame([], schema)
+    one, two = sides
+
+    def meet(a: pa.Table, b: pa.Table) -> pa.Table:
+        x, y = matrix(a.column("v")), matrix(b.column("v"))
+        at, seen = a.column("at").to_numpy(), b.column("at").to_numpy()
+        if not len(x) or not len(y):
+            rows, cols, sims = np.zeros(0, int), np.zeros(0, int), np.zeros(0)
+        elif k is None:
+            rows, cols, sims = over(x, y, least)
+            kept = (at[rows] - window <= seen[cols]) & (seen[cols] <= at[rows] + ahead)
+            rows, cols, sims = rows[kept], cols[kept], sims[kept]
+        else:
+            found, product = Found(len(x), k), x @ y.T
+            product[(at - window)[:, None] > seen[None, :]] = -np.inf
+            found.add(np.arange(len(x)), np.arange(len(y)), product)
+            rows, cols, sims = found.best(x, y, ranks(_one(b.column("id"))))
+        return pa.Table.from_batches([answers(_one(a.column("id")), _one(b.column("id")), rows, cols, sims)])
+
+    return one.groupBy("lb", "rb").cogroup(two.groupBy("lb", "rb")).applyInArrow(meet, schema)
+
 
-        def best(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-            if not len(a) or not len(b):
-                return pd.DataFrame({"article_id": a["id"][:0], "story_id": b["id"][:0], "similarity": pd.Series([], dtype=float)})
-            return _best(a["id"].to_numpy(), a["at"].to_numpy(), _matrix(a, "v"), b["id"].to_numpy(), b["at"].to_numpy(), _matrix(b, "v"), k, window)
+def top_stories(articles: DataFrame, stories: DataFrame, k: int = 10, window_hours: int = 96, block: int = BLOCK, shipped_bytes: int = SHIPPED) -> DataFrame:
+    """(article_id, story_id, similarity, rank) of each article's ``k`` most similar stories last seen within the window before it, or later.
 
-        one, two = meetings(left, right, window, block)
-        met = one.groupBy("lb", "rb").cogroup(two.groupBy("lb", "rb")).applyInPandas(best, schema)
+    articles: id, published_at, vector; stories: id, last_seen, vector.  Ids may be of any ordered type.  Rows without a vector or time take no
+    part.  Rows that share an article id ask together: k stories at most answer, each once.  Up to ``SHIPPED_ROWS`` stories of up to ``shipped_bytes`` in all travel
+    with the function and articles are not moved; more are dealt into blocks.  Either way the same rows come out.
+    """
+    met = _met(articles, stories, window_hours, block, shipped_bytes, k=k)
     once = met.repartition("article_id").groupBy("article_id", "story_id").agg(F.max("similarity").alias("similarity"))
     ranked = once.withColumn("rank", F.row_number().over(Window.partitionBy("article_id").orderBy(F.desc("similarity"), "story_id")))
     return ranked.where(F.col("rank") <= k)
 
 
+def stories_over(articles: DataFrame, stories: DataFrame, least: float, window_hours: int = 96, ahead_hours: int | None = None, block: int = BLOCK, shipped_bytes: int = SHIPPED) -> DataFrame:
+    """(article_id, story_id, similarity) of all stories at least so similar that were last seen within the window before the article, or later: at most
+    ``ahead_hours`` later, if given."""
+    return _met(articles, stories, window_hours, block, shipped_bytes, least=least, ahead_hours=ahead_hours)
+
+
+def nodes_over(articles: DataFrame, stories: DataFrame, least: float, window_hours: int = 96, ahead_hours: int | None = None, block: int = BLOCK, shipped_bytes: int = SHIPPED) -> DataFrame:
+    """Edges (a, b) of the same connected components as the pairs of ``stories_over`` whose blocks are equal (nulls are): ids are structs of block and node, a text.  Each task
+    sends a spanning forest of its pairs."""
+    return _met(articles, stories, window_hours, block, shipped_bytes, least=least, ahead_hours=ahead_hours, linked=True)
+
+
 def similar_pairs(stories: DataFrame, least: float, block: int = BLOCK, most: int | None = None) -> DataFrame:
-    """(a_id, b_id, similarity), a_id < b_id, of all stories whose unit vectors' product is at least ``least``; with ``most`` every task returns its best
+    """(a_id, b_id, similarity), a_id < b_id, of all stories whose vectors' product is at least ``least``; with ``most`` every task returns its best
     so many, among which the best of all are."""
-    rows = stories.select("id", F.col("vector").cast("array<double>").alias("v")).where("v is not null")
-    count = max(1, math.ceil(rows.count() / block))
-    dealt = rows.withColumn("b", F.pmod(F.xxhash64("id"), F.lit(count)).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
-    both = dealt.withColumn("o", other).select(F.least("b", "o").alias("x"), F.greatest("b", "o").alias("y"), "b", "id", "v")
+    rows = stories.select("id", F.lit(0).cast("long").alias("at"), F.col("vector").cast("array<double>").alias("v")).where("v is not null")
     kind = rows.schema["id"].dataType.simpleString()
+    schema = f"a_id {kind}, b_id {kind}, similarity double"
+    sample = rows.orderBy(F.xxhash64("id")).limit(SAMPLE).toArrow()
+    if not sample.num_rows:
+        return rows.sparkSession.createDataFrame([], schema)
+    pivots = choose_pivots(matrix(sample.column("v")), 1 if sample.num_rows <= min(block, SAMPLE - 1) else min(256, BALLS))
+    rows = _place(rows, pivots)
+    balls = _balls(rows, None)
+    meets = ball_meetings(balls, balls, pivots, least)
+    both = _numbered(rows, balls, None, block, meets | meets.T, balls, "b", "o").select(F.least("b", "o").alias("x"), F.greatest("b", "o").alias("y"), "b", "id", "v")
+
+    def meet(part: pa.Table) -> pa.Table:
+        x, y, b = part.column("x")[0].as_py(), part.column("y")[0].as_py(), part.column("b").to_numpy()
+        one, two = part.filter(pa.array(b == x)), part.filter(pa.array(b == y))
+        i, j, sims = over(matrix(one.column("v")), matrix(two.column("v")), least)
+        ids = ranks(_one(pa.concat_tables([one, two]).column("id")))
+        mine, their = ids[: one.num_rows][i], ids[one.num_rows :][j]
+        if x == y:
+            mine, their = ranks(_one(one.column("id")))[i], ranks(_one(two.column("id")))[j]
+            kept = mine < their
+            i, j, sims, mine, their = i[kept], j[kept], sims[kept], mine[kept], their[kept]
+        a, c = _one(one.column("id")).take(pa.array(i)), _one(two.column("id")).take(pa.array(j))
+        if most is not None and len(i) > most:
+            low, high = np.minimum(mine, their), np.maximum(mine, their)
+            best = np.lexsort((high, low, -sims))[:most]
+            a, c, sims, mine, their = a.take(pa.array(best)), c.take(pa.array(best)), sims[best], mine[best], their[best]
+        swap = pa.array(mine > their)
+        less, more = pa.compute.if_else(swap, c, a), pa.compute.if_else(swap, a, c)
+        differ = pa.compute.not_equal(less, more)
+        return pa.table({"a_id": less, "b_id": more, "similarity": pa.array(sims)}).filter(differ)
 
-    def meet(part: pd.DataFrame) -> pd.DataFrame:
-        x, y = part["x"].iloc[0], part["y"].iloc[0]
-        a, b = part[part["b"] == x], part[part["b"] == y]
-        sims = _matrix(a, "v") @ _matrix(b, "v").T
-        i, j = np.nonzero(sims >= least)
-        one, two, found = a["id"].to_numpy()[i], b["id"].to_numpy()[j], sims[i, j]
-        keep = one < two if x == y else one != two
-        one, two, found = one[keep], two[keep], found[keep]
-        swap = one > two
-        out = pd.DataFrame({"a_id": np.where(swap, two, one), "b_id": np.where(swap, one, two), "similarity": found})
-        return out if most is None else out.sort_values(["similarity", "a_id", "b_id"], ascending=[False, True, True]).head(most)
-
-    return both.groupBy("x", "y").applyInPandas(meet, f"a_id {kind}, b_id {kind}, similarity double")
+    return both.groupBy("x", "y").applyInArrow(meet, schema)

@@ -15,7 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..config import Config
-from ..operators import assign, enrich, ingest, merge, models, pairs, recheck, stories as S
+from ..operators import assign, conflicts, enrich, ingest, merge, models, pairs, recheck, stories as S
 from ..sources import pages as P, tables
 
 log = logging.getLogger("plait")
@@ -73,15 +73,15 @@ def assign_stage(articles: DataFrame, stories: DataFrame | None, sources: DataFr
     """What the exact pass makes of the queue: new articles and orphans that are due, at most a batch of each, against the open stories in the window."""
     articles = _with(articles, ASSIGNMENT)
     lean = sources.select(F.col("id").alias("source_id"), F.col("leaning").alias("outlet_leaning"))
-    rows = assign.queue(articles, now, config).join(lean, "source_id", "left").withColumn("block", F.lit("all"))
+    rows = assign.queue(articles, now, config).join(lean, "source_id", "left").withColumn("block", F.lit(None).cast("string"))
     rows = rows.withColumn("split_from", assign.split_memory(F.struct("split_from", "method", "from_story")))
     known = None
     if stories is not None:
         oldest = rows.agg(F.min("published_at").alias("m")).first()["m"]
-        known = stories.where("status = 'open'").withColumnRenamed("story_id", "id").withColumn("block", F.lit("all"))
+        known = stories.where("status = 'open'").withColumnRenamed("story_id", "id").withColumn("block", F.lit(None).cast("string"))
         if oldest is not None:
             known = known.where(F.col("last_seen") >= F.lit(oldest) - F.make_dt_interval(hours=F.lit(config.candidate_window_hours)))
-    return assign.assign_in_order(rows, known, verifier, config, with_stories=True)
+    return conflicts.assign_side_by_side(rows, known, verifier, config, with_stories=True)
 
 
 def assigned(articles: DataFrame, done: DataFrame, now: Column) -> DataFrame:

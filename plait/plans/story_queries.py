@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..config import Config
 from ..functions import scoring as S
-from ..operators import assign, enrich, merge, models, pairs, recheck, reports, retrieval, stories as Y
+from ..operators import assign, conflicts, enrich, merge, models, pairs, recheck, reports, retrieval, stories as Y
 from .proxies import PX, articles, ntz, sql, stories, table
 
 QUERIES, SQL = {}, {}
@@ -97,8 +97,8 @@ def verifier_policy(spark, d):
 
 @query()
 def assign_online(spark, d):
-    rows = articles(spark, d).withColumns({"block": F.lit("all"), "phase": F.lit(0), "category": F.lit("other"), "split_from": F.lit(None).cast("string")})
-    return assign.assign_in_order(rows, config=PX).select("id", "block", "method", "story_id", "side", "score", "story_size")
+    rows = articles(spark, d).withColumns({"block": F.lit(None).cast("string"), "phase": F.lit(0), "category": F.lit("other"), "split_from": F.lit(None).cast("string")})
+    return conflicts.assign_side_by_side(rows, config=PX).select("id", "block", "method", "story_id", "side", "score", "story_size")
 
 
 @query(
@@ -118,6 +118,22 @@ def assign_in_blocks(spark, d):
     return assign.assign_in_order(rows).select("id", "block", "method", "story_id", "side", "story_size", "reason")
 
 
+@query(
+    sql(
+        """SELECT id, CASE WHEN f IS NULL OR (published_at, id) < f THEN 'orphan' WHEN (published_at, id) = f THEN 'create' WHEN published_at - f[1] > INTERVAL 12 HOUR THEN 'verifier' ELSE 'threshold' END AS method,
+  CASE WHEN (published_at, id) >= f THEN 's' || left(sha1(CAST(f[2] AS VARCHAR)), 16) END AS story_id, side, CASE WHEN (published_at, id) >= f THEN n END AS story_size
+FROM (SELECT *, CAST(count(*) FILTER ((published_at, id) >= f) OVER (PARTITION BY story_id ORDER BY published_at, id) AS INT) AS n FROM o)""",
+        more="""o AS (
+  SELECT *, min((published_at, id)) FILTER (article_type IN ('news', 'live', 'explainer') AND NOT is_wire_copy) OVER (PARTITION BY story_id) AS f FROM articles_px)""",
+    )
+)
+def assign_side_by_side(spark, d):
+    """Articles of one label are alike, of two labels at right angles, and nothing says so but their vectors: the components of the conflict graph are the labels."""
+    axis = F.transform(F.sequence(F.lit(0), F.lit(9)), lambda i: F.when(i == F.col("story_id"), 1.0).otherwise(0.0))
+    rows = articles(spark, d).withColumns({"block": F.lit(None).cast("string"), "phase": F.lit(0), "category": F.lit("other"), "split_from": F.lit(None).cast("string"), "event_date": F.lit(None).cast("date"), "vector": axis})
+    return conflicts.assign_side_by_side(rows).select("id", "method", "story_id", "side", "story_size")
+
+
 @query(
     sql(
         """SELECT count(*) AS processed, count(*) FILTER ((published_at, id) > f) AS attached, count(*) FILTER ((published_at, id) = f) AS created, count(*) FILTER (f IS NULL OR (published_at, id) < f) AS orphaned, 0::BIGINT AS failed,

@@ -141,7 +141,8 @@ def test_only_blocks_within_the_window_meet(spark):
     at = lambda days: F.lit(days) * 86_400_000_000
     left = spark.range(400).select("id", (at(100) + F.col("id") * 21_600_000_000).cast("long").alias("at"))  # days 100 to 200
     right = spark.range(3000).select("id", (F.col("id") * 5_760_000_000).cast("long").alias("at"))  # days 0 to 200
-    one, two = retrieval.meetings(left, right, width, 20)
+    alike = F.array(F.lit(1.0)).alias("v")  # so time alone decides
+    one, two = retrieval.meetings(left.select("*", alike), right.select("*", alike), width, 20, least=0.0)
     keys = lambda df: {(r["lb"], r["rb"]) for r in df.select("lb", "rb").distinct().collect()}
     span = lambda df, key: {r[key]: (r["a"], r["z"]) for r in df.groupBy(key).agg(F.min("at").alias("a"), F.max("at").alias("z")).collect()}
     a, b = span(one, "lb"), span(two, "rb")
@@ -170,7 +171,7 @@ def test_nearest_equals_a_plain_search():
     import pandas as pd
 
     rng = np.random.default_rng(4)
-    run = assign.Sequence(Config(candidates=5))
+    run = assign.Sequence(Config(candidates=5, verify_threshold=-1000.0))  # every story could reach the threshold
     for n in range(150):
         v = rng.integers(-2, 3, 4).astype(float)  # many ties
         run.add(assign.Story(f"s{rng.integers(0, 10**9)}", "", "", None, None, None, pd.Timestamp(T0) + pd.Timedelta(hours=int(rng.integers(0, 100))), v, [], status="open" if n % 7 else "closed"))
