@@ -40,13 +40,11 @@ def _joined(left: np.ndarray, word: np.ndarray) -> np.ndarray:
     return mix(left * np.uint64(0xD6E8FEB86659FD93) + word)
 
 
-def _strings(starts: np.ndarray, ends: np.ndarray, raw: np.ndarray) -> pa.Array:
-    """The byte spans as strings."""
-    size = ends - starts
-    offsets = np.zeros(len(starts) + 1, np.int64)
-    np.cumsum(size, out=offsets[1:])
-    data = raw[np.repeat(starts - offsets[:-1], size) + np.arange(offsets[-1])]
-    return pa.Array.from_buffers(pa.large_string(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+def _strings(words: Words) -> pa.Array:
+    """The words as strings: all bytes but those that part them, one word after the other."""
+    offsets = np.zeros(len(words) + 1, np.int64)
+    np.cumsum(words.end - words.start, out=offsets[1:])
+    return pa.Array.from_buffers(pa.large_string(), len(words), [None, pa.py_buffer(offsets), pa.py_buffer(words.raw[~_GAP[words.raw]])])
 
 
 def _lang_hashes(langs: pa.Array) -> np.ndarray:
@@ -60,7 +58,7 @@ class Runs:
     def __init__(self, langs: pa.Array, texts: pa.Array):
         words = Words(texts, lower=True, gaps=_GAP)
         spoken = langs.dictionary_encode()
-        coded = _strings(words.start, words.end, words.raw).dictionary_encode()
+        coded = _strings(words).dictionary_encode()
         many = max(1, len(coded.dictionary))
         text = np.repeat(np.arange(len(texts)), words.counts)
         both = spoken.indices.to_numpy()[text].astype(np.int64) * many + coded.indices.to_numpy()
@@ -138,7 +136,7 @@ def _texts(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
     return docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
 
 
-def count_level(texts: DataFrame, k: int, shared=None, limit: int = 8 << 20) -> DataFrame:
+def count_level(texts: DataFrame, k: int, shared=None, limit: int = 4 << 20) -> DataFrame:
     """(lang, phrase, n) of runs of k words over all texts; ``shared`` is the broadcast bit table of the level below."""
 
     def run(batches):

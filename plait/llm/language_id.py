@@ -4,10 +4,9 @@ Texts are lower-cased first.  Sizes alone decide: how often a language occurs co
 the likelihoods exp(-bytes / temperature).
 
 Every language of the training rows is learned.  ``fit`` reads a bounded sample: at most ``max_texts`` texts a language, chosen by a seeded hash of the id, of which
-a piece of up to ``piece`` characters each, at a place that the hash draws, goes into a dictionary of at most ``dict_bytes``.  ``predict`` encodes every whole text, in
-chunks of ``chunk`` bytes so that long texts keep depending on the dictionary, once with each dictionary, and sums the
-sizes; a text of fewer than ``short`` bytes, which would mostly be stored as it is, stands behind pieces of each dictionary, and what it adds to their
-sizes counts.  Of more than ``max_langs`` languages each has a share of that many languages' texts and bytes.  A narrow margin between the two smallest sizes marks a prediction as rejected.
+a piece of up to ``piece`` characters each, at a place that the hash draws, goes into a dictionary of at most ``dict_bytes``.  ``predict`` encodes every whole text
+once with each dictionary and sums the sizes: its first ``head`` bytes behind the last ``tail`` bytes of the dictionary, of which what they add counts (alone, a few words would be stored as they
+are), the rest in chunks of ``chunk`` bytes, so that long texts keep depending on the dictionary.  Texts of any length are measured in this one way.  Of more than ``max_langs`` languages each has a share of that many languages' texts and bytes.  A narrow margin between the two smallest sizes marks a prediction as rejected.
 
 Defined results: a null text, or one without any letter, is ``und`` with score 0; without any training text every
 text is ``und``; full ties go to the language first in alphabetical order; repeated rows give repeated rows.
@@ -33,8 +32,9 @@ class Settings:
     dict_bytes: int = 112 << 10
     max_langs: int = 256
     chunk: int = 1024
-    #: texts of fewer bytes are encoded behind pieces of the dictionary
-    short: int = 48
+    #: so many first bytes of a text are encoded, more thoroughly, behind so many last bytes of the dictionary: alone a short text would be stored as it is
+    head: int = 256
+    tail: int = 200
     min_match: int = 4
     search_log: int = 4
     #: margins (second smallest size over smallest, less 1) under this are rejected
@@ -88,26 +88,17 @@ def _classifier(model: dict[str, bytes], settings: Settings):
 
     packs = [packer(content, zstandard.STRATEGY_LAZY2, min_match=settings.min_match, search_log=settings.search_log) for content in model.values()]
     langs, fine = list(model), []
-
-    def short(data: bytes) -> list[int]:
-        """What the text adds to the encodings of a few pieces of each dictionary: alone it would mostly be stored as it is."""
-        if not fine:
-            for content in model.values():
-                pack = packer(content, zstandard.STRATEGY_BTULTRA, min_match=3, search_log=5)
-                ends = [len(content) - 37 * j for j in range(3) if len(content) > 37 * j]
-                parts = [content[max(0, e - 300) : e] for e in ends]
-                fine.append((pack, parts, sum(len(pack(p)) for p in parts)))
-        return [max(1, sum(len(pack(p + data)) for p in parts) - alone) for pack, parts, alone in fine]
+    for content in model.values():
+        pack, tail = packer(content, zstandard.STRATEGY_BTULTRA, min_match=3, search_log=settings.search_log), content[-settings.tail :]
+        fine.append((pack, tail, len(pack(tail))))
 
     def one(text: str | None) -> tuple:
         if not text or not langs or not any(map(str.isalpha, text)):
             return UNKNOWN, 0.0, 0.0, True
-        data = memoryview(text.lower().encode())
-        if len(data) < settings.short:
-            sizes = short(bytes(data))
-        else:
-            cuts = [data[i : i + settings.chunk] for i in range(0, len(data), settings.chunk)]
-            sizes = [sum(len(pack(c)) for c in cuts) for pack in packs]
+        data = text.lower().encode()
+        head, rest = data[: settings.head], memoryview(data)[settings.head :]
+        cuts = [rest[i : i + settings.chunk] for i in range(0, len(rest), settings.chunk)]
+        sizes = [max(1, len(first(tail + head)) - alone + sum(len(pack(c)) for c in cuts)) for (first, tail, alone), pack in zip(fine, packs)]
         best = min(range(len(sizes)), key=sizes.__getitem__)
         low = sizes[best]
         margin = min((s for i, s in enumerate(sizes) if i != best), default=2 * low) / low - 1

@@ -12,7 +12,7 @@ repository).  Only live values come back to the documents, over a join salted by
 
 Defined results: a null text is an empty one; a null owner or repository counts as one of its own; repeated rows give
 repeated rows; a candidate that overlaps a base span or an earlier candidate is not reported again; an empty table
-gives an empty table.
+gives an empty table; very long texts are scanned whole, in time that follows their length; other columns may have any name that does not begin with two underscores.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ from dataclasses import dataclass
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from .common import kept_type, materialize, release
+from .common import free_names, kept_type, materialize, release
 
 #: Kinds in the order in which spans with one start are listed.  A run of hex digits, or of letters and digits after AKIA, is
 #: matched whole, so asking for its least length in the pattern gives the same matches as dropping short ones afterwards; a short
@@ -41,11 +41,12 @@ BASE = (
 MORE = (
     ("pem", re.compile(r"-----BEGIN [A-Z ]*PRIVATE KEY-----[A-Za-z0-9+/=\s]+-----END [A-Z ]*PRIVATE KEY-----"), ("PRIVATE KEY-----",)),
     ("url", re.compile(r"\b[a-z][a-z0-9+.-]{1,20}://[^\s:/@]+:([^\s:/@]{6,})@[A-Za-z0-9.-]+"), ("://",)),
-    ("jwt", re.compile(r"\beyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}"), ("eyJ",)),
+    ("jwt", None, ("eyJ",)),  # found by ``token_spans``
     ("provider", re.compile(r"\b(?:gh[pousr]_[A-Za-z0-9]{30,}|xox[abprs]-[A-Za-z0-9-]{20,}|sk_live_[A-Za-z0-9]{16,}|AIza[A-Za-z0-9_-]{30,}|glpat-[A-Za-z0-9_-]{18,})"), ("gh", "xox", "sk_live_", "AIza", "glpat-")),
     ("mixed", re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{32,}(?![A-Za-z0-9+/_=-])"), ("",)),
 )
 KINDS = {kind: n for n, kind in enumerate([k[0] for k in BASE] + [k[0] for k in MORE])}
+_DOTTED, _TOKEN = re.compile(r"[A-Za-z0-9_.-]+"), re.compile(r"\beyJ")
 _PLACEHOLDER = re.compile(r"(?i)example|sample|dummy|placeholder|changeme|your[_-]|xxxx|test|0123456789|abcdefgh")
 
 
@@ -73,6 +74,29 @@ def base_spans(text: str) -> list[tuple[str, int, int, str]]:
     return sorted(found, key=lambda x: (x[1], KINDS[x[0]]))
 
 
+def token_spans(text: str) -> list[tuple[int, int]]:
+    """JSON web tokens: three parts of letters, digits, _ and - between dots, at least 10 long, the first from an ``eyJ`` at the edge of a word.  Every run of
+    such characters and dots is cut at its dots once, so a text of many beginnings takes no longer than another."""
+    found = []
+    for run in _DOTTED.finditer(text):
+        if text.find("eyJ", run.start(), run.end()) < 0:
+            continue
+        parts, at = [], run.start()
+        for part in run[0].split("."):
+            parts.append((at, at + len(part)))
+            at += len(part) + 1
+        i = 0
+        while i + 2 < len(parts):
+            a, b = parts[i]
+            begin = _TOKEN.search(text, a, b)
+            if begin and b - begin.start() >= 13 and all(y - x >= 10 for x, y in parts[i + 1 : i + 3]):
+                found.append((begin.start(), parts[i + 2][1]))
+                i += 3
+            else:
+                i += 1
+    return found
+
+
 def live_looking(kind: str, value: str, s: Settings) -> bool:
     if kind == "pem":
         return True
@@ -84,27 +108,20 @@ def live_looking(kind: str, value: str, s: Settings) -> bool:
 def more_spans(text: str, held: list[tuple], s: Settings) -> list[tuple[str, int, int, str]]:
     """Live-looking candidates of the further kinds that overlap nothing held."""
     starts, ends = [], []  # what is taken, as disjoint spans in order
-
-    def take(a: int, b: int) -> None:
-        i, j = bisect.bisect_right(ends, a), bisect.bisect_left(starts, b)
-        if i < j:
-            a, b = min(a, starts[i]), max(b, ends[j - 1])
-        starts[i:j], ends[i:j] = [a], [b]
-
-    for x in held:
-        take(x[1], x[2])
+    for _, a, b, _ in held:  # by start
+        if ends and a < ends[-1]:
+            ends[-1] = max(ends[-1], b)
+        else:
+            starts.append(a)
+            ends.append(b)
     found = []
     for kind, pattern, parts in MORE:
         if not any(part in text for part in parts):
             continue
-        new = []
-        for m in pattern.finditer(text):
-            value = m[m.lastindex or 0]
-            if live_looking(kind, value, s) and bisect.bisect_right(ends, m.start()) == bisect.bisect_left(starts, m.end()):
-                new.append((kind, m.start(), m.end(), value))
+        spans = ((a, b, text[a:b]) for a, b in token_spans(text)) if pattern is None else ((m.start(), m.end(), m[m.lastindex or 0]) for m in pattern.finditer(text))
+        new = [(kind, a, b, value) for a, b, value in spans if bisect.bisect_right(ends, a) == bisect.bisect_left(starts, b) and live_looking(kind, value, s)]
         found += new
-        for _, a, b, _ in new:  # matches of one pattern never overlap
-            take(a, b)
+        starts, ends = sorted([*starts, *(x[1] for x in new)]), sorted([*ends, *(x[2] for x in new)])  # matches of one pattern never overlap
     return found
 
 
@@ -125,8 +142,9 @@ def _scan(s: Settings):
 
 
 def row_key(*columns: str) -> Column:
-    """A key of a row's values; repeated rows share it."""
-    return F.md5(F.concat_ws("\1", *[F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in columns]))
+    """A key of a row's values; repeated rows share it, other rows never: every value stands with its length, a null without."""
+    told = [F.coalesce(F.concat(F.length(F.col(c).cast("string")), F.lit(":"), F.col(c).cast("string")), F.lit("-")) for c in columns]
+    return F.sha2(F.concat(*told).cast("binary"), 256)
 
 
 _FOUND = T.ArrayType(T.StructType([T.StructField("kind", T.StringType()), T.StructField("start", T.LongType()), T.StructField("end", T.LongType()), T.StructField("hash", T.StringType()), T.StructField("base", T.BooleanType())]))
@@ -173,14 +191,18 @@ def _judged(rows: DataFrame, spans: Column, live: DataFrame, s: Settings) -> Dat
 
 def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", repo_col: str = "doc_id", owner_col: str = "source", settings: Settings = Settings()) -> DataFrame:
     """Per document its id, ``row`` (row_key of id, repository, owner and text) and ``spans``: array of (kind, start, end, hash, base, repos, owners, verdict) by start, in code
-    points; verdict is ``live`` or ``example``, whose counts are null.  Base spans are all there, others only if live."""
+    points; verdict is ``live`` or ``example``, whose counts are null.  Base spans are all there, others only if live.  If the id column has one of these names, the other gets
+    a trailing underscore."""
     s = settings
+    row, spans = free_names(("row", "spans"), [id_col])
     rows = candidates(docs, [id_col], id_col, text_col, repo_col, owner_col, s)
     judged = _judged(rows, F.col("__found"), _live(rows, s), s)
     order = F.create_map(*[F.lit(x) for kind, n in KINDS.items() for x in (kind, n)])
     kept = judged.where(F.col("base") | (F.col("verdict") == "live"))
     listed = kept.groupBy("row").agg(F.array_sort(F.collect_list(F.struct(F.col("start"), order[F.col("kind")].alias("rank"), F.col("end"), F.col("kind"), F.col("hash"), F.col("base"), F.col("repos"), F.col("owners"), F.col("verdict")))).alias("spans"))
-    return rows.select(F.col("__row").alias("row"), id_col).join(listed, "row", "left").select(id_col, "row", F.coalesce("spans", F.array().cast(listed.schema["spans"].dataType)).alias("spans"))
+    listed = listed.select(F.col("row").alias("__row"), F.col("spans").alias("__spans"))
+    none = F.array().cast(listed.schema["__spans"].dataType)
+    return rows.select("__row", id_col).join(listed, "__row", "left").select(id_col, F.col("__row").alias(row), F.coalesce("__spans", none).alias(spans))
 
 
 def redacted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", repo_col: str = "doc_id", owner_col: str = "source", settings: Settings = Settings()) -> DataFrame:

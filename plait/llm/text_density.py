@@ -5,8 +5,13 @@ sum of the children's densities picks the content subtree: the container with th
 path from it to the body is the threshold that any element beside the path must reach to belong to the content as well.
 An article around the subtree (the outermost one) belongs to it whole, with headings and other short blocks; so does a
 main without article, but for blocks beside the subtree that miss the threshold and are links for more than half.
+Where there is neither, short blocks beside the path belong to the content by their place, since no density can tell a headline: the heading before the content and what
+lies between, paragraphs and lists between blocks that reach the threshold, and those that follow the last one at once.
+
 Elements that by their tag, role, class or id are menus, headers, footers, sidebars,
-notices, adverts, forms or comments never count, but a class, role or id alone never switches off the page's article.
+notices, adverts, forms or comments never count, but a class, role or id alone never switches off the page's article.  Names are weighed in two ways: one made of
+such words only decides by itself; one that says comments, consent, promotion or the like among other words decides unless the element holds what the page would be without (``_switch_off``).
+Elements after the text that repeat one structure of a name, a time or a reply link and a few words are reader comments, whatever they are called (``_threads``).
 
 Unclosed and misnested tags are repaired as browsers do for the common cases.  Nothing recurses, and what is open is known by tag, so time grows
 with the page alone, however deep it is.
@@ -47,16 +52,22 @@ MARKS = frozenset(
 )
 #: Words that stand beside such a word in a name without changing what it says; any other word does.
 PLAIN = frozenset("site main primary secondary left right top bottom area container wrapper box bar block section list links link item items inner posts buttons icons".split())
+#: Words that say within any name what an element is for.
+TELLING = frozenset(
+    "advert adverts advertisement advertising sponsor sponsored promo promos promotion breadcrumb breadcrumbs cookie cookies consent gdpr popup newsletter subscribe subscription "
+    "signup login comment comments discussion discussions disqus respond replies".split()
+)
+#: Blocks that belong to the content by their place beside it.
+SIMPLE = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl table blockquote pre figure hgroup".split())
 _TOKEN = re.compile(r"[a-z]+")
 
 
 def _marks(value: str) -> set:
-    """The marks among whole names: of a name like ``site-footer`` each word must be a mark or plain."""
+    """The marks among names: each word of a name like ``site-footer`` is a mark or plain, or one of any name's words is telling."""
     found = set()
     for name in value.lower().split():
         words = set(_TOKEN.findall(name))
-        if words <= MARKS | PLAIN:
-            found |= words & MARKS
+        found |= words & (MARKS if words <= MARKS | PLAIN else TELLING)
     return found
 
 
@@ -65,7 +76,7 @@ class _Tree(HTMLParser):
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.tag, self.parent, self.off, self.marked = ["body"], [-1], [False], [False]
+        self.tag, self.parent, self.off, self.marked, self.names = ["body"], [-1], [False], [False], [""]
         self.tags, self.chars, self.link_tags, self.link_chars = [0], [0], [0], [0]
         self.texts: list[tuple[int, str]] = []
         self.stack, self.link = [0], False
@@ -154,6 +165,7 @@ class _Tree(HTMLParser):
         here = self.stack[-1]
         self.tag.append(tag)
         self.parent.append(here)
+        self.names.append(next((value or "" for name, value in attrs if name == "class"), ""))
         bad = self._bad(tag, attrs)
         self.off.append(self.off[here] or bad == "off")
         self.marked.append(bad == "marked")
@@ -191,7 +203,8 @@ class _Tree(HTMLParser):
 
 def _switch_off(tree: _Tree) -> None:
     """Marked elements go off with all they hold, but for those that hold the page's article: one with more text than any article
-    or main outside marks or, where no such has text, more than half of the page's text."""
+    or main outside marks or, where no such has text, more than half of the page's text; or one within an article or main that without it would have
+    less than a quarter of the text that it holds."""
     n = len(tree.tag)
     if any(tree.marked):
         under = [False] * n
@@ -199,6 +212,9 @@ def _switch_off(tree: _Tree) -> None:
             under[i] = tree.marked[i] or under[tree.parent[i]]
         whole, net, largest = list(tree.chars), list(tree.chars), [0] * n  # all text; without marked parts; of the largest article in it
         outside = 0
+        frame = [0] * n  # the article or main around an element, or the page
+        for i in range(1, n):
+            frame[i] = tree.parent[i] if tree.tag[tree.parent[i]] in ("article", "main") else frame[tree.parent[i]]
         for i in range(n - 1, 0, -1):
             p = tree.parent[i]
             if tree.tag[i] in ("article", "main") and not tree.off[i]:
@@ -208,12 +224,54 @@ def _switch_off(tree: _Tree) -> None:
             net[p] += 0 if tree.marked[i] else net[i]
             largest[p] = max(largest[p], largest[i])
         for i in range(1, n):
-            if tree.marked[i] and (largest[i] > outside or (not outside and 2 * whole[i] > whole[0])):
+            alone = frame[i] and 5 * whole[i] > 4 * whole[frame[i]]
+            if tree.marked[i] and (alone or largest[i] > outside or (not outside and 2 * whole[i] > whole[0])):
                 tree.marked[i] = False
     for i in range(1, n):
         tree.off[i] = tree.off[i] or tree.marked[i] or tree.off[tree.parent[i]]
 
 
+def _threads(tree: _Tree, home: int, chars: list[int]) -> list[int]:
+    """Elements of the article that hold a thread of reader comments: the last of its children with text, at least three of whose children in a row are alike (tag, names and the tags of
+    their children in order), each with a stub of at most 60 characters (a short block, or words beside its blocks), and which hold less text than the rest of the article."""
+    kids: dict[int, list[int]] = {}
+    for i in range(1, len(tree.tag)):
+        if not tree.off[i]:
+            kids.setdefault(tree.parent[i], []).append(i)
+    held = [i for i in kids.get(home, []) if chars[i]]
+    found = []
+    while len(held) > 1 and tree.tag[held[-1]] in ("section", "div", "ul", "ol"):
+        last = held.pop()
+        inner = kids.get(last, [])
+        if len(inner) == 1:  # a wrapper around the thread
+            inner = kids.get(inner[0], [])
+        shape = lambda i: (tree.tag[i], tree.names[i], tuple(tree.tag[j] for j in kids.get(i, [])))
+        alike = [i for i in inner if tree.tag[i] in ("div", "li", "article", "section") and len(kids.get(i, [])) + (tree.chars[i] > 0) > 1]
+        same = max((sum(shape(i) == s for i in alike) for s in {shape(i) for i in alike}), default=0)
+        stub = [i for i in alike if 0 < tree.chars[i] <= 60 or any(0 < chars[j] <= 60 and tree.tag[j] not in ("h2", "h3", "h4") for j in kids[i])]
+        if same < 3 or len(stub) < 3 or 2 * len(stub) < len(inner) or 2 * chars[last] > chars[home]:
+            break
+        found.append(last)
+    return found
+
+
+def _beside(tree: _Tree, kids: list[int], on_path: set, density: list[float], threshold: float, chars: list[int], link_chars: list[int], titled: list[bool]) -> set[int]:
+    """Of the children of an element on the path, which is no article, those that belong to the content: dense ones, and short ones by their place."""
+    picked = [i for i in kids if i in on_path or density[i] >= threshold > 0]
+    prose = [tree.tag[i] in SIMPLE and chars[i] > 0 and 2 * link_chars[i] <= chars[i] for i in kids]
+    first, last = kids.index(picked[0]), kids.index(picked[-1])
+    out = set(picked) | {i for i, ok in zip(kids[first:last], prose[first:last]) if ok}
+    if not any(titled[i] for i in out):
+        head = next((n for n in range(first - 1, -1, -1) if titled[kids[n]] and chars[kids[n]] <= 400), None)
+        if head is not None:
+            out |= {kids[head]} | {i for i, ok in zip(kids[head:first], prose[head:first]) if ok}
+    for i, ok in zip(kids[last + 1 :], prose[last + 1 :]):
+        if not ok:
+            break
+        out.add(i)
+    return out
+
+
 def _density(c: int, t: int, lc: int, lt: int, ratio: float) -> float:
     """Characters per tag, its logarithm's base growing with the share of links (composite text density)."""
     if not c:
@@ -257,18 +315,29 @@ def main_text(html: str | None) -> str:
     threshold, on_path = min(density[i] for i in path), set(path)
     home = next((i for i in reversed(path) if tree.tag[i] == "article"), next((i for i in path if tree.tag[i] == "main"), best))
     within = set(path[: path.index(home) + 1])
+    titled, kids = [t == "h1" for t in tree.tag], {}
+    for i in range(n - 1, 0, -1):
+        titled[tree.parent[i]] |= titled[i] and not tree.off[i]
+    for i in range(1, n):
+        if tree.parent[i] in on_path and tree.parent[i] not in within and not tree.off[i]:
+            kids.setdefault(tree.parent[i], []).append(i)
+    whole = tree.tag[home] in ("article", "main")
+    beside = {i for p, mine in kids.items() for i in (_beside(tree, mine, on_path, density, threshold, chars, link_chars, titled) if not whole else [i for i in mine if density[i] >= threshold > 0])}
+    for i in _threads(tree, home, chars):
+        tree.off[i] = True
     chosen = [False] * n
     chosen[home] = True
     for i in range(1, n):  # parents come first
         p = tree.parent[i]
-        if tree.off[i]:
+        if tree.off[i] or (tree.off[p] and p):
+            tree.off[i] = True
             continue
         if i in on_path:
             chosen[i] = i in within
         elif p in within and p != best and tree.tag[home] == "main":
             chosen[i] = density[i] >= threshold or 2 * link_chars[i] <= chars[i]
         elif p in on_path and p not in within:
-            chosen[i] = density[i] >= threshold > 0
+            chosen[i] = i in beside
         else:
             chosen[i] = chosen[p]
     blocks, now, last = [], [], -1

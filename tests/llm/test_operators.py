@@ -246,11 +246,9 @@ def test_op2_equals_brute_force(spark):
     for i, text in enumerate(texts):
         data, sizes = text.lower().encode(), {}
         for lang, c in sorted(model.items()):
-            if len(data) >= s.short:
-                sizes[lang] = sum(size(c, data[j : j + s.chunk], zstandard.STRATEGY_LAZY2, min_match=4, search_log=4) for j in range(0, len(data), s.chunk))
-            else:
-                heads = [c[max(0, len(c) - 37 * j - 300) : len(c) - 37 * j] for j in range(3)]
-                sizes[lang] = max(1, sum(size(c, h + data, zstandard.STRATEGY_BTULTRA, min_match=3, search_log=5) - size(c, h, zstandard.STRATEGY_BTULTRA, min_match=3, search_log=5) for h in heads))
+            thorough = lambda x: size(c, x, zstandard.STRATEGY_BTULTRA, min_match=3, search_log=4)  # noqa: E731, B023
+            head = thorough(c[-s.tail :] + data[: s.head]) - thorough(c[-s.tail :])
+            sizes[lang] = max(1, head + sum(size(c, data[j : j + s.chunk], zstandard.STRATEGY_LAZY2, min_match=4, search_log=4) for j in range(s.head, len(data), s.chunk)))
         low, second = sorted(sizes.values())[:2]
         assert got[i]["lang_pred"] == min(k for k in sizes if sizes[k] == low) and abs(got[i]["margin"] - (second / low - 1)) < 1e-9
         assert got[i]["rejected"] == (second / low - 1 < s.min_margin)
@@ -258,6 +256,36 @@ def test_op2_equals_brute_force(spark):
     assert right >= 38
 
 
+def test_op5_takes_linear_time():
+    """Every pattern on 10 MB of text that makes it begin again and again."""
+    for part in ("-eyJabcdefghijkl", "eyJabcdefghijkl.", "-----BEGIN AAAA ", "-----BEGIN PRIVATE KEY-----ab", "a.a-a+", "aa://bbbb:cccccc", "ghp_abcdefghij", "xoxb-1-", "AIzaSy", "AKIAB", "0123456789abcdef", "password   ", "token=\"", "secret:  'a", "ab0Z+/", "x" * 40 + " "):
+        text = part * (10_000_000 // len(part))
+        began = time.perf_counter()
+        held = S.base_spans(text)
+        S.more_spans(text, held, S.Settings())
+        assert time.perf_counter() - began < 60, part
+
+
+def test_op5_tokens_equal_the_pattern():
+    pattern = re.compile(r"\beyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}")
+    rng = np.random.default_rng(3)
+    pieces = ["eyJ", "abcdefghij", "a", ".", ".", "-", "_", " ", "\u00e9", "eyJhbGciOiJIUzI", "=", "x" * 12]
+    for _ in range(3000):
+        text = "".join(rng.choice(pieces, int(rng.integers(1, 30))))
+        assert S.token_spans(text) == [m.span() for m in pattern.finditer(text)], text
+
+
+def test_row_keys_and_names(spark):
+    """Rows are told apart whatever their values hold, and id columns may have any name."""
+    rows = spark.createDataFrame([("a\1b", "c"), ("a", "b\1c"), (None, "c"), ("\0", "c"), ("1:a", None), (None, "1:a")], "x string, y string")
+    assert rows.select(S.row_key("x", "y").alias("k")).distinct().count() == 6
+    docs = spark.createDataFrame([(1, "password = hunter22", "s")], "row long, text string, source string")
+    for name in ("row", "spans"):
+        named = docs.withColumnRenamed("row", name)
+        got = S.scan_secrets(named, id_col=name, repo_col=name)
+        assert len(set(got.columns)) == 3 and got.first()[name] == 1
+
+
 def test_op2_learns_every_language(spark):
     alphabet = "abcdefghijklmnopqrstuvwxyz"
     say = lambda n: " ".join(c * 2 + c.upper() + alphabet[(i + n) % 26] for i, c in enumerate(alphabet[n % 26] + chr(0x4E00 + n)) for _ in range(3)) + f" {chr(0x4E00 + n) * 12}"
@@ -345,10 +373,48 @@ def brute_main_text(tree):
     path = path_to_best or [tree]
     threshold = min(map(density, path))
     home = next((x for x in path if x[0] == "article"), next((x for x in reversed(path) if x[0] == "main"), path[-1]))
+    short = lambda x: x[0] in H4.SIMPLE and size(x)[0] > 0 and 2 * size(x)[2] <= size(x)[0]
+    is_path = lambda x: any(x is p for p in path)
+    titled = lambda x: not isinstance(x[1], str) and (x[0] == "h1" or any(map(titled, x[1])))
+
+    def beside(kids):
+        """By place: what is dense, short blocks from the headline on or between dense ones, and those at once after the last."""
+        dense = [is_path(x) or density(x) >= threshold > 0 for x in kids]
+        first, last = dense.index(True), len(dense) - 1 - dense[::-1].index(True)
+        own = [d or (first < n < last and short(x)) for n, (d, x) in enumerate(zip(dense, kids))]
+        heads = [n for n in range(first) if titled(kids[n]) and size(kids[n])[0] <= 400]
+        if heads and not any(titled(x) for x, o in zip(kids, own) if o):
+            own = [o or n == heads[-1] or (heads[-1] <= n < first and short(kids[n])) for n, o in enumerate(own)]
+        for n in range(last + 1, len(kids)):
+            if not short(kids[n]):
+                break
+            own[n] = True
+        return own
+
+    def stubbed(node):
+        """A comment: some words of its own, or a short block, beside others."""
+        inner, words = blocks(node), sum(len(x[1].replace(" ", "")) for x in node[1] if isinstance(x[1], str))
+        return node[0] in ("div", "li", "article", "section") and len(inner) + (words > 0) > 1, 0 < words <= 60 or any(0 < size(x)[0] <= 60 and x[0] not in ("h2", "h3", "h4") for x in inner)
+
+    threads, held = [], [x for x in blocks(home) if size(x)[0]]
+    while len(held) > 1 and held[-1][0] in ("section", "div", "ul", "ol"):
+        inner = blocks(held[-1])
+        inner = blocks(inner[0]) if len(inner) == 1 else inner
+        alike = [x for x in inner if stubbed(x)[0]]
+        shapes = [(x[0], tuple(y[0] for y in blocks(x))) for x in alike]
+        stubs = sum(stubbed(x)[1] for x in alike)
+        if max(map(shapes.count, shapes), default=0) < 3 or stubs < 3 or 2 * stubs < len(inner) or 2 * size(held[-1])[0] > size(home)[0]:
+            break
+        threads.append(held.pop())
 
     def take(node, chosen):
         out, now = [], []
+        place = None
+        if is_path(node) and not any(node is p for p in path[next(i for i, p in enumerate(path) if p is home) :]) and home[0] not in ("article", "main") and blocks(node):
+            place = {id(x): o for x, o in zip(blocks(node), beside(blocks(node)))}
         for x in node[1]:
+            if any(x is t for t in threads):
+                continue
             if isinstance(x[1], str):
                 now += [x[1]] if chosen else []
                 continue
@@ -360,7 +426,7 @@ def brute_main_text(tree):
             elif under and node is not path[-1] and home[0] == "main":
                 own = density(x) >= threshold or 2 * size(x)[2] <= size(x)[0]
             elif above and not under:
-                own = density(x) >= threshold > 0
+                own = place[id(x)] if place is not None else density(x) >= threshold > 0
             else:
                 own = chosen
             found = take(x, own)
@@ -383,8 +449,8 @@ def test_op4_equals_brute_force():
             if leaf or kind < 2 or depth == 0:
                 kids.append(("#" if draw(4) else "a", " ".join("w" * (1 + draw(8)) for _ in range(1 + draw(12))) + " "))
             else:
-                tag = ("div", "section", "div", "article", "main", "p")[draw(6)]
-                kids.append((tag, grow(depth - 1, tag == "p")))
+                tag = ("div", "section", "div", "article", "main", "p", "ul", "h1")[draw(6 + 2 * draw(2))]
+                kids.append((tag, grow(depth - 1, tag in ("p", "h1"))))
         return kids
 
     html = lambda node: node[1] if node[0] == "#" else f"<a href=x>{node[1]}</a>" if node[0] == "a" else "".join(map(html, node[1])) if node[0] == "body" else f"<{node[0]}>{''.join(map(html, node[1]))}</{node[0]}>"
@@ -393,6 +459,32 @@ def test_op4_equals_brute_force():
         assert H4.main_text("<body>" + html(tree) + "</body>") == brute_main_text(tree)
 
 
+def test_op4_heads_lists_and_comments():
+    """Without an article heading, lead and list stay by their place; comments, consent and promotion go by any name that says so, threads by their structure; names of wrappers
+    never cost an article."""
+    para = lambda k, n=1: "".join(f"<p>{f'Paragraph {k}{i} tells about the council and its long debate on the budget of the town. ' * 3}</p>" for i in range(n))
+    menu = "<div class='nav-x'><a href=1>Home page link</a> <a href=2>Other link here</a></div>"
+    for page in (
+        f"<body>{menu}<div><h1>Title of it</h1><p>lead words</p><div>{para('a', 10)}</div><div>{para('b', 4)}</div><ul><li>one item</li><li>two items</li></ul></div><div>Copyright 2024</div></body>",
+        f"<body>{menu}<h1>Title of it</h1><p>lead words</p><div>{para('a', 10)}</div><p>short</p><div>{para('b', 4)}</div><ul><li>one item</li></ul><div>Copyright 2024</div></body>",
+        f"<body>{menu}<div><div class=top><h1>Title of it</h1></div><p>lead words</p><div>{para('a', 10)}{para('b', 4)}</div><ul><li>one item</li></ul></div><div>Copyright 2024</div></body>",
+    ):
+        text = H4.main_text(page)
+        assert all(x in text for x in ("Title of it", "lead words", "Paragraph a9", "Paragraph b3", "one item")) and "Home page" not in text and "Copyright" not in text
+    for name in ("user-comments", "reader-discussion", "cookie-banner-text", "promo-teaser", "comments", "newsletter_box"):
+        for tag, attribute in (("section", "id"), ("div", "class")):
+            inside = H4.main_text(f"<body><article><h1>T</h1>{para('a', 8)}<{tag} {attribute}='{name}'>{para('zz', 5)}</{tag}></article></body>")
+            assert "Paragraph a7" in inside and "zz" not in inside
+            long = H4.main_text(f"<body><article><h1>T</h1>{para('a', 8)}<{tag} {attribute}='{name}'>{para('zz', 20)}</{tag}></article></body>")
+            assert "Paragraph a7" in long and "zz" not in long
+    comment = lambda i: f"<div class='x'><b class='who'>Ann {i}</b> <span>2 May</span><p>I think that this is a fine idea, number {i}.</p></div>"
+    thread = H4.main_text(f"<body><article><h1>T</h1>{para('a', 8)}<div class='talkback'><h3>Readers say</h3>{''.join(map(comment, range(5)))}</div></article></body>")
+    assert "Paragraph a7" in thread and "fine idea" not in thread
+    for name in ("layout has-sidebar", "no-comments", "search-page", "has-newsletter-signup", "comments-enabled content"):
+        for page in (f"<div class='{name}'><article><h1>T</h1>{para('a', 8)}</article></div>", f"<article><div class='{name}'><h1>T</h1>{para('a', 8)}</div></article>", f"<div class='{name}'><h1>T</h1>{para('a', 8)}</div>"):
+            assert "Paragraph a7" in H4.main_text(f"<body>{page}</body>")
+
+
 def test_op4_deep_pages():
     began = time.perf_counter()
     n = 100_000
@@ -423,6 +515,7 @@ def brute_secrets(rows, s):
         text = text or ""
         spans = [(k, m.start(), m.end(), m[g], True) for k, p, g, least in S.BASE for m in p.finditer(text) if len(m[g]) >= least]
         for kind, p, _ in S.MORE:
+            p = p or re.compile(r"\beyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}")
             for m in p.finditer(text):
                 value = m[m.lastindex or 0]
                 if S.live_looking(kind, value, s) and all(m.end() <= a or m.start() >= b for _, a, b, _, _ in spans):
