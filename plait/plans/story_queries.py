@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..config import Config
 from ..functions import scoring as S
+from ..functions.text import near_duplicates, wording
 from ..operators import assign, conflicts, enrich, merge, models, pairs, recheck, reports, retrieval, stories as Y
 from .proxies import PX, articles, ntz, sql, stories, table
 
@@ -354,12 +355,9 @@ def pairs_best_by_ratio(spark, d):
 
 @query()
 def near_duplicate_titles(spark, d):
-    from ..functions.text import near_duplicate
-
-    rows = articles(spark, d).select("story_id", "id", "title", "snippet", "side")
-    left, right = rows.where("side = 'left'"), rows.where("side = 'right'")
-    both = left.toDF("story_id", "l", "lt", "ls", "x").join(right.toDF("story_id", "r", "rt", "rs", "y"), "story_id")
-    return both.where(near_duplicate(F.col("lt"), F.col("ls"), F.col("rt"), F.col("rs"))).select("story_id", "l", "r")
+    rows = articles(spark, d).select("story_id", "id", "side", wording(F.col("title"), F.col("snippet")).alias("w"))
+    left, right = rows.where("side = 'left'").toDF("story_id", "l", "x", "a"), rows.where("side = 'right'").toDF("story_id", "r", "y", "b")
+    return near_duplicates(left.join(right, "story_id"), "a", "b").select("story_id", "l", "r")
 
 
 def _px_pairs(spark, d):

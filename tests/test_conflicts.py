@@ -234,3 +234,106 @@ def test_several_tasks_work(spark):
         conflicts.assign.assign_in_order = run
     assert seen[0] >= 20
     assert conflicts.assign_side_by_side(frame(spark, rows).limit(0)).collect() == []
+
+
+def pair_members(rng, n, outlets, kinds, hours, axes):
+    rows = []
+    for i in range(n):
+        held = sorted(set(rng.choice(axes, int(rng.integers(0, 3))).tolist())) if len(axes) else []
+        rows.append({
+            "story_id": "s", "side": "left" if rng.integers(0, 2) else "right", "id": int(i), "outlet": None if rng.integers(0, 40) == 0 else f"o{rng.integers(0, outlets)}", "article_type": [None, "news", "opinion", "live"][int(rng.integers(0, 4))],
+            "direction": [None, "supports", "opposes", "critical_of_left", "critical_of_right"][int(rng.integers(0, 5))], "confidence": float(rng.choice([0.2, 0.5, 0.9])), "axes": held, "at": int(rng.integers(0, max(1, int(hours * 12)))) * 300_000_000 + int(rng.integers(0, 3)),
+            "has_image": bool(rng.integers(0, 2)), "has_snippet": True, "title": f"t{rng.integers(0, kinds)}", "snippet": "", "outlets": None,
+        })
+    return rows
+
+
+def plain_best(rows, current):
+    """Every pair's score by the definition; the highest, then the least ids."""
+    from plait.functions.scoring import OPPOSED
+    from plait.operators.pair_blocks import _rounded
+
+    best = None
+    for a in (r for r in rows if r["side"] == "left"):
+        for b in (r for r in rows if r["side"] == "right"):
+            if a["outlet"] is None or b["outlet"] is None or a["outlet"] == b["outlet"] or a["title"] == b["title"]:
+                continue
+            opposed = (a["direction"], b["direction"]) in OPPOSED and min(a["confidence"], b["confidence"]) >= 0.5
+            disjoint = bool(a["axes"]) and bool(b["axes"]) and not set(a["axes"]) & set(b["axes"])
+            score = 3.0 * opposed + 1.5 * disjoint + (1.0 if a["article_type"] == b["article_type"] else -1.0 if {a["article_type"], b["article_type"]} == {"news", "opinion"} else 0.0)
+            score = score - 1.5 * ("live" in (a["article_type"], b["article_type"])) + (a["has_image"] and b["has_image"]) + 0.5 - 0.02 * (abs(a["at"] - b["at"]) / 3.6e9)
+            if current:
+                score = score + 0.5 * (a["outlet"] not in current and b["outlet"] not in current)
+            key = (-_rounded(score), a["id"], b["id"], "opposing_stance" if opposed else "framing_contrast" if disjoint else "same_story", max(a["at"], b["at"]))
+            best = key if best is None or key < best else best
+    return best and (best[1], best[2], best[3], -best[0], best[4])
+
+
+def test_best_pairs_equal_every_pair():
+    import pandas as pd
+
+    from plait.operators import pair_blocks
+
+    rng = np.random.default_rng(8)
+    for n in range(150):
+        rows = pair_members(rng, int(rng.integers(2, 60)), int(rng.integers(1, 8)), int(rng.integers(1, 6)), float(rng.choice([0, 1, 40, 400])), [f"x{i}" for i in range(int(rng.choice([0, 2, 5, 60])))] + ["y"] * int(rng.integers(0, 2)))
+        current = [None, [], ["o0"], ["o0", "o1"]][n % 4]
+        m = pd.DataFrame(rows)
+        got = pair_blocks.best_of(m[m["side"] == "left"], m[m["side"] == "right"], current, "title", 0.9)
+        want = plain_best(rows, current)
+        assert (got and (*got[:3], got[3], int(got[4]))) == want, (n, got, want)
+
+
+def test_best_pair_of_200000_members():
+    """In well under a minute, also where most members are alike, share an axis or stand at one time."""
+    import time
+
+    import pandas as pd
+
+    from plait.operators import pair_blocks
+
+    rng = np.random.default_rng(9)
+    n = 200_000
+    base = pd.DataFrame({
+        "side": rng.choice(["left", "right"], n), "id": rng.permutation(n), "outlet": [f"o{i}" for i in rng.integers(0, 60, n)], "article_type": rng.choice(["news", "opinion", "explainer"], n),
+        "direction": rng.choice(["supports", "opposes", "neutral"], n), "confidence": 0.9, "axes": [[f"x{i}", "economy"] for i in rng.integers(0, 50_000, n)], "at": rng.integers(0, 500, n) * 3_600_000_000,
+        "has_image": rng.integers(0, 2, n).astype(bool), "has_snippet": True, "title": [f"t{i}" for i in rng.integers(0, 1000, n)], "snippet": "",
+    })
+    for change in ({}, {"title": "one and the same"}, {"outlet": "o1"}, {"at": 0}):
+        m = base.assign(**change)
+        began = time.perf_counter()
+        got = pair_blocks.best_of(m[m["side"] == "left"], m[m["side"] == "right"], None, "title", 0.9)
+        assert time.perf_counter() - began < 60 and (got is None) == bool({"title", "outlet"} & set(change)), change
+        assert got is None or got[3] == 5.5
+
+
+def test_bounds_of_the_block_ratio(spark):
+    """No pair that the ratio calls alike is left out, and of headlines that differ few are compared."""
+    from plait.functions import text as X
+    from plait.plans.proxies import articles as px
+
+    rng = random.Random(6)
+    alphabet = "abcde é."
+    pairs = lambda t: frozenset(X.bigrams(t))
+    kept = 0
+    for _ in range(4000):
+        a = "".join(rng.choice(alphabet) for _ in range(rng.randrange(0, 240)))
+        b = list(a)
+        for _ in range(rng.randrange(0, 1 + len(a) // 4)):
+            at = rng.randrange(0, len(b) + 1)
+            b[at : at + rng.randrange(0, 3)] = rng.choice(alphabet) * rng.randrange(0, 3)
+        b = "".join(b)
+        if a and b and X.block_ratio(a, b) >= 0.9:
+            kept += 1
+            assert X.may_be_alike(a, b, 0.9, pairs)
+    assert kept > 500
+    rows = px(spark, "/root/testdata/sf0.01").select("story_id", "id", "side", "title", "snippet").cache()
+    worded = rows.select("story_id", "id", "side", X.wording(F.col("title"), F.col("snippet")).alias("w"))
+    both = worded.where("side = 'left'").toDF("story_id", "l", "x", "a").join(worded.where("side = 'right'").toDF("story_id", "r", "y", "b"), "story_id")
+    plain = rows.where("side = 'left'").toDF("story_id", "l", "x", "lt", "ls").join(rows.where("side = 'right'").toDF("story_id", "r", "y", "rt", "rs"), "story_id")
+    want = {(r["l"], r["r"]) for r in plain.where(X.near_duplicate(F.col("lt"), F.col("ls"), F.col("rt"), F.col("rs"))).collect()}
+    assert {(r["l"], r["r"]) for r in X.near_duplicates(both, "a", "b").collect()} == want
+    compared = X.candidates_of(both, "a", "b").count()
+    before = plain.where("2 * least(length(lt), length(rt)) >= 0.9 * (length(lt) + length(rt)) or 2 * least(length(ls), length(rs)) >= 0.9 * (length(ls) + length(rs))").count()
+    assert len(want) <= compared < before / 10
+    rows.unpersist()
