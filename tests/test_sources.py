@@ -154,3 +154,58 @@ def test_views(spark, tmp_path):
     spark.createDataFrame([(1,), (2,)], "k int").write.parquet(str(tmp_path / "t"))
     tables.register_views(spark, str(tmp_path), ["t"])
     assert spark.sql("SELECT sum(k) AS s FROM t GROUP BY ROLLUP(k) ORDER BY s DESC LIMIT 1").first()["s"] == 3
+
+
+_AT_WORK, _MOST = {}, {}
+
+
+def slow_page(url):
+    import threading
+    import time
+    from urllib.parse import urlsplit
+
+    host = urlsplit(url).netloc
+    with _LOCK:
+        _AT_WORK[host] = _AT_WORK.get(host, 0) + 1
+        _MOST[host] = max(_MOST.get(host, 0), _AT_WORK[host])
+    time.sleep(0.05)
+    with _LOCK:
+        _AT_WORK[host] -= 1
+    if url.endswith("/7"):
+        raise OSError("no " + "x" * 400)
+    return url + "/final", f"page of {threading.current_thread().name} {_MOST[host]}".encode()
+
+
+import threading  # noqa: E402
+
+_LOCK = threading.Lock()
+
+
+def test_pooled_calls_keep_order_and_their_limit():
+    import time
+
+    from plait.sources.pool import pooled
+
+    _MOST.clear()
+    began = time.perf_counter()
+    found = list(pooled((f"https://a.example/{n}" for n in range(100)), slow_page, 8))
+    assert time.perf_counter() - began < 1.5 and _MOST["a.example"] <= 8
+    assert [x for x, _, _ in found] == [f"https://a.example/{n}" for n in range(100)]
+    assert [n for n, (_, got, error) in enumerate(found) if error] == [7] and len(found[7][2]) == 300 and found[8][1][0] == "https://a.example/8/final"
+    assert list(pooled([], slow_page, 8)) == []
+
+
+def test_pages_are_fetched_side_by_side(spark):
+    """A host is asked by one task, each link once, and a failure is one row."""
+    links = spark.createDataFrame([(f"https://h{n % 3}.example/{n // 3}",) for n in range(60)] * 2 + [("not a link",)], "link string").repartition(4)
+    got = {r["link"]: r for r in pages.fetch_pages(links, "tests.test_sources:slow_page", workers=4).collect()}
+    assert len(got) == 61 and {x for x, r in got.items() if r["error"]} == {f"https://h{n}.example/7" for n in range(3)}
+    assert max(int(r["html"].rsplit(" ", 1)[1]) for r in got.values() if r["html"]) <= 4
+
+
+def test_end_tags_reach_any_open_element():
+    """Of 70 elements left open in an article none keeps its end tag from closing it."""
+    for n in (10, 70, 500):
+        text = pages.Page(f"<body><article>{'<div>' * n}<p>{LONG}</p><p>{LONG}</p></article><p>{LONG} outside</p></body>").text()
+        assert text == LONG.strip() + "\n\n" + LONG.strip()
+        assert pages.Page(f"<body>{'</section>' * n}<p>{LONG}</p></body>").text() == LONG.strip()
