@@ -169,7 +169,13 @@ def _pairs(spark, args, config, hours, stories=None) -> None:
     s, now = stories or _read(spark, args.root, "stories"), _read(spark, args.root, "pairs")
     since = None if args.story else _now(args).cast("timestamp") - F.make_dt_interval(hours=F.lit(hours))
     some = s.where(F.col("story_id") == args.story) if args.story else s
-    some, after = flow.pair_stage(_read(spark, args.root, "articles"), some, now, since, _model(args), config)
+    def keep(df, name, **counters):
+        out, counted = tables.publish_counted(df, f"{args.root}/versions/{name}-{_stamp()}", **counters) if counters else (tables.publish(df, f"{args.root}/versions/{name}-{_stamp()}"), {})
+        if counted:
+            print(json.dumps({"pairs": counted}))
+        return out
+
+    some, after = flow.pair_stage(_read(spark, args.root, "articles"), some, now, since, _model(args), config, None if args.dry_run else keep)
     if args.story:
         some = s.where(F.col("story_id") != args.story).unionByName(some)
     _write(after, args.root, "pairs", args.dry_run)
@@ -208,12 +214,17 @@ def fix_text(spark, args, config):
 def recheck_stories(spark, args, config):
     """Suspects asked again; then detached articles are filed anew, duplicates merged, pairs of a week maintained and the feed refreshed."""
     make = _model(args) or models.OfflineModel
-    keep = lambda df, name: tables.publish(df, f"{args.root}/versions/{name}-{_stamp()}")
+    counts: dict[str, int] = {}
+
+    def keep(df, name, **counters):
+        out, counted = tables.publish_counted(df, f"{args.root}/versions/{name}-{_stamp()}", **counters)
+        counts.update(counted)
+        return out
+
     out = flow.recheck_stage(_read(spark, args.root, "articles"), _read(spark, args.root, "stories"), make, _now(args), config, args.limit, keep)
     if args.report:
         tables.write_tsv(out["report"], args.report, ["story_title_before", "published_at"])
-    counts = {r["decision"]: r["n"] for r in out["decisions"].groupBy("decision").agg(F.count(F.lit(1)).alias("n")).collect()}
-    print(json.dumps({"suspects": sum(counts.values()), "kept": counts.get("kept", 0), "detached": counts.get("detached", 0)}))
+    print(json.dumps(counts))
     for r in out["reanchored"].orderBy("story_id").limit(15).collect():
         print(f"{r['before']} -> {r['after']}")
     for r in recheck.histogram(out["decisions"]).orderBy("cut").collect():

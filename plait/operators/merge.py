@@ -34,22 +34,29 @@ def split_edges(articles: DataFrame) -> DataFrame:
     return one.unionByName(one.select(F.col("b_id").alias("a_id"), F.col("a_id").alias("b_id"))).distinct()
 
 
-def allowed(pairs: DataFrame, stories: DataFrame, articles: DataFrame, config: Config = Config()) -> DataFrame:
-    """Pairs of two open stories with fitting event dates between which nothing was split, and which of them would survive."""
+def judged(pairs: DataFrame, stories: DataFrame, articles: DataFrame, config: Config = Config()) -> DataFrame:
+    """Pairs of two open stories, which of them would survive, and why they may not merge (``rejected``): ``date`` if their event dates do not fit, ``split`` if something
+    was split between them, else null."""
     s = stories.where("status = 'open'").select("id", "event_date", "article_count", "first_seen")
     rows = pairs.join(s.toDF("a_id", "a_date", "a_count", "a_first"), "a_id").join(s.toDF("b_id", "b_date", "b_count", "b_first"), "b_id")
-    rows = rows.where(date_compatible(F.col("a_date"), F.col("b_date"), config.merge_max_event_gap_days)).join(split_edges(articles), ["a_id", "b_id"], "left_anti")
+    rows = rows.join(split_edges(articles).withColumn("split", F.lit(True)), ["a_id", "b_id"], "left")
+    rejected = F.when(~date_compatible(F.col("a_date"), F.col("b_date"), config.merge_max_event_gap_days), "date").when(F.col("split"), "split")
     a_stays = survives(F.col("a_count"), F.col("a_first"), F.col("b_count"), F.col("b_first"))
-    return rows.select("a_id", "b_id", "similarity", F.when(a_stays, F.col("a_id")).otherwise(F.col("b_id")).alias("survivor"), F.when(a_stays, F.col("b_id")).otherwise(F.col("a_id")).alias("absorbed"))
+    return rows.select("a_id", "b_id", "similarity", F.when(a_stays, F.col("a_id")).otherwise(F.col("b_id")).alias("survivor"), F.when(a_stays, F.col("b_id")).otherwise(F.col("a_id")).alias("absorbed"), rejected.alias("rejected"))
+
+
+def allowed(pairs: DataFrame, stories: DataFrame, articles: DataFrame, config: Config = Config()) -> DataFrame:
+    """The pairs of ``judged`` that may merge."""
+    return judged(pairs, stories, articles, config).where("rejected is null").drop("rejected")
 
 
 def resolve(pairs: DataFrame, verifier: Callable[[dict], dict] | None, config: Config = Config()) -> tuple[list[tuple], dict]:
-    """(absorbed, survivor) for each merge, greedily from the most similar pair down, and counters.
+    """(absorbed, survivor) for each merge, greedily from the most similar pair down, and counters.  Rows may have ``rejected``: such pairs are counted and not asked about.
 
     Sequential by nature: an absorbed story takes no further part and the checks are limited; the pairs are at most three times that limit,
     so this list, and nothing that grows with the corpus, comes to the driver.  Without a verifier nothing merges.
     """
-    stats = {"candidates": 0, "checked": 0, "merged": 0, "failed": 0}
+    stats = {"candidates": 0, "checked": 0, "merged": 0, "moved": 0, "failed": 0, "rejected_date": 0, "rejected_split": 0}
     if verifier is None:
         return [], stats
     gone, moves = set(), []
@@ -57,6 +64,9 @@ def resolve(pairs: DataFrame, verifier: Callable[[dict], dict] | None, config: C
         stats["candidates"] += 1
         if stats["checked"] >= config.merge_max_checks or row["a_id"] in gone or row["b_id"] in gone:
             continue
+        if "rejected" in row and row["rejected"]:
+            stats[f"rejected_{row['rejected']}"] += 1
+            continue
         try:
             answer = verifier(row.asDict())
             sure = float(answer.get("confidence") or 0)

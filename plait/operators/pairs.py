@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..config import Config
 from ..functions.scoring import displayable, keeps_current, pair_terms
@@ -101,9 +101,9 @@ def titles(stories: DataFrame, articles: DataFrame, changes: DataFrame, make: Ca
     return rows.join(told, "story_id").select("story_id", F.when(~titled, title).alias("title"), F.when(F.col("action") != "kept", F.col("t.headline_contrast")).alias("contrast"), "error")
 
 
-def stats(changes: DataFrame) -> DataFrame:
-    """How many stories got, changed, kept or lost their pair: one aggregate."""
-    return changes.groupBy("action").agg(F.count(F.lit(1)).alias("n"))
+def counters() -> dict[str, Column]:
+    """How many stories got, changed, kept or lost their pair, as aggregates over the changes: observed while these are written."""
+    return {action: F.count_if(F.col("action") == action) for action in ("created", "replaced", "kept", "retired")}
 
 
 def ranked(articles: DataFrame, top: int, near: str = "title") -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 from types import SimpleNamespace
 
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..config import Config
 from ..functions.scoring import verified, verify_reason
@@ -102,6 +102,11 @@ def applied(articles: DataFrame, decisions: DataFrame) -> DataFrame:
     return rows.withColumns({c: null(c) for c in ("story_id", "side", "assigned_at")}).drop("decision")
 
 
+def counters() -> dict[str, Column]:
+    """What became of the suspects, as aggregates over the decisions: observed while these are written."""
+    return {"suspects": F.count(F.lit(1)), "kept": F.count_if(F.col("decision") == "kept"), "detached": F.count_if(F.col("decision") == "detached")}
+
+
 def histogram(answers: DataFrame, cuts: tuple[float, ...] = CUTS) -> DataFrame:
     """For each cut how many answers that would split are at least so sure: one aggregate over the answers, then unpivoted."""
     split = answers.where(F.col("relation").isin("follow_up", "unrelated"))

@@ -113,22 +113,23 @@ def pair_members(articles: DataFrame) -> DataFrame:
 def merge_stage(articles: DataFrame, stories: DataFrame, current: DataFrame, verifier: Callable[[dict], dict] | None, now: Column | None = None, config: Config = Config()) -> tuple[DataFrame, DataFrame, DataFrame, dict]:
     """Duplicate stories merged: candidates, guards, the verifier's word, and the effect on all tables."""
     s = stories.withColumnRenamed("story_id", "id")
-    found = merge.allowed(merge.unordered(merge.candidates(s, now, config)), s, articles, config)
+    found = merge.judged(merge.unordered(merge.candidates(s, now, config)), s, articles, config)
     moves, stats = merge.resolve(merge.described(found, s, articles) if verifier else found, verifier, config)
     if not moves:
         return articles, stories, current, stats
     mapping = articles.sparkSession.createDataFrame(sorted(merge.final_targets(moves).items()), "absorbed string, survivor string")
+    stats["moved"] = articles.join(F.broadcast(mapping.select(F.col("absorbed").alias("story_id"))), "story_id", "left_semi").count()
     moved, after, kept = merge.apply(articles, s, current, mapping)
     return moved, after.withColumnRenamed("id", "story_id").select(*stories.columns), kept, stats
 
 
-def pair_stage(articles: DataFrame, stories: DataFrame, current: DataFrame, since: Column | None = None, make: Callable[[], object] | None = None, config: Config = Config(), publish: Callable[[DataFrame, str], DataFrame] | None = None) -> tuple[DataFrame, DataFrame]:
+def pair_stage(articles: DataFrame, stories: DataFrame, current: DataFrame, since: Column | None = None, make: Callable[[], object] | None = None, config: Config = Config(), publish: Callable[..., DataFrame] | None = None) -> tuple[DataFrame, DataFrame]:
     """(stories, pairs) after pair maintenance of two-sided open stories updated since then; with a model also titles and contrasts."""
     members = pair_members(articles)
     two_sided = stories.where("status = 'open' and left_count >= 1 and right_count >= 1")
     two_sided = two_sided if since is None else two_sided.where(F.col("updated_at") >= since)
     changes = pairs.maintain(two_sided, members, current, config=config)
-    changes = publish(changes, "pair_changes") if publish else changes
+    changes = publish(changes, "pair_changes", **pairs.counters()) if publish else changes
     after = pairs.apply(current, changes)
     if make is not None:
         told = pairs.titles(stories, members, changes, make)
@@ -141,7 +142,7 @@ def pair_stage(articles: DataFrame, stories: DataFrame, current: DataFrame, sinc
     return stories, _with(after, PAIRS).select(*names)
 
 
-def recheck_stage(articles: DataFrame, stories: DataFrame, make: Callable[[], models.Verifier], now: Column, config: Config = Config(), most: int | None = None, publish: Callable[[DataFrame, str], DataFrame] | None = None) -> dict[str, DataFrame]:
+def recheck_stage(articles: DataFrame, stories: DataFrame, make: Callable[[], models.Verifier], now: Column, config: Config = Config(), most: int | None = None, publish: Callable[..., DataFrame] | None = None) -> dict[str, DataFrame]:
     """Suspect members asked about again: ``articles`` and ``stories`` after it, ``decisions``, the ``report``, and ``reanchored`` (story_id, before, after).
 
     Stories are re-anchored on their founder first.  Detached articles lose story, side and time, so the next pass files them; counters follow.
@@ -151,7 +152,7 @@ def recheck_stage(articles: DataFrame, stories: DataFrame, make: Callable[[], mo
     asked = recheck.suspects(anchored, a, config, config.recheck_cap if most is None else most)
     answers = recheck.answered(asked, anchored, a, make)
     decisions = recheck.judged(asked, answers.where("error is null"), config)
-    decisions = publish(decisions, "recheck_decisions") if publish else decisions
+    decisions = publish(decisions, "recheck_decisions", **recheck.counters()) if publish else decisions
     after = recheck.applied(a, decisions)
     touched = decisions.where("decision = 'detached'").select("story_id").distinct().withColumn("__touched", F.lit(True))
     counts = S.recount(after)
@@ -187,7 +188,13 @@ def run(
     stay placeholders.  Returns articles, stories, pairs and feed.
     """
     spark = sources.sparkSession
-    publish = lambda df, name: tables.publish(df, f"{root}/{name}")
+
+    def publish(df: DataFrame, name: str, **counters: Column) -> DataFrame:
+        out, counted = tables.publish_counted(df, f"{root}/{name}", **counters) if counters else (tables.publish(df, f"{root}/{name}"), None)
+        if counted is not None:
+            log.info("%s: %s", name, counted)
+        return out
+
     old = previous or {}
     known = old["articles"].select("canonical_url") if old else spark.createDataFrame([], "canonical_url string")
     built = publish(ingest_stage(sources, feed, pages, known, now, config), "built")
@@ -196,8 +203,7 @@ def run(
     enriched = publish(enrich.run(enrich.queue(table.select(*rows.columns), config=config), make, config), "enriched")
     table = publish(_with(replaced(table, enriched, "id"), ASSIGNMENT), "table")
     stories, current = old.get("stories"), old.get("pairs", spark.createDataFrame([], PAIRS))
-    done, counted = tables.publish_counted(assign_stage(table, stories, sources if registry is None else registry, now, verifier, config), f"{root}/assigned", **assign.counters())
-    log.info("assigning: %s", counted)
+    done = publish(assign_stage(table, stories, sources if registry is None else registry, now, verifier, config), "assigned", **assign.counters())
     articles = publish(assigned(table, done, now), "filed")
     stories = publish(stories_after(stories, done, now), "stories_open")
     if merger:
