@@ -40,8 +40,10 @@ def kept_type(df: DataFrame, name: str) -> T.DataType:
 
 
 def schema_of(df: DataFrame, carried: Iterable[str], fields: str) -> T.StructType:
-    """Carried columns with their types, then the fields of a DDL text."""
-    return T.StructType([T.StructField(c, kept_type(df, c)) for c in carried] + T._parse_datatype_string(fields).fields)
+    """Carried columns with their types, then the fields of a DDL text; a field of a carried column's name gets a trailing underscore."""
+    carried, found = list(carried), T._parse_datatype_string(fields).fields
+    named = [T.StructField(name, f.dataType) for name, f in zip(free_names([f.name for f in found], carried), found)]
+    return T.StructType([T.StructField(c, kept_type(df, c)) for c in carried] + named)
 
 
 def scan_texts(df: DataFrame, carried: list[str], text_col: str, fields: str, make: Callable[[], Callable[[pa.Array], list]], limit: int = 1 << 20) -> DataFrame:
@@ -80,6 +82,13 @@ def free_names(names: Iterable[str], taken: Iterable[str]) -> list[str]:
     return out
 
 
+def with_id(out: DataFrame, id_col: str, inner: str = "__id") -> DataFrame:
+    """The frame with its id under the caller's name; another column of that name gets a trailing underscore."""
+    others = [c for c in out.columns if c != inner]
+    names = dict(zip(others, free_names(others, [id_col])))
+    return out.select(*[F.col(c).alias(id_col if c == inner else names[c]) for c in out.columns])
+
+
 def lookup(rows: DataFrame, table: DataFrame, on: list[str], share: int = 1000) -> DataFrame:
     """Rows of a written table joined with a table of one row a key, none of it null.  Keys with more than 1/``share`` of the rows, fewer than ``share`` of them, meet a
     broadcast table of as many rows, so no task gets such a group; the rest is shuffled."""

@@ -9,13 +9,15 @@
 3. Verdict: an item of which the tiles cover at least ``coverage`` of the words contaminates the document.
 
 The benchmark is the stated query set.  It travels with the function in blocks of at most ``block_words`` words, one
-block as a rule; a larger benchmark takes more passes over the documents, never more memory.  Tiling needs memory in proportion to the
+block as a rule; a larger benchmark takes more passes over the documents and no more memory in a task.  The driver builds the plan of all passes and so holds the whole benchmark meanwhile: it is meant
+for benchmarks of up to some 100 MB.  Tiling needs memory in proportion to the
 document's words near seeds, however often its words repeat.
 
 Defined results: null texts and texts without words have no seeds and match nothing; an item with fewer words than
 ``least`` must stand whole and in order; items with no words are left out, and those with a null id unless ``unnamed`` asks for them, as the query and the
 pipeline do: they are reported with a null item; equal items are reported each; repeated rows give
-repeated results; an empty table on either side gives an empty result.
+repeated results; an empty table on either side gives an empty result; other columns are
+ignored, whatever their names, and a result column of the id column's name gets a trailing underscore.
 """
 
 from __future__ import annotations

@@ -17,7 +17,8 @@ Ids must be numbers, or texts of numbers.  Fully equal rows share a bucket of th
 
 Defined results: null or empty texts, or texts without words, have an empty set and link with nothing; fewer words
 than a shingle are one shingle; equal texts, repeated rows included, share a component; a null id takes part but never
-is a component's name unless all ids of the component are null; an empty table gives an empty table.
+is a component's name unless all ids of the component are null; an empty table gives an empty table; other columns are
+ignored, whatever their names, and a result column of the id column's name gets a trailing underscore.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from . import census
-from .common import materialize, release, scratch, text_volume
+from .common import materialize, release, scratch, text_volume, with_id
 from .components import components
 from .words import Words, mix, rolled, signed
 
@@ -264,4 +265,4 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         by_node = materialize(roots.select("node", "root").join(names, "root").select("node", "component_id"), "names")
         keep(rows, by_node)
     out = rows.select("id", "n_shingles", "node").join(by_node, "node", "left")
-    return out.select(F.col("id").alias(id_col), "n_shingles", F.coalesce("component_id", "id").alias("component_id"))
+    return with_id(out.select(F.col("id").alias("__id"), "n_shingles", F.coalesce("component_id", "id").alias("component_id")), id_col)

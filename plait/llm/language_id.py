@@ -9,7 +9,8 @@ once with each dictionary and sums the sizes: its first ``head`` bytes behind th
 are), the rest in chunks of ``chunk`` bytes, so that long texts keep depending on the dictionary.  Texts of any length are measured in this one way.  Of more than ``max_langs`` languages each has a share of that many languages' texts and bytes.  A narrow margin between the two smallest sizes marks a prediction as rejected.
 
 Defined results: a null text, or one without any letter, is ``und`` with score 0; without any training text every
-text is ``und``; full ties go to the language first in alphabetical order; repeated rows give repeated rows.
+text is ``und``; full ties go to the language first in alphabetical order; repeated rows give repeated rows; other columns are
+ignored, whatever their names, and a result column of the id column's name gets a trailing underscore.
 """
 
 from __future__ import annotations

@@ -9,7 +9,8 @@ lengths are powers of two, which need no padding.
 Pieces are written once to the shared folder, with ids only for the leftovers.
 
 Defined results: a null or empty text is the end id alone; repeated rows are packed each; order within a document
-is kept by ``start``; an empty table gives an empty table.
+is kept by ``start``; an empty table gives an empty table; other columns are
+ignored, whatever their names, and a result column of the id column's name gets a trailing underscore.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from .common import materialize, release, schema_of
+from .common import materialize, release, schema_of, with_id
 from .words import Words, slices, span_hashes
 
 
@@ -240,7 +241,8 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
     """Per piece the document's id, start, length, crc32 of its ids, the document's tokens, sequence and offset there;
     with ``with_ids`` also the ids as little-endian 32-bit numbers."""
     s = settings
-    schema = schema_of(docs, [id_col], FIELDS)
+    docs = docs.select(F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("__text"))
+    schema = schema_of(docs, ["__id"], FIELDS)
     names = schema.fieldNames()
     arrow = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int32()]
 
@@ -272,11 +274,11 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
             yield batch(rows, kind)
         release()
 
-    pieces = materialize(docs.select(F.col(id_col), F.col(text_col).cast("string").alias("__text")).mapInArrow(scatter, schema), "pieces")
+    pieces = materialize(docs.mapInArrow(scatter, schema), "pieces")
 
     def merge(table: pa.Table) -> pa.Table:
         group = table.column("part")[0].as_py() // s.merged_parts
-        got = table.select([id_col, "sequence_id", "offset", "start", "ids", "doc_tokens"]).sort_by([("sequence_id", "ascending"), ("offset", "ascending")])
+        got = table.select(["__id", "sequence_id", "offset", "start", "ids", "doc_tokens"]).sort_by([("sequence_id", "ascending"), ("offset", "ascending")])
         keys, _, _, starts, ids, totals = (got.column(i).to_pylist() for i in range(6))
         lengths = tails(sum(map(len, ids)) // 4, s.window)
         rows, at, count, window, room = [], 0, 0, [], lengths[0]
@@ -296,4 +298,4 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
     left = pieces.where("part is not null")
     merged = left.groupBy(F.floor(F.col("part") / s.merged_parts).alias("merge")).applyInArrow(merge, schema)
     out = pieces.where("part is null").unionByName(merged)
-    return out.select(*[c for c in names if c not in ("part", *(() if with_ids else ("ids",)))])
+    return with_id(out.select(*[c for c in names if c not in ("part", *(() if with_ids else ("ids",)))]), id_col)

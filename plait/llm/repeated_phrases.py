@@ -20,7 +20,8 @@ shuffled once, and all steps read that exchange again.  A window that more than
 what very many documents share is sent by many tasks.
 
 Defined results: a null text has no words; a text with fewer words than a window stays whole; of repeated rows every
-long enough one loses all its words (fully equal rows share a bucket); an empty table gives an empty table.  Two different windows of n candidates
+long enough one loses all its words (fully equal rows share a bucket); an empty table gives an empty table; other columns are ignored, whatever their names, and a result column whose name is the id column's gets a trailing underscore.
+Two different windows of n candidates
 are taken for equal with a probability of about n**2 / 2**97.
 """
 
@@ -35,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from . import census
-from .common import kept_type, text_volume
+from .common import kept_type, text_volume, with_id
 from .words import Words, mix, rolled
 
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -186,7 +187,7 @@ def dedup_phrases(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     exact = census.Keys(parts(words // 2), 8)
     dealt = source.withColumn("bucket", census.bucket_of(buckets, "id", "text"))
     span = T.ArrayType(T.StructType([T.StructField("first", T.LongType()), T.StructField("end", T.LongType())]))
-    out = T.StructType([T.StructField(id_col, kept_type(docs, id_col)), T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept", T.StringType()), T.StructField("removed", span)])
+    out = T.StructType([T.StructField("__id", kept_type(docs, id_col)), T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept", T.StringType()), T.StructField("removed", span)])
 
     def anchors(table: pa.Table) -> pa.Table:
         codes, counts = np.unique(coarse.codes(_Bucket(table.column("text"), s).anchors()), return_counts=True)
@@ -224,7 +225,7 @@ def dedup_phrases(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         kept = [b" ".join(t) if not g.any() else b" ".join([w for w, x in zip(t, g.tolist()) if not x]) for t, g in zip(texts, gone)]
         edges = [np.flatnonzero(np.diff(np.r_[0, g.view(np.int8), 0])).reshape(-1, 2).tolist() for g in gone]
         result = pa.table({
-            id_col: table.column("id"), "n_words": pa.array([len(t) for t in texts], pa.int64()), "n_removed": pa.array([int(g.sum()) for g in gone], pa.int64()),
+            "__id": table.column("id"), "n_words": pa.array([len(t) for t in texts], pa.int64()), "n_removed": pa.array([int(g.sum()) for g in gone], pa.int64()),
             "kept": pa.array([k.decode() for k in kept], pa.string()),
             "removed": pa.array([[{"first": a, "end": b} for a, b in e] for e in edges], pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())]))),
         })
@@ -235,4 +236,4 @@ def dedup_phrases(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     owned = census.owners(counted, s.spread)
     found = dealt.groupBy("bucket").cogroup(owned.groupBy("bucket")).applyInArrow(passages, "words binary, to array<int>")
     sent = found.repartition(F.xxhash64("words", F.col("to")[0])).select(F.explode("to").alias("bucket"), "words")
-    return dealt.groupBy("bucket").cogroup(sent.groupBy("bucket")).applyInArrow(remove, out)
+    return with_id(dealt.groupBy("bucket").cogroup(sent.groupBy("bucket")).applyInArrow(remove, out), id_col)

@@ -8,7 +8,8 @@ the statistics, so that scoring is a plain projection.
 
 Defined results: a null text counts as an empty one, all statistics 0; without usable labels, or with one class only,
 the score is the (smoothed) share of label 1; several labels of one id count as their rounded mean, of several
-texts of one id the one with the least statistics, in their order, is learned from; repeated rows give repeated rows; statistics are finite for any text, so scores lie in 0 to 1.
+texts of one id the one with the least statistics, in their order, is learned from; repeated rows give repeated rows; statistics are finite for any text, so scores lie in 0 to 1; other columns are
+ignored, whatever their names, and a result column of a carried column's name gets a trailing underscore.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import scan_texts
+from .common import free_names, scan_texts
 from .words import Words, mix
 
 STATISTICS = (
@@ -214,5 +215,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
 def score(docs: DataFrame, model: Model, carried: tuple[str, ...] = ("doc_id",), text_col: str = "text", settings: Settings = Settings()) -> DataFrame:
     """Per document the carried columns, score and predicted (1 if score >= threshold); one pass without shuffle."""
-    out = with_statistics(docs, list(carried), text_col).select(*carried, model.score().alias("score"))
-    return out.withColumn("predicted", (F.col("score") >= settings.threshold).cast("int"))
+    score, predicted = free_names(("score", "predicted"), carried)
+    inner = {c: f"__{n}" for n, c in enumerate(dict.fromkeys([*carried, text_col]))}  # so no column has a statistic's name
+    out = with_statistics(docs.select(*[F.col(c).alias(name) for c, name in inner.items()]), [inner[c] for c in carried], inner[text_col])
+    return out.select(*[F.col(inner[c]).alias(c) for c in carried], model.score().alias(score)).withColumn(predicted, (F.col(score) >= settings.threshold).cast("int"))

@@ -9,7 +9,8 @@ order of their names, hold its records in the order of their slots: a record's s
 Equal texts are not kept together: a record's shard is a function of its id and the number of shards alone.
 
 Defined results: a null id is one key like any other; a null text has no bytes; repeated rows keep a slot each (fully equal ones share a bucket); a shard
-may be empty; an empty table gives an empty folder; the text's bytes plus 16 are a record's size.
+may be empty; an empty table gives an empty folder; the text's bytes plus 16 are a record's size; other columns are
+ignored, whatever their names, and a result column of the id column's name gets a trailing underscore.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import new_path, release
+from .common import free_names, new_path, release
 
 
 @dataclass(frozen=True)
@@ -81,4 +82,5 @@ def shuffle_shards(docs: DataFrame, path: str | None = None, id_col: str = "doc_
     before = Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("shard", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).cast("long").alias("offset"))
     slotted = out.join(offsets, ["shard", "bucket"]).withColumn("slot", F.col("offset") + F.col("place"))
-    return slotted.select(F.col("id").alias(id_col), F.col("text").alias(text_col), "size", "text_crc32", "bucket", "place", "slot", "grown_shard", "shard")
+    own = ["size", "text_crc32", "bucket", "place", "slot", "grown_shard", "shard"]
+    return slotted.select(F.col("id").alias(id_col), F.col("text").alias(text_col), *[F.col(c).alias(name) for c, name in zip(own, free_names(own, [id_col, text_col]))])

@@ -17,7 +17,8 @@ Unclosed and misnested tags are repaired as browsers do for the common cases.  N
 with the page alone, however deep it is.
 
 Defined results: a null or empty page has the empty text; text without any tag is the whole page's text; of equal
-sums the innermost, first container is taken; repeated rows give repeated rows.
+sums the innermost, first container is taken, and a name outweighs any density; very long pages are read whole; repeated rows give repeated rows; other columns are
+ignored, whatever their names, and a result column of a carried column's name gets a trailing underscore.
 """
 
 from __future__ import annotations

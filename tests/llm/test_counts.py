@@ -227,3 +227,26 @@ def test_scores_are_exact_beyond_64_bits(spark):
     tables = [materialize(words, "w"), materialize(pairs, "p")]
     row = C.scored(tables, 2).collect()[0]
     assert row["score"] == 10**6 * (big - 4) ** 2 // (big * (big - 2)) == 999_999
+
+
+def test_id_columns_of_any_name(spark):
+    """An id column with a name of the operator's own results keeps it; the result gets an underscore."""
+    from plait.llm import compression_bands as B, decontamination as D, jaccard_join as J, language_id as L, packing as P, repeated_phrases as R, rule_ensemble as Q, sharding as H, text_density as T
+    from plait.llm.queries import tokenizer_path
+
+    text = " ".join(f"word{i}" for i in range(80))
+    rows = spark.createDataFrame([(1, text, "en", 1), (2, text, "en", 0), (3, "other words here", "de", 1)], "i long, text string, lang string, quality int")
+    model = L.fit(rows, id_col="i")
+    labels = rows.select("i", "quality")
+    rules = Q.fit(rows, labels, id_col="i")
+    bench = spark.createDataFrame([(7, " ".join(f"word{i}" for i in range(30)))], "item_id long, text string")
+    calls = {
+        "component_id": lambda d, c: J.jaccard_components(d, id_col=c), "score": lambda d, c: L.predict(d, model, id_col=c), "kept": lambda d, c: R.dedup_phrases(d, id_col=c), "item_id": lambda d, c: D.contaminated(d, bench, id_col=c),
+        "offset": lambda d, c: P.pack(d, tokenizer_path(), id_col=c), "size": lambda d, c: H.shuffle_shards(d, id_col=c), "words": lambda d, c: Q.score(d, rules, (c,)), "predicted": lambda d, c: Q.score(d, rules, (c,)), "n_words": lambda d, c: B.compression_bands(d, id_col=c),
+    }
+    for name, call in calls.items():
+        plain, named = call(rows.select("i", "text"), "i"), call(rows.select(rows["i"].alias(name), "text"), name)
+        assert len({c.lower() for c in named.columns}) == len(named.columns) and named.columns[0] == name, name
+        assert sorted(map(tuple, named.collect()), key=repr) == sorted(map(tuple, plain.select("i", *[c for c in plain.columns if c != "i"]).collect()), key=repr), name
+    pages = spark.createDataFrame([(1, "<p>Some text</p>")], "text long, html string")
+    assert T.extract_main_text(pages, carried=("text",)).first().asDict() == {"text": 1, "text_": "Some text"}
