@@ -23,11 +23,12 @@ ignored, whatever their names, and a result column of the id column's name gets
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from . import census
 from .common import materialize, release, scratch, text_volume, with_id
@@ -197,18 +198,34 @@ def _cold(labelled: DataFrame, entries, sizes: DataFrame, s: Settings) -> DataFr
     return pairs.select(F.least("a0", "b0").alias("a"), F.greatest("a0", "b0").alias("b"))
 
 
+def size_band(n: str, percent: int) -> Column:
+    """The band of a set's size: two sets whose sizes allow a similarity of ``percent`` lie in one band or in neighbours."""
+    return F.floor(F.log(F.col(n).cast("double")) / math.log(100.01 / percent)).cast("int")
+
+
 def _hot(labelled: DataFrame, entries, sizes: DataFrame, s: Settings) -> DataFrame:
-    """The groups of a frequent shingle in blocks.  Only what lies outside the shingle's largest component need be compared, with all: every block of
-    such strangers meets every block in a task, which returns the member pairs that sizes, places and bitmaps leave."""
+    """The groups of a frequent shingle in blocks.  Only what lies outside the shingle's largest component need be compared, with all: blocks of
+    such strangers meet blocks in a task, which returns the member pairs that sizes, places and bitmaps leave.  Blocks hold sets of about one size (``size_band``), and only
+    those of a band and its neighbours meet, since sets further apart cannot be that similar.  A group is cut into parts by its number of nodes."""
     held = F.struct("node", "bits")
-    groups = labelled.groupBy("grp", "comp", F.pmod(F.xxhash64("node"), F.lit(s.members)).alias("part")).agg(F.first("n").alias("n"), F.first("tokens").alias("tokens"), F.first("places").alias("places"), F.collect_list(held).alias("members"))
-    counted = sizes.select("token", "main", F.ceil(F.col("held") / s.block).cast("int").alias("blocks"), F.ceil(F.col("strangers") / s.block).cast("int").alias("others"))
-    rows = entries(groups, "grp", "part", "comp", "n", "members").join(counted, "token")
-    own = lambda count: F.pmod(F.xxhash64("grp", "part"), F.col(count)).cast("int")
-    every = lambda count: F.explode(F.sequence(F.lit(0), F.col(count) - 1))
+    large = labelled.groupBy("grp", "comp").count().where(F.col("count") > s.members * s.block).select("grp", "comp", F.ceil(F.col("count") / s.block).alias("parts"))
+    parted = labelled.join(large, ["grp", "comp"], "left").withColumn("part", F.pmod(F.xxhash64("node"), F.coalesce("parts", F.lit(s.members).cast("long"))))
+    groups = parted.groupBy("grp", "comp", "part").agg(F.first("n").alias("n"), F.first("tokens").alias("tokens"), F.first("places").alias("places"), F.collect_list(held).alias("members"))
+    banded = entries(labelled, "comp", "n").join(sizes.select("token", "main"), "token").withColumn("band", size_band("n", s.percent))
+    banded = banded.groupBy("token", "main", "band").agg(F.ceil(F.count(F.lit(1)) / s.block).cast("int").alias("blocks"), F.ceil(F.count_if(F.col("comp") != F.col("main")) / s.block).cast("int").alias("others"))
+    counted = banded.groupBy("token", "main").agg(F.map_from_entries(F.collect_list(F.struct("band", F.struct("blocks", "others")))).alias("bands"))  # as many as bands
+    rows = entries(groups, "grp", "part", "comp", "n", "members").join(counted, "token").withColumn("band", size_band("n", s.percent))
+    own = lambda count: F.pmod(F.xxhash64("grp", "part"), F.col("bands")[F.col("band")][count]).cast("int")
+
+    def near(count: str) -> Column:
+        """(band, block) of all blocks of the row's band and its neighbours."""
+        blocks = lambda band: F.coalesce(F.try_element_at("bands", band)[count], F.lit(0))
+        listed = lambda band: F.transform(F.filter(F.sequence(F.lit(0), F.greatest(blocks(band) - 1, F.lit(0))), lambda i: i < blocks(band)), lambda i: F.struct(band.alias("band"), i.alias("block")))
+        return F.explode(F.concat(*[listed(F.col("band") + d) for d in (-1, 0, 1)]))
+
     columns = ["token", "x", "y", "stranger", "comp", "n", "place", "members"]
-    one = rows.withColumns({"x": own("blocks"), "stranger": F.lit(False)}).withColumn("y", every("others")).select(*columns)
-    two = rows.where("comp <> main").withColumns({"y": own("others"), "stranger": F.lit(True)}).withColumn("x", every("blocks")).select(*columns)
+    one = rows.withColumns({"x": F.struct("band", own("blocks").alias("block")), "stranger": F.lit(False)}).withColumn("y", near("others")).select(*columns)
+    two = rows.where("comp <> main").withColumns({"y": F.struct("band", own("others").alias("block")), "stranger": F.lit(True)}).withColumn("x", near("blocks")).select(*columns)
 
     def meet(table: pa.Table) -> pa.Table:
         stranger = table.column("stranger").to_numpy(zero_copy_only=False)

@@ -7,6 +7,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from plait.llm import collocations as C, exact_dedup as X, filter_audit as A
 from plait.llm.common import free_names, lookup, materialize, new_path
@@ -79,7 +80,6 @@ def test_index_outlives_the_batch(spark):
 
 
 def test_a_failed_batch_leaves_nothing(spark):
-    from pyspark.sql import functions as F
 
     index = X.DigestIndex(spark, new_path(spark, "digests"))
     rows = X.digests(frame(spark, [(1, "one", "")]))
@@ -250,3 +250,34 @@ def test_id_columns_of_any_name(spark):
         assert sorted(map(tuple, named.collect()), key=repr) == sorted(map(tuple, plain.select("i", *[c for c in plain.columns if c != "i"]).collect()), key=repr), name
     pages = spark.createDataFrame([(1, "<p>Some text</p>")], "text long, html string")
     assert T.extract_main_text(pages, carried=("text",)).first().asDict() == {"text": 1, "text_": "Some text"}
+
+
+def test_op1_size_bands(spark):
+    """Sets that may link lie in one band or in neighbours; of 50,000 strangers of mixed sizes under a tenth of all pairs of rows meet."""
+    from plait.llm.jaccard_join import size_band
+
+    band = {r["n"]: r["b"] for r in spark.range(1, 4001).select(F.col("id").alias("n"), size_band("id", 80).alias("b")).collect()}
+    assert all(abs(band[a] - band[b]) <= 1 for a in range(1, 4001) for b in {a, a + 1, a * 100 // 80 - 1, a * 100 // 80} if a <= b <= 4000 and 100 * a >= 80 * b)
+    sizes = np.exp(np.random.default_rng(1).uniform(np.log(5), np.log(20_000), 50_000)).astype(int)
+    rows = spark.createDataFrame([(int(n),) for n in sizes], "n long").groupBy(size_band("n", 80).alias("b")).count().collect()
+    count = {r["b"]: r["count"] for r in rows}
+    assert sum(c * sum(count.get(b + d, 0) for d in (-1, 0, 1)) for b, c in count.items()) < 0.1 * 50_000**2
+
+
+def test_op1_families_of_mixed_sizes(spark):
+    """Families and strangers of very different sizes around frequent shingles, in blocks of a few rows."""
+    from plait.llm import jaccard_join as J
+    from tests.llm.test_operators import brute_components
+
+    rng = np.random.default_rng(6)
+    rows, common = [], [f"c{i}" for i in range(12)]
+    for family in range(14):
+        base = common + [f"f{family}x{i}" for i in range(int(rng.integers(0, 6)) * 9)]
+        for _ in range(int(rng.integers(1, 9))):
+            words = list(base)
+            for at in rng.choice(len(words), int(rng.integers(0, 3)), replace=False):
+                words[at] = f"e{rng.integers(0, 9)}"
+            rows.append((len(rows), " ".join(words + [f"t{rng.integers(0, 3)}"] * int(rng.integers(0, 2)))))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for settings in (J.Settings(hot=3, block=4, members=1), J.Settings(hot=3, block=2, members=2), J.Settings()):
+        assert sorted(map(tuple, J.jaccard_components(docs, settings=settings).collect()), key=repr) == brute_components(rows)
