@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..config import Config
 from ..operators import assign, conflicts, enrich, ingest, merge, models, pairs, recheck, stories as S
 from ..sources import pages as P, tables
+from ..sources.tables import replaced
 
 log = logging.getLogger("plait")
 
@@ -64,11 +65,6 @@ def _with(df: DataFrame, schema: str) -> DataFrame:
     return df.withColumns({f.name: F.lit(None).cast(f.dataType) for f in empty if f.name not in df.columns}) if set(empty.names) - set(df.columns) else df
 
 
-def replaced(table: DataFrame, rows: DataFrame, key: str) -> DataFrame:
-    """The table with the rows in place of theirs, columns of either side included."""
-    return table.join(rows.select(key), key, "left_anti").unionByName(rows, allowMissingColumns=True)
-
-
 def assign_stage(articles: DataFrame, stories: DataFrame | None, sources: DataFrame, now: Column, verifier: Callable | None = None, config: Config = Config()) -> DataFrame:
     """What the exact pass makes of the queue: new articles and orphans that are due, at most a batch of each, against the open stories in the window."""
     articles = _with(articles, ASSIGNMENT)

@@ -18,12 +18,13 @@ from xml.etree import ElementTree
 
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from ..functions.text import BARE_AMPERSAND, XML_FORBIDS
+
 SCHEMA = (
     "source_id string, used_url string, pos int, link string, links array<struct<href: string, type: string>>, title string, summary string, published string, updated string, "
     "media_content array<string>, media_thumbnail array<string>, enclosures array<struct<href: string, type: string>>, author string, error string"
 )
-_ILLEGAL = re.compile(rb"[\x00-\x08\x0b\x0c\x0e-\x1f]")
-_BARE = re.compile(rb"&(?!(?:[a-zA-Z]+|#[0-9]+|#x[0-9a-fA-F]+);)")
+_ILLEGAL, _BARE = re.compile(XML_FORBIDS.encode()), re.compile(BARE_AMPERSAND.encode())
 
 
 def clean_bytes(raw: bytes) -> bytes:

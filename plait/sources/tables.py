@@ -62,11 +62,16 @@ def insert_ignore(table: DataFrame, rows: DataFrame, key: str, order: list[Colum
     return table.unionByName(only_new(first_wins(rows, [key], order), table, key))
 
 
+def replaced(table: DataFrame, rows: DataFrame, keys: str | list[str]) -> DataFrame:
+    """The table with the rows in place of theirs, columns of either side included."""
+    keys = [keys] if isinstance(keys, str) else keys
+    return table.join(rows.select(*keys), keys, "left_anti").unionByName(rows, allowMissingColumns=True)
+
+
 def upsert(table: DataFrame, rows: DataFrame, keys: list[str], order: list[Column] | None = None) -> DataFrame:
     """The table with the rows put in place of theirs; of several new rows with one key the first in ``order`` counts."""
     rows = rows.select(*table.columns)
-    new = first_wins(rows, keys, order) if order else rows
-    return table.join(new.select(*keys), keys, "left_anti").unionByName(new)
+    return replaced(table, first_wins(rows, keys, order) if order else rows, keys)
 
 
 def patch(table: DataFrame, delta: DataFrame, key: str, columns: list[str], flag: str = "__hit") -> DataFrame:
