@@ -307,6 +307,8 @@ def parser() -> argparse.ArgumentParser:
 def main(argv: list[str] | None = None, spark: SparkSession | None = None, config: Config | None = None) -> int:
     args = parser().parse_args(argv)
     spark = spark or SparkSession.builder.appName("plait").config("spark.sql.session.timeZone", "UTC").getOrCreate()
+    if not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext.master.startswith("local"):
+        spark.conf.set("spark.checkpoint.dir", f"{args.root}/scratch")  # the tables' root is a folder that all machines share
     COMMANDS[args.command](spark, args, config or from_environment())
     return 0
 
