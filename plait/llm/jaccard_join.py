@@ -209,6 +209,7 @@ def _hot(labelled: DataFrame, entries, sizes: DataFrame, s: Settings) -> DataFra
     those of a band and its neighbours meet, since sets further apart cannot be that similar.  A group is cut into parts by its number of nodes."""
     held = F.struct("node", "bits")
     large = labelled.groupBy("grp", "comp").count().where(F.col("count") > s.members * s.block).select("grp", "comp", F.ceil(F.col("count") / s.block).alias("parts"))
+    large, sizes = materialize(large, "large"), materialize(sizes, "frequent")  # small as a rule: what they are joined with is not shuffled then
     parted = labelled.join(large, ["grp", "comp"], "left").withColumn("part", F.pmod(F.xxhash64("node"), F.coalesce("parts", F.lit(s.members).cast("long"))))
     groups = parted.groupBy("grp", "comp", "part").agg(F.first("n").alias("n"), F.first("tokens").alias("tokens"), F.first("places").alias("places"), F.collect_list(held).alias("members"))
     banded = entries(labelled, "comp", "n").join(sizes.select("token", "main"), "token").withColumn("band", size_band("n", s.percent))
