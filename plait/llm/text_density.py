@@ -323,7 +323,7 @@ def main_text(html: str | None) -> str:
         if tree.parent[i] in on_path and tree.parent[i] not in within and not tree.off[i]:
             kids.setdefault(tree.parent[i], []).append(i)
     whole = tree.tag[home] in ("article", "main")
-    beside = {i for p, mine in kids.items() for i in (_beside(tree, mine, on_path, density, threshold, chars, link_chars, titled) if not whole else [i for i in mine if density[i] >= threshold > 0])}
+    beside = {i for mine in kids.values() if len(mine) > 1 for i in (_beside(tree, mine, on_path, density, threshold, chars, link_chars, titled) if not whole else [i for i in mine if density[i] >= threshold > 0])}
     for i in _threads(tree, home, chars):
         tree.off[i] = True
     chosen = [False] * n
