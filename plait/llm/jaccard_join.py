@@ -209,13 +209,13 @@ def _hot(labelled: DataFrame, entries, sizes: DataFrame, s: Settings) -> DataFra
     those of a band and its neighbours meet, since sets further apart cannot be that similar.  A group is cut into parts by its number of nodes."""
     held = F.struct("node", "bits")
     large = labelled.groupBy("grp", "comp").count().where(F.col("count") > s.members * s.block).select("grp", "comp", F.ceil(F.col("count") / s.block).alias("parts"))
-    large, sizes = materialize(large, "large"), materialize(sizes, "frequent")  # small as a rule: what they are joined with is not shuffled then
+    large = materialize(large, "large")  # empty as a rule, and then nothing is shuffled to meet it
     parted = labelled.join(large, ["grp", "comp"], "left").withColumn("part", F.pmod(F.xxhash64("node"), F.coalesce("parts", F.lit(s.members).cast("long"))))
     groups = parted.groupBy("grp", "comp", "part").agg(F.first("n").alias("n"), F.first("tokens").alias("tokens"), F.first("places").alias("places"), F.collect_list(held).alias("members"))
-    banded = entries(labelled, "comp", "n").join(sizes.select("token", "main"), "token").withColumn("band", size_band("n", s.percent))
+    banded = entries(labelled, "comp", "n").join(sizes.select("token", "main").hint("merge"), "token").withColumn("band", size_band("n", s.percent))
     banded = banded.groupBy("token", "main", "band").agg(F.ceil(F.count(F.lit(1)) / s.block).cast("int").alias("blocks"), F.ceil(F.count_if(F.col("comp") != F.col("main")) / s.block).cast("int").alias("others"))
     counted = banded.groupBy("token", "main").agg(F.map_from_entries(F.collect_list(F.struct("band", F.struct("blocks", "others")))).alias("bands"))  # as many as bands
-    rows = entries(groups, "grp", "part", "comp", "n", "members").join(counted, "token").withColumn("band", size_band("n", s.percent))
+    rows = entries(groups, "grp", "part", "comp", "n", "members").join(counted.hint("merge"), "token").withColumn("band", size_band("n", s.percent))  # by the same plan at every size
     own = lambda count: F.pmod(F.xxhash64("grp", "part"), F.col("bands")[F.col("band")][count]).cast("int")
 
     def near(count: str) -> Column:
