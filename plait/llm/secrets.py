@@ -144,7 +144,7 @@ def _scan(s: Settings):
 def row_key(*columns: str) -> Column:
     """A key of a row's values; repeated rows share it, other rows never: every value stands with its length, a null without."""
     told = [F.coalesce(F.concat(F.length(F.col(c).cast("string")), F.lit(":"), F.col(c).cast("string")), F.lit("-")) for c in columns]
-    return F.sha2(F.concat(*told).cast("binary"), 256)
+    return F.substring(F.sha2(F.concat(*told).cast("binary"), 256), 1, 32)  # 128 bits: keys of rows that go are joined as a table, which should stay small
 
 
 _FOUND = T.ArrayType(T.StructType([T.StructField("kind", T.StringType()), T.StructField("start", T.LongType()), T.StructField("end", T.LongType()), T.StructField("hash", T.StringType()), T.StructField("base", T.BooleanType())]))
