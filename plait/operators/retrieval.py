@@ -22,8 +22,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.times import micros
+from ..sources.scratch import materialize
+from .components import components
 
 BLOCK = 4096
+#: Rows of a block whose products with another are held at a time, and pairs looked at in one go, where only connections are asked for.
+STRIP, PAIRS = 256, 1 << 14
+#: Vectors of each side that all of the other meet first, where only connections are asked for, and groups whose rows need not meet each other.
+HUBS, GROUPS = 1024, 16
 #: Stories that may travel with the function, and their bytes.
 SHIPPED_ROWS, SHIPPED = 4096, 64 << 20
 #: Balls of a side at most, vectors of which pivots are chosen, rounding errors of a bound.
@@ -69,11 +75,11 @@ def placed(m: np.ndarray, pivots: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
 
 
 class Balls:
-    """The numbers of some balls: ball, least and greatest angle to its pivot, least and greatest length, rows, time slot."""
+    """The numbers of some balls: ball, least and greatest angle to its pivot, least and greatest length, rows, time slot, group (0: none, else its rows need not meet each other)."""
 
-    def __init__(self, ball, near, far, low, high, rows, slot=None):
+    def __init__(self, ball, near, far, low, high, rows, slot=None, group=None):
         self.ball, self.near, self.far, self.low, self.high, self.rows = np.asarray(ball, int), *(np.asarray(x, float) for x in (near, far, low, high)), np.asarray(rows, np.int64)
-        self.slot = np.zeros(len(self.ball), np.int64) if slot is None else np.asarray(slot, np.int64)
+        self.slot, self.group = (np.zeros(len(self.ball), np.int64) if x is None else np.asarray(x, np.int64) for x in (slot, group))
 
     @classmethod
     def of(cls, vectors: np.ndarray, pivots: np.ndarray) -> tuple[Balls, np.ndarray]:
@@ -101,7 +107,7 @@ def ball_bounds(left: Balls, right: Balls, pivots: np.ndarray) -> tuple[np.ndarr
 def ball_meetings(left: Balls, right: Balls, pivots: np.ndarray, least: float | None = None, k: int | None = None, ahead: int | None = None) -> np.ndarray:
     """Which left balls must meet which right ones: for all products of ``least``, or for the best ``k`` of each left row.  ``ahead``: so many slots later at most."""
     down, up = ball_bounds(left, right, pivots)
-    reached = right.slot[None, :] >= left.slot[:, None] - 1
+    reached = (right.slot[None, :] >= left.slot[:, None] - 1) & ((left.group[:, None] != right.group[None, :]) | (left.group[:, None] == 0))
     if ahead is not None:
         reached &= right.slot[None, :] <= left.slot[:, None] + ahead
     if k is not None:  # stories of the own slot and later ones are in the window of every article of a slot
@@ -223,7 +229,7 @@ class BallIndex:
 
 
 def _side(rows: DataFrame, at: str) -> DataFrame:
-    return rows.select("id", micros(F.col(at)).alias("at"), F.col("vector").cast("array<double>").alias("v")).where("v is not null and at is not null")
+    return rows.select("id", micros(F.col(at)).alias("at"), F.col("vector").cast("array<double>").alias("v"), F.lit(0).cast("long").alias("group")).where("v is not null and at is not null")
 
 
 def _place(rows: DataFrame, pivots: np.ndarray) -> DataFrame:
@@ -242,57 +248,126 @@ def _balls(rows: DataFrame, width: int | None) -> Balls:
     """The balls of a side: ``BALLS`` times some rings at most."""
     slot = F.lit(0).cast("long") if width is None else F.floor(F.col("at") / width)
     least, most = [F.min(c).alias(f"{c}_a") for c in ("angle", "len")], [F.max(c).alias(f"{c}_b") for c in ("angle", "len")]
-    found = rows.groupBy(slot.alias("slot"), "ball").agg(*least, *most, F.count(F.lit(1)).alias("rows")).orderBy("slot", "ball").toPandas()
-    return Balls(found["ball"], found["angle_a"], found["angle_b"], found["len_a"], found["len_b"], found["rows"], found["slot"])
-
-
-def _numbered(rows: DataFrame, balls: Balls, width: int | None, block: int, meets: np.ndarray, other: Balls, own: str, others: str) -> DataFrame:
+    found = rows.groupBy("group", slot.alias("slot"), "ball").agg(*least, *most, F.count(F.lit(1)).alias("rows")).orderBy("group", "slot", "ball").toPandas()
+    return Balls(found["ball"], found["angle_a"], found["angle_b"], found["len_a"], found["len_b"], found["rows"], found["slot"], found["group"])
+
+
+def _cut(balls: Balls, block: int, packed: bool) -> tuple[np.ndarray, np.ndarray]:
+    """(first block, blocks) of each ball: blocks of its own or, packed, one that it shares with the small balls beside it."""
+    parts = -(-balls.rows // block)
+    if not packed:
+        return np.cumsum(parts) - parts, parts
+    first, now, held, of = np.zeros(len(balls), np.int64), -1, block, None
+    for i, (rows, group) in enumerate(zip(balls.rows.tolist(), balls.group.tolist())):
+        if held + rows > block or group != of:
+            now, held, of = now + 1, 0, group
+        first[i], held = now, held + rows
+        now += parts[i] - 1
+    return first, parts
+
+
+def _spans(first: np.ndarray, parts: np.ndarray, met: np.ndarray) -> list[tuple[int, int]]:
+    """The numbers of the blocks of some balls, as spans, each number once."""
+    low, high = first[met], first[met] + parts[met] - 1
+    if not len(low):
+        return []
+    new = np.flatnonzero(np.r_[True, low[1:] > np.maximum.accumulate(high)[:-1] + 1])
+    return list(zip(low[new].tolist(), np.maximum.reduceat(high, new).tolist()))
+
+
+def _numbered(rows: DataFrame, balls: Balls, width: int | None, cut: tuple, meets: np.ndarray, others_cut: tuple, own: str, others: str) -> DataFrame:
     """Rows with the number of their block, once for each block of the other side that it meets."""
-    parts, theirs = -(-balls.rows // block), -(-other.rows // block)
-    first, their_first = np.cumsum(parts) - parts, np.cumsum(theirs) - theirs
-    table = pd.DataFrame({
-        "slot": balls.slot, "ball": balls.ball, "first": first, "parts": parts,
-        "spans": [[(int(their_first[j]), int(their_first[j] + theirs[j] - 1)) for j in np.flatnonzero(row)] for row in meets],
-    })
-    spans = rows.sparkSession.createDataFrame(table.to_dict("records"), "slot long, ball int, first long, parts long, spans array<struct<a:long,b:long>>")
+    table = pd.DataFrame({"group": balls.group, "slot": balls.slot, "ball": balls.ball, "first": cut[0], "parts": cut[1], "spans": [_spans(*others_cut, np.flatnonzero(row)) for row in meets]})
+    spans = rows.sparkSession.createDataFrame(table.to_dict("records"), "group long, slot long, ball int, first long, parts long, spans array<struct<a:long,b:long>>")
     slot = F.lit(0).cast("long") if width is None else F.floor(F.col("at") / width)
-    met = rows.withColumn("slot", slot).join(F.broadcast(spans), ["slot", "ball"])
+    met = rows.withColumn("slot", slot).join(F.broadcast(spans), ["group", "slot", "ball"])
     met = met.withColumn(own, F.col("first") + F.pmod(F.xxhash64("id"), F.col("parts")))
     return met.withColumn(others, F.explode(F.flatten(F.transform("spans", lambda s: F.sequence(s["a"], s["b"]))))).select("id", "at", "v", own, others)
 
 
+def _copies(balls: Balls, meets: np.ndarray, parts: np.ndarray) -> float:
+    """How often a row is sent, on average."""
+    return float((balls.rows * (meets @ parts)).sum() / max(1, balls.rows.sum()))
+
+
 def _answers(article_ids: pa.Array, story_ids: pa.Array, rows: np.ndarray, cols: np.ndarray, sims: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([article_ids.take(pa.array(rows)), story_ids.take(pa.array(cols)), pa.array(sims.astype(float))], names=["article_id", "story_id", "similarity"])
 
 
-def _spanning(a_ids: pa.Array, b_ids: pa.Array, rows: np.ndarray, cols: np.ndarray) -> pa.RecordBatch:
-    """Of the pairs of nodes of one block as many as connect what all of them connect: a task sends no more rows than it has nodes."""
-    both = pa.concat_arrays([a_ids, b_ids])
-    block = pc.struct_field(both, "block").dictionary_encode().indices.fill_null(-1).to_numpy()
-    coded = pc.struct_field(both, "node").dictionary_encode()
-    node, cols = coded.indices.to_numpy(), cols + len(a_ids)
-    kept = (block[rows] == block[cols]) & (node[rows] != node[cols])
-    u, v = node[rows[kept]], node[cols[kept]]
-    label = np.arange(len(coded.dictionary))
-    while True:
+def joined(label: np.ndarray, u: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """The least node that each node is connected with, once the nodes u are with the nodes v."""
+    while len(u):
         least, new = np.minimum(label[u], label[v]), label.copy()
-        np.minimum.at(new, u, least)
-        np.minimum.at(new, v, least)
+        for ends in (u, v, label[u], label[v]):
+            np.minimum.at(new, ends, least)
         new = new[new]
         if (new == label).all():
             break
         label = new
-    joined = np.flatnonzero(label != np.arange(len(label)))
-    return pa.RecordBatch.from_arrays([coded.dictionary.take(pa.array(joined)), coded.dictionary.take(pa.array(label[joined]))], names=["a", "b"])
+    while (label[label] != label).any():
+        label = label[label]
+    return label
+
+
+def connect(label: np.ndarray, u: np.ndarray, v: np.ndarray, a: np.ndarray, b: np.ndarray, fits, least: float) -> np.ndarray:
+    """``label`` after the nodes u of the rows of a are joined with the nodes v of the rows of b wherever these fit and their product is at least so large.  Pairs that are connected
+    already are passed over, so there is no list of all pairs, and a dense block costs a few strips of products.  ``fits`` (rows, columns): a matrix of truth values."""
+    for begin in range(0, len(a), STRIP):
+        rows = np.arange(begin, min(begin + STRIP, len(a)))
+        apart = label[u[rows]][:, None] != label[v][None, :]
+        rows, cols = rows[apart.any(axis=1)], np.flatnonzero(apart.any(axis=0))
+        if not len(rows):
+            continue
+        i, j = np.nonzero((a[rows] @ b[cols].T >= least - SLACK) & (label[u[rows]][:, None] != label[v[cols]][None, :]) & fits(rows, cols))
+        for at in range(0, len(i), PAIRS):
+            x, y = rows[i[at : at + PAIRS]], cols[j[at : at + PAIRS]]
+            kept = label[u[x]] != label[v[y]]
+            x, y = x[kept], y[kept]
+            kept = np.einsum("ij,ij->i", a[x], b[y]) >= least
+            label = joined(label, u[x[kept]], v[y[kept]])
+    return label
+
+
+def _blocks_of(ids: pa.Array, codes: dict) -> np.ndarray:
+    """Blocks as numbers that are the same wherever ``codes`` is."""
+    found = pc.struct_field(ids, "block").dictionary_encode()
+    table = np.array([codes.setdefault(x, len(codes)) for x in found.dictionary.to_pylist()] + [-1], np.int64)
+    return table[found.indices.fill_null(len(table) - 1).to_numpy(zero_copy_only=False)]
+
+
+class NodeIndex:
+    """Vectors that travel with the function, and which of their nodes are known to be connected: the edges that join the nodes of batches of rows with them and them with each other."""
+
+    def __init__(self, index: BallIndex):
+        self.index, self.codes = index, {}
+        self.block, coded = _blocks_of(index.ids, self.codes), pc.struct_field(index.ids, "node").dictionary_encode()
+        self.node, self.names = coded.indices.to_numpy(), coded.dictionary
+        self.label = np.arange(len(self.names))
+
+    def edges(self, ids: pa.Array, a: np.ndarray, since: np.ndarray, until: np.ndarray, least: float) -> pa.RecordBatch:
+        block, node = _blocks_of(ids, self.codes), pc.struct_field(ids, "node")
+        known = pc.index_in(node, self.names)
+        new = pc.unique(node.filter(pc.is_null(known)))
+        u = pc.if_else(pc.is_null(known), pc.add(pc.index_in(node, new), len(self.names)), known).to_numpy(zero_copy_only=False).astype(np.int64)
+        before = np.concatenate([self.label, len(self.names) + np.arange(len(new))])
+        label, bounds = before, self.index._bounds(a)
+        for ball, (x, y) in enumerate(self.index.spans):
+            rows, at = np.flatnonzero(bounds[:, ball] >= least), self.index.at[x:y]
+            fits = lambda i, j, rows=rows, at=at, x=x: (since[rows[i], None] <= at[None, j]) & (at[None, j] <= until[rows[i], None]) & (block[rows[i], None] == self.block[None, x + j])
+            label = connect(label, u[rows], self.node[x:y], a[rows], self.index.vectors[x:y], fits, least)
+        self.label, changed = label[: len(self.names)], np.flatnonzero(label != before)
+        names = pa.concat_arrays([self.names, new])
+        return pa.RecordBatch.from_arrays([names.take(pa.array(before[changed])), names.take(pa.array(label[changed]))], names=["a", "b"])
 
 
 def _one(column) -> pa.Array:
     return column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
 
 
-def meetings(left: DataFrame, right: DataFrame, window: int, block: int, k: int | None = None, least: float | None = None, ahead: int | None = None) -> tuple[DataFrame, DataFrame] | None:
-    """Both sides (id, at, v), a row for each task (lb, rb) in which it meets the other; None if a side is empty.  The rows of the right side that are seen before the
-    window of the earliest left one are left out."""
+def meetings(left: DataFrame, right: DataFrame, window: int, block: int, k: int | None = None, least: float | None = None, ahead: int | None = None, groups: int = 0) -> tuple[DataFrame, DataFrame] | None:
+    """Both sides (id, at, v, group), a row for each task (lb, rb) in which it meets the other; None if a side is empty.  The rows of the right side that are seen before the
+    window of the earliest left one are left out.  Where the bounds leave out so little that rows would be sent very often, small balls share blocks."""
+    left, right = (rows if "group" in rows.columns else rows.withColumn("group", F.lit(0).cast("long")) for rows in (left, right))
     times = left.agg(F.min("at").alias("a"), F.max("at").alias("b")).first()
     right = right.where(F.col("at") >= F.lit((times["a"] or 0) - window))
     sample = right.orderBy(F.xxhash64("id")).limit(SAMPLE).toArrow()
@@ -301,31 +376,35 @@ def meetings(left: DataFrame, right: DataFrame, window: int, block: int, k: int
     seen = right.agg(F.max("at").alias("b")).first()["b"]
     span = max(times["b"], seen) - times["a"] + 2 * window + 1
     width = max(window, 1, math.ceil(span / 256))
-    pivots = choose_pivots(matrix(sample.column("v")), max(1, min(256, BALLS // math.ceil(span / width + 1))))
+    pivots = choose_pivots(matrix(sample.column("v")), max(1, min(256, BALLS // math.ceil(span / width + 1) // (1 + groups))))
     left, right = _place(left, pivots), _place(right, pivots)
     lefts, rights = _balls(left, width), _balls(right, width)
     meets = ball_meetings(lefts, rights, pivots, least, k, None if ahead is None else 1 + math.ceil(ahead / width))
-    return _numbered(left, lefts, width, block, meets, rights, "lb", "rb"), _numbered(right, rights, width, block, meets.T, lefts, "rb", "lb")
+    packed = _copies(lefts, meets, -(-rights.rows // block)) > max(16, 2 * rights.rows.sum() / block) or _copies(rights, meets.T, -(-lefts.rows // block)) > max(16, 2 * lefts.rows.sum() / block)
+    cuts = _cut(lefts, block, packed), _cut(rights, block, packed)
+    return _numbered(left, lefts, width, cuts[0], meets, cuts[1], "lb", "rb"), _numbered(right, rights, width, cuts[1], meets.T, cuts[0], "rb", "lb")
+
+
+def _shipped(rows: DataFrame, head: pa.Table, ranked: bool) -> BallIndex | None:
+    return BallIndex(_one(head.column("id")), head.column("at").to_numpy(), matrix(head.column("v")), ranked=ranked) if head.num_rows else None
 
 
-def _met(articles: DataFrame, stories: DataFrame, window_hours: int, block: int, shipped_bytes: int, k: int | None = None, least: float | None = None, ahead_hours: int | None = None, linked: bool = False) -> DataFrame:
-    """(article_id, story_id, similarity) in which each article's k best stories, or all over ``least`` that were last seen at most ``ahead_hours`` after it, are.  ``linked``: ids are
-    structs of block and node; (a, b) of nodes that connect what all these pairs of one block connect."""
+def _met(articles: DataFrame, stories: DataFrame, window_hours: int, block: int, shipped_bytes: int, k: int | None = None, least: float | None = None, ahead_hours: int | None = None) -> DataFrame:
+    """(article_id, story_id, similarity) in which each article's k best stories, or all over ``least`` that were last seen at most ``ahead_hours`` after it, are."""
     window = window_hours * 3_600_000_000
     ahead = np.iinfo(np.int64).max // 4 if ahead_hours is None else ahead_hours * 3_600_000_000
     left, right = _side(articles, "published_at"), _side(stories, "last_seen")
-    schema = "a string, b string" if linked else f"article_id {left.schema['id'].dataType.simpleString()}, story_id {right.schema['id'].dataType.simpleString()}, similarity double"
-    answers = (lambda a, b, rows, cols, sims: _spanning(a, b, rows, cols)) if linked else _answers
+    schema = f"article_id {left.schema['id'].dataType.simpleString()}, story_id {right.schema['id'].dataType.simpleString()}, similarity double"
     head = right.limit(SHIPPED_ROWS + 1).toArrow()
     if head.num_rows <= SHIPPED_ROWS and head.nbytes <= shipped_bytes:
-        index = BallIndex(_one(head.column("id")), head.column("at").to_numpy(), matrix(head.column("v")), ranked=k is not None) if head.num_rows else None
+        index = _shipped(right, head, k is not None)
 
         def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for row in range(0, batch.num_rows if index else 0, 1024):
                     part = batch.slice(row, 1024)
                     a, at = matrix(part.column("v")), part.column("at").to_numpy()
-                    yield answers(part.column("id"), index.ids, *(index.top(a, at - window, k) if k is not None else index.over(a, at - window, at + ahead, least)))
+                    yield _answers(part.column("id"), index.ids, *(index.top(a, at - window, k) if k is not None else index.over(a, at - window, at + ahead, least)))
 
         return left.mapInArrow(scan, schema)
     sides = meetings(left, right, window, block, k, least, None if ahead_hours is None else ahead)
@@ -347,7 +426,7 @@ def _met(articles: DataFrame, stories: DataFrame, window_hours: int, block: int,
             product[(at - window)[:, None] > seen[None, :]] = -np.inf
             found.add(np.arange(len(x)), np.arange(len(y)), product)
             rows, cols, sims = found.best(x, y, ranks(_one(b.column("id"))))
-        return pa.Table.from_batches([answers(_one(a.column("id")), _one(b.column("id")), rows, cols, sims)])
+        return pa.Table.from_batches([_answers(_one(a.column("id")), _one(b.column("id")), rows, cols, sims)])
 
     return one.groupBy("lb", "rb").cogroup(two.groupBy("lb", "rb")).applyInArrow(meet, schema)
 
@@ -371,16 +450,66 @@ def stories_over(articles: DataFrame, stories: DataFrame, least: float, window_h
     return _met(articles, stories, window_hours, block, shipped_bytes, least=least, ahead_hours=ahead_hours)
 
 
+def _edges_to(rows: DataFrame, head: pa.Table, before: int, after: int, least: float) -> DataFrame:
+    """Edges (a, b) between the nodes of the rows and those that travel with the function: at most one for each row, and one for each of these in a task."""
+    index = _shipped(rows, head, False)
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        nodes = NodeIndex(index) if index else None
+        for batch in batches:
+            for row in range(0, batch.num_rows if index else 0, 1024):
+                part = batch.slice(row, 1024)
+                at = part.column("at").to_numpy()
+                yield nodes.edges(part.column("id"), matrix(part.column("v")), at - before, at + after, least)
+
+    return rows.mapInArrow(scan, "a string, b string")
+
+
 def nodes_over(articles: DataFrame, stories: DataFrame, least: float, window_hours: int = 96, ahead_hours: int | None = None, block: int = BLOCK, shipped_bytes: int = SHIPPED) -> DataFrame:
-    """Edges (a, b) of the same connected components as the pairs of ``stories_over`` whose blocks are equal (nulls are): ids are structs of block and node, a text.  Each task
-    sends a spanning forest of its pairs."""
-    return _met(articles, stories, window_hours, block, shipped_bytes, least=least, ahead_hours=ahead_hours, linked=True)
+    """Edges (a, b) of the same connected components as the pairs of ``stories_over`` whose blocks are equal (nulls are): ids are structs of block and node, a text.
+
+    Few stories travel with the function.  Of more, a sample of each side meets all of the other first, which connects most of what is dense; nodes then go by the component that they
+    are in, and the largest components need not meet themselves.  The rest meets in blocks, and a task sends a spanning forest of its pairs.
+    """
+    window = window_hours * 3_600_000_000
+    ahead = np.iinfo(np.int64).max // 4 if ahead_hours is None else ahead_hours * 3_600_000_000
+    left, right = _side(articles, "published_at"), _side(stories, "last_seen")
+    head = right.limit(SHIPPED_ROWS + 1).toArrow()
+    if head.num_rows <= SHIPPED_ROWS and head.nbytes <= shipped_bytes:
+        return _edges_to(left, head, window, ahead, least)
+    some = lambda rows: rows.orderBy(F.xxhash64("id"), "at").limit(HUBS).toArrow()
+    first = materialize(_edges_to(left, some(right), window, ahead, least).unionByName(_edges_to(right, some(left), ahead, window, least)), "hubs")
+    roots = components(first, "hubs")
+    large = [r["root"] for r in roots.groupBy("root").count().where(F.col("count") >= HUBS).orderBy(F.desc("count"), "root").limit(GROUPS).collect()]
+    numbers = F.coalesce(*[F.when(F.col("root") == name, F.lit(n).cast("long")) for n, name in enumerate(large, 1)], F.lit(0).cast("long"))
+
+    def grouped(rows: DataFrame) -> DataFrame:
+        named = rows.drop("group").withColumn("node", F.col("id.node")).join(roots, "node", "left").withColumn("group", numbers)
+        return named.select(F.struct(F.col("id.block").alias("block"), F.coalesce("root", "node").alias("node")).alias("id"), "at", "v", "group")
+
+    sides = meetings(grouped(left), grouped(right), window, block, None, least, None if ahead_hours is None else ahead, len(large))
+    if sides is None:
+        return first
+    one, two = sides
+
+    def meet(a: pa.Table, b: pa.Table) -> pa.Table:
+        x, y, nodes, codes = matrix(a.column("v")), matrix(b.column("v")), pc.struct_field(pa.concat_arrays([_one(a.column("id")), _one(b.column("id"))]), "node").dictionary_encode(), {}
+        at, seen = a.column("at").to_numpy(), b.column("at").to_numpy()
+        ours, theirs, node = _blocks_of(_one(a.column("id")), codes), _blocks_of(_one(b.column("id")), codes), nodes.indices.to_numpy()
+        label = np.arange(len(nodes.dictionary))
+        if len(x) and len(y):
+            fits = lambda i, j: (at[i, None] - window <= seen[None, j]) & (seen[None, j] <= at[i, None] + ahead) & (ours[i, None] == theirs[None, j])
+            label = connect(label, node[: len(x)], node[len(x) :], x, y, fits, least)
+        moved = np.flatnonzero(label != np.arange(len(label)))
+        return pa.table({"a": nodes.dictionary.take(pa.array(moved)), "b": nodes.dictionary.take(pa.array(label[moved]))})
+
+    return first.unionByName(one.groupBy("lb", "rb").cogroup(two.groupBy("lb", "rb")).applyInArrow(meet, "a string, b string"))
 
 
 def similar_pairs(stories: DataFrame, least: float, block: int = BLOCK, most: int | None = None) -> DataFrame:
     """(a_id, b_id, similarity), a_id < b_id, of all stories whose vectors' product is at least ``least``; with ``most`` every task returns its best
     so many, among which the best of all are."""
-    rows = stories.select("id", F.lit(0).cast("long").alias("at"), F.col("vector").cast("array<double>").alias("v")).where("v is not null")
+    rows = stories.select("id", F.lit(0).cast("long").alias("at"), F.col("vector").cast("array<double>").alias("v"), F.lit(0).cast("long").alias("group")).where("v is not null")
     kind = rows.schema["id"].dataType.simpleString()
     schema = f"a_id {kind}, b_id {kind}, similarity double"
     sample = rows.orderBy(F.xxhash64("id")).limit(SAMPLE).toArrow()
@@ -390,7 +519,8 @@ def similar_pairs(stories: DataFrame, least: float, block: int = BLOCK, most: in
     rows = _place(rows, pivots)
     balls = _balls(rows, None)
     meets = ball_meetings(balls, balls, pivots, least)
-    both = _numbered(rows, balls, None, block, meets | meets.T, balls, "b", "o").select(F.least("b", "o").alias("x"), F.greatest("b", "o").alias("y"), "b", "id", "v")
+    cut = _cut(balls, block, False)
+    both = _numbered(rows, balls, None, cut, meets | meets.T, cut, "b", "o").select(F.least("b", "o").alias("x"), F.greatest("b", "o").alias("y"), "b", "id", "v")
 
     def meet(part: pa.Table) -> pa.Table:
         x, y, b = part.column("x")[0].as_py(), part.column("y")[0].as_py(), part.column("b").to_numpy()

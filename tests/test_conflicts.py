@@ -337,3 +337,36 @@ def test_bounds_of_the_block_ratio(spark):
     before = plain.where("2 * least(length(lt), length(rt)) >= 0.9 * (length(lt) + length(rt)) or 2 * least(length(ls), length(rs)) >= 0.9 * (length(ls) + length(rs))").count()
     assert len(want) <= compared < before / 10
     rows.unpersist()
+
+
+def test_rows_are_not_sent_to_every_ball(spark):
+    """Where bounds leave out nothing, small balls share blocks: a row goes to a few of them, not to each of some hundred balls."""
+    v = np.random.default_rng(7).standard_normal((2000, 24))
+    rows = spark.createDataFrame([(i, i % 50, x.tolist()) for i, x in enumerate(v)], "id long, at long, v array<double>")
+    one, two = R.meetings(rows, rows, 1000, 4096, least=0.1)
+    assert one.count() <= 16 * 2000 and two.count() <= 16 * 2000
+
+
+def test_hubs_and_blocks_equal_loops(spark, monkeypatch):
+    """The same components as all pairs of a block within the window, whether vectors travel or meet hubs and blocks, large groups among them."""
+    monkeypatch.setattr(R, "HUBS", 20)
+    rng = np.random.default_rng(3)
+    v = np.concatenate([clusters(rng, 90, 3, spread=0.01), clusters(rng, 60, 30, spread=0.1)])
+    rows = [(f"n{i}", None if i % 7 else "other", T0 + timedelta(hours=int(rng.integers(0, 400))), x.tolist()) for i, x in enumerate(v)]
+    df = spark.createDataFrame(rows, "node string, block string, t timestamp, vector array<double>").select(F.struct("block", "node").alias("id"), F.col("t").alias("published_at"), F.col("t").alias("last_seen"), "vector")
+    root = {r[0]: r[0] for r in rows}
+
+    def find(x):
+        return x if root[x] == x else find(root[x])
+
+    for a, p, s, x in rows:
+        for b, q, t, y in rows:
+            if p == q and s - timedelta(hours=96) <= t <= s and float(np.dot(x, y)) >= 0.8:
+                low, high = sorted((find(a), find(b)))
+                root[high] = low
+    want = {x: find(x) for x in root}
+    for shipped in (1 << 20, 0):
+        with scratch(spark):
+            found = components(R.nodes_over(df, df, 0.8, 96, 0, block=16, shipped_bytes=shipped))
+            got = {r["node"]: r["root"] for r in found.collect()}
+        assert {x: got.get(x, x) for x in root} == want
