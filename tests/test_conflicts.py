@@ -370,3 +370,14 @@ def test_hubs_and_blocks_equal_loops(spark, monkeypatch):
             found = components(R.nodes_over(df, df, 0.8, 96, 0, block=16, shipped_bytes=shipped))
             got = {r["node"]: r["root"] for r in found.collect()}
         assert {x: got.get(x, x) for x in root} == want
+
+
+def test_connections_of_dense_rows_are_no_pairs():
+    """Four million pairs of one component are never listed."""
+    import tracemalloc
+
+    a = np.ones((2000, 8))
+    tracemalloc.start()
+    label = R.connect(np.arange(4000), np.arange(2000), 2000 + np.arange(2000), a, a, lambda i, j: np.ones((len(i), len(j)), bool), 0.5)
+    assert tracemalloc.get_traced_memory()[1] < 64e6 and (label == 0).all()
+    tracemalloc.stop()
