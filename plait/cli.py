@@ -244,7 +244,7 @@ def recheck_stories(spark, args, config):
 
 def backfill_framing(spark, args, config):
     since, have = _now(args) - F.make_dt_interval(days=F.lit(args.days)), _read(spark, args.root, "articles")
-    done = enrich.backfill_framing(enrich.framing_queue(have, since, config), _model(args) or models.OfflineModel, config)
+    done = enrich.backfill_framing(enrich.framing_queue(have, since, config.framing_cap), _model(args) or models.OfflineModel, config)
     if args.dry_run:
         _write(done, args.root, "framing", True)
         return

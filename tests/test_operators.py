@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from plait.config import Config
-from plait.operators import assign, merge, models, pairs, stories as S
+from plait.operators import assign, enrich, merge, models, pairs, stories as S
 
 T0 = datetime(2026, 1, 1)
 
@@ -260,3 +260,11 @@ def test_mean_centroids_of_many_dimensions(spark):
     rows = spark.range(60).select((F.col("id") % 3).alias("story_id"), F.transform(F.sequence(F.lit(1), F.lit(40)), lambda i: ((F.col("id") * i) % 7).cast("double")).alias("vector"))
     one, two = ({r["story_id"]: [round(x, 9) for x in r["centroid"]] for r in S.mean_centroids(rows, 40, wide).collect()} for wide in (128, 10))
     assert one == two and len(one) == 3
+
+
+def test_framing_queue_is_whole_unless_told(spark):
+    """More rows than a command's cap of 3,000 lack framing: all are queued, and a cap takes the newest."""
+    stance = F.struct(F.array().cast("array<string>").alias("framing_axes"), F.lit("told").alias("framing_summary"))
+    rows = spark.range(3500).select("id", F.lit("s").alias("story_id"), F.lit("done").alias("enrichment_status"), F.timestamp_seconds(F.col("id")).alias("published_at"), stance.alias("stance"))
+    assert enrich.framing_queue(rows, F.timestamp_seconds(F.lit(100))).count() == 3400
+    assert {r["id"] for r in enrich.framing_queue(rows, F.timestamp_seconds(F.lit(100)), 3).collect()} == {3499, 3498, 3497}
