@@ -268,3 +268,12 @@ def test_framing_queue_is_whole_unless_told(spark):
     rows = spark.range(3500).select("id", F.lit("s").alias("story_id"), F.lit("done").alias("enrichment_status"), F.timestamp_seconds(F.col("id")).alias("published_at"), stance.alias("stance"))
     assert enrich.framing_queue(rows, F.timestamp_seconds(F.lit(100))).count() == 3400
     assert {r["id"] for r in enrich.framing_queue(rows, F.timestamp_seconds(F.lit(100)), 3).collect()} == {3499, 3498, 3497}
+
+
+def test_framing_is_filled_in_for_more_than_a_command_takes(spark):
+    """The backfill answers every queued row."""
+    stance = F.struct(F.array().cast("array<string>").alias("framing_axes"), F.lit("told").alias("framing_summary"))
+    none = F.lit(None).cast("string")
+    rows = spark.range(3100).select("id", F.lit("s").alias("story_id"), F.lit("done").alias("enrichment_status"), F.timestamp_seconds(F.col("id")).alias("published_at"), stance.alias("stance"), F.lit("o").alias("outlet"), F.lit("t").alias("title"), none.alias("headline"), none.alias("subheadline"), none.alias("body_text"))
+    out = enrich.backfill_framing(enrich.framing_queue(rows, F.timestamp_seconds(F.lit(0))))
+    assert out.where("size(stance.framing_axes) > 0").count() == 3100
