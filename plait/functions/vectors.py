@@ -24,9 +24,14 @@ def unit(v: Column) -> Column:
     return F.get(F.transform(F.array(norm(v)), lambda length: F.transform(v, lambda x: x / length)), 0)  # the norm once, not once an element
 
 
+def signed(x: Column, rounded: Column) -> Column:
+    """A rounded number, zero with the sign of what was rounded: decimals, by which Spark rounds, know no negative zero."""
+    return F.when((rounded == 0) & x.cast("string").startswith("-"), -F.abs(rounded)).otherwise(rounded)
+
+
 def to_text(v: Column) -> Column:
-    """``[x,...]`` with seven decimals, halves to the even digit; null stays null."""
-    return F.when(v.isNotNull(), F.concat(F.lit("["), F.array_join(F.transform(v, lambda x: F.format_string("%.7f", F.bround(x, 7))), ","), F.lit("]")))
+    """``[x,...]`` with seven decimals, halves to the even digit, a small negative number as ``-0.0000000``; null stays null."""
+    return F.when(v.isNotNull(), F.concat(F.lit("["), F.array_join(F.transform(v, lambda x: F.format_string("%.7f", signed(x, F.bround(x, 7)))), ","), F.lit("]")))
 
 
 def from_text(text: Column) -> Column:

@@ -153,3 +153,11 @@ def test_config(tmp_path):
     path.write_text("# comment\nPLAIT_STALE_DAYS='7'\n\nPLAIT_ATTACH_THRESHOLD=0.5\n")
     got = from_environment(read_settings_file(str(path)))
     assert got.stale_days == 7 and got.attach_threshold == 0.5 and got.verify_threshold == Config().verify_threshold
+
+
+def test_small_negative_numbers_keep_their_sign(spark):
+    """As printf has it; zero that was rounded from below is a negative zero, in text and as a number."""
+    df = spark.createDataFrame([([-1e-8, 1e-8, -0.0, 0.0, -2e-7, 0.00390625],)], "v array<double>")
+    got = df.select(V.to_text(F.col("v")).alias("t"), F.transform("v", lambda x: V.signed(x, F.round(x, 6))).alias("r")).first()
+    assert got["t"] == "[" + ",".join(f"{x:.7f}" for x in [-1e-8, 1e-8, -0.0, 0.0, -2e-7, 0.00390625]) + "]"
+    assert [str(x) for x in got["r"]] == ["-0.0", "0.0", "-0.0", "0.0", "-0.0", "0.003906"]
