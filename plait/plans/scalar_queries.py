@@ -215,8 +215,7 @@ def vector_from_text(spark, d):
 def keyset_pages(spark, d):
     """Every page of a keyset scan over a few sources, one after the other."""
     rows = table(spark, d, "documents").where("source in ('src1', 'src2', 'src3')").select("doc_id")
-    found = [(r["doc_id"], n) for n, page in enumerate(T.pages_of(rows, "doc_id", 70)) for r in page]
-    return spark.createDataFrame(found, "doc_id long, page long")
+    return T.paged(rows, "doc_id", 70)
 
 
 @query("SELECT (SELECT count(*) FROM documents) AS every, (SELECT count(*) FROM documents WHERE lang = 'en') AS english, (SELECT count(*) FROM labels WHERE toxic = 1) AS toxic")

@@ -7,6 +7,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window, functions as F, types as T
 
+from .scratch import materialize
+
 
 def publish(df: DataFrame, path: str) -> DataFrame:
     df.write.mode("errorifexists").parquet(path)
@@ -100,6 +102,19 @@ def pages_of(table: DataFrame, key: str, size: int):
         last = rows[-1][key]
 
 
+def paged(table: DataFrame, key: str, size: int) -> DataFrame:
+    """Each row with the number of its page in a keyset scan: what ``pages_of`` hands out one page after the other, without a row on the driver.
+
+    Rows are dealt into ranges of the key, whose counts tell where each range begins; within a range rows are numbered by a window.
+    """
+    order = F.col(key).asc_nulls_last()
+    ranges = materialize(table.repartitionByRange(order).withColumn("__range", F.spark_partition_id()), "ranges")
+    counts = ranges.groupBy("__range").agg(F.count(F.lit(1)).alias("__rows"))
+    begins = counts.select("__range", (F.sum("__rows").over(Window.orderBy("__range")) - F.col("__rows")).alias("__first"))  # one row a range
+    place = F.col("__first") + F.row_number().over(Window.partitionBy("__range").orderBy(order)) - 1
+    return ranges.join(F.broadcast(begins), "__range").withColumn("page", F.floor(place / size).cast("long")).drop("__range", "__first")
+
+
 def count_rows(table: DataFrame, test: Column | None = None) -> int:
     return (table if test is None else table.where(test)).count()
 

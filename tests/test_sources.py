@@ -209,3 +209,12 @@ def test_end_tags_reach_any_open_element():
         text = pages.Page(f"<body><article>{'<div>' * n}<p>{LONG}</p><p>{LONG}</p></article><p>{LONG} outside</p></body>").text()
         assert text == LONG.strip() + "\n\n" + LONG.strip()
         assert pages.Page(f"<body>{'</section>' * n}<p>{LONG}</p></body>").text() == LONG.strip()
+
+
+def test_pages_are_numbered_without_the_driver(spark):
+    """The pages of a keyset scan, from the plan alone: no row is gathered by it or made from Python values."""
+    rows = spark.range(0, 3000, 3).select((F.col("id") * 7919 % 100_003).alias("key")).repartition(5)
+    pages = tables.paged(rows, "key", 70)
+    assert "LocalTableScan" not in pages._jdf.queryExecution().toString() and "ExistingRDD" not in pages._jdf.queryExecution().toString()
+    assert sorted((r["key"], r["page"]) for r in pages.collect()) == [(k, i // 70) for i, k in enumerate(sorted(n * 7919 % 100_003 for n in range(0, 3000, 3)))]
+    assert tables.paged(rows.where("key < 0"), "key", 70).count() == 0
