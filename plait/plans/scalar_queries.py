@@ -208,7 +208,7 @@ def embedding_texts(spark, d):
 @query(sql("SELECT id, list_transform(vector, lambda x: round(x, 6)) AS vector FROM articles_px"))
 def vector_from_text(spark, d):
     text = F.concat(F.lit("["), F.array_join(F.transform("vector", lambda x: x.cast("string")), ","), F.lit("]"))
-    return articles(spark, d).select("id", F.transform(V.from_text(text), lambda x: F.round(x, 6)).alias("vector"))
+    return articles(spark, d).select("id", F.transform(V.from_text(text), lambda x: V.signed(x, F.round(x, 6))).alias("vector"))
 
 
 @query("SELECT doc_id, (row_number() OVER (ORDER BY doc_id) - 1) // 70 AS page FROM documents WHERE source IN ('src1', 'src2', 'src3')")
