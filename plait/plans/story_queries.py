@@ -8,8 +8,7 @@ from pyspark.sql import functions as F
 
 from ..config import Config
 from ..functions import scoring as S
-from ..functions.text import near_duplicates, wording
-from ..operators import assign, conflicts, enrich, merge, models, pairs, recheck, reports, retrieval, stories as Y
+from ..operators import alike, assign, conflicts, enrich, merge, models, pairs, recheck, reports, retrieval, stories as Y
 from .proxies import PX, articles, ntz, sql, stories, table
 
 QUERIES, SQL = {}, {}
@@ -355,9 +354,8 @@ def pairs_best_by_ratio(spark, d):
 
 @query()
 def near_duplicate_titles(spark, d):
-    rows = articles(spark, d).select("story_id", "id", "side", wording(F.col("title"), F.col("snippet")).alias("w"))
-    left, right = rows.where("side = 'left'").toDF("story_id", "l", "x", "a"), rows.where("side = 'right'").toDF("story_id", "r", "y", "b")
-    return near_duplicates(left.join(right, "story_id"), "a", "b").select("story_id", "l", "r")
+    """Pairs of classes of equal wordings that say the same, and the classes' further members."""
+    return alike.near_duplicates(articles(spark, d))
 
 
 def _px_pairs(spark, d):

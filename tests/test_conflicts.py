@@ -381,3 +381,32 @@ def test_connections_of_dense_rows_are_no_pairs():
     label = R.connect(np.arange(4000), np.arange(2000), 2000 + np.arange(2000), a, a, lambda i, j: np.ones((len(i), len(j)), bool), 0.5)
     assert tracemalloc.get_traced_memory()[1] < 64e6 and (label == 0).all()
     tracemalloc.stop()
+
+
+def test_near_duplicates_by_class_equal_every_pair(spark):
+    """Classes and members give back the pairs that a comparison of all finds; copies make no further pairs; blocks change nothing."""
+    from plait.functions.text import near_duplicate
+    from plait.operators.alike import near_duplicates
+
+    rng = random.Random(5)
+    words = "tax vote senate court budget storm border ruling strike leader".split()
+    some = lambda: " ".join(rng.choice(words) for _ in range(6))
+    pool = [(some(), some() + " " + some()) for _ in range(8)] + [("", "")]
+    rows = []
+    for n in range(120):
+        t, s = rng.choice(pool)
+        rows.append((n, n % 2, rng.choice(["left", "right", None]), (t + rng.choice(["", "", "!", " now"])) if t else None, s or None))
+    rows += [(200 + n, 0, rng.choice(["left", "right"]), "one and the same", "copy") for n in range(30)]
+    df = spark.createDataFrame(rows, "id long, story_id long, side string, title string, snippet string")
+    left, right = (df.where(F.col("side") == s).toDF(*(f"{s}_{c}" for c in df.columns)) for s in ("left", "right"))
+    plain = left.join(right, F.col("left_story_id") == F.col("right_story_id")).where(near_duplicate(F.col("left_title"), F.col("left_snippet"), F.col("right_title"), F.col("right_snippet")))
+    want = {(r["left_id"], r["right_id"]) for r in plain.collect()}
+    for block in (1024, 4):
+        got = near_duplicates(df, block=block).collect()
+        of = {"left": collections.defaultdict(list), "right": collections.defaultdict(list)}
+        for r in got:
+            if r["kind"] != "pair":
+                of[r["kind"]][r["l"]].append(r["r"])
+        pairs = [(r["l"], r["r"]) for r in got if r["kind"] == "pair"]
+        opened = [(a, b) for l, r in pairs for a in [l, *of["left"][l]] for b in [r, *of["right"][r]]]
+        assert len(opened) == len(set(opened)) and set(opened) == want and len(pairs) < len(want)
