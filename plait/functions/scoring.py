@@ -121,22 +121,23 @@ def fill_framing(axes: Column, summary: Column, new_axes: Column, new_summary: C
     return F.when(has | (F.size(given) == 0), axes).otherwise(given), F.when(F.coalesce(F.trim(summary), F.lit("")) != "", summary).otherwise(F.coalesce(told, summary))
 
 
-def _axis_set(axes: Column) -> Column:
+def axis_set(axes: Column) -> Column:
+    """The distinct axes that are not empty, trimmed and in lower case."""
     kept = F.filter(F.coalesce(axes, F.array().cast("array<string>")), lambda x: x.isNotNull() & (x != ""))
     return F.array_distinct(F.transform(kept, lambda x: F.lower(F.trim(x))))
 
 
-def pair_terms(left: str, right: str, outlets: Column | None = None) -> dict[str, Column]:
+def pair_terms(left: str, right: str, outlets: Column | None = None, sets: bool = False) -> dict[str, Column]:
     """score and kind of a left and a right article, given as struct columns named ``left`` and ``right``.
 
-    outlets: those of the story's current pair, or null.
+    outlets: those of the story's current pair, or null.  sets: the articles carry their ``axis_set``.
     """
     l, r = (lambda f: F.col(f"{left}.{f}")), (lambda f: F.col(f"{right}.{f}"))
     opposed = F.lit(False)
     for a, b in OPPOSED:
         opposed = opposed | (F.coalesce(l("direction") == a, F.lit(False)) & F.coalesce(r("direction") == b, F.lit(False)))
     opposed = opposed & (F.coalesce(l("confidence"), F.lit(0.0)) >= 0.5) & (F.coalesce(r("confidence"), F.lit(0.0)) >= 0.5)
-    a, b = _axis_set(l("axes")), _axis_set(r("axes"))
+    a, b = (l("axis_set"), r("axis_set")) if sets else (axis_set(l("axes")), axis_set(r("axes")))
     disjoint = (F.size(a) > 0) & (F.size(b) > 0) & ~F.arrays_overlap(a, b)
     same = l("article_type").eqNullSafe(r("article_type"))
     clash = F.coalesce(F.array_sort(F.array(l("article_type"), r("article_type"))) == F.array(F.lit("news"), F.lit("opinion")), F.lit(False))

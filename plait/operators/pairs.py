@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..config import Config
-from ..functions.scoring import displayable, keeps_current, pair_terms
+from ..functions.scoring import axis_set, displayable, keeps_current, pair_terms
 from ..functions.text import near_duplicate, normalise_title
 from . import models, pair_blocks
 
@@ -21,18 +21,18 @@ def candidates(articles: DataFrame, current: DataFrame | None = None, near: str
     current: story_id and outlets of the pair that stands.  near: ``ratio`` (longest blocks) or ``title`` (equal normalised titles).
     """
     shown = articles.where(displayable(F.col("is_wire_copy"), F.col("article_type"), F.col("title")) & F.col("story_id").isNotNull())
-    side = lambda s: shown.where(F.col("side") == s).select("story_id", F.struct(*MEMBER).alias("l" if s == "left" else "r"))
+    told = (normalise_title(F.col("title")).alias("wording"), axis_set(F.col("axes")).alias("axis_set"))  # once an article, not once a pair
+    side = lambda s: shown.where(F.col("side") == s).select("story_id", F.struct(*MEMBER, *told).alias("l" if s == "left" else "r"))
     pairs = side("left").join(side("right"), "story_id").where("l.outlet <> r.outlet")
     if near == "title":
-        a, b = normalise_title(F.col("l.title")), normalise_title(F.col("r.title"))
-        pairs = pairs.where(~((a == b) & (a != "")))
+        pairs = pairs.where("not (l.wording = r.wording and l.wording <> '')")
     else:
         pairs = pairs.where(~near_duplicate(F.col("l.title"), F.col("l.snippet"), F.col("r.title"), F.col("r.snippet"), config.near_duplicate_ratio))
     outlets = None
     if current is not None:
         pairs = pairs.join(current.select("story_id", F.col("outlets").alias("__outlets")), "story_id", "left")
         outlets = F.col("__outlets")
-    return pairs.withColumns(pair_terms("l", "r", outlets))
+    return pairs.withColumns(pair_terms("l", "r", outlets, sets=True))
 
 
 def best(articles: DataFrame, current: DataFrame | None = None, near: str = "ratio", config: Config = Config()) -> DataFrame:

@@ -277,3 +277,11 @@ def test_framing_is_filled_in_for_more_than_a_command_takes(spark):
     rows = spark.range(3100).select("id", F.lit("s").alias("story_id"), F.lit("done").alias("enrichment_status"), F.timestamp_seconds(F.col("id")).alias("published_at"), stance.alias("stance"), F.lit("o").alias("outlet"), F.lit("t").alias("title"), none.alias("headline"), none.alias("subheadline"), none.alias("body_text"))
     out = enrich.backfill_framing(enrich.framing_queue(rows, F.timestamp_seconds(F.lit(0))))
     assert out.where("size(stance.framing_axes) > 0").count() == 3100
+
+
+def test_what_an_article_tells_is_not_computed_for_each_pair(spark):
+    """Above the join of a story's two sides no title is normalised and no axis is put in lower case."""
+    kinds = "id long, story_id long, side string, is_wire_copy boolean, outlet string, title string, snippet string, image_url string, published_at timestamp, article_type string, direction string, confidence double, axes array<string>"
+    plan = pairs.candidates(spark.createDataFrame([], kinds), near="title").select("l.id", "r.id", "score", "kind")._jdf.queryExecution().optimizedPlan().toString()
+    above = plan.partition("Join")[0]
+    assert "Join" in plan and "regexp_replace" not in above and "array_distinct" not in above
