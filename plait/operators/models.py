@@ -22,6 +22,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..config import Config
+from ..functions.text import collapse_space
 from ..sources.pool import pooled
 
 CALLS = "array<struct<kind:string,model:string,tokens_in:long,tokens_out:long>>"
@@ -244,9 +245,14 @@ def _said(name: str, value: Column) -> list[Column]:
     return [F.lit(f"{name}: "), F.coalesce(F.nullif(value.cast("string"), F.lit("")), F.lit("none")), F.lit("\n")]
 
 
+def _outlet() -> list[Column]:
+    """As it stands, empty too."""
+    return [F.lit("Outlet: "), F.coalesce("outlet", F.lit("none")), F.lit("\n")]
+
+
 def enrich_prompt(config: Config = Config(), columns: tuple[str, ...] = ()) -> Column:
     """What an enricher reads of an article; section and authors where there are such columns."""
-    parts = [*_said("Outlet", F.col("outlet")), *_said("Published", F.col("published_at")), *_said("Title", F.col("title")), *_said("Feed headline", F.col("headline")), *_said("Description", F.col("subheadline"))]
+    parts = [*_outlet(), *_said("Published", F.col("published_at")), *_said("Title", F.col("title")), *_said("Feed headline", F.col("headline")), *_said("Description", F.col("subheadline"))]
     if "evidence" in columns:
         parts += _said("Section", F.col("evidence.section"))
     if "authors" in columns:
@@ -255,8 +261,10 @@ def enrich_prompt(config: Config = Config(), columns: tuple[str, ...] = ()) -> C
 
 
 def framing_prompt(config: Config = Config()) -> Column:
-    headline = F.coalesce(F.nullif("headline", F.lit("")), "title")
-    return F.concat(*_said("Outlet", F.col("outlet")), *_said("Headline", headline), *_said("Page title", F.col("title")), *_said("Subheadline", F.col("subheadline")), F.lit("Text:\n"), F.substring(F.coalesce("body_text", F.lit("")), 1, config.framing_body_chars))
+    """What a framer reads of an article; a title of white space alone is none."""
+    title = F.when(collapse_space(F.col("title")) != "", F.col("title"))
+    headline = F.coalesce(F.when(collapse_space(F.col("headline")) != "", F.col("headline")), title)
+    return F.concat(*_outlet(), *_said("Headline", headline), *_said("Page title", title), *_said("Subheadline", F.col("subheadline")), F.lit("Text:\n"), F.substring(F.coalesce("body_text", F.lit("")), 1, config.framing_body_chars))
 
 
 def verify_prompt(article, stories: list) -> str:

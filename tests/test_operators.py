@@ -279,6 +279,16 @@ def test_framing_is_filled_in_for_more_than_a_command_takes(spark):
     assert out.where("size(stance.framing_axes) > 0").count() == 3100
 
 
+def test_framing_of_blank_titles_and_empty_outlets(spark):
+    """A title of white space alone is told as none, an outlet as it stands."""
+    stance = F.struct(F.array(F.lit("x")).alias("framing_axes"), F.lit(None).cast("string").alias("framing_summary"))
+    rows = spark.createDataFrame([(1, "o", "  "), (2, "o", "\t\r"), (3, "o", "\u2003"), (4, "o", ""), (5, "", "a b"), (6, "o", " a ")], "id long, outlet string, title string")
+    rows = rows.withColumns({"stance": stance, "headline": F.lit(None).cast("string"), "subheadline": F.lit(None).cast("string"), "body_text": F.lit("text")})
+    got = {r["id"]: r["stance"]["framing_summary"] for r in enrich.backfill_framing(rows).collect()}
+    blank = "Outlet: o Headline: none Page title: none Subheadline:"
+    assert got == {1: blank, 2: blank, 3: blank, 4: blank, 5: "Outlet: Headline: a b Page title: a b", 6: "Outlet: o Headline: a Page title: a Subheadline:"}
+
+
 def test_what_an_article_tells_is_not_computed_for_each_pair(spark):
     """Above the join of a story's two sides no title is normalised and no axis is put in lower case."""
     kinds = "id long, story_id long, side string, is_wire_copy boolean, outlet string, title string, snippet string, image_url string, published_at timestamp, article_type string, direction string, confidence double, axes array<string>"
