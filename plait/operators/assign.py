@@ -234,6 +234,9 @@ STATE = (
     "key_entities:array<string>,article_count:int,left_count:int,right_count:int,center_count:int,status:string>"
 )
 COLUMNS = ["id", "block", "phase", "published_at", "event_date", "key_entities", "article_type", "is_wire_copy", "leaning_label", "leaning_conf", "outlet_leaning", "split_from", "category", "title", "event_summary", "vector"]
+#: A story's columns, and rows whose results a task holds at a time.
+KNOWN = "id summary title category event_date first_seen last_seen centroid key_entities article_count left_count right_count center_count status".split()
+SLICE = 512
 
 
 def dumped(s: Story) -> dict:
@@ -273,32 +276,38 @@ def assign_in_order(articles: DataFrame, stories: DataFrame | None = None, verif
     def frame(found: list[dict]) -> pd.DataFrame:
         return pd.DataFrame({c: pd.Series([r[c] for r in found], dtype="Int32" if c == "story_size" else "int32" if c in ("step", "phase") else object if c not in ("id", "score") else None) for c in names})
 
-    if stories is None:
-        # a block's articles stream through one task in order; only its stories are held
+    # a block's stories, then its articles, stream through one task in order; only the stories are held, and of the results a slice
+    if stories is not None:
+        known = stories.where("centroid is not null").select("block", F.lit(-1).alias("phase"), F.lit(0).cast(kind).alias("id"), *[F.col(c).alias(f"known_{c}") for c in KNOWN])
+        rows = rows.unionByName(known, allowMissingColumns=True)
 
-        def stream(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            block, run, n = None, None, 0
-            for part in batches:
+    def stream(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        block, run, n = None, None, 0
+        for part in batches:
+            for begin in range(0, len(part), SLICE):
                 out = []
-                for own, some in part.groupby("block", sort=False, dropna=False):
+                for own, some in part.iloc[begin : begin + SLICE].groupby("block", sort=False, dropna=False):
                     own = _none(own)  # nulls are one block, however they are shown
                     if run is None or own != block:
                         block, run, n = own, Sequence(config, verifier), 0
+                    first = some["phase"] < 0
+                    for s in some[first].itertuples(index=False):
+                        run.add(_held(s))
+                    some = some[~first]
                     out += steps(run, some, n)
                     n += len(some)
-                yield frame(out)
+                if out:
+                    yield frame(out)
 
-        return rows.repartition("block").sortWithinPartitions("block", "phase", "published_at", "id").mapInPandas(stream, schema)
+    return rows.repartition("block").sortWithinPartitions("block", "phase", "published_at", "id").mapInPandas(stream, schema)
 
-    def fold(part: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
-        held = [
-            Story(s.id, s.summary, s.title, s.category, _none(s.event_date), _none(s.first_seen), s.last_seen, np.asarray(s.centroid, float), list(s.key_entities), int(s.article_count), {"left": int(s.left_count), "right": int(s.right_count), "center": int(s.center_count)}, s.status)
-            for s in known.itertuples(index=False) if s.centroid is not None
-        ]
-        return frame(list(steps(Sequence(config, verifier, held), part.sort_values(["phase", "published_at", "id"]), 0)))
 
-    key = F.coalesce("block", F.lit("\0"))
-    return rows.groupBy(key.alias("__block")).cogroup(stories.groupBy(key.alias("__block"))).applyInPandas(fold, schema)
+def _held(s) -> Story:
+    """A row of a stream that is a story to begin with."""
+    return Story(
+        s.known_id, s.known_summary, s.known_title, s.known_category, _none(s.known_event_date), _none(s.known_first_seen), s.known_last_seen, np.array(s.known_centroid, float), list(s.known_key_entities), int(s.known_article_count),
+        {"left": int(s.known_left_count), "right": int(s.known_right_count), "center": int(s.known_center_count)}, s.known_status,
+    )
 
 
 def cleaned(a):

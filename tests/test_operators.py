@@ -237,6 +237,27 @@ def test_records_and_failures(spark):
     assert [states[n]["article_count"] for n in (1, 2)] == [1, 2] and states[2]["id"] == first and states[2]["title"] == "Summary 1" and abs(sum(x * x for x in states[2]["centroid"]) - 1) < 1e-9
 
 
+def tells_memory(article, shown):
+    with open("/proc/self/statm") as f:
+        return {"relation": "unsure", "rss": int(f.read().split()[1]) * 4096}
+
+
+@pytest.mark.parametrize("begin", ["nothing", "a story"])
+def test_a_block_passes_in_slices(spark, begin):
+    """What a task holds of a block's results, each with its story's centroid, does not grow with the block."""
+    base = spark.createDataFrame([tuple(article(0, [])[c.split()[0]] for c in SCHEMA.split(", "))], SCHEMA)
+    wide = F.array_repeat(F.lit(1000**-0.5), 1000)
+    rows = base.drop("id", "published_at", "vector").crossJoin(spark.range(1, 4001)).withColumns({"published_at": F.timestamp_seconds(F.lit(T0.timestamp()) + 60 * F.col("id")), "vector": wide})
+    known = [("s1", "all", "Sum", "T", "politics", None, T0, T0, [1.0], ["Ann Lee"], 3, 2, 1, 0, "open")]
+    names = "id string, block string, summary string, title string, category string, event_date date, first_seen timestamp, last_seen timestamp, centroid array<double>, key_entities array<string>, article_count int, left_count int, right_count int, center_count int, status string"
+    given = None if begin == "nothing" else spark.createDataFrame(known, names).withColumn("centroid", wide)
+    done = assign.assign_in_order(rows, given, tells_memory, with_stories=True).select("id", "step", "story_size", F.get_json_object("verifier", "$.rss").cast("long").alias("rss"))
+    got = sorted(map(tuple, done.collect()))
+    assert [(n, step, size) for n, step, size, _ in got] == [(n, n - 1, n + 3 * (given is not None)) for n in range(1, 4001)]
+    held = [rss for *_, rss in got if rss is not None]
+    assert len(held) > 3000 and max(held) - held[0] < 64 << 20
+
+
 def test_decide_knows_who_may_create(spark):
     rows = [article(n, [0.0, 1.0], kind=kind, is_wire_copy=wire) for n, kind, wire in ((1, "news", False), (2, "opinion", False), (3, "news", True))]
     df = spark.createDataFrame([tuple(r[c.split()[0]] for c in SCHEMA.split(", ")) for r in rows], SCHEMA)
